@@ -8,7 +8,7 @@ from dxcohort.functions.expressions import (
     SEX_DOMAIN,
     age_band,
     bounded_broadcast,
-    int_round_half_away,
+    int_round_half_even,
     strata_rows,
     zero_pad,
 )
@@ -23,7 +23,7 @@ __all__ = [
     "code_prefixes",
     "dx_at",
     "dx_slice",
-    "int_round_half_away",
+    "int_round_half_even",
     "strata_rows",
     "zero_pad",
 ]

@@ -53,14 +53,14 @@ def strata_rows() -> Column:
     )
 
 
-def int_round_half_away(x: str | Column) -> Column:
-    """Double to INT rounding halves away from zero (2.5 -> 3, -2.5 -> -3).
+def int_round_half_even(x: str | Column) -> Column:
+    """Double to INT rounding halves to even (2.5 -> 2, 3.5 -> 4).
 
-    This is how the SQL engine of the studied workflow casts; a bare Spark
-    cast would truncate instead.
+    This is how the SQL engine of the studied workflow casts a DOUBLE to
+    INT; a bare Spark cast would truncate instead.
     """
     c = F.col(x) if isinstance(x, str) else x
-    return F.round(c, 0).cast("int")
+    return F.rint(c).cast("int")
 
 
 def zero_pad(x: str | Column, width: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.functions.expressions import int_round_half_away
+from dxcohort.functions.expressions import int_round_half_even
 from dxcohort.sources.readers import value_columns
 
 AREA_KEYS = {"zcta", "year"}
@@ -17,7 +17,7 @@ def county_counts(
     area_counts: DataFrame, weights: DataFrame, value_cols: Sequence[str] | None = None
 ) -> DataFrame:
     """``SUM(x * pop_pct / 100)`` per ``(year, county)`` for every count
-    column, rounded to INT (halves away from zero) per county.
+    column, rounded to INT (halves to even) per county.
 
     Every weight row is kept (a county without counts gets 0); areas with
     no county drop out. Both inputs are bounded by geography, not by the
@@ -33,5 +33,5 @@ def county_counts(
     return summed.select(
         "year",
         "county",
-        *[int_round_half_away(F.coalesce(F.col(f"`{c}`"), F.lit(0.0))).alias(c) for c in cols],
+        *[int_round_half_even(F.coalesce(F.col(f"`{c}`"), F.lit(0.0))).alias(c) for c in cols],
     ).orderBy("year", "county")

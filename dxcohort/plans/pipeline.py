@@ -1,0 +1,63 @@
+"""Compositions of the operators into the workflow's jobs.
+
+``cohort_pipeline`` is the whole workflow in one lineage: tag -> event
+index -> area counts -> county counts (+ stratified and year counts). The
+admissions are scanned once: the admission dates ride along with the tagged
+rows, so the event index needs no second scan or join of the admissions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from dxcohort.operators.counts import area_counts, strat_counts, year_counts_wide
+from dxcohort.operators.crosswalk import county_counts
+from dxcohort.operators.events import DATE_COLS, index_outcomes
+from dxcohort.operators.tagging import tag_outcomes
+
+
+@dataclass
+class CohortResults:
+    outcomes: DataFrame
+    indexed: DataFrame
+    year_counts: DataFrame
+    area_counts: DataFrame
+    strat_counts: DataFrame
+    county_counts: DataFrame
+
+
+def cohort_pipeline(
+    admissions: DataFrame,
+    codes: DataFrame,
+    denom: DataFrame,
+    spine: DataFrame,
+    weights: DataFrame,
+    outcome_list: Sequence[str],
+    criteria: str = "all",
+    first_n: int | None = None,
+    years: Sequence[int] | None = None,
+    heavy_rows: int | None = 5_000_000,
+    tagged: DataFrame | None = None,
+) -> CohortResults:
+    """All outputs of the workflow as lazy DataFrames.
+
+    ``tagged`` may be a materialised tagging output (with the date columns)
+    to cut lineage between the tagging and the downstream jobs.
+    """
+    if tagged is None:
+        tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS)
+    outcomes = tagged.drop(*DATE_COLS)
+    indexed = index_outcomes(tagged, None, heavy_rows=heavy_rows)
+    areas = area_counts(outcomes, denom, spine, outcome_list, years)
+    return CohortResults(
+        outcomes=outcomes,
+        indexed=indexed,
+        year_counts=year_counts_wide(outcomes, outcome_list),
+        area_counts=areas,
+        strat_counts=strat_counts(outcomes, denom, spine, outcome_list, years),
+        county_counts=county_counts(areas, weights, list(outcome_list)),
+    )
+
