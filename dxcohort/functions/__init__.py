@@ -9,7 +9,7 @@ from dxcohort.functions.expressions import (
     age_band,
     bounded_broadcast,
     int_round_half_even,
-    strata_rows,
+    with_strata,
     zero_pad,
 )
 
@@ -24,6 +24,6 @@ __all__ = [
     "dx_at",
     "dx_slice",
     "int_round_half_even",
-    "strata_rows",
+    "with_strata",
     "zero_pad",
 ]

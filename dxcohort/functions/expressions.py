@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,24 +31,19 @@ def age_band(age: str | Column) -> Column:
     return expr
 
 
-def strata_rows() -> Column:
-    """Array of all (age_grp, sex, race, dual) structs: 5 x 3 x 7 x 2 = 210.
-
-    Used with ``F.inline`` to emit the stratum spine row-locally, which
-    replaces a cross join of constant domains.
-    """
-    combos = itertools.product([b[0] for b in AGE_BANDS], SEX_DOMAIN, RACE_DOMAIN, DUAL_DOMAIN)
-    return F.array(
-        *[
-            F.struct(
-                F.lit(g).alias("age_grp"),
-                F.lit(s).cast("int").alias("sex"),
-                F.lit(r).cast("int").alias("race"),
-                F.lit(d).cast("int").alias("dual"),
-            )
-            for g, s, r, d in combos
-        ]
-    )
+def with_strata(df: DataFrame) -> DataFrame:
+    """Each row repeated once per stratum (age_grp, sex, race, dual):
+    5 x 3 x 7 x 2 = 210 rows, emitted row-locally by one ``explode`` per
+    domain. This replaces a cross join with the constant domains."""
+    domains = [
+        ("age_grp", [F.lit(b[0]) for b in AGE_BANDS]),
+        ("sex", [F.lit(v).cast("int") for v in SEX_DOMAIN]),
+        ("race", [F.lit(v).cast("int") for v in RACE_DOMAIN]),
+        ("dual", [F.lit(v).cast("int") for v in DUAL_DOMAIN]),
+    ]
+    for name, values in domains:
+        df = df.select("*", F.explode(F.array(*values)).alias(name))
+    return df
 
 
 def int_round_half_even(x: str | Column) -> Column:

@@ -21,7 +21,7 @@ from dxcohort.functions.expressions import (
     RACE_DOMAIN,
     SEX_DOMAIN,
     age_band,
-    strata_rows,
+    with_strata,
 )
 from dxcohort.sources.readers import bounded_values
 
@@ -133,7 +133,7 @@ def strat_counts(
 
     Plan: observed cells (few) are aggregated and then packed per area-year
     into a map of at most 210 entries; the spine is joined at area-year
-    grain and expanded with ``inline`` *after* the join, so the full
+    grain and expanded by ``explode`` *after* the join, so the full
     210-fold spine is generated row-locally and never shuffled.
     """
     names = _outcome_list(outcomes, outcome_list)
@@ -148,7 +148,7 @@ def strat_counts(
     areas = spine.select("zcta").distinct()
     area_years = areas.select("zcta", F.explode(F.array(*[F.lit(y).cast("int") for y in yrs])).alias("year"))
     with_cells = area_years.join(cells, ["zcta", "year"], "left")
-    expanded = with_cells.select("zcta", "year", F.inline(strata_rows()), "_cells")
+    expanded = with_strata(with_cells)
     cell = F.col("_cells")[_stratum_key(F.col("age_grp"), F.col("sex"), F.col("race"), F.col("dual"))]
     return expanded.select(
         "zcta",
@@ -161,6 +161,6 @@ def strat_counts(
 def strat_spine(spine: DataFrame, years: Sequence[int]) -> DataFrame:
     """The stratum spine alone: distinct areas x years x 210 strata."""
     areas = spine.select("zcta").distinct()
-    return areas.select(
-        "zcta", F.explode(F.array(*[F.lit(y).cast("int") for y in years])).alias("year")
-    ).select("zcta", "year", F.inline(strata_rows()))
+    return with_strata(
+        areas.select("zcta", F.explode(F.array(*[F.lit(y).cast("int") for y in years])).alias("year"))
+    )

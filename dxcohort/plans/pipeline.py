@@ -4,12 +4,14 @@
 index -> area counts -> county counts (+ stratified and year counts). The
 admissions are scanned once: the admission dates ride along with the tagged
 rows, so the event index needs no second scan or join of the admissions.
+Each output is planned on first access only, so asking for the county
+counts runs no job for the event index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -19,14 +21,37 @@ from dxcohort.operators.events import DATE_COLS, index_outcomes
 from dxcohort.operators.tagging import tag_outcomes
 
 
-@dataclass
 class CohortResults:
-    outcomes: DataFrame
-    indexed: DataFrame
-    year_counts: DataFrame
-    area_counts: DataFrame
-    strat_counts: DataFrame
-    county_counts: DataFrame
+    """Lazily planned outputs of one workflow run."""
+
+    def __init__(self, tagged, denom, spine, weights, outcome_list, years, heavy_rows):
+        self.tagged = tagged
+        self._denom, self._spine, self._weights = denom, spine, weights
+        self._names, self._years, self._heavy = list(outcome_list), years, heavy_rows
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        return self.tagged.drop(*DATE_COLS)
+
+    @cached_property
+    def indexed(self) -> DataFrame:
+        return index_outcomes(self.tagged, None, heavy_rows=self._heavy)
+
+    @cached_property
+    def year_counts(self) -> DataFrame:
+        return year_counts_wide(self.outcomes, self._names)
+
+    @cached_property
+    def area_counts(self) -> DataFrame:
+        return area_counts(self.outcomes, self._denom, self._spine, self._names, self._years)
+
+    @cached_property
+    def strat_counts(self) -> DataFrame:
+        return strat_counts(self.outcomes, self._denom, self._spine, self._names, self._years)
+
+    @cached_property
+    def county_counts(self) -> DataFrame:
+        return county_counts(self.area_counts, self._weights, self._names)
 
 
 def cohort_pipeline(
@@ -49,15 +74,4 @@ def cohort_pipeline(
     """
     if tagged is None:
         tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS)
-    outcomes = tagged.drop(*DATE_COLS)
-    indexed = index_outcomes(tagged, None, heavy_rows=heavy_rows)
-    areas = area_counts(outcomes, denom, spine, outcome_list, years)
-    return CohortResults(
-        outcomes=outcomes,
-        indexed=indexed,
-        year_counts=year_counts_wide(outcomes, outcome_list),
-        area_counts=areas,
-        strat_counts=strat_counts(outcomes, denom, spine, outcome_list, years),
-        county_counts=county_counts(areas, weights, list(outcome_list)),
-    )
-
+    return CohortResults(tagged, denom, spine, weights, outcome_list, years, heavy_rows)
