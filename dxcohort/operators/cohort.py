@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 def cohort_subset(admissions: DataFrame, outcomes: DataFrame, outcome: str | None = None) -> DataFrame:
     """Every admission (all columns, any year) of persons with the outcome.
 
-    A left semi join: no distinct step, no fan-out. Adaptive execution
+    A left semi join against the distinct persons: no fan-out. Adaptive execution
     broadcasts the person side when its measured size allows; otherwise a
     sort-merge semi join runs, with skewed person partitions split.
     """
     persons = outcomes if outcome is None else outcomes.where(F.col("outcome") == F.lit(outcome))
-    return admissions.join(persons.select("bene_id"), "bene_id", "left_semi").select(*admissions.columns)
+    # distinct persons: partial aggregation shrinks the build side before
+    # it is shuffled or broadcast, and its hash partitioning is reused
+    people = persons.select("bene_id").distinct()
+    return admissions.join(people, "bene_id", "left_semi").select(*admissions.columns)

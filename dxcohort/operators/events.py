@@ -52,6 +52,8 @@ def index_outcomes(
         "outcome_index",
         heavy_rows=heavy_rows,
         sample_fraction=sample_fraction,
+        # group sizes are those of the tagged rows: sample them, not the join
+        detect_on=outcomes.select("outcome", "bene_id"),
     )
     return numbered.select(
         *base_cols,

@@ -88,15 +88,18 @@ def row_number_skew_safe(
     heavy_rows: int | None = 5_000_000,
     sample_fraction: float = 0.01,
     max_groups: int = 10_000,
+    detect_on: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)``.
 
     ``order_cols`` should end with a unique tie-break so numbers are
     deterministic. ``heavy_rows=None`` disables the heavy-group path.
+    ``detect_on`` is a cheaper frame with the same group sizes to sample
+    (e.g. the input of a 1:1 join rather than its output).
     """
     window = Window.partitionBy(*group_cols).orderBy(*order_cols)
     heavy = (
-        heavy_groups(df, group_cols, heavy_rows, sample_fraction, max_groups)
+        heavy_groups(detect_on if detect_on is not None else df, group_cols, heavy_rows, sample_fraction, max_groups)
         if heavy_rows is not None
         else []
     )

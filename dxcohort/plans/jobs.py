@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dxcohort.operators import (
+    DATE_COLS,
     area_counts,
     audit_duplicates,
     cohort_subset,
@@ -24,6 +25,7 @@ from dxcohort.operators import (
     tag_outcomes,
     year_counts_wide,
 )
+from dxcohort.plans.pipeline import cohort_pipeline
 from dxcohort.schemas import ADMISSIONS, require_columns
 from dxcohort.sources import (
     codes_frame,
@@ -143,3 +145,53 @@ def audit_job(spark: SparkSession, admissions_path: str) -> DataFrame:
 
 def outcome_list_of(code_lists: Mapping | str) -> list[str]:
     return outcome_names(_config(code_lists))
+
+
+def pipeline_job(
+    spark: SparkSession,
+    admissions_path: str,
+    code_lists: Mapping | str,
+    denom_path: str,
+    spine_path: str,
+    weights_path: str,
+    out_root: str,
+    criteria: str = "all",
+    first_n: int | None = None,
+    years: Sequence[int] | None = None,
+) -> None:
+    """The whole workflow with one scan of the admissions.
+
+    The tagged rows (with their admission dates) are written once as a
+    year-partitioned table; every downstream output reads that table, so
+    lineage is cut there and a lost executor never re-runs the tagging.
+    """
+    cfg = _config(code_lists)
+    adm = read_table(spark, admissions_path)
+    require_columns(adm, ADMISSIONS, "admissions")
+    if years is not None:
+        adm = adm.where(F.col("year").isin(list(years)))
+    tagged_path = f"{out_root.rstrip('/')}/tagged"
+    write_by_year(tag_outcomes(adm, codes_frame(spark, cfg), criteria, first_n, carry=DATE_COLS), tagged_path)
+    res = cohort_pipeline(
+        adm,
+        codes_frame(spark, cfg),
+        read_table(spark, denom_path),
+        read_table(spark, spine_path),
+        read_table(spark, weights_path),
+        outcome_names(cfg),
+        criteria,
+        first_n,
+        years,
+        tagged=read_table(spark, tagged_path),
+    )
+    root = out_root.rstrip("/")
+    write_by_year(res.outcomes, f"{root}/outcomes")
+    write_by_year(res.indexed, f"{root}/indexed")
+    area_path = f"{root}/area_counts"
+    write_by_year(res.area_counts, area_path)
+    write_by_year(res.strat_counts, f"{root}/strat_counts")
+    write_by_year(
+        county_counts(read_table(spark, area_path), read_table(spark, weights_path), outcome_names(cfg)),
+        f"{root}/county_counts",
+    )
+    write_csv(res.year_counts, f"{root}/year_counts")

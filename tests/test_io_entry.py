@@ -77,3 +77,25 @@ def test_oracle_agreement_small(spark):
 
 def test_sf_dirs_exist():
     assert os.path.isdir(SF_SMALL)
+
+
+def test_pipeline_job_end_to_end(spark, tmp_path):
+    from dxcohort.plans.jobs import pipeline_job
+    from dxcohort.sources import fixtures as fx
+    from dxcohort.sources import write_parquet
+
+    years = fx.order_years(spark, SF_SMALL)
+    root = tmp_path
+    write_by_year(fx.admissions(spark, SF_SMALL), str(root / "adm"))
+    write_by_year(fx.denom(spark, SF_SMALL, years), str(root / "denom"))
+    write_parquet(fx.unique_zcta(spark, SF_SMALL, years), str(root / "spine"))
+    write_by_year(fx.zcta2county(spark, SF_SMALL, years), str(root / "w"))
+    cfg = {k: v for k, v in fx.FIXTURE_CODE_LISTS.items() if k != "cond"}
+    pipeline_job(spark, str(root / "adm"), cfg, str(root / "denom"), str(root / "spine"),
+                 str(root / "w"), str(root / "out"), "first_n", 2)
+    county = read_table(spark, str(root / "out" / "county_counts"))
+    want = entry.entry(spark).collect()
+    got = county.select("year", "county", "mixed", "single", "econ").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    idx = read_table(spark, str(root / "out" / "indexed"))
+    assert idx.count() == read_table(spark, str(root / "out" / "outcomes")).count()
