@@ -10,11 +10,13 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all).
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
 import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,16 +44,57 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _event_metrics(log_dir: str) -> dict[str, dict[str, int]]:
+    """Input and shuffle-write bytes per job group, from the event log."""
+    stage_group: dict[int, str] = {}
+    per = defaultdict(lambda: {"input_bytes": 0, "shuffle_bytes": 0})
+    files = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
+    for path in sorted(files):
+        with open(path, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if group:
+                        per[group]["input_bytes"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+                        per[group]["shuffle_bytes"] += (m.get("Shuffle Write Metrics") or {}).get(
+                            "Shuffle Bytes Written", 0
+                        )
+    return per
+
+
+def _n_outcome_codes(spark, n: int):
+    """n outcomes, each a family of five codes, for the scan-scaling check."""
+    letters = "ELMPS"
+    cfg = {f"o{k}": {"icd10": [f"{letters[k % 5]}{(k * 5 + j) % 50 + 1:02d}" for j in range(5)]} for k in range(n)}
+    return codes_frame(spark, cfg)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+    work = tempfile.mkdtemp(prefix="dxbench-")
+    log_dir = os.path.join(work, "eventlog")
+    os.makedirs(log_dir)
     spark = build_session(
         "dxcohort-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=max(8, 2 * cpus),
-        extra={"spark.driver.memory": "16g"},
+        extra={
+            "spark.driver.memory": "16g",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
+        },
     )
-    work = tempfile.mkdtemp(prefix="dxbench-")
+    sc = spark.sparkContext
 
     t0 = time.time()
     years = fx.order_years(spark, sf_dir)
@@ -94,10 +137,17 @@ def main() -> None:
     _run(tag_outcomes(adm, codes, "all"))
     timings = {}
     for name, build in jobs.items():
+        sc.setJobGroup(name, name)
         t = time.time()
         _run(build())
         timings[name] = round(time.time() - t, 3)
     total = round(sum(timings.values()), 3)
+    # Scanned bytes of tagging must not grow with the number of outcomes.
+    for n in (1, 4, 16, 27):
+        sc.setJobGroup(f"tag_{n}_outcomes", f"tag_{n}_outcomes")
+        _run(tag_outcomes(adm, _n_outcome_codes(spark, n), "all"))
+    spark.stop()
+    metrics = _event_metrics(log_dir)
     print(
         json.dumps(
             {
@@ -108,10 +158,14 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                 "cpus": cpus,
                 "prep_sec": round(prep, 3),
+                "shuffle_bytes": {k: metrics[k]["shuffle_bytes"] for k in timings},
+                "input_bytes": {k: metrics[k]["input_bytes"] for k in timings},
+                "tag_input_bytes_by_outcomes": {
+                    n: metrics[f"tag_{n}_outcomes"]["input_bytes"] for n in (1, 4, 16, 27)
+                },
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
