@@ -18,6 +18,7 @@ from dxcohort.operators.codebook import (
 from dxcohort.operators.cohort import cohort_subset
 from dxcohort.operators.counts import (
     area_counts,
+    area_drop_report,
     person_year_counts,
     strat_counts,
     strat_observed,
@@ -40,6 +41,7 @@ from dxcohort.operators.tagging import (
 __all__ = [
     "DATE_COLS",
     "area_counts",
+    "area_drop_report",
     "attach_dates",
     "audit_duplicates",
     "code_sizes",

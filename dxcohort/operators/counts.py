@@ -88,6 +88,28 @@ def area_counts(
     )
 
 
+def area_drop_report(outcomes: DataFrame, denom: DataFrame, spine: DataFrame) -> DataFrame:
+    """Tagged rows that area counts cannot place, per year and outcome:
+    no person-year, NULL area, or an area-year off the spine.
+
+    Person-year and spine keys are unique after their distinct steps, so
+    the left joins do not fan out; each join moves the tagged rows once.
+    """
+    people = denom.select("bene_id", "year", "zcta").dropDuplicates(["bene_id", "year"])
+    spine_keys = spine.select("zcta", "year").distinct().withColumn("_on_spine", F.lit(True))
+    placed = (
+        outcomes.select("bene_id", "year", "outcome")
+        .join(people.withColumn("_has_person", F.lit(True)), ["bene_id", "year"], "left")
+        .join(spine_keys, ["zcta", "year"], "left")
+    )
+    return placed.groupBy("year", "outcome").agg(
+        F.count(F.lit(1)).alias("n_tagged"),
+        F.count_if(F.col("_has_person").isNull()).alias("n_no_person"),
+        F.count_if(F.col("_has_person") & F.col("zcta").isNull()).alias("n_null_area"),
+        F.count_if(F.col("zcta").isNotNull() & F.col("_on_spine").isNull()).alias("n_off_spine"),
+    )
+
+
 def stratify(denom: DataFrame) -> DataFrame:
     """Person-years with their stratum; age outside the bands gives NULL."""
     return denom.select("bene_id", "year", "zcta", age_band("age_dob").alias("age_grp"), "sex", "race", "dual")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from dxcohort.functions.arrays import dx_at, dx_slice
 from dxcohort.operators import (
     area_counts,
+    area_drop_report,
     audit_duplicates,
     code_sizes,
     codes_in_ranges,
@@ -49,6 +50,7 @@ from dxcohort.sources import (
     codes_frame,
     outcomes_present,
     read_csv_strings,
+    read_glob,
     read_table,
     read_year,
     write_by_year,
@@ -221,6 +223,10 @@ def q_area_counts_by_year(i: Inputs) -> DataFrame:
     return totals_by_year(_area(i))
 
 
+def q_area_counts_dropped(i: Inputs) -> DataFrame:
+    return area_drop_report(i.tagged("all", None), i.denom(), i.spine())
+
+
 def q_strat_counts(i: Inputs) -> DataFrame:
     return strat_counts(i.tagged("all", None), i.denom(), i.spine(), ANY_OUTCOMES, i.years)
 
@@ -312,7 +318,7 @@ def q_io_cohort_export(i: Inputs) -> DataFrame:
 def q_io_multi_year_glob(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outcomes_all")
     write_by_year(i.tagged("all", None), path)
-    return year_counts_long(read_table(i.spark, path))
+    return year_counts_long(read_glob(i.spark, f"{path}/year=*", base_path=path))
 
 
 def q_io_csv_outcomes(i: Inputs) -> DataFrame:
@@ -342,6 +348,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "area_counts": q_area_counts,
     "area_counts_profile": q_area_counts_profile,
     "area_counts_by_year": q_area_counts_by_year,
+    "area_counts_dropped": q_area_counts_dropped,
     "strat_counts": q_strat_counts,
     "strat_domain_spine": q_strat_domain_spine,
     "age_bands": q_age_bands,
@@ -653,6 +660,15 @@ FROM idx GROUP BY outcome""",
         + f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT zcta) AS n_zcta, {sums} FROM area",
         "area_counts_by_year": oracle_with(*_area_ctes(multi_all))
         + f"SELECT year, {sums} FROM area GROUP BY year ORDER BY year",
+        "area_counts_dropped": oracle_with(multi_all)
+        + """SELECT t.year, t.outcome, COUNT(*) AS n_tagged,
+       COUNT(*) FILTER (WHERE d.bene_id IS NULL) AS n_no_person,
+       COUNT(*) FILTER (WHERE d.bene_id IS NOT NULL AND d.zcta IS NULL) AS n_null_area,
+       COUNT(*) FILTER (WHERE d.zcta IS NOT NULL AND s.zcta IS NULL) AS n_off_spine
+FROM tagged t
+LEFT JOIN denom d ON t.bene_id = d.bene_id AND t.year = d.year
+LEFT JOIN (SELECT DISTINCT zcta, year FROM unique_zcta) s ON d.zcta = s.zcta AND t.year = s.year
+GROUP BY t.year, t.outcome""",
         "strat_counts": _strat_sql(),
         "strat_domain_spine": oracle_with(*_strat_ctes()[1:3])
         + "SELECT DISTINCT zcta, year, age_grp, sex, race, dual FROM all_strata",

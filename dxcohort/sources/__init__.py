@@ -12,6 +12,7 @@ from dxcohort.sources.readers import (
     bounded_values,
     outcomes_present,
     read_csv_strings,
+    read_glob,
     read_table,
     read_year,
     value_columns,
@@ -36,6 +37,7 @@ __all__ = [
     "outcome_names",
     "outcomes_present",
     "read_csv_strings",
+    "read_glob",
     "read_table",
     "read_year",
     "value_columns",

@@ -15,6 +15,13 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
     return reader.parquet(*(path if isinstance(path, list) else [path]))
 
 
+def read_glob(spark: SparkSession, pattern: str, base_path: str | None = None) -> DataFrame:
+    """Files matching a glob (``prefix_*.parquet``, ``root/year=20*``). With
+    ``base_path`` the ``key=value`` folders under it stay columns."""
+    reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
+    return reader.parquet(pattern)
+
+
 def read_year(spark: SparkSession, path: str, year: int, schema: T.StructType | None = None) -> DataFrame:
     """One year of a dataset. On a ``year=``-partitioned root the filter
     prunes partitions; on flat files it is pushed to the Parquet reader."""
