@@ -61,12 +61,14 @@ def zero_pad(x: str | Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int, probe: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned as is and the join falls back to a shuffled join (which
-    adaptive execution may still turn into a broadcast from measured sizes).
+    The proof is a row count of ``probe`` (default ``df``), which must have
+    at least as many rows as ``df`` (e.g. the input of a distinct step). A
+    count is a distributed partial count; on Parquet with no columns needed
+    it reads only file footers. Beyond the bound the frame is returned as is
+    and the join is planned as a shuffled join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (probe if probe is not None else df).count()
     return F.broadcast(df) if n <= max_rows else df
