@@ -70,7 +70,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "so lineage can be cut in a way that survives executor loss"
             )
         configured = tempfile.mkdtemp(prefix="dxcohort-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

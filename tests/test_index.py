@@ -89,3 +89,14 @@ def test_index_profile(spark):
     prof = {r.outcome: r for r in index_profile(idx).collect()}
     assert prof["x"].n_bene == 2 and prof["x"].n_rows == 5
     assert str(prof["y"].min_date) == "1999-01-01"
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from dxcohort.session import ensure_checkpoint_dir, scratch_path
+
+    d = ensure_checkpoint_dir(spark)
+    assert d and spark.sparkContext.getCheckpointDir() == d
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        assert configured.rstrip("/").split("/")[-1] in d or d.startswith("file:" + configured.rstrip("/"))
+    assert scratch_path(spark, "x").startswith(d)
