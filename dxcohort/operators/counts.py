@@ -159,6 +159,10 @@ def strat_counts(
     210-fold spine is generated row-locally and never shuffled.
     """
     names = _outcome_list(outcomes, outcome_list)
+    if years is not None:
+        # prune year partitions of both inputs (nothing to infer from a literal spine)
+        outcomes = outcomes.where(F.col("year").isin(list(years)))
+        denom = denom.where(F.col("year").isin(list(years)))
     yrs = list(years) if years is not None else bounded_values(denom, "year", 1000)
     observed = strat_observed(outcomes, denom, names).where(_in_domain())
     key = _stratum_key(F.col("age_grp"), F.col("sex"), F.col("race"), F.col("dual"))
