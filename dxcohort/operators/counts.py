@@ -23,6 +23,7 @@ from dxcohort.functions.expressions import (
     age_band,
     with_strata,
 )
+from dxcohort.schemas import need
 from dxcohort.sources.readers import bounded_values
 
 STRATA = ["age_grp", "sex", "race", "dual"]
@@ -70,6 +71,9 @@ def area_counts(
     the spine, drop out; spine areas without rows get 0. A spine row listed
     twice counts twice, as a join with the spine would.
     """
+    need(outcomes, ["bene_id", "year", "outcome"], "outcomes")
+    need(denom, ["bene_id", "year", "zcta"], "denom")
+    need(spine, ["zcta", "year"], "spine")
     names = _outcome_list(outcomes, outcome_list)
     per_person = person_year_counts(outcomes, names)
     people = denom.select("bene_id", "year", "zcta")
@@ -158,6 +162,9 @@ def strat_counts(
     grain and expanded by ``explode`` *after* the join, so the full
     210-fold spine is generated row-locally and never shuffled.
     """
+    need(outcomes, ["bene_id", "year", "outcome"], "outcomes")
+    need(denom, ["bene_id", "year", "zcta", "age_dob", "sex", "race", "dual"], "denom")
+    need(spine, ["zcta"], "spine")
     names = _outcome_list(outcomes, outcome_list)
     if years is not None:
         # prune year partitions of both inputs (nothing to infer from a literal spine)

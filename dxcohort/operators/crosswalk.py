@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dxcohort.functions.expressions import int_round_half_even
+from dxcohort.schemas import need
 from dxcohort.sources.readers import value_columns
 
 AREA_KEYS = {"zcta", "year"}
@@ -23,6 +24,8 @@ def county_counts(
     no county drop out. Both inputs are bounded by geography, not by the
     number of admissions, so this join is small at any data size.
     """
+    need(weights, ["year", "zcta", "county", "pop_pct"], "weights")
+    need(area_counts, ["zcta", "year"], "area counts")
     cols = list(value_cols) if value_cols is not None else value_columns(area_counts, AREA_KEYS)
     w = weights.select("year", "zcta", "county", "pop_pct").where(F.col("county").isNotNull())
     joined = w.join(area_counts.select("zcta", "year", *[F.col(f"`{c}`") for c in cols]), ["zcta", "year"], "left")

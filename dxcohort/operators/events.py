@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dxcohort.functions.expressions import bounded_broadcast
 from dxcohort.operators.numbering import row_number_skew_safe
+from dxcohort.schemas import need
 
 DATE_COLS = ["admission_date", "discharge_date"]
 
@@ -47,6 +48,11 @@ def index_outcomes(
     Returns the tagged columns followed by ``discharge_year,
     admission_date, discharge_date, outcome_index``.
     """
+    need(outcomes, ["bene_id", "adm_id", "outcome"], "outcomes")
+    if admissions is None:
+        need(outcomes, DATE_COLS, "outcomes without admissions")
+    else:
+        need(admissions, ["adm_id", *DATE_COLS], "admissions")
     if outcome is not None:
         outcomes = outcomes.where(F.col("outcome") == F.lit(outcome))
     base_cols = [c for c in outcomes.columns if c not in DATE_COLS]

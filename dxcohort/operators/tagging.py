@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from dxcohort.functions.arrays import dx_at, dx_slice
 from dxcohort.functions.expressions import bounded_broadcast
+from dxcohort.schemas import need
 
 # A code list is a config file: tens of thousands of codes at most. Above
 # this bound the codes side is joined with a shuffle instead.
@@ -114,6 +115,8 @@ def tag_outcomes(
     returns ``diagnoses, primary_dx, secondary_dx``. ``year`` is the
     admissions' own year column, so many years run in one job.
     """
+    need(admissions, ["bene_id", "adm_id", "year", "diagnoses", *carry], "admissions")
+    need(codes, ["outcome", "role", "code"], "codes")
     if criteria == "all":
         tagged = tag_any(admissions, codes, None, carry)
     elif criteria == "first_n":

@@ -71,3 +71,10 @@ def require_columns(df: DataFrame, schema: T.StructType, what: str) -> None:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{what} lacks columns {missing}; has {df.columns}")
+
+
+def need(df: DataFrame, cols: list[str] | tuple[str, ...], what: str) -> None:
+    """Fail on the driver, without a job, if ``df`` lacks any of ``cols``."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} lacks columns {missing}; has {df.columns}")

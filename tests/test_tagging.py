@@ -121,3 +121,10 @@ def test_one_scan_and_broadcast_for_many_outcomes(spark, tmp_path):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert out.count() == 1
+
+
+def test_missing_columns_fail_early(spark, adm):
+    with pytest.raises(ValueError, match="admissions lacks"):
+        tag_outcomes(adm.drop("diagnoses"), codes_frame(spark, CFG), "all")
+    with pytest.raises(ValueError, match="codes lacks"):
+        tag_outcomes(adm, codes_frame(spark, CFG).drop("role"), "all")
