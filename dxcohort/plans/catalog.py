@@ -1,12 +1,10 @@
-"""Registered queries over the driver's tables, and their SQL oracles.
+"""Registered queries over the driver's tables (their SQL oracles are in
+``plans/oracle.py``).
 
 Every query derives the workflow's inputs from the given tables (see
-``sources/fixtures.py``) and runs one operator over all of them. The oracle
-of each query is the studied workflow's SQL shape (OR chains, per-outcome
-CTEs, full outer joins, CASE pivots) on the same derivations in DuckDB.
-
-Query outputs are presented for comparison: dates become ISO strings and
-arrays become comma-joined strings, in both engines.
+``sources/fixtures.py``) and runs one operator over all of them. Outputs are
+presented for comparison: dates become ISO strings and arrays become
+comma-joined strings, in both engines.
 """
 
 from __future__ import annotations
@@ -42,7 +40,6 @@ from dxcohort.operators import (
     year_counts_long,
     year_counts_wide,
 )
-from dxcohort.operators.events import DATE_COLS
 from dxcohort.plans.pipeline import cohort_pipeline
 from dxcohort.session import scratch_path
 from dxcohort.sources import (
@@ -60,7 +57,6 @@ from dxcohort.sources import (
     years_present,
 )
 from dxcohort.sources import fixtures as fx
-from dxcohort.sources.fixtures import oracle_with
 
 # ---------------------------------------------------------------------------
 # Fixed values of the registered queries.
@@ -381,342 +377,3 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: spark_query(name) for name in SPARK_QUERIES}
-
-
-# ---------------------------------------------------------------------------
-# Oracle side (DuckDB SQL in the studied workflow's shape)
-
-
-def _in_list(codes: list[str]) -> str:
-    return ",".join(f"'{c}'" for c in codes)
-
-
-def _any_codes(outcome: str) -> list[str]:
-    spec = fx.FIXTURE_CODE_LISTS[outcome]
-    return list(spec.get("icd9", [])) + list(spec.get("icd10", []))
-
-
-def _tag_sql(outcome: str, criteria: str, first_n: int | None = None) -> str:
-    codes = _in_list(_any_codes(outcome))
-    if criteria == "all":
-        return f"""SELECT bene_id, adm_id, '{outcome}' AS outcome, 'all' AS outcome_criteria, year
-  FROM (SELECT bene_id, adm_id, year, UNNEST(diagnoses) AS diag FROM admissions)
-  WHERE diag IN ({codes})
-  GROUP BY bene_id, adm_id, year"""
-    ors = " OR ".join(f"diagnoses[{k}] IN ({codes})" for k in range(1, first_n + 1))
-    return f"""SELECT bene_id, adm_id, '{outcome}' AS outcome, 'first_{first_n}' AS outcome_criteria, year
-  FROM admissions WHERE {ors}
-  GROUP BY bene_id, adm_id, year"""
-
-
-def _tagged_cte(criteria: str = "all", first_n: int | None = None, outcomes=None) -> str:
-    outs = outcomes or ANY_OUTCOMES
-    body = "\n  UNION ALL\n  ".join(_tag_sql(o, criteria, first_n) for o in outs)
-    return f"tagged AS (\n  {body})"
-
-
-def _conditional_sql(with_label: bool) -> str:
-    spec = fx.FIXTURE_CODE_LISTS["cond"]
-    prim = _in_list(spec["primary_icd10"])
-    sec = _in_list(spec["secondary_icd10"])
-    ors = " OR ".join(f"diagnoses[{k}] IN ({sec})" for k in range(2, 26))
-    tail = ", 'conditional' AS outcome_criteria, year" if with_label else ""
-    return f"""SELECT bene_id, adm_id, array_to_string(diagnoses, ',') AS diagnoses,
-       diagnoses[1] AS primary_dx,
-       array_to_string(LIST_SLICE(diagnoses, 2, 25), ',') AS secondary_dx,
-       'cond' AS outcome{tail}
-FROM admissions
-WHERE diagnoses[1] IN ({prim}) AND ({ors})
-GROUP BY bene_id, adm_id, diagnoses, year"""
-
-
-def _prefix_rows_sql() -> str:
-    rows = []
-    for outcome, spec in PREFIX_LISTS.items():
-        for system in ("icd9", "icd10"):
-            for p in spec.get(system, []):
-                rows.append(f"('{outcome}', '{system}', '{p}')")
-    return ", ".join(rows)
-
-
-def _prefix_expand_sql() -> str:
-    return f"""SELECT DISTINCT p.outcome, v.system, v.code
-FROM valid_codes v
-JOIN (VALUES {_prefix_rows_sql()}) p(outcome, system, prefix)
-  ON v.system = p.system AND v.code LIKE (p.prefix || '%')"""
-
-
-def _regex_expand_sql() -> str:
-    parts = []
-    for outcome, spec in PREFIX_LISTS.items():
-        for system in ("icd9", "icd10"):
-            codes = spec.get(system, [])
-            if codes:
-                pattern = "^(?:" + "|".join(codes) + ")"
-                parts.append(
-                    f"SELECT DISTINCT '{outcome}' AS outcome, system, code FROM valid_codes "
-                    f"WHERE system = '{system}' AND regexp_matches(code, '{pattern}')"
-                )
-    return "\nUNION ALL\n".join(parts)
-
-
-def _area_ctes(tag_cte: str) -> list[str]:
-    ctes = [tag_cte]
-    for o in ANY_OUTCOMES:
-        ctes.append(
-            f"""oc_{o} AS (
-  SELECT o.bene_id, o.year, d.zcta, '{o}' AS outcome
-  FROM tagged o JOIN denom d ON o.bene_id = d.bene_id AND o.year = d.year
-  WHERE o.outcome = '{o}')"""
-        )
-        ctes.append(
-            f"""st_{o} AS (
-  SELECT zcta, year, outcome, COUNT(*) AS n_outcomes FROM oc_{o} GROUP BY zcta, year, outcome)"""
-        )
-        ctes.append(
-            f"""zc_{o} AS (
-  SELECT z.zcta, z.year, s.outcome, COALESCE(s.n_outcomes, 0) AS n_outcomes
-  FROM unique_zcta z FULL OUTER JOIN st_{o} s ON z.zcta = s.zcta AND z.year = s.year
-  WHERE z.year IN (SELECT year FROM yrs))"""
-        )
-    union = " UNION ALL ".join(
-        f"SELECT zcta, year, '{o}' AS outcome, n_outcomes FROM zc_{o}" for o in ANY_OUTCOMES
-    )
-    pivots = ", ".join(
-        f"CAST(SUM(CASE WHEN outcome = '{o}' THEN n_outcomes ELSE 0 END) AS BIGINT) AS {o}"
-        for o in ANY_OUTCOMES
-    )
-    ctes.append(f"area AS (\n  SELECT zcta, year, {pivots}\n  FROM ({union}) s GROUP BY zcta, year)")
-    return ctes
-
-
-def _strat_ctes() -> list[str]:
-    ctes = [
-        _tagged_cte("all"),
-        """sden AS (
-  SELECT bene_id, year, zcta,
-    CASE WHEN age_dob BETWEEN 65 AND 75 THEN '[65,75]'
-         WHEN age_dob BETWEEN 76 AND 85 THEN '[76,85]'
-         WHEN age_dob BETWEEN 86 AND 95 THEN '[86,95]'
-         WHEN age_dob BETWEEN 96 AND 100 THEN '[96,100]'
-         WHEN age_dob BETWEEN 101 AND 115 THEN '[101,115]' END AS age_grp,
-    sex, race, dual
-  FROM denom)""",
-        """all_strata AS (
-  SELECT u.zcta, y.year, g.age_grp, s.sex, r.race, du.dual
-  FROM unique_zcta u
-  CROSS JOIN (SELECT DISTINCT year FROM sden) y
-  CROSS JOIN (VALUES ('[65,75]'), ('[76,85]'), ('[86,95]'), ('[96,100]'), ('[101,115]')) g(age_grp)
-  CROSS JOIN (VALUES (0), (1), (2)) s(sex)
-  CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6)) r(race)
-  CROSS JOIN (VALUES (0), (1)) du(dual))""",
-    ]
-    for o in ANY_OUTCOMES:
-        ctes.append(
-            f"""soc_{o} AS (
-  SELECT d.year, d.zcta, d.age_grp, d.sex, d.race, d.dual, '{o}' AS outcome, COUNT(*) AS n_outcomes
-  FROM sden d JOIN (SELECT bene_id, year FROM tagged WHERE outcome = '{o}') t
-    ON d.bene_id = t.bene_id AND d.year = t.year
-  GROUP BY d.year, d.zcta, d.age_grp, d.sex, d.race, d.dual)"""
-        )
-        ctes.append(
-            f"""scz_{o} AS (
-  SELECT zcta, year, age_grp, sex, race, dual, outcome, n_outcomes FROM (
-    SELECT a.zcta, a.year, a.age_grp, a.sex, a.race, a.dual, '{o}' AS outcome,
-           COALESCE(oc.n_outcomes, 0) AS n_outcomes
-    FROM all_strata a LEFT JOIN soc_{o} oc
-      ON a.zcta = oc.zcta AND a.year = oc.year AND a.age_grp = oc.age_grp
-     AND a.sex = oc.sex AND a.race = oc.race AND a.dual = oc.dual) c
-  GROUP BY zcta, year, age_grp, sex, race, dual, outcome, n_outcomes)"""
-        )
-    return ctes
-
-
-def _strat_sql() -> str:
-    union = " UNION ALL ".join(f"SELECT * FROM scz_{o}" for o in ANY_OUTCOMES)
-    pivots = ", ".join(
-        f"CAST(SUM(CASE WHEN outcome = '{o}' THEN n_outcomes ELSE 0 END) AS BIGINT) AS {o}"
-        for o in ANY_OUTCOMES
-    )
-    return oracle_with(*_strat_ctes()) + (
-        f"SELECT zcta, year, age_grp, sex, race, dual, {pivots}\n"
-        f"FROM ({union}) u GROUP BY zcta, year, age_grp, sex, race, dual"
-    )
-
-
-def _county_sql(tag_cte: str) -> str:
-    sums = ", ".join(f"SUM(z.{o} * (zc.pop_pct / 100)) AS {o}" for o in ANY_OUTCOMES)
-    casts = ", ".join(f"CAST(COALESCE(c.{o}, 0) AS INTEGER) AS {o}" for o in ANY_OUTCOMES)
-    ctes = _area_ctes(tag_cte) + [
-        f"""cty AS (
-  SELECT zc.year, zc.county, {sums}
-  FROM area z FULL OUTER JOIN zcta2county zc ON z.zcta = zc.zcta AND z.year = zc.year
-  GROUP BY zc.year, zc.county)"""
-    ]
-    return oracle_with(*ctes) + f"SELECT c.year, c.county, {casts}\nFROM cty c WHERE county IS NOT NULL"
-
-
-def _index_ctes(tag_cte: str) -> list[str]:
-    return [
-        tag_cte,
-        """oa AS (
-  SELECT o.bene_id, o.adm_id, o.outcome, a.admission_date
-  FROM admissions a INNER JOIN tagged o ON a.adm_id = o.adm_id)""",
-        """oi AS (
-  SELECT bene_id, adm_id, outcome, admission_date,
-         ROW_NUMBER() OVER (PARTITION BY outcome, bene_id ORDER BY admission_date, adm_id) AS outcome_index
-  FROM oa)""",
-        """oi2 AS (
-  SELECT o.*, a.discharge_date, EXTRACT(YEAR FROM a.discharge_date) AS discharge_year
-  FROM oi o INNER JOIN admissions a ON o.adm_id = a.adm_id)""",
-        """idx AS (
-  SELECT o.*, oi.discharge_year, oi.admission_date, oi.discharge_date, oi.outcome_index
-  FROM tagged o INNER JOIN oi2 oi
-    ON o.bene_id = oi.bene_id AND o.adm_id = oi.adm_id AND o.outcome = oi.outcome)""",
-    ]
-
-
-_INDEX_SELECT = """SELECT bene_id, adm_id, outcome, outcome_criteria, year,
-       CAST(discharge_year AS INTEGER) AS discharge_year,
-       CAST(admission_date AS VARCHAR) AS admission_date,
-       CAST(discharge_date AS VARCHAR) AS discharge_date,
-       CAST(outcome_index AS INTEGER) AS outcome_index
-FROM idx"""
-
-_ADM_SELECT = """CAST(a.bene_id AS BIGINT) AS bene_id, a.adm_id,
-       CAST(a.admission_date AS VARCHAR) AS admission_date,
-       CAST(a.discharge_date AS VARCHAR) AS discharge_date,
-       a.year, a.adm_source, array_to_string(a.diagnoses, ',') AS diagnoses"""
-
-
-def _audit_sql(source: str) -> str:
-    return oracle_with(f"adm_data AS ({source})") + """, dups AS (
-  SELECT year, COUNT(*) AS duplicate_count FROM (
-    SELECT adm_id, bene_id, admission_date, diagnoses, discharge_date, year, adm_source, COUNT(*) AS cnt
-    FROM adm_data GROUP BY ALL HAVING COUNT(*) > 1) d
-  GROUP BY year)
-SELECT y.year, CAST(COALESCE(d.duplicate_count, 0) AS BIGINT) AS duplicate_count
-FROM (SELECT DISTINCT year FROM adm_data) y LEFT JOIN dups d ON y.year = d.year"""
-
-
-def _families_sql() -> str:
-    parts = []
-    for outcome, system, letter, start, stop, width in FAMILIES:
-        num = f"lpad(CAST(i AS VARCHAR), {width}, '0')" if width > 0 else "CAST(i AS VARCHAR)"
-        parts.append(
-            f"SELECT '{outcome}' AS outcome, '{system}' AS system, '{letter}' || {num} AS prefix "
-            f"FROM range({start}, {stop}) t(i)"
-        )
-    fam = " UNION ALL ".join(parts)
-    return oracle_with(f"fam AS ({fam})") + """SELECT DISTINCT f.outcome, v.system, v.code
-FROM valid_codes v JOIN fam f ON v.system = f.system AND starts_with(v.code, f.prefix)"""
-
-
-def oracle_queries() -> dict[str, str]:
-    mixed_all = _tagged_cte("all", None, ["mixed"])
-    mixed_f2 = _tagged_cte("first_n", FIRST_N, ["mixed"])
-    multi_all = _tagged_cte("all")
-    multi_f2 = _tagged_cte("first_n", FIRST_N)
-    ranges = " OR ".join(
-        f"SUBSTRING(code, 1, {n}) BETWEEN '{lo}' AND '{hi}'" for n, lo, hi in CODE_RANGES
-    )
-    area_sel = "SELECT zcta, year, " + ", ".join(ANY_OUTCOMES) + " FROM area"
-    sums = ", ".join(f"CAST(SUM({o}) AS BIGINT) AS {o}" for o in ANY_OUTCOMES)
-    return {
-        "tag_all": oracle_with(mixed_all) + "SELECT * FROM tagged",
-        "tag_first_n": oracle_with(mixed_f2) + "SELECT * FROM tagged",
-        "tag_conditional": oracle_with() + _conditional_sql(True),
-        "tag_conditional_only": oracle_with() + _conditional_sql(False),
-        "tag_multi_outcome": oracle_with(multi_all) + "SELECT * FROM tagged",
-        "codes_prefix_expand": oracle_with() + _prefix_expand_sql(),
-        "codes_regex_expand": oracle_with() + _regex_expand_sql(),
-        "codes_range": oracle_with() + f"SELECT code, system FROM valid_codes WHERE {ranges}",
-        "codes_observed": oracle_with()
-        + f"""SELECT DISTINCT diag AS code
-FROM (SELECT UNNEST(diagnoses) AS diag FROM admissions) WHERE diag LIKE '{OBSERVED_PATTERN}'""",
-        "codes_generate": _families_sql(),
-        "codes_sizes": oracle_with(f"ex AS ({_prefix_expand_sql()})")
-        + "SELECT outcome, system, COUNT(DISTINCT code) AS n_codes FROM ex GROUP BY outcome, system",
-        "outcome_index": oracle_with(*_index_ctes(mixed_f2)) + _INDEX_SELECT,
-        "outcome_index_profile": oracle_with(*_index_ctes(mixed_f2))
-        + """SELECT outcome, COUNT(DISTINCT bene_id) AS n_bene,
-       CAST(MIN(admission_date) AS VARCHAR) AS min_date,
-       CAST(MAX(admission_date) AS VARCHAR) AS max_date,
-       COUNT(*) AS n_rows
-FROM idx GROUP BY outcome""",
-        "outcomes_present": oracle_with(multi_all)
-        + f"SELECT DISTINCT outcome FROM tagged WHERE year = {PROFILE_YEAR}",
-        "years_present": oracle_with(multi_all) + "SELECT DISTINCT year FROM tagged ORDER BY year",
-        "year_counts_long": oracle_with(multi_all)
-        + "SELECT year, outcome, COUNT(adm_id) AS n FROM tagged GROUP BY year, outcome",
-        "year_counts_wide": oracle_with(
-            multi_all, "yl AS (SELECT year, outcome, COUNT(adm_id) AS n FROM tagged GROUP BY year, outcome)"
-        )
-        + "SELECT year, "
-        + ", ".join(f"MAX(CASE WHEN outcome = '{o}' THEN n END) AS {o}" for o in ANY_OUTCOMES)
-        + " FROM yl GROUP BY year",
-        "area_counts": oracle_with(*_area_ctes(multi_all)) + area_sel,
-        "area_counts_profile": oracle_with(*_area_ctes(multi_all))
-        + f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT zcta) AS n_zcta, {sums} FROM area",
-        "area_counts_by_year": oracle_with(*_area_ctes(multi_all))
-        + f"SELECT year, {sums} FROM area GROUP BY year ORDER BY year",
-        "area_counts_dropped": oracle_with(multi_all)
-        + """SELECT t.year, t.outcome, COUNT(*) AS n_tagged,
-       COUNT(*) FILTER (WHERE d.bene_id IS NULL) AS n_no_person,
-       COUNT(*) FILTER (WHERE d.bene_id IS NOT NULL AND d.zcta IS NULL) AS n_null_area,
-       COUNT(*) FILTER (WHERE d.zcta IS NOT NULL AND s.zcta IS NULL) AS n_off_spine
-FROM tagged t
-LEFT JOIN denom d ON t.bene_id = d.bene_id AND t.year = d.year
-LEFT JOIN (SELECT DISTINCT zcta, year FROM unique_zcta) s ON d.zcta = s.zcta AND t.year = s.year
-GROUP BY t.year, t.outcome""",
-        "strat_counts": _strat_sql(),
-        "strat_domain_spine": oracle_with(*_strat_ctes()[1:3])
-        + "SELECT DISTINCT zcta, year, age_grp, sex, race, dual FROM all_strata",
-        "age_bands": oracle_with(*_strat_ctes()[1:2]) + "SELECT * FROM sden",
-        "county_counts": _county_sql(multi_all),
-        "cohort_subset": oracle_with(mixed_f2)
-        + f"""SELECT {_ADM_SELECT}
-FROM admissions a INNER JOIN (SELECT DISTINCT bene_id FROM tagged) o ON a.bene_id = o.bene_id""",
-        "duplicate_audit": _audit_sql("SELECT * FROM admissions"),
-        "duplicate_audit_reload": _audit_sql(
-            f"SELECT * FROM admissions UNION ALL SELECT * FROM admissions WHERE adm_source = '{RELOADED_SOURCE}'"
-        ),
-        "outcome_denominator_join": oracle_with(mixed_f2)
-        + """SELECT o.bene_id, o.adm_id, o.year, d.zcta, o.outcome
-FROM tagged o INNER JOIN denom d ON o.bene_id = d.bene_id AND o.year = d.year""",
-        "secondary_slice": oracle_with()
-        + """SELECT adm_id, diagnoses[1] AS primary_dx, diagnoses[2] AS second_dx, diagnoses[26] AS dx26,
-       array_to_string(LIST_SLICE(diagnoses, 2, 25), ',') AS secondary_dx,
-       CAST(len(diagnoses) AS INTEGER) AS n_dx
-FROM admissions""",
-        "pipeline_tag_to_county": _county_sql(multi_f2),
-        "pipeline_index": oracle_with(*_index_ctes(multi_f2)) + _INDEX_SELECT,
-        "io_parquet_by_year": oracle_with(mixed_all) + f"SELECT * FROM tagged WHERE year = {PROFILE_YEAR}",
-        "io_csv_strings": oracle_with() + "SELECT code AS column0, system AS column1 FROM valid_codes",
-        "io_code_list": oracle_with(f"ex AS ({_prefix_expand_sql()})")
-        + """SELECT outcome,
-       COALESCE(array_to_string(list(code ORDER BY code) FILTER (WHERE system = 'icd9'), ','), '') AS icd9,
-       COALESCE(array_to_string(list(code ORDER BY code) FILTER (WHERE system = 'icd10'), ','), '') AS icd10
-FROM ex GROUP BY outcome""",
-        "io_cohort_export": oracle_with(mixed_f2)
-        + f"""SELECT {_ADM_SELECT}
-FROM admissions a INNER JOIN (SELECT DISTINCT bene_id FROM tagged) o ON a.bene_id = o.bene_id""",
-        "io_multi_year_glob": oracle_with(multi_all)
-        + "SELECT year, outcome, COUNT(adm_id) AS n FROM tagged GROUP BY year, outcome",
-        "io_csv_outcomes": oracle_with()
-        + """SELECT CAST(bene_id AS VARCHAR) AS bene_id, CAST(adm_id AS VARCHAR) AS adm_id,
-       to_json(diagnoses)::VARCHAR AS diagnoses, primary_dx, to_json(secondary_dx)::VARCHAR AS secondary_dx,
-       outcome, outcome_criteria, CAST(year AS VARCHAR) AS year
-FROM (SELECT bene_id, adm_id, diagnoses, diagnoses[1] AS primary_dx, LIST_SLICE(diagnoses, 2, 25) AS secondary_dx,
-             'cond' AS outcome, 'conditional' AS outcome_criteria, year
-      FROM admissions
-      WHERE diagnoses[1] IN ("""
-        + _in_list(fx.FIXTURE_CODE_LISTS["cond"]["primary_icd10"])
-        + ") AND ("
-        + " OR ".join(
-            f"diagnoses[{k}] IN ({_in_list(fx.FIXTURE_CODE_LISTS['cond']['secondary_icd10'])})"
-            for k in range(2, 26)
-        )
-        + """)
-      GROUP BY bene_id, adm_id, diagnoses, year) c""",
-    }

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from conftest import adm_rows, collect_set
-from pyspark.sql import functions as F
 
 from dxcohort.operators import conditional_outcomes, has_code, tag_outcomes
 from dxcohort.sources import code_rows, codes_frame, dirty_codes
