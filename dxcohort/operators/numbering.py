@@ -11,6 +11,7 @@ sample only decides which path a group takes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 
 from dxcohort.session import ensure_checkpoint_dir
 
+# Target rows per task when numbering heavy groups (narrow rows: ~0.5 GB).
+ROWS_PER_TASK = 5_000_000
+
 
 def heavy_groups(
     df: DataFrame,
@@ -26,8 +30,9 @@ def heavy_groups(
     sample_fraction: float = 0.01,
     max_groups: int = 10_000,
     seed: int = 17,
-) -> list[tuple]:
-    """Groups estimated (from a sample) to hold at least ``heavy_rows`` rows.
+) -> list[tuple[tuple, int]]:
+    """Groups estimated (from a sample) to hold at least ``heavy_rows`` rows,
+    with their estimated row counts.
 
     At most ``max_groups`` (the heaviest) are returned; every other group is
     still numbered exactly by the window path.
@@ -43,15 +48,21 @@ def heavy_groups(
         .orderBy(F.desc("count"))
         .limit(max_groups)
     )
-    return [tuple(r[c] for c in group_cols) for r in counts.collect()]
+    scale = 1.0 / sample_fraction if sample_fraction < 1.0 else 1.0
+    return [(tuple(r[c] for c in group_cols), int(r["count"] * scale)) for r in counts.collect()]
 
 
 def _number_heavy(
-    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], out_col: str
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_cols: Sequence[Column],
+    out_col: str,
+    est_rows: int,
 ) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # enough range slices that each task numbers about ROWS_PER_TASK rows
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(est_rows / ROWS_PER_TASK))
     sort_cols = [F.col(c).asc() for c in group_cols] + list(order_cols)
     ranged = (
         df.repartitionByRange(n_parts, *sort_cols)
@@ -106,9 +117,13 @@ def row_number_skew_safe(
     if not heavy:
         return df.withColumn(out_col, F.row_number().over(window))
     schema = df.select(*group_cols).schema
-    heavy_df = F.broadcast(df.sparkSession.createDataFrame(heavy, schema))
+    # bounded by max_groups keys: a small broadcast
+    heavy_df = F.broadcast(df.sparkSession.createDataFrame([k for k, _ in heavy], schema))
     light = df.join(heavy_df, list(group_cols), "left_anti").withColumn(
         out_col, F.row_number().over(window)
     )
-    hot = _number_heavy(df.join(heavy_df, list(group_cols), "left_semi"), group_cols, order_cols, out_col)
+    est_rows = sum(n for _, n in heavy)
+    hot = _number_heavy(
+        df.join(heavy_df, list(group_cols), "left_semi"), group_cols, order_cols, out_col, est_rows
+    )
     return light.unionByName(hot.select(*light.columns))
