@@ -285,6 +285,13 @@ def q_pipeline_index(i: Inputs) -> DataFrame:
     return res.indexed
 
 
+def q_pipeline_conditional_counts(i: Inputs) -> DataFrame:
+    res = cohort_pipeline(
+        i.admissions(), i.codes("cond"), i.denom(), i.spine(), i.weights(), ["cond"], "conditional", None, i.years
+    )
+    return res.area_counts
+
+
 def q_io_parquet_by_year(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outcomes")
     write_by_year(i.tagged("all", None, "mixed"), path)
@@ -356,6 +363,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "secondary_slice": q_secondary_slice,
     "pipeline_tag_to_county": q_pipeline_tag_to_county,
     "pipeline_index": q_pipeline_index,
+    "pipeline_conditional_counts": q_pipeline_conditional_counts,
     "io_parquet_by_year": q_io_parquet_by_year,
     "io_csv_strings": q_io_csv_strings,
     "io_code_list": q_io_code_list,

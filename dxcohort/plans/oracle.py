@@ -100,17 +100,20 @@ def _families_sql() -> str:
     return oracle_with("pre AS (" + " UNION ALL ".join(parts) + ")") + _PREFIX_MATCH
 
 
-def _filter_counts(alias: str = "t") -> str:
-    return ", ".join(f"COUNT(*) FILTER (WHERE {alias}.outcome = '{o}') AS {o}" for o in ANY_OUTCOMES)
+def _filter_counts(alias: str = "t", names: list[str] | None = None) -> str:
+    return ", ".join(
+        f"COUNT(*) FILTER (WHERE {alias}.outcome = '{o}') AS {o}" for o in (names or ANY_OUTCOMES)
+    )
 
 
-def area_ctes(tag: str) -> list[str]:
+def area_ctes(tag: str, names: list[str] | None = None) -> list[str]:
     """``area``: spine area-years x outcome counts (spine multiplicity kept)."""
-    zero = ", ".join(f"SUM(COALESCE(p.{o}, 0))::BIGINT AS {o}" for o in ANY_OUTCOMES)
+    names = names or ANY_OUTCOMES
+    zero = ", ".join(f"SUM(COALESCE(p.{o}, 0))::BIGINT AS {o}" for o in names)
     return [
         tag,
         f"""per_area AS (
-  SELECT d.zcta, t.year, {_filter_counts()}
+  SELECT d.zcta, t.year, {_filter_counts("t", names)}
   FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year
   GROUP BY d.zcta, t.year)""",
         f"""area AS (
@@ -293,6 +296,10 @@ FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
 FROM admissions""",
         "pipeline_tag_to_county": _county_sql(multi_f2),
         "pipeline_index": oracle_with(*index_ctes(multi_f2)) + _INDEX_SELECT,
+        "pipeline_conditional_counts": oracle_with(
+            *area_ctes(f"tagged AS (\n  {_conditional_rows()})", ["cond"])
+        )
+        + "SELECT * FROM area",
         "io_parquet_by_year": oracle_with(mixed_all) + f"SELECT * FROM tagged WHERE year = {PROFILE_YEAR}",
         "io_csv_strings": oracle_with() + "SELECT code AS column0, system AS column1 FROM valid_codes",
         "io_code_list": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
