@@ -24,6 +24,11 @@ from dxcohort.schemas import need
 # this bound the codes side is joined with a shuffle instead.
 MAX_BROADCAST_CODES = 2_000_000
 
+# Up to this many distinct codes, admissions are first filtered row-locally
+# (``exists(diagnoses, d -> d IN codes)``, a hash set built once per task),
+# so admissions that match nothing are never exploded.
+MAX_PREFILTER_CODES = 50_000
+
 # Fixed value: the last diagnosis position read for secondary codes.
 MAX_SECONDARY_POS = 25
 
@@ -35,6 +40,16 @@ def _codes(codes: DataFrame, role: str, alias: str) -> DataFrame:
     return bounded_broadcast(sel, MAX_BROADCAST_CODES)
 
 
+def _prefilter_codes(codes: DataFrame, role: str) -> list[str] | None:
+    """Distinct codes of ``role`` when provably few, else None (no job
+    beyond a count and a bounded collect of a config-sized table)."""
+    sel = codes.where(F.col("role") == role).select("code").distinct()
+    rows = sel.limit(MAX_PREFILTER_CODES + 1).collect()
+    if len(rows) > MAX_PREFILTER_CODES:
+        return None
+    return [r.code for r in rows]
+
+
 def _criteria_label(criteria: str, first_n: int | None) -> str:
     if criteria == "first_n":
         return f"first_{first_n}"
@@ -49,10 +64,14 @@ def tag_any(
 ) -> DataFrame:
     """Admissions with a listed code at any position (or in the first n).
 
-    Returns ``bene_id, adm_id, outcome, year`` (+ ``carry`` columns, which
+    A short code list first filters the admissions row-locally, so only
+    admissions with a match are exploded and joined. Returns ``bene_id, adm_id, outcome, year`` (+ ``carry`` columns, which
     must be functionally dependent on the admission, e.g. its dates).
     """
     arr = F.col("diagnoses") if first_n is None else dx_slice("diagnoses", 1, first_n)
+    listed = _prefilter_codes(codes, "any")
+    if listed is not None:
+        admissions = admissions.where(F.exists(arr, lambda d: d.isin(listed)))
     exploded = admissions.select(*KEYS, "year", *carry, F.explode(arr).alias("_code"))
     matched = exploded.join(_codes(codes, "any", "_code"), "_code")
     return matched.select(*KEYS, "outcome", "year", *carry).dropDuplicates(
