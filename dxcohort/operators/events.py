@@ -5,30 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.functions.expressions import bounded_broadcast
 from dxcohort.operators.numbering import row_number_skew_safe
 from dxcohort.schemas import need
 
 DATE_COLS = ["admission_date", "discharge_date"]
 
-# Tagged rows are a handful of narrow columns; up to this many are
-# broadcast so the admissions are not shuffled for the date lookup.
-MAX_BROADCAST_TAGGED = 5_000_000
+# Admission ids are 8 bytes: up to this many tagged ids are broadcast to
+# filter the admissions row-locally before the date lookup.
+MAX_BROADCAST_IDS = 20_000_000
 
 
-def attach_dates(
-    outcomes: DataFrame, admissions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_TAGGED
-) -> DataFrame:
+def attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
     """Admission and discharge dates of each tagged row, in one join on
     ``adm_id`` (admission ids must be unique; ``audit_duplicates`` checks).
 
-    Only three narrow columns of the admissions are read. A tagged side of
-    provably at most ``max_broadcast_rows`` rows is broadcast (no shuffle of
-    the admissions); a larger one joins by sort-merge.
+    Only three narrow columns of the admissions are read. When a row count
+    proves at most ``max_broadcast_ids`` tagged ids, the distinct ids are
+    broadcast and semi-join the admissions row-locally, so only the matching
+    admissions reach the join (no shuffle of the admissions); otherwise a
+    sort-merge join runs.
     """
     dates = admissions.select("adm_id", *DATE_COLS)
-    tagged = bounded_broadcast(outcomes, max_broadcast_rows)
-    return dates.join(tagged, "adm_id").select(*outcomes.columns, *DATE_COLS)
+    ids = outcomes.select("adm_id")
+    if ids.count() <= max_broadcast_ids:
+        dates = dates.join(F.broadcast(ids.distinct()), "adm_id", "left_semi")
+    return outcomes.join(dates, "adm_id").select(*outcomes.columns, *DATE_COLS)
 
 
 def index_outcomes(
