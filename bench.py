@@ -22,7 +22,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from dxcohort import build_session  # noqa: E402
 from dxcohort.operators import (  # noqa: E402
-    DATE_COLS,
     area_counts,
     audit_duplicates,
     cohort_subset,
@@ -129,8 +128,7 @@ def main() -> None:
         "observed_codes": lambda: observed_codes(adm, "E%"),
         "duplicate_audit": lambda: audit_duplicates(adm),
         "pipeline": lambda: cohort_pipeline(
-            adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years,
-            tagged=tag_outcomes(adm, codes, "first_n", 2, carry=DATE_COLS),
+            adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years
         ).county_counts,
     }
     # One untimed warm-up so JIT and class loading do not land on the first job.

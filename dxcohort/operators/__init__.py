@@ -19,6 +19,7 @@ from dxcohort.operators.cohort import cohort_subset
 from dxcohort.operators.counts import (
     area_counts,
     area_drop_report,
+    people_of,
     person_year_counts,
     strat_counts,
     strat_observed,
@@ -59,6 +60,7 @@ __all__ = [
     "index_outcomes",
     "index_profile",
     "observed_codes",
+    "people_of",
     "person_year_counts",
     "prefixes_frame",
     "row_number_skew_safe",

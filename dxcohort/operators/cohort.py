@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.functions.expressions import bounded_broadcast
-
 # Person ids are 8 bytes: 20M of them make a hash relation of a few hundred
 # MB, far cheaper to broadcast than shuffling every admission column.
 MAX_BROADCAST_PERSONS = 20_000_000
@@ -20,16 +18,17 @@ def cohort_subset(
 ) -> DataFrame:
     """Every admission (all columns, any year) of persons with the outcome.
 
-    A left semi join against the distinct persons: no fan-out. When the
-    person set provably holds at most ``max_broadcast_persons`` ids it is
-    broadcast, so the (wide, huge) admissions are never shuffled; beyond
-    that a sort-merge semi join runs, with skewed partitions split by AQE.
+    A left semi join against the persons: no fan-out. When a row count
+    proves at most ``max_broadcast_persons`` ids they are broadcast, so the
+    (wide, huge) admissions are never shuffled; beyond that a sort-merge
+    semi join runs, with skewed partitions split by AQE.
     """
     persons = outcomes if outcome is None else outcomes.where(F.col("outcome") == F.lit(outcome))
-    # distinct persons: partial aggregation shrinks the build side before
-    # it is shuffled or broadcast, and its hash partitioning is reused
-    # the count of tagged rows bounds the number of distinct persons
-    people = bounded_broadcast(
-        persons.select("bene_id").distinct(), max_broadcast_persons, probe=persons.select("bene_id")
-    )
+    ids = persons.select("bene_id")
+    if ids.count() <= max_broadcast_persons:
+        # no distinct step: a semi-join's broadcast relation skips repeated keys
+        people = F.broadcast(ids)
+    else:
+        # distinct persons: partial aggregation shrinks the side to shuffle
+        people = ids.distinct()
     return admissions.join(people, "bene_id", "left_semi").select(*admissions.columns)

@@ -28,6 +28,10 @@ from dxcohort.sources.readers import bounded_values
 
 STRATA = ["age_grp", "sex", "race", "dual"]
 
+# (bene_id, year) keys are 12 bytes: up to this many tagged person-years are
+# broadcast to filter the person-year table row-locally before the join.
+MAX_BROADCAST_PERSON_YEARS = 10_000_000
+
 
 def _c(name: str) -> Column:
     """Column by exact name (outcome names may contain dots or blanks)."""
@@ -58,6 +62,21 @@ def person_year_counts(outcomes: DataFrame, outcome_list: Sequence[str]) -> Data
     )
 
 
+def people_of(outcomes: DataFrame, people: DataFrame, max_keys: int = MAX_BROADCAST_PERSON_YEARS) -> DataFrame:
+    """The person-year rows of tagged persons only.
+
+    A row count of the tagged rows bounds their distinct person-years; below
+    ``max_keys`` the keys are broadcast and semi-join ``people`` row-locally,
+    so a rare outcome never shuffles the whole person-year table. Exact:
+    the inner join that follows drops the other rows anyway.
+    """
+    keys = outcomes.select("bene_id", "year")
+    if keys.count() <= max_keys:
+        # no distinct step: a semi-join's broadcast relation skips repeated keys
+        return people.join(F.broadcast(keys), ["bene_id", "year"], "left_semi")
+    return people
+
+
 def area_counts(
     outcomes: DataFrame,
     denom: DataFrame,
@@ -76,7 +95,7 @@ def area_counts(
     need(spine, ["zcta", "year"], "spine")
     names = _outcome_list(outcomes, outcome_list)
     per_person = person_year_counts(outcomes, names)
-    people = denom.select("bene_id", "year", "zcta")
+    people = people_of(outcomes, denom.select("bene_id", "year", "zcta"))
     by_area = (
         per_person.join(people, ["bene_id", "year"])
         .groupBy("zcta", "year")
@@ -138,7 +157,7 @@ def strat_observed(outcomes: DataFrame, denom: DataFrame, outcome_list: Sequence
     dual`` + one column per outcome (before the spine is applied)."""
     per_person = person_year_counts(outcomes, outcome_list)
     return (
-        per_person.join(stratify(denom), ["bene_id", "year"])
+        per_person.join(people_of(outcomes, stratify(denom)), ["bene_id", "year"])
         .groupBy("year", "zcta", *STRATA)
         .agg(*[F.sum(_c(o)).alias(o) for o in outcome_list])
     )

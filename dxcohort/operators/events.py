@@ -20,15 +20,15 @@ def attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids:
     ``adm_id`` (admission ids must be unique; ``audit_duplicates`` checks).
 
     Only three narrow columns of the admissions are read. When a row count
-    proves at most ``max_broadcast_ids`` tagged ids, the distinct ids are
-    broadcast and semi-join the admissions row-locally, so only the matching
+    proves at most ``max_broadcast_ids`` tagged ids, the ids are broadcast and semi-join the admissions row-locally, so only the matching
     admissions reach the join (no shuffle of the admissions); otherwise a
     sort-merge join runs.
     """
     dates = admissions.select("adm_id", *DATE_COLS)
     ids = outcomes.select("adm_id")
     if ids.count() <= max_broadcast_ids:
-        dates = dates.join(F.broadcast(ids.distinct()), "adm_id", "left_semi")
+        # no distinct step: a semi-join's broadcast relation skips repeated keys
+        dates = dates.join(F.broadcast(ids), "adm_id", "left_semi")
     return outcomes.join(dates, "adm_id").select(*outcomes.columns, *DATE_COLS)
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from dxcohort.operators.counts import area_counts, strat_counts, year_counts_wide
@@ -69,9 +70,14 @@ def cohort_pipeline(
 ) -> CohortResults:
     """All outputs of the workflow as lazy DataFrames.
 
-    ``tagged`` may be a materialised tagging output (with the date columns)
-    to cut lineage between the tagging and the downstream jobs.
+    ``tagged`` may be a written tagging output (with the date columns) to
+    cut lineage between the tagging and the downstream jobs. Otherwise the
+    tagged rows are computed here and persisted (memory, spilling to disk),
+    so every output and every size check shares one pass over the
+    admissions; a lost block is recomputed from lineage.
     """
     if tagged is None:
-        tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS)
+        tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
     return CohortResults(tagged, denom, spine, weights, outcome_list, years, heavy_rows)
