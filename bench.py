@@ -127,10 +127,15 @@ def main() -> None:
         "cohort_subset": lambda: cohort_subset(adm, outc, "mixed"),
         "observed_codes": lambda: observed_codes(adm, "E%"),
         "duplicate_audit": lambda: audit_duplicates(adm),
-        "pipeline": lambda: cohort_pipeline(
-            adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years
-        ).county_counts,
+        "pipeline": lambda: pipeline_county(),
     }
+    pipelines = []
+
+    def pipeline_county():
+        res = cohort_pipeline(adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years)
+        pipelines.append(res)
+        return res.county_counts
+
     # One untimed warm-up so JIT and class loading do not land on the first job.
     _run(tag_outcomes(adm, codes, "all"))
     timings = {}
@@ -140,6 +145,8 @@ def main() -> None:
         _run(build())
         timings[name] = round(time.time() - t, 3)
     total = round(sum(timings.values()), 3)
+    for p in pipelines:
+        p.release()
     # Scanned bytes of tagging must not grow with the number of outcomes.
     for n in (1, 4, 16, 27):
         sc.setJobGroup(f"tag_{n}_outcomes", f"tag_{n}_outcomes")

@@ -25,11 +25,17 @@ from dxcohort.operators.tagging import tag_outcomes
 class CohortResults:
     """Lazily planned outputs of one workflow run."""
 
-    def __init__(self, tagged, denom, spine, weights, outcome_list, years, heavy_rows):
+    def __init__(self, tagged, denom, spine, weights, outcome_list, years, heavy_rows, owned=False):
         self.tagged = tagged
+        self._owned = owned
         self._denom, self._spine, self._weights = denom, spine, weights
         self._names, self._years, self._heavy = list(outcome_list), years, heavy_rows
 
+    def release(self) -> None:
+        """Drop the persisted tagged rows (when this object persisted them)."""
+        if self._owned:
+            self.tagged.unpersist()
+
     @cached_property
     def outcomes(self) -> DataFrame:
         return self.tagged.drop(*DATE_COLS)
@@ -76,8 +82,9 @@ def cohort_pipeline(
     so every output and every size check shares one pass over the
     admissions; a lost block is recomputed from lineage.
     """
-    if tagged is None:
+    owned = tagged is None
+    if owned:
         tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-    return CohortResults(tagged, denom, spine, weights, outcome_list, years, heavy_rows)
+    return CohortResults(tagged, denom, spine, weights, outcome_list, years, heavy_rows, owned)
