@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dxcohort.functions.arrays import dx_slice
+from dxcohort.functions.arrays import dx_at, dx_slice
+from dxcohort.operators.tagging import MAX_SECONDARY_POS
 from dxcohort.schemas import ADMISSIONS
 
 KEYS = ["year", "bene_id", "adm_id", "outcome"]
@@ -32,6 +33,10 @@ def admissions_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.parquet(path)
 
 
+def _role(codes: DataFrame, role: str, alias: str) -> DataFrame:
+    return F.broadcast(codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome"))
+
+
 def tag_stream(
     stream: DataFrame,
     codes: DataFrame,
@@ -39,26 +44,47 @@ def tag_stream(
     first_n: int | None = None,
     dedup_delay: str | None = None,
 ) -> DataFrame:
-    """Streaming version of ``tag_outcomes`` for ``all`` / ``first_n``."""
-    if criteria not in ("all", "first_n"):
-        raise ValueError("streaming tagging supports 'all' and 'first_n'")
+    """Streaming version of ``tag_outcomes`` (same output columns)."""
+    if criteria not in ("all", "first_n", "conditional"):
+        raise ValueError(f"unknown criteria {criteria!r}: use all, first_n or conditional")
     if criteria == "first_n" and (first_n is None or first_n < 1):
         raise ValueError("criteria 'first_n' needs first_n >= 1")
-    arr = F.col("diagnoses") if criteria == "all" else dx_slice("diagnoses", 1, first_n)
-    any_codes = F.broadcast(codes.where(F.col("role") == "any").select(F.col("code").alias("_code"), "outcome"))
-    matched = (
-        stream.select("bene_id", "adm_id", "year", "admission_date", F.explode(arr).alias("_code"))
-        .join(any_codes, "_code")
-        .select("bene_id", "adm_id", "outcome", "year", "admission_date")
-    )
+    keys = list(KEYS)
+    if criteria == "conditional":
+        first = stream.select(
+            "bene_id", "adm_id", "year", "admission_date", "diagnoses", dx_at("diagnoses", 1).alias("_p")
+        ).join(_role(codes, "primary", "_p"), "_p")
+        matched = (
+            first.select(
+                "bene_id", "adm_id", "year", "admission_date", "diagnoses", "outcome",
+                F.explode(dx_slice("diagnoses", 2, MAX_SECONDARY_POS)).alias("_s"),
+            )
+            .join(_role(codes, "secondary", "_s"), ["outcome", "_s"])
+            .select("bene_id", "adm_id", "diagnoses", "outcome", "year", "admission_date")
+        )
+        keys.append("diagnoses")
+    else:
+        arr = F.col("diagnoses") if criteria == "all" else dx_slice("diagnoses", 1, first_n)
+        matched = (
+            stream.select("bene_id", "adm_id", "year", "admission_date", F.explode(arr).alias("_code"))
+            .join(_role(codes, "any", "_code"), "_code")
+            .select("bene_id", "adm_id", "outcome", "year", "admission_date")
+        )
     if dedup_delay:
         matched = matched.withColumn("_event", F.col("admission_date").cast("timestamp"))
-        distinct = matched.withWatermark("_event", dedup_delay).dropDuplicatesWithinWatermark(KEYS)
+        distinct = matched.withWatermark("_event", dedup_delay).dropDuplicatesWithinWatermark(keys)
     else:
-        distinct = matched.dropDuplicates(KEYS)
-    label = "all" if criteria == "all" else f"first_{first_n}"
+        distinct = matched.dropDuplicates(keys)
+    label = {"all": "all", "first_n": f"first_{first_n}", "conditional": "conditional"}[criteria]
+    extra = []
+    if criteria == "conditional":
+        extra = [
+            "diagnoses",
+            dx_at("diagnoses", 1).alias("primary_dx"),
+            dx_slice("diagnoses", 2, MAX_SECONDARY_POS).alias("secondary_dx"),
+        ]
     return distinct.select(
-        "bene_id", "adm_id", "outcome", F.lit(label).alias("outcome_criteria"), "year"
+        "bene_id", "adm_id", *extra, "outcome", F.lit(label).alias("outcome_criteria"), "year"
     )
 
 

@@ -48,3 +48,23 @@ def test_stream_watermarked_dedup_and_counts(spark, tmp_path):
     q.awaitTermination(120)
     got = {(r.year, r.outcome): r.n for r in spark.sql("select * from dx_year_counts").collect()}
     assert got == {(2000, "x"): 1, (2001, "x"): 1}
+
+
+def test_stream_conditional_matches_batch(spark, tmp_path):
+    cfg = {"c": {"primary_icd10": ["P1"], "secondary_icd10": ["S1", "S2"]}}
+    rows = [
+        (1, 10, "2000-01-01", 2000, ["P1", "S1", "S2"]),
+        (1, 10, "2000-01-01", 2000, ["P1", "S1", "S2"]),
+        (2, 20, "2000-02-01", 2000, ["S1", "P1"]),
+        (3, 30, "2001-01-01", 2001, ["P1", "Q", "S2"]),
+    ]
+    src = str(tmp_path / "src")
+    adm_rows(spark, rows).write.parquet(src)
+    codes = codes_frame(spark, cfg)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    q = start_tagging(spark, src, codes, out, ckpt, "conditional")
+    q.awaitTermination(120)
+    cols = ["bene_id", "adm_id", "primary_dx", "outcome", "outcome_criteria", "year"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in tag_outcomes(adm_rows(spark, rows), codes, "conditional").select(*cols).collect())
+    assert got == want and len(got) == 2
