@@ -7,6 +7,7 @@ from dxcohort.sources.codelists import (
     dirty_codes,
     load_code_lists,
     outcome_names,
+    size_mismatches,
 )
 from dxcohort.sources.readers import (
     bounded_values,
@@ -40,6 +41,7 @@ __all__ = [
     "read_glob",
     "read_table",
     "read_year",
+    "size_mismatches",
     "value_columns",
     "write_by_year",
     "write_code_list",

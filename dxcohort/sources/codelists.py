@@ -80,6 +80,24 @@ def dirty_codes(config: Mapping) -> list[tuple[str, str, str, str]]:
     return [r for r in code_rows(config) if not _CLEAN.match(r[3])]
 
 
+def size_mismatches(config: Mapping) -> list[tuple[str, str, int, int]]:
+    """Lists whose declared size (``icd9_count`` / ``icd10_count``) differs
+    from the number of distinct codes listed: ``(outcome, key, declared,
+    listed)``."""
+    out = []
+    for outcome, spec in config.items():
+        if not isinstance(spec, Mapping):
+            continue
+        for key in ("icd9", "icd10"):
+            declared = spec.get(f"{key}_count")
+            if declared is None:
+                continue
+            listed = len(set(spec.get(key) or []))
+            if int(declared) != listed:
+                out.append((str(outcome), key, int(declared), listed))
+    return out
+
+
 def outcome_names(config: Mapping) -> list[str]:
     """Outcomes in file order: they name the pivoted count columns."""
     return [str(k) for k, v in config.items() if isinstance(v, Mapping)]

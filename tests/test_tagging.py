@@ -127,3 +127,14 @@ def test_missing_columns_fail_early(spark, adm):
         tag_outcomes(adm.drop("diagnoses"), codes_frame(spark, CFG), "all")
     with pytest.raises(ValueError, match="codes lacks"):
         tag_outcomes(adm, codes_frame(spark, CFG).drop("role"), "all")
+
+
+def test_declared_sizes():
+    from dxcohort.sources import size_mismatches
+
+    cfg = {
+        "ok": {"icd9": ["1", "2"], "icd9_count": 2, "icd10": ["A"], "icd10_count": 1},
+        "bad": {"icd10": ["A", "B", "B"], "icd10_count": 3},
+        "none": {"icd10": ["A"]},
+    }
+    assert size_mismatches(cfg) == [("bad", "icd10", 3, 2)]
