@@ -24,7 +24,8 @@ from dxcohort.schemas import need
 # this bound the codes side is joined with a shuffle instead.
 MAX_BROADCAST_CODES = 2_000_000
 
-# Up to this many distinct codes, admissions are first filtered row-locally
+# Up to this many (code, outcome) rows, the codes side is proven small by a
+# bounded collect, and admissions are first filtered row-locally
 # (``exists(diagnoses, d -> d IN codes)``, a hash set built once per task),
 # so admissions that match nothing are never exploded.
 MAX_PREFILTER_CODES = 50_000
@@ -35,19 +36,19 @@ MAX_SECONDARY_POS = 25
 KEYS = ["bene_id", "adm_id"]
 
 
-def _codes(codes: DataFrame, role: str, alias: str) -> DataFrame:
-    sel = codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome")
-    return bounded_broadcast(sel, MAX_BROADCAST_CODES)
-
+def _codes(codes: DataFrame, role: str, alias: str) -> tuple[DataFrame, list[str] | None]:
+    """The ``(code, outcome)`` rows of ``role`` as a join side, plus the
+    distinct codes when they are few enough for a row-local prefilter.
 
-def _prefilter_codes(codes: DataFrame, role: str) -> list[str] | None:
-    """Distinct codes of ``role`` when provably few, else None (no job
-    beyond a count and a bounded collect of a config-sized table)."""
-    sel = codes.where(F.col("role") == role).select("code").distinct()
+    One bounded collect (at most ``MAX_PREFILTER_CODES + 1`` config rows)
+    proves a small side; otherwise a count decides between broadcast and a
+    shuffled join.
+    """
+    sel = codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome")
     rows = sel.limit(MAX_PREFILTER_CODES + 1).collect()
-    if len(rows) > MAX_PREFILTER_CODES:
-        return None
-    return [r.code for r in rows]
+    if len(rows) <= MAX_PREFILTER_CODES:
+        return F.broadcast(sel), sorted({r[alias] for r in rows})
+    return bounded_broadcast(sel, MAX_BROADCAST_CODES), None
 
 
 def _criteria_label(criteria: str, first_n: int | None) -> str:
@@ -69,11 +70,11 @@ def tag_any(
     must be functionally dependent on the admission, e.g. its dates).
     """
     arr = F.col("diagnoses") if first_n is None else dx_slice("diagnoses", 1, first_n)
-    listed = _prefilter_codes(codes, "any")
+    side, listed = _codes(codes, "any", "_code")
     if listed is not None:
         admissions = admissions.where(F.exists(arr, lambda d: d.isin(listed)))
     exploded = admissions.select(*KEYS, "year", *carry, F.explode(arr).alias("_code"))
-    matched = exploded.join(_codes(codes, "any", "_code"), "_code")
+    matched = exploded.join(side, "_code")
     return matched.select(*KEYS, "outcome", "year", *carry).dropDuplicates(
         ["year", *KEYS, "outcome"]
     )
@@ -94,7 +95,7 @@ def tag_conditional(
     """
     primary = dx_at("diagnoses", 1)
     first = admissions.select(*KEYS, "year", "diagnoses", *carry, primary.alias("_p")).join(
-        _codes(codes, "primary", "_p"), "_p"
+        _codes(codes, "primary", "_p")[0], "_p"
     )
     second = first.select(
         *KEYS,
@@ -103,7 +104,7 @@ def tag_conditional(
         "outcome",
         *carry,
         F.explode(dx_slice("diagnoses", 2, max_secondary_pos)).alias("_s"),
-    ).join(_codes(codes, "secondary", "_s"), ["outcome", "_s"])
+    ).join(_codes(codes, "secondary", "_s")[0], ["outcome", "_s"])
     distinct = second.select(*KEYS, "year", "diagnoses", "outcome", *carry).dropDuplicates(
         ["year", *KEYS, "diagnoses", "outcome"]
     )
