@@ -267,7 +267,8 @@ def q_secondary_slice(i: Inputs) -> DataFrame:
         dx_at("diagnoses", 2).alias("second_dx"),
         dx_at("diagnoses", 26).alias("dx26"),
         dx_slice("diagnoses", 2, 25).alias("secondary_dx"),
-        F.array_size("diagnoses").alias("n_dx"),
+        # text: a nullable integer converts to different pandas dtypes per engine
+        F.array_size("diagnoses").cast("string").alias("n_dx"),
     )
 
 

@@ -292,7 +292,7 @@ FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
         "secondary_slice": oracle_with()
         + """SELECT adm_id, diagnoses[1] AS primary_dx, diagnoses[2] AS second_dx, diagnoses[26] AS dx26,
        array_to_string(list_slice(diagnoses, 2, 25), ',') AS secondary_dx,
-       CAST(len(diagnoses) AS INTEGER) AS n_dx
+       CAST(len(diagnoses) AS VARCHAR) AS n_dx
 FROM admissions""",
         "pipeline_tag_to_county": _county_sql(multi_f2),
         "pipeline_index": oracle_with(*index_ctes(multi_f2)) + _INDEX_SELECT,
