@@ -69,11 +69,26 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> dict:
         out["status"] = "ROWCOUNT"
     elif digest(s_cols, s_rows) != digest(d_cols, d_rows):
         out["status"] = "VALUES"
+    elif pandas_digest(df.toPandas()) != pandas_digest(con.execute(sql).df()):
+        out["status"] = "PANDAS-VALUES"
     else:
         out["status"] = "ok"
     return out
 
 
+def pandas_digest(pdf) -> str:
+    """Hash of the cells as pandas renders them (dtype-sensitive: 5 vs 5.0)."""
+    import pandas as pd
+
+    pdf = pdf[sorted(pdf.columns)]
+
+    def cell(v) -> str:
+        return "NULL" if not isinstance(v, (list, tuple)) and pd.isna(v) is True else str(v)
+
+    lines = sorted("|".join(cell(v) for v in row) for row in pdf.itertuples(index=False))
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+
 def main(argv: list[str]) -> int:
     from pyspark.sql import SparkSession
 
