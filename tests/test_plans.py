@@ -1,0 +1,67 @@
+"""Plan properties that the scale design relies on."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import SF_SMALL
+
+from dxcohort.operators import area_counts, cohort_subset, index_outcomes, strat_counts, tag_outcomes
+from dxcohort.sources import codes_frame, read_table, write_by_year, write_parquet
+from dxcohort.sources import fixtures as fx
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("plans")
+    years = fx.order_years(spark, SF_SMALL)
+    write_by_year(fx.admissions(spark, SF_SMALL), str(root / "adm"))
+    write_by_year(fx.denom(spark, SF_SMALL, years), str(root / "denom"))
+    write_parquet(fx.unique_zcta(spark, SF_SMALL, years), str(root / "spine"))
+    adm = read_table(spark, str(root / "adm"))
+    codes = codes_frame(spark, fx.FIXTURE_CODE_LISTS)
+    write_by_year(tag_outcomes(adm, codes, "all"), str(root / "out"))
+    return {
+        "adm": adm,
+        "denom": read_table(spark, str(root / "denom")),
+        "spine": read_table(spark, str(root / "spine")),
+        "out": read_table(spark, str(root / "out")),
+        "codes": codes,
+    }
+
+
+def _read_schemas(plan: str) -> list[str]:
+    return re.findall(r"ReadSchema: (struct<\S*>)", plan)
+
+
+def test_tagging_prunes_columns_and_years(inputs):
+    plan = _plan(tag_outcomes(inputs["adm"].where("year = 1998"), inputs["codes"], "first_n", 2))
+    assert "year#" in plan and re.search(r"PartitionFilters: \[[^\]]*year#\d+ = 1998", plan)
+    assert _read_schemas(plan) == ["struct<bene_id:bigint,adm_id:bigint,diagnoses:array<string>>"]
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_index_reads_three_admission_columns_and_semi_filters(inputs):
+    plan = _plan(index_outcomes(inputs["out"], inputs["adm"], "mixed"))
+    assert "struct<adm_id:bigint,admission_date:date,discharge_date:date>" in _read_schemas(plan)
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    assert "EqualTo(outcome,mixed)" in plan  # the outcome filter reaches the scan
+
+
+def test_cohort_never_shuffles_admissions(inputs):
+    plan = _plan(cohort_subset(inputs["adm"], inputs["out"], "mixed"))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_counts_prune_year_partitions(inputs):
+    plan = _plan(strat_counts(inputs["out"], inputs["denom"], inputs["spine"], ["mixed"], [1998]))
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*year#\d+ = 1998", plan)) >= 2
+    area = _plan(area_counts(inputs["out"], inputs["denom"], inputs["spine"], ["mixed"], [1998]))
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ (= 1998|IN \(1998\))", area)
+    assert "CartesianProduct" not in area and "BroadcastNestedLoopJoin" not in area
