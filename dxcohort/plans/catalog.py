@@ -293,6 +293,17 @@ def q_pipeline_conditional_counts(i: Inputs) -> DataFrame:
     return res.area_counts
 
 
+def q_stream_tag_first_n(i: Inputs) -> DataFrame:
+    from dxcohort.streaming import start_tagging
+
+    src = scratch_path(i.spark, "stream_src")
+    write_by_year(i.admissions(), src)
+    out, ckpt = scratch_path(i.spark, "stream_out"), scratch_path(i.spark, "stream_ckpt")
+    query = start_tagging(i.spark, src, i.codes("mixed"), out, ckpt, "first_n", FIRST_N)
+    query.awaitTermination()
+    return read_table(i.spark, out).select("bene_id", "adm_id", "outcome", "outcome_criteria", "year")
+
+
 def q_io_parquet_by_year(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outcomes")
     write_by_year(i.tagged("all", None, "mixed"), path)
@@ -365,6 +376,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pipeline_tag_to_county": q_pipeline_tag_to_county,
     "pipeline_index": q_pipeline_index,
     "pipeline_conditional_counts": q_pipeline_conditional_counts,
+    "stream_tag_first_n": q_stream_tag_first_n,
     "io_parquet_by_year": q_io_parquet_by_year,
     "io_csv_strings": q_io_csv_strings,
     "io_code_list": q_io_code_list,

@@ -300,6 +300,7 @@ FROM admissions""",
             *area_ctes(f"tagged AS (\n  {_conditional_rows()})", ["cond"])
         )
         + "SELECT * FROM area",
+        "stream_tag_first_n": oracle_with(mixed_f2) + "SELECT * FROM tagged",
         "io_parquet_by_year": oracle_with(mixed_all) + f"SELECT * FROM tagged WHERE year = {PROFILE_YEAR}",
         "io_csv_strings": oracle_with() + "SELECT code AS column0, system AS column1 FROM valid_codes",
         "io_code_list": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
