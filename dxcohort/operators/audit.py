@@ -7,23 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dxcohort.session import ensure_checkpoint_dir
 from dxcohort.sources.readers import value_columns
 
+# (year, hash) keys are 12 bytes: up to this many repeated hashes are
+# broadcast so the second pass over the admissions is a row-local filter.
+MAX_BROADCAST_HASHES = 20_000_000
+
 AUDIT_COLS = ["adm_id", "bene_id", "admission_date", "diagnoses", "discharge_date", "year", "adm_source"]
 
 
-def duplicate_groups(admissions: DataFrame, cols: Sequence[str] = AUDIT_COLS) -> DataFrame:
+def duplicate_groups(
+    admissions: DataFrame, cols: Sequence[str] = AUDIT_COLS, max_broadcast: int = MAX_BROADCAST_HASHES
+) -> DataFrame:
     """Groups of identical rows (over ``cols``) that occur more than once.
 
     A 64-bit hash of the row is counted first: that shuffle moves a few
     bytes per row instead of the row, and a heavily repeated row collapses
-    map-side. Only rows whose hash repeats are then grouped exactly, so
-    hash collisions cannot create false duplicates.
+    map-side. The repeated hashes (few in any usable table) are written to
+    the checkpoint folder, counted, and broadcast, so the second pass over
+    the admissions is a row-local filter; only the candidate rows are then
+    grouped exactly, so hash collisions cannot create false duplicates.
     """
     cols = list(cols)
+    ensure_checkpoint_dir(admissions.sparkSession)
     hashed = admissions.select(*cols, F.xxhash64(*cols).alias("_h"))
-    repeated = hashed.groupBy("year", "_h").count().where(F.col("count") > 1).select("year", "_h")
-    candidates = hashed.join(repeated, ["year", "_h"], "left_semi")
+    repeated = (
+        hashed.groupBy("year", "_h").count().where(F.col("count") > 1).select("year", "_h")
+    ).checkpoint(eager=True)
+    side = F.broadcast(repeated) if repeated.count() <= max_broadcast else repeated
+    candidates = hashed.join(side, ["year", "_h"], "left_semi")
     return candidates.groupBy(*cols).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
 
 

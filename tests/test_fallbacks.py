@@ -49,3 +49,12 @@ def test_fallbacks_equal_broadcast_paths(spark, monkeypatch):
     want = _rows(expand_prefixes(valid, pre))
     monkeypatch.setattr(codebook, "MAX_BROADCAST_PREFIXES", 0)
     assert _rows(expand_prefixes(valid, pre)) == want
+
+
+def test_audit_fallback_equals_broadcast(spark):
+    from dxcohort.operators import duplicate_groups
+
+    adm = fx.admissions(spark, SF_SMALL)
+    doubled = adm.unionByName(adm.where("adm_source = '1-URGENT'"))
+    assert _rows(duplicate_groups(doubled, max_broadcast=0)) == _rows(duplicate_groups(doubled))
+    assert len(_rows(duplicate_groups(doubled))) > 0
