@@ -118,7 +118,7 @@ def area_drop_report(outcomes: DataFrame, denom: DataFrame, spine: DataFrame) ->
     Person-year and spine keys are unique after their distinct steps, so
     the left joins do not fan out; each join moves the tagged rows once.
     """
-    people = denom.select("bene_id", "year", "zcta").dropDuplicates(["bene_id", "year"])
+    people = people_of(outcomes, denom.select("bene_id", "year", "zcta")).dropDuplicates(["bene_id", "year"])
     spine_keys = spine.select("zcta", "year").distinct().withColumn("_on_spine", F.lit(True))
     placed = (
         outcomes.select("bene_id", "year", "outcome")
