@@ -148,8 +148,16 @@ def _in_domain() -> Column:
     )
 
 
+# Every sex / race / dual value is a single digit, so a stratum packs into
+# one int: age-band position, then sex, race and dual as decimal digits.
+assert max(SEX_DOMAIN + RACE_DOMAIN + DUAL_DOMAIN) < 10 and min(SEX_DOMAIN + RACE_DOMAIN + DUAL_DOMAIN) >= 0
+
+
 def _stratum_key(age_grp: Column, sex: Column, race: Column, dual: Column) -> Column:
-    return F.concat_ws("|", age_grp, sex.cast("string"), race.cast("string"), dual.cast("string"))
+    """Integer key of a stratum: cheap to compute for each of the 210 spine
+    rows and cheap to compare in the per-area map lookup."""
+    age_pos = F.array_position(F.array(*[F.lit(b[0]) for b in AGE_BANDS]), age_grp)
+    return (age_pos * 1000 + sex * 100 + race * 10 + dual).cast("int")
 
 
 def strat_observed(outcomes: DataFrame, denom: DataFrame, outcome_list: Sequence[str]) -> DataFrame:
