@@ -126,7 +126,8 @@ def strat_counts_job(
 
 
 def county_counts_job(spark: SparkSession, area_counts_path: str, weights_path: str, out_path: str) -> None:
-    write_by_year(county_counts(read_table(spark, area_counts_path), read_table(spark, weights_path)), out_path)
+    counts = county_counts(read_table(spark, area_counts_path), read_table(spark, weights_path))
+    write_by_year(counts, out_path, sort_within=["county"])
 
 
 def cohort_job(
@@ -193,5 +194,6 @@ def pipeline_job(
     write_by_year(
         county_counts(read_table(spark, area_path), read_table(spark, weights_path), outcome_names(cfg)),
         f"{root}/county_counts",
+        sort_within=["county"],
     )
     write_csv(res.year_counts, f"{root}/year_counts")

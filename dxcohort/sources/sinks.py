@@ -7,17 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_by_year(df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = True) -> None:
+def write_by_year(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    sort_within: list[str] | None = None,
+) -> None:
     """Write one partition per year in one job.
 
     With ``partitionOverwriteMode=dynamic`` (set here for the write) a re-run
     of some years replaces only those years' partitions. The ``rebalance``
     hint lets adaptive execution group each year's rows into few, evenly
     sized tasks (splitting a large year) so the output is a few files per
-    year rather than one small file per task and year.
+    year rather than one small file per task and year. ``sort_within``
+    orders the rows inside each written file (no global sort).
     """
     if rebalance:
         df = df.hint("rebalance", "year")
+    if sort_within:
+        df = df.sortWithinPartitions("year", *sort_within)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -99,3 +99,12 @@ def test_pipeline_job_end_to_end(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
     idx = read_table(spark, str(root / "out" / "indexed"))
     assert idx.count() == read_table(spark, str(root / "out" / "outcomes")).count()
+
+
+def test_write_by_year_sorted_within_files(spark, tmp_path):
+    rows = [(2000, f"C{k % 7}", k) for k in range(50)]
+    df = spark.createDataFrame(rows, "year int, county string, x int").orderBy("x")
+    path = str(tmp_path / "sorted")
+    write_by_year(df, path, sort_within=["county"])
+    got = [r.county for r in spark.read.parquet(path).collect()]
+    assert got == sorted(got)
