@@ -95,3 +95,59 @@ def test_area_counts_match_brute_force(spark, tagged, people, spine):
     mult = Counter(spine)
     want = sorted((z, y, n[(z, y, "a")] * m, n[(z, y, "b")] * m) for (z, y), m in mult.items())
     assert got == want
+
+
+day = st.one_of(st.none(), st.integers(1, 6))
+
+
+@SETTINGS
+@given(
+    events=st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["a", "b"]), day), min_size=1, max_size=30),
+    heavy=st.booleans(),
+)
+def test_index_matches_brute_force(spark, events, heavy):
+    import datetime as dt
+
+    from dxcohort.operators import index_outcomes
+
+    rows = [
+        (b, k, o, "all", 2000, dt.date(2000, 1, d) if d else None, None) for k, (b, o, d) in enumerate(events)
+    ]
+    tagged = spark.createDataFrame(
+        rows,
+        "bene_id long, adm_id long, outcome string, outcome_criteria string, year int, "
+        "admission_date date, discharge_date date",
+    )
+    out = index_outcomes(tagged, heavy_rows=2 if heavy else None, sample_fraction=1.0)
+    got = {(r.adm_id): r.outcome_index for r in out.collect()}
+    want = {}
+    for (b, o) in {(b, o) for b, o, _ in events}:
+        mine = [(d is None, d or 0, k) for k, (bb, oo, d) in enumerate(events) if (bb, oo) == (b, o)]
+        for n, (_, _, k) in enumerate(sorted(mine), start=1):
+            want[k] = n
+    assert got == want
+
+
+@SETTINGS
+@given(
+    counts=st.lists(st.integers(0, 9), min_size=3, max_size=3),
+    shares=st.lists(st.sampled_from([12.5, 25.0, 37.5, 50.0, 62.5, 100.0]), min_size=3, max_size=3),
+    target=st.lists(st.sampled_from(["K1", "K2", None]), min_size=3, max_size=3),
+)
+def test_county_matches_brute_force(spark, counts, shares, target):
+    from dxcohort.operators import county_counts
+    from dxcohort.schemas import AREA_WEIGHTS
+
+    areas = spark.createDataFrame(
+        [(f"Z{i}", 2000, c) for i, c in enumerate(counts)], "zcta string, year int, x long"
+    )
+    w = spark.createDataFrame(
+        [(2000, f"Z{i}", t, p) for i, (t, p) in enumerate(zip(target, shares))] + [(2000, "Z9", "K3", 100.0)],
+        AREA_WEIGHTS,
+    )
+    got = {r.county: r.x for r in county_counts(areas, w).collect()}
+    sums = {"K3": 0.0}
+    for i, (t, p) in enumerate(zip(target, shares)):
+        if t is not None:
+            sums[t] = sums.get(t, 0.0) + counts[i] * (p / 100)
+    assert got == {k: round(v) for k, v in sums.items()}
