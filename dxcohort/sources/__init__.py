@@ -15,6 +15,7 @@ from dxcohort.sources.readers import (
     read_csv_strings,
     read_glob,
     read_table,
+    read_valid_codes,
     read_year,
     value_columns,
     years_present,
@@ -40,6 +41,7 @@ __all__ = [
     "read_csv_strings",
     "read_glob",
     "read_table",
+    "read_valid_codes",
     "read_year",
     "size_mismatches",
     "value_columns",

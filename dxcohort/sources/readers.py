@@ -63,3 +63,16 @@ def bounded_values(df: DataFrame, column: str, max_values: int = 10_000) -> list
     if len(rows) > max_values:
         raise ValueError(f"{column} has more than {max_values} distinct values")
     return sorted(r[0] for r in rows)
+
+
+def read_valid_codes(
+    spark: SparkSession, path: str, system: str, header: bool = True, column: str | None = None
+) -> DataFrame:
+    """A valid-code CSV as ``(code, system)``, all strings.
+
+    With a header the code column defaults to ``CODE``; without one it is
+    the first column (``column0``).
+    """
+    df = read_csv_strings(spark, path, header)
+    col = column or ("CODE" if header else "column0")
+    return df.select(F.col(col).alias("code"), F.lit(system).alias("system")).where(F.col("code").isNotNull())

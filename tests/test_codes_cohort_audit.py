@@ -104,3 +104,18 @@ def test_duplicate_audit_counts_groups(spark):
     assert got == {2000: 1, 2001: 1, 2002: 0}
     groups = {r.adm_id: r.cnt for r in duplicate_groups(adm).collect()}
     assert groups == {1: 3, 2: 2}
+
+
+def test_valid_codes_from_csv(spark, tmp_path):
+    from dxcohort.sources import read_valid_codes
+
+    icd9 = tmp_path / "icd9.csv"
+    icd9.write_text("CODE,LONG DESCRIPTION\n4011,Benign hypertension\n401,Essential\n")
+    icd10 = tmp_path / "icd10.csv"
+    icd10.write_text("I10,Essential hypertension\nI110,Hypertensive heart disease\n")
+    valid = read_valid_codes(spark, str(icd9), "icd9").unionByName(
+        read_valid_codes(spark, str(icd10), "icd10", header=False)
+    )
+    assert collect_set(valid, "code", "system") == [("401", "icd9"), ("4011", "icd9"), ("I10", "icd10"), ("I110", "icd10")]
+    pre = prefixes_frame(spark, {"htn": {"icd9": ["401"], "icd10": ["I1"]}})
+    assert len(expand_prefixes(valid, pre).collect()) == 4
