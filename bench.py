@@ -32,7 +32,7 @@ from dxcohort.operators import (  # noqa: E402
     tag_outcomes,
     year_counts_wide,
 )
-from dxcohort.plans.pipeline import cohort_pipeline  # noqa: E402
+from dxcohort.plans.workflow import cohort_workflow  # noqa: E402
 from dxcohort.sources import codes_frame, read_table, write_by_year, write_parquet  # noqa: E402
 from dxcohort.sources import fixtures as fx  # noqa: E402
 
@@ -127,13 +127,13 @@ def main() -> None:
         "cohort_subset": lambda: cohort_subset(adm, outc, "mixed"),
         "observed_codes": lambda: observed_codes(adm, "E%"),
         "duplicate_audit": lambda: audit_duplicates(adm),
-        "pipeline": lambda: pipeline_county(),
+        "workflow": lambda: workflow_county(),
     }
-    pipelines = []
+    workflows = []
 
-    def pipeline_county():
-        res = cohort_pipeline(adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years)
-        pipelines.append(res)
+    def workflow_county():
+        res = cohort_workflow(adm, codes, den, spine, weights, OUTCOMES, "first_n", 2, years)
+        workflows.append(res)
         return res.county_counts
 
     # One untimed warm-up so JVM start-up costs do not land on the first job.
@@ -148,8 +148,8 @@ def main() -> None:
             t = time.time()
             _run(build())
             store[name] = round(time.time() - t, 3)
-            while pipelines:  # each run pays for its own tagging
-                pipelines.pop().release()
+            while workflows:  # each run pays for its own tagging
+                workflows.pop().release()
     total = round(sum(timings.values()), 3)
     # Scanned bytes of tagging must not grow with the number of outcomes.
     for n in (1, 4, 16, 27):

@@ -1,5 +1,5 @@
 """Jobs and query plans composed from the operators."""
 
-from dxcohort.plans.pipeline import CohortResults, cohort_pipeline
+from dxcohort.plans.workflow import CohortResults, cohort_workflow
 
-__all__ = ["CohortResults", "cohort_pipeline"]
+__all__ = ["CohortResults", "cohort_workflow"]

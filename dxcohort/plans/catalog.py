@@ -40,7 +40,7 @@ from dxcohort.operators import (
     year_counts_long,
     year_counts_wide,
 )
-from dxcohort.plans.pipeline import cohort_pipeline
+from dxcohort.plans.workflow import cohort_workflow
 from dxcohort.session import scratch_path
 from dxcohort.sources import (
     code_list_table,
@@ -272,22 +272,22 @@ def q_secondary_slice(i: Inputs) -> DataFrame:
     )
 
 
-def q_pipeline_tag_to_county(i: Inputs) -> DataFrame:
-    res = cohort_pipeline(
+def q_workflow_tag_to_county(i: Inputs) -> DataFrame:
+    res = cohort_workflow(
         i.admissions(), i.codes(), i.denom(), i.spine(), i.weights(), ANY_OUTCOMES, "first_n", FIRST_N, i.years
     )
     return res.county_counts
 
 
-def q_pipeline_index(i: Inputs) -> DataFrame:
-    res = cohort_pipeline(
+def q_workflow_index(i: Inputs) -> DataFrame:
+    res = cohort_workflow(
         i.admissions(), i.codes(), i.denom(), i.spine(), i.weights(), ANY_OUTCOMES, "first_n", FIRST_N, i.years
     )
     return res.indexed
 
 
-def q_pipeline_conditional_counts(i: Inputs) -> DataFrame:
-    res = cohort_pipeline(
+def q_workflow_conditional_counts(i: Inputs) -> DataFrame:
+    res = cohort_workflow(
         i.admissions(), i.codes("cond"), i.denom(), i.spine(), i.weights(), ["cond"], "conditional", None, i.years
     )
     return res.area_counts
@@ -373,9 +373,9 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "duplicate_audit_reload": q_duplicate_audit_reload,
     "outcome_denominator_join": q_outcome_denominator_join,
     "secondary_slice": q_secondary_slice,
-    "pipeline_tag_to_county": q_pipeline_tag_to_county,
-    "pipeline_index": q_pipeline_index,
-    "pipeline_conditional_counts": q_pipeline_conditional_counts,
+    "workflow_tag_to_county": q_workflow_tag_to_county,
+    "workflow_index": q_workflow_index,
+    "workflow_conditional_counts": q_workflow_conditional_counts,
     "stream_tag_first_n": q_stream_tag_first_n,
     "io_parquet_by_year": q_io_parquet_by_year,
     "io_csv_strings": q_io_csv_strings,

@@ -25,7 +25,7 @@ from dxcohort.operators import (
     tag_outcomes,
     year_counts_wide,
 )
-from dxcohort.plans.pipeline import cohort_pipeline
+from dxcohort.plans.workflow import cohort_workflow
 from dxcohort.schemas import ADMISSIONS, require_columns
 from dxcohort.sources import (
     codes_frame,
@@ -148,7 +148,7 @@ def outcome_list_of(code_lists: Mapping | str) -> list[str]:
     return outcome_names(_config(code_lists))
 
 
-def pipeline_job(
+def workflow_job(
     spark: SparkSession,
     admissions_path: str,
     code_lists: Mapping | str,
@@ -173,7 +173,7 @@ def pipeline_job(
         adm = adm.where(F.col("year").isin(list(years)))
     tagged_path = f"{out_root.rstrip('/')}/tagged"
     write_by_year(tag_outcomes(adm, codes_frame(spark, cfg), criteria, first_n, carry=DATE_COLS), tagged_path)
-    res = cohort_pipeline(
+    res = cohort_workflow(
         adm,
         codes_frame(spark, cfg),
         read_table(spark, denom_path),

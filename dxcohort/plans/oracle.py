@@ -294,9 +294,9 @@ FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
        array_to_string(list_slice(diagnoses, 2, 25), ',') AS secondary_dx,
        CAST(len(diagnoses) AS VARCHAR) AS n_dx
 FROM admissions""",
-        "pipeline_tag_to_county": _county_sql(multi_f2),
-        "pipeline_index": oracle_with(*index_ctes(multi_f2)) + _INDEX_SELECT,
-        "pipeline_conditional_counts": oracle_with(
+        "workflow_tag_to_county": _county_sql(multi_f2),
+        "workflow_index": oracle_with(*index_ctes(multi_f2)) + _INDEX_SELECT,
+        "workflow_conditional_counts": oracle_with(
             *area_ctes(f"tagged AS (\n  {_conditional_rows()})", ["cond"])
         )
         + "SELECT * FROM area",

@@ -1,6 +1,6 @@
 """Compositions of the operators into the workflow's jobs.
 
-``cohort_pipeline`` is the whole workflow in one lineage: tag -> event
+``cohort_workflow`` is the whole workflow in one lineage: tag -> event
 index -> area counts -> county counts (+ stratified and year counts). The
 admissions are scanned once: the admission dates ride along with the tagged
 rows, so the event index needs no second scan or join of the admissions.
@@ -61,7 +61,7 @@ class CohortResults:
         return county_counts(self.area_counts, self._weights, self._names)
 
 
-def cohort_pipeline(
+def cohort_workflow(
     admissions: DataFrame,
     codes: DataFrame,
     denom: DataFrame,

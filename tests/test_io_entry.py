@@ -79,8 +79,8 @@ def test_sf_dirs_exist():
     assert os.path.isdir(SF_SMALL)
 
 
-def test_pipeline_job_end_to_end(spark, tmp_path):
-    from dxcohort.plans.jobs import pipeline_job
+def test_workflow_job_end_to_end(spark, tmp_path):
+    from dxcohort.plans.jobs import workflow_job
     from dxcohort.sources import fixtures as fx
     from dxcohort.sources import write_parquet
 
@@ -91,7 +91,7 @@ def test_pipeline_job_end_to_end(spark, tmp_path):
     write_parquet(fx.unique_zcta(spark, SF_SMALL, years), str(root / "spine"))
     write_by_year(fx.zcta2county(spark, SF_SMALL, years), str(root / "w"))
     cfg = {k: v for k, v in fx.FIXTURE_CODE_LISTS.items() if k != "cond"}
-    pipeline_job(spark, str(root / "adm"), cfg, str(root / "denom"), str(root / "spine"),
+    workflow_job(spark, str(root / "adm"), cfg, str(root / "denom"), str(root / "spine"),
                  str(root / "w"), str(root / "out"), "first_n", 2)
     county = read_table(spark, str(root / "out" / "county_counts"))
     want = entry.entry(spark).collect()
