@@ -22,6 +22,7 @@ from dxcohort.sources.readers import (
 )
 from dxcohort.sources.sinks import (
     flatten_for_csv,
+    write_bucketed,
     write_by_year,
     write_code_list,
     write_csv,
@@ -45,6 +46,7 @@ __all__ = [
     "read_year",
     "size_mismatches",
     "value_columns",
+    "write_bucketed",
     "write_by_year",
     "write_code_list",
     "write_csv",

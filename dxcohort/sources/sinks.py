@@ -56,3 +56,26 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_code_list(code_list: DataFrame, path: str) -> None:
     """Save a derived code list (``outcome, icd9[], icd10[]``) as JSON lines."""
     code_list.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    key: str = "bene_id",
+    buckets: int = 4096,
+    path: str | None = None,
+    by_year: bool = True,
+) -> None:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Stored this way, admissions need no shuffle for any per-person step:
+    the tagging de-duplication, the per-person counts, the event-index
+    window and the cohort semi-join all group or join on ``bene_id`` and
+    reuse the bucket partitioning. ``path`` makes it an external table.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if by_year:
+        writer = writer.partitionBy("year")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
