@@ -32,6 +32,7 @@ from dxcohort.operators import (
     index_outcomes,
     index_profile,
     observed_codes,
+    prefixes_frame,
     strat_counts,
     strat_spine,
     stratify,
@@ -126,8 +127,6 @@ class Inputs:
         return tag_outcomes(self.admissions(), self.codes(*outcomes), criteria, first_n)
 
     def prefixes(self) -> DataFrame:
-        from dxcohort.operators.codebook import prefixes_frame
-
         return prefixes_frame(self.spark, PREFIX_LISTS)
 
 
