@@ -25,10 +25,13 @@ from dxcohort.schemas import need
 MAX_BROADCAST_CODES = 2_000_000
 
 # Up to this many (code, outcome) rows, the codes side is proven small by a
-# bounded collect, and admissions are first filtered row-locally
+# bounded collect of the config-sized table.
+MAX_COLLECT_CODES = 50_000
+# Up to this many distinct codes, admissions are first filtered row-locally
 # (``exists(diagnoses, d -> d IN codes)``, a hash set built once per task),
-# so admissions that match nothing are never exploded.
-MAX_PREFILTER_CODES = 50_000
+# so admissions that match nothing are never exploded. Longer lists skip it:
+# planning a filter with thousands of literals costs more than it saves.
+MAX_PREFILTER_CODES = 1_000
 
 # Fixed value: the last diagnosis position read for secondary codes.
 MAX_SECONDARY_POS = 25
@@ -40,15 +43,16 @@ def _codes(codes: DataFrame, role: str, alias: str) -> tuple[DataFrame, list[str
     """The ``(code, outcome)`` rows of ``role`` as a join side, plus the
     distinct codes when they are few enough for a row-local prefilter.
 
-    One bounded collect (at most ``MAX_PREFILTER_CODES + 1`` config rows)
+    One bounded collect (at most ``MAX_COLLECT_CODES + 1`` config rows)
     proves a small side; otherwise a count decides between broadcast and a
     shuffled join.
     """
     sel = codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome")
-    rows = sel.limit(MAX_PREFILTER_CODES + 1).collect()
-    if len(rows) <= MAX_PREFILTER_CODES:
-        return F.broadcast(sel), sorted({r[alias] for r in rows})
-    return bounded_broadcast(sel, MAX_BROADCAST_CODES), None
+    rows = sel.limit(MAX_COLLECT_CODES + 1).collect()
+    if len(rows) > MAX_COLLECT_CODES:
+        return bounded_broadcast(sel, MAX_BROADCAST_CODES), None
+    listed = sorted({r[alias] for r in rows})
+    return F.broadcast(sel), (listed if len(listed) <= MAX_PREFILTER_CODES else None)
 
 
 def _criteria_label(criteria: str, first_n: int | None) -> str:

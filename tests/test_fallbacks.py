@@ -39,6 +39,7 @@ def test_fallbacks_equal_broadcast_paths(spark, monkeypatch):
     want_cond = _rows(tag_outcomes(adm, codes, "conditional"))
     monkeypatch.setattr(tagging, "MAX_BROADCAST_CODES", 0)
     monkeypatch.setattr(tagging, "MAX_PREFILTER_CODES", 0)
+    monkeypatch.setattr(tagging, "MAX_COLLECT_CODES", 0)
     assert _rows(tag_outcomes(adm, codes, "all")) == want_all
     assert _rows(tag_outcomes(adm, codes, "conditional")) == want_cond
 
