@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dxcohort.functions.arrays import dx_at, dx_slice
-from dxcohort.operators.tagging import MAX_SECONDARY_POS
+from dxcohort.functions.expressions import bounded_broadcast
+from dxcohort.operators.tagging import MAX_BROADCAST_CODES, MAX_SECONDARY_POS
 from dxcohort.schemas import ADMISSIONS
 
 KEYS = ["year", "bene_id", "adm_id", "outcome"]
@@ -34,7 +35,10 @@ def admissions_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def _role(codes: DataFrame, role: str, alias: str) -> DataFrame:
-    return F.broadcast(codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome"))
+    """Static codes side of the stream-static join, broadcast when a count
+    proves it small (the codes table is config-sized)."""
+    sel = codes.where(F.col("role") == role).select(F.col("code").alias(alias), "outcome")
+    return bounded_broadcast(sel, MAX_BROADCAST_CODES)
 
 
 def tag_stream(
