@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -24,6 +25,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="dxcohort-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
