@@ -108,3 +108,13 @@ def test_write_by_year_sorted_within_files(spark, tmp_path):
     write_by_year(df, path, sort_within=["county"])
     got = [r.county for r in spark.read.parquet(path).collect()]
     assert got == sorted(got)
+
+
+def test_read_glob_keeps_partition_column(spark, tmp_path):
+    from dxcohort.sources import read_glob
+
+    path = str(tmp_path / "g")
+    a = adm_rows(spark, [(1, 1, "1999-01-01", 1999, ["A"]), (2, 2, "2000-01-01", 2000, ["B"]), (3, 3, "2001-01-01", 2001, ["C"])])
+    write_by_year(a, path)
+    two = read_glob(spark, f"{path}/year=200*", base_path=path)
+    assert sorted((r.adm_id, r.year) for r in two.collect()) == [(2, 2000), (3, 2001)]
