@@ -152,7 +152,7 @@ def rule_order(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[str]:
     each rule reaches the driver."""
     ship(docs.sparkSession)
     ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(sample_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text").coalesce(1)
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text").repartition(1)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cost, hits = dict.fromkeys(RULES, 0.0), dict.fromkeys(RULES, 0)
