@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxcohort.llm import quality
+from dxcohort.llm import decontam, jaccard, quality
 from dxcohort.llm.common import table
 
 
@@ -16,11 +16,14 @@ def _on(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spar
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_ngram_jaccard_join": _on("documents", jaccard.op3_ngram_jaccard_join),
+        "op8_benchmark_decontamination": lambda spark, d: decontam.op8_benchmark_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
         "op6_quality_rules": _on("documents", quality.op6_quality_rules),
     }
 
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op3_ngram_jaccard_join": jaccard.ORACLE_SQL,
         "op6_quality_rules": quality.ORACLE_SQL,
     }
