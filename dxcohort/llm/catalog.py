@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dxcohort.llm import decontam, jaccard, quality
+import corpus_pipeline
+from dxcohort.llm import decontam, html, jaccard, licenses, pieces, pii, quality, secrets, separators, tokens
 from dxcohort.llm.common import table
 
 
@@ -14,11 +15,23 @@ def _on(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spar
     return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op8_benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_files": _on("documents", tokens.op1_token_files),
+        "op2_html_extraction": _on("pages", html.op2_html_extraction),
         "op3_ngram_jaccard_join": _on("documents", jaccard.op3_ngram_jaccard_join),
-        "op8_benchmark_decontamination": lambda spark, d: decontam.op8_benchmark_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
+        "op4_secret_scan": _on("documents", secrets.op4_secret_scan),
+        "op5_license_scan": _on("documents", licenses.op5_license_scan),
         "op6_quality_rules": _on("documents", quality.op6_quality_rules),
+        "op7_pii": _on("documents", pii.op7_pii),
+        "op8_benchmark_decontamination": _decontamination,
+        "op9_sentencepiece": _on("documents", pieces.op9_sentencepiece),
+        "op10_token_counts": _on("documents", separators.op10_token_counts),
+        "pipeline": corpus_pipeline.run,
     }
 
 

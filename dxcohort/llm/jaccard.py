@@ -291,10 +291,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
         parts.groupBy("doc_id").agg(F.max((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stay"), F.count("*").alias("c")),
         "op3-ids",
     )
-    leave, again = ids.where("not stay").select(F.col("doc_id").alias("_id")), ids.where("stay and c > 1").select(F.col("doc_id").alias("_id"))
+    key = "id"
+    while key in docs.columns:
+        key = "_" + key
+    leave, again = (ids.where(w).select(F.col("doc_id").alias(key)) for w in ("not stay", "stay and c > 1"))
     if leave.count() <= BROADCAST_IDS:
         leave = F.broadcast(leave)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key))
     rows = docs.join(leave, same, "left_anti")
     if again.take(1):
         rows = rows.join(again, same, "left_anti").union(rows.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
