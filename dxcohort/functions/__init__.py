@@ -1,4 +1,5 @@
-"""Column expressions (all built-in, JVM-side, inside whole-stage codegen)."""
+"""Column expressions: built-in, JVM-side functions. Higher-order ones
+(``exists``, ``filter``, ``transform``) are interpreted, the rest is compiled."""
 
 from dxcohort.functions.arrays import code_prefixes, dx_at, dx_slice
 from dxcohort.functions.expressions import (

@@ -61,6 +61,13 @@ def zero_pad(x: str | Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
 
+# A broadcast relation of more than this is not worth holding on the driver
+# and on every executor. Measured sizes of a hash relation per distinct key:
+BROADCAST_BYTES = 64 * 1024 * 1024
+LONG_KEY_BYTES = 112
+PAIR_KEY_BYTES = 160
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int, probe: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 

@@ -12,7 +12,8 @@ from dxcohort.functions.arrays import code_prefixes
 from dxcohort.functions.expressions import bounded_broadcast, zero_pad
 from dxcohort.sources.codelists import CODE_KEYS
 
-MAX_BROADCAST_PREFIXES = 2_000_000
+MAX_BROADCAST_PREFIXES = 500_000
+MAX_PATTERNS = 10_000
 
 
 def prefixes_frame(spark: SparkSession, config: Mapping) -> DataFrame:
@@ -30,41 +31,45 @@ def prefixes_frame(spark: SparkSession, config: Mapping) -> DataFrame:
     return spark.createDataFrame(sorted(set(rows)), "outcome string, system string, prefix string")
 
 
-def expand_prefixes(valid: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Every valid code of the same system that starts with a prefix
-    (``code LIKE 'p%'``), distinct, ordered by outcome, system, code.
-
-    Each valid code is expanded into its own prefixes, so the match is an
-    equi-join on ``(system, prefix)`` with the broadcast prefix list, not a
-    nested loop over codes x prefixes.
-    """
+def _by_prefix(valid: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Each valid code is expanded into its own prefixes, so the match is an
+    equi-join on ``(system, prefix)``, not a nested loop over codes x prefixes."""
     v = valid.select("code", "system", F.explode(code_prefixes("code")).alias("prefix"))
     p = bounded_broadcast(prefixes.select("outcome", "system", "prefix"), MAX_BROADCAST_PREFIXES)
-    return (
-        v.join(p, ["system", "prefix"])
-        .select("outcome", "system", "code")
-        .distinct()
-        .orderBy("outcome", "system", "code")
-    )
+    return v.join(p, ["system", "prefix"]).select("outcome", "system", "code")
+
+
+def expand_prefixes(valid: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Every valid code of the same system that starts with a prefix
+    (``code LIKE 'p%'``), distinct, ordered by outcome, system, code."""
+    return _by_prefix(valid, prefixes).distinct().orderBy("outcome", "system", "code")
 
 
 def expand_patterns(valid: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Valid codes matching the anchored alternation ``^(?:p1|p2|...)`` of
     each outcome and system; unique codes.
 
-    The alternation is assembled per (outcome, system) from that list only
-    (bounded by the list), then applied as a join condition on ``system``.
+    Plain prefixes (letters and digits) take the equi-join of
+    ``expand_prefixes``. Real patterns, if any, are read from the (config-sized,
+    at most ``MAX_PATTERNS``) list and tested row-locally, each outcome's
+    alternation a literal that is compiled once.
     """
-    pats = prefixes.groupBy("outcome", "system").agg(
-        F.concat(F.lit("^(?:"), F.array_join(F.collect_list("prefix"), "|"), F.lit(")")).alias("pattern")
-    )
-    pats = bounded_broadcast(pats, MAX_BROADCAST_PREFIXES)
-    return (
-        valid.join(pats, "system")
-        .where(F.expr("code RLIKE pattern"))
-        .select("outcome", "system", "code")
-        .distinct()
-    )
+    plain = F.col("prefix").rlike("^[A-Za-z0-9]*$")
+    found = _by_prefix(valid, prefixes.where(plain))
+    rest = prefixes.where(~plain).select("outcome", "system", "prefix").distinct().limit(MAX_PATTERNS + 1).collect()
+    if len(rest) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns")
+    if rest:
+        lists: dict[tuple[str, str], list[str]] = {}
+        for r in sorted(rest):
+            lists.setdefault((r["outcome"], r["system"]), []).append(r["prefix"])
+        hits = [
+            F.when((F.col("system") == system) & F.col("code").rlike("^(?:" + "|".join(patterns) + ")"), F.lit(outcome))
+            for (outcome, system), patterns in lists.items()
+        ]
+        outcome = F.explode(F.array_compact(F.array(*hits))).alias("outcome")
+        found = found.unionByName(valid.select(outcome, "system", "code"))
+    return found.distinct()
 
 
 def codes_in_ranges(valid: DataFrame, ranges: Sequence[tuple[int, str, str]]) -> DataFrame:
@@ -77,12 +82,15 @@ def codes_in_ranges(valid: DataFrame, ranges: Sequence[tuple[int, str, str]]) ->
     return valid.where(cond)
 
 
-def observed_codes(admissions: DataFrame, pattern: str) -> DataFrame:
-    """Distinct diagnosis codes ``LIKE pattern`` over all years, sorted.
+def observed_codes(admissions: DataFrame, pattern: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Distinct diagnosis codes ``LIKE pattern`` over all (or the given)
+    years, sorted.
 
     The array is filtered before it is exploded, so only matching codes are
     generated; the distinct step aggregates map-side first.
     """
+    if years is not None:
+        admissions = admissions.where(F.col("year").isin(list(years)))
     matching = F.filter("diagnoses", lambda d: d.like(pattern))
     return (
         admissions.select(F.explode(matching).alias("code"))

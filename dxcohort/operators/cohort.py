@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Person ids are 8 bytes: 20M of them make a hash relation of a few hundred
-# MB, far cheaper to broadcast than shuffling every admission column.
-MAX_BROADCAST_PERSONS = 20_000_000
+from dxcohort.functions.expressions import BROADCAST_BYTES, LONG_KEY_BYTES
+from dxcohort.session import materialize
+
+# Up to this many distinct persons (64 MB as a hash relation) are broadcast.
+MAX_BROADCAST_PERSONS = BROADCAST_BYTES // LONG_KEY_BYTES
 
 
 def cohort_subset(
@@ -18,17 +20,16 @@ def cohort_subset(
 ) -> DataFrame:
     """Every admission (all columns, any year) of persons with the outcome.
 
-    A left semi join against the persons: no fan-out. When a row count
-    proves at most ``max_broadcast_persons`` ids they are broadcast, so the
-    (wide, huge) admissions are never shuffled; beyond that a sort-merge
-    semi join runs, with skewed partitions split by AQE.
+    A left semi join against the distinct persons: no fan-out. They are
+    written once; if they are at most ``max_broadcast_persons`` they are
+    broadcast, so the (wide, huge) admissions are never shuffled. Beyond that
+    the join is left to Spark, with skewed partitions split by AQE; a bound
+    of 0 asks for that without writing or counting.
     """
     persons = outcomes if outcome is None else outcomes.where(F.col("outcome") == F.lit(outcome))
-    ids = persons.select("bene_id")
-    if ids.count() <= max_broadcast_persons:
-        # no distinct step: a semi-join's broadcast relation skips repeated keys
-        people = F.broadcast(ids)
-    else:
-        # distinct persons: partial aggregation shrinks the side to shuffle
-        people = ids.distinct()
+    people = persons.select("bene_id").distinct()
+    if max_broadcast_persons > 0:
+        people = materialize(people, "persons")
+        if people.count() <= max_broadcast_persons:
+            people = F.broadcast(people)
     return admissions.join(people, "bene_id", "left_semi").select(*admissions.columns)

@@ -1,11 +1,11 @@
 """Outcome counts by year, by area, and by area x demographic stratum.
 
 Counts are per tagged row (admission), not per person. Area and stratified
-counts first collapse the tagged rows to one wide row per person-year
-(``count_if`` per outcome). That aggregate has a map-side partial step, so
-a person with very many tagged rows never becomes a hot join key, and its
-output is already hash-partitioned on ``(bene_id, year)``, the key of the
-join with the person-year table. Only that table is shuffled for the join.
+counts first collapse the tagged rows to one row per person-year and outcome
+and write that (small) table: the aggregate has a map-side partial step, so a
+person with very many tagged rows never becomes a hot join key, and outcome
+names, broadcast keys and the join all read the written table, so the tagged
+rows' own lineage runs once.
 """
 
 from __future__ import annotations
@@ -17,20 +17,23 @@ from pyspark.sql import functions as F
 
 from dxcohort.functions.expressions import (
     AGE_BANDS,
+    BROADCAST_BYTES,
     DUAL_DOMAIN,
+    PAIR_KEY_BYTES,
     RACE_DOMAIN,
     SEX_DOMAIN,
     age_band,
     with_strata,
 )
 from dxcohort.schemas import need
+from dxcohort.session import materialize
 from dxcohort.sources.readers import bounded_values
 
 STRATA = ["age_grp", "sex", "race", "dual"]
 
-# (bene_id, year) keys are 12 bytes: up to this many tagged person-years are
+# Up to this many distinct tagged person-years (64 MB as a hash relation) are
 # broadcast to filter the person-year table row-locally before the join.
-MAX_BROADCAST_PERSON_YEARS = 10_000_000
+MAX_BROADCAST_PERSON_YEARS = BROADCAST_BYTES // PAIR_KEY_BYTES
 
 
 def _c(name: str) -> Column:
@@ -62,21 +65,40 @@ def person_year_counts(outcomes: DataFrame, outcome_list: Sequence[str]) -> Data
     )
 
 
+def collapsed(outcomes: DataFrame) -> DataFrame:
+    """Tagged rows ``n`` of each (person, year, outcome), written once."""
+    return materialize(
+        outcomes.groupBy("bene_id", "year", "outcome").agg(F.count(F.lit(1)).alias("n")), "person_year_outcomes"
+    )
+
+
+def _wide(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``collapsed`` rows with one column for each outcome."""
+    return rows.groupBy("bene_id", "year").agg(
+        *[F.coalesce(F.sum(F.when(F.col("outcome") == F.lit(o), F.col("n"))), F.lit(0)).alias(o) for o in names]
+    )
+
+
 def people_of(outcomes: DataFrame, people: DataFrame, max_keys: int = MAX_BROADCAST_PERSON_YEARS) -> DataFrame:
     """The person-year rows of tagged persons only.
 
-    A row count of the tagged rows bounds their distinct person-years; below
-    ``max_keys`` the keys are broadcast and semi-join ``people`` row-locally,
-    so a rare outcome never shuffles the whole person-year table. Exact:
-    the inner join that follows drops the other rows anyway.
+    Up to ``max_keys`` distinct person-years are broadcast and semi-join
+    ``people`` row-locally, so a rare outcome never shuffles the whole
+    person-year table; beyond that ``people`` is returned as it is. Exact:
+    the join that follows drops the other rows anyway. ``outcomes`` is read
+    twice: pass a written table (see ``collapsed``).
     """
-    keys = outcomes.select("bene_id", "year")
-    if keys.count() <= max_keys:
-        # no distinct step: a semi-join's broadcast relation skips repeated keys
+    keys = outcomes.select("bene_id", "year").distinct()
+    if max_keys > 0 and keys.count() <= max_keys:
         return people.join(F.broadcast(keys), ["bene_id", "year"], "left_semi")
     return people
 
 
+def _of_years(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """Rows of ``years``: prunes year partitions before anything else reads them."""
+    return df if years is None else df.where(F.col("year").isin(list(years)))
+
+
 def area_counts(
     outcomes: DataFrame,
     denom: DataFrame,
@@ -93,16 +115,15 @@ def area_counts(
     need(outcomes, ["bene_id", "year", "outcome"], "outcomes")
     need(denom, ["bene_id", "year", "zcta"], "denom")
     need(spine, ["zcta", "year"], "spine")
-    names = _outcome_list(outcomes, outcome_list)
-    per_person = person_year_counts(outcomes, names)
-    people = people_of(outcomes, denom.select("bene_id", "year", "zcta"))
+    rows = collapsed(_of_years(outcomes, years))
+    names = _outcome_list(rows, outcome_list)
+    people = people_of(rows, _of_years(denom, years).select("bene_id", "year", "zcta"))
     by_area = (
-        per_person.join(people, ["bene_id", "year"])
+        _wide(rows, names).join(people, ["bene_id", "year"])
         .groupBy("zcta", "year")
         .agg(*[F.sum(_c(o)).alias(o) for o in names])
     )
-    sp = spine if years is None else spine.where(F.col("year").isin(list(years)))
-    sp = sp.groupBy("zcta", "year").agg(F.count(F.lit(1)).alias("_m"))
+    sp = _of_years(spine, years).groupBy("zcta", "year").agg(F.count(F.lit(1)).alias("_m"))
     joined = sp.join(by_area, ["zcta", "year"], "left")
     return joined.select(
         "zcta",
@@ -111,25 +132,37 @@ def area_counts(
     )
 
 
-def area_drop_report(outcomes: DataFrame, denom: DataFrame, spine: DataFrame) -> DataFrame:
-    """Tagged rows that area counts cannot place, per year and outcome:
-    no person-year, NULL area, or an area-year off the spine.
+def area_drop_report(
+    outcomes: DataFrame, denom: DataFrame, spine: DataFrame, years: Sequence[int] | None = None
+) -> DataFrame:
+    """Tagged rows that area counts cannot place, per year and outcome: no
+    person-year, no area in any of the person-year's rows, or no area of
+    them on the spine. (A person-year listed with two areas is placed if one
+    of them is on the spine.)
 
-    Person-year and spine keys are unique after their distinct steps, so
-    the left joins do not fan out; each join moves the tagged rows once.
+    Tagged rows are collapsed to person-years first, and rows without an
+    area never enter a join, so neither a person nor the NULL area is hot.
     """
-    people = people_of(outcomes, denom.select("bene_id", "year", "zcta")).dropDuplicates(["bene_id", "year"])
-    spine_keys = spine.select("zcta", "year").distinct().withColumn("_on_spine", F.lit(True))
-    placed = (
-        outcomes.select("bene_id", "year", "outcome")
-        .join(people.withColumn("_has_person", F.lit(True)), ["bene_id", "year"], "left")
-        .join(spine_keys, ["zcta", "year"], "left")
+    rows = collapsed(_of_years(outcomes, years))
+    people = people_of(rows, _of_years(denom, years).select("bene_id", "year", "zcta"))
+    keys = _of_years(spine, years).select("zcta", "year").distinct()
+    on_spine = (
+        people.where(F.col("zcta").isNotNull())
+        .join(keys, ["zcta", "year"], "left_semi")
+        .select("bene_id", "year", F.lit(True).alias("_on_spine"))
+        .distinct()
     )
+    known = people.groupBy("bene_id", "year").agg(F.max(F.col("zcta").isNotNull()).alias("_has_area"))
+    placed = rows.join(known, ["bene_id", "year"], "left").join(on_spine, ["bene_id", "year"], "left")
+
+    def total(cond: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).alias(name)
+
     return placed.groupBy("year", "outcome").agg(
-        F.count(F.lit(1)).alias("n_tagged"),
-        F.count_if(F.col("_has_person").isNull()).alias("n_no_person"),
-        F.count_if(F.col("_has_person") & F.col("zcta").isNull()).alias("n_null_area"),
-        F.count_if(F.col("zcta").isNotNull() & F.col("_on_spine").isNull()).alias("n_off_spine"),
+        F.sum("n").alias("n_tagged"),
+        total(F.col("_has_area").isNull(), "n_no_person"),
+        total(~F.col("_has_area"), "n_null_area"),
+        total(F.col("_has_area") & F.col("_on_spine").isNull(), "n_off_spine"),
     )
 
 
@@ -163,11 +196,14 @@ def _stratum_key(age_grp: Column, sex: Column, race: Column, dual: Column) -> Co
 def strat_observed(outcomes: DataFrame, denom: DataFrame, outcome_list: Sequence[str]) -> DataFrame:
     """Counts of the strata that occur: ``zcta, year, age_grp, sex, race,
     dual`` + one column per outcome (before the spine is applied)."""
-    per_person = person_year_counts(outcomes, outcome_list)
+    return _observed(collapsed(outcomes), denom, outcome_list)
+
+
+def _observed(rows: DataFrame, denom: DataFrame, names: Sequence[str]) -> DataFrame:
     return (
-        per_person.join(people_of(outcomes, stratify(denom)), ["bene_id", "year"])
+        _wide(rows, names).join(people_of(rows, stratify(denom)), ["bene_id", "year"])
         .groupBy("year", "zcta", *STRATA)
-        .agg(*[F.sum(_c(o)).alias(o) for o in outcome_list])
+        .agg(*[F.sum(_c(o)).alias(o) for o in names])
     )
 
 
@@ -192,13 +228,11 @@ def strat_counts(
     need(outcomes, ["bene_id", "year", "outcome"], "outcomes")
     need(denom, ["bene_id", "year", "zcta", "age_dob", "sex", "race", "dual"], "denom")
     need(spine, ["zcta"], "spine")
-    names = _outcome_list(outcomes, outcome_list)
-    if years is not None:
-        # prune year partitions of both inputs (nothing to infer from a literal spine)
-        outcomes = outcomes.where(F.col("year").isin(list(years)))
-        denom = denom.where(F.col("year").isin(list(years)))
+    denom = _of_years(denom, years)
+    rows = collapsed(_of_years(outcomes, years))
+    names = _outcome_list(rows, outcome_list)
     yrs = list(years) if years is not None else bounded_values(denom, "year", 1000)
-    observed = strat_observed(outcomes, denom, names).where(_in_domain())
+    observed = _observed(rows, denom, names).where(_in_domain())
     key = _stratum_key(F.col("age_grp"), F.col("sex"), F.col("race"), F.col("dual"))
     cells = observed.groupBy("zcta", "year").agg(
         F.map_from_entries(

@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dxcohort.functions.expressions import BROADCAST_BYTES, LONG_KEY_BYTES
 from dxcohort.operators.numbering import row_number_skew_safe
 from dxcohort.schemas import need
+from dxcohort.session import materialize
 
 DATE_COLS = ["admission_date", "discharge_date"]
 
-# Admission ids are 8 bytes: up to this many tagged ids are broadcast to
-# filter the admissions row-locally before the date lookup.
-MAX_BROADCAST_IDS = 20_000_000
+# Up to this many distinct tagged ids (64 MB as a hash relation) are broadcast
+# to filter the admissions row-locally before the date lookup.
+MAX_BROADCAST_IDS = BROADCAST_BYTES // LONG_KEY_BYTES
 
 
 def attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
     """Admission and discharge dates of each tagged row, in one join on
     ``adm_id`` (admission ids must be unique; ``audit_duplicates`` checks).
 
-    Only three narrow columns of the admissions are read. When a row count
-    proves at most ``max_broadcast_ids`` tagged ids, the ids are broadcast and semi-join the admissions row-locally, so only the matching
-    admissions reach the join (no shuffle of the admissions); otherwise a
-    sort-merge join runs.
+    The tagged rows are written once, so their lineage runs once. Only three
+    narrow columns of the admissions are read. Up to ``max_broadcast_ids``
+    distinct tagged ids are broadcast (a broadcast keeps repeated keys, hence
+    the distinct) and semi-join the admissions row-locally, so only the
+    matching admissions reach the join; beyond that the join is left to Spark.
     """
+    return _attach_dates(materialize(outcomes, "tagged"), admissions, max_broadcast_ids)
+
+
+def _attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """``attach_dates`` of a written table."""
     dates = admissions.select("adm_id", *DATE_COLS)
-    ids = outcomes.select("adm_id")
-    if ids.count() <= max_broadcast_ids:
-        # no distinct step: a semi-join's broadcast relation skips repeated keys
+    ids = outcomes.select("adm_id").distinct()
+    if max_broadcast_ids > 0 and ids.count() <= max_broadcast_ids:
         dates = dates.join(F.broadcast(ids), "adm_id", "left_semi")
     return outcomes.join(dates, "adm_id").select(*outcomes.columns, *DATE_COLS)
 
@@ -44,7 +51,10 @@ def index_outcomes(
     ``outcomes`` are tagged rows of any years. Without ``admissions`` they
     must already carry ``admission_date`` and ``discharge_date`` (e.g. tagged
     with ``carry=DATE_COLS``), which saves the second scan of the admissions.
-    Ties on the date are broken by ``adm_id``; NULL dates sort last.
+    Ties on the date are broken by ``adm_id``, ``year`` and ``diagnoses`` (which
+    conditional rows may differ in alone); NULL dates sort last. The rows are
+    written once, so finding heavy groups and numbering share one run of
+    their lineage.
 
     Returns the tagged columns followed by ``discharge_year,
     admission_date, discharge_date, outcome_index``.
@@ -57,10 +67,18 @@ def index_outcomes(
     if outcome is not None:
         outcomes = outcomes.where(F.col("outcome") == F.lit(outcome))
     base_cols = [c for c in outcomes.columns if c not in DATE_COLS]
-    dated = attach_dates(outcomes.select(*base_cols), admissions) if admissions is not None else outcomes
+    if admissions is not None:
+        outcomes = materialize(outcomes.select(*base_cols), "tagged")
+        dated = _attach_dates(outcomes, admissions)
+    else:
+        if heavy_rows is not None:
+            outcomes = materialize(outcomes, "tagged")
+        dated = outcomes
     order = [F.col("admission_date").asc_nulls_last(), F.col("adm_id").asc()]
     if "year" in dated.columns:
         order.append(F.col("year").asc())
+    if "diagnoses" in dated.columns:
+        order.append(F.col("diagnoses").asc())
     numbered = row_number_skew_safe(
         dated,
         ["outcome", "bene_id"],

@@ -13,43 +13,54 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dxcohort.session import ensure_checkpoint_dir
+from dxcohort.functions.expressions import BROADCAST_BYTES, PAIR_KEY_BYTES
+from dxcohort.session import ensure_checkpoint_dir, materialize
 
 # Target rows per task when numbering heavy groups (narrow rows: ~0.5 GB).
 ROWS_PER_TASK = 5_000_000
 
 
+# Group keys (with their estimate) up to this many are broadcast; more shuffle.
+MAX_BROADCAST_GROUPS = BROADCAST_BYTES // PAIR_KEY_BYTES
+
+
 def heavy_groups(
     df: DataFrame,
     group_cols: Sequence[str],
     heavy_rows: int,
     sample_fraction: float = 0.01,
-    max_groups: int = 10_000,
     seed: int = 17,
-) -> list[tuple[tuple, int]]:
+) -> DataFrame:
     """Groups estimated (from a sample) to hold at least ``heavy_rows`` rows,
-    with their estimated row counts.
+    and ``est``, their estimated row counts; written once.
 
-    At most ``max_groups`` (the heaviest) are returned; every other group is
-    still numbered exactly by the window path.
+    All of them: their number is bounded by the rows over ``heavy_rows``.
     """
     sampled = df.select(*group_cols)
     if sample_fraction < 1.0:
         sampled = sampled.sample(fraction=sample_fraction, seed=seed)
     min_hits = max(1, int(heavy_rows * sample_fraction))
-    counts = (
-        sampled.groupBy(*group_cols)
-        .count()
-        .where(F.col("count") >= min_hits)
-        .orderBy(F.desc("count"))
-        .limit(max_groups)
-    )
     scale = 1.0 / sample_fraction if sample_fraction < 1.0 else 1.0
-    return [(tuple(r[c] for c in group_cols), int(r["count"] * scale)) for r in counts.collect()]
+    counts = sampled.groupBy(*group_cols).count().where(F.col("count") >= min_hits)
+    return materialize(counts.select(*group_cols, (F.col("count") * scale).cast("long").alias("est")), "heavy_groups")
+
+
+def _renamed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with other names for ``cols``, to join on them null-safe."""
+    names = [f"_key{i}" for i in range(len(cols))]
+    for c, n in zip(cols, names):
+        df = df.withColumnRenamed(c, n)
+    return df, names
+
+
+def _same(cols: Sequence[str], names: Sequence[str]) -> Column:
+    """Equality that holds for NULLs: a NULL group can be heavy too."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(cols, names)])
 
 
 def _number_heavy(
@@ -73,8 +84,7 @@ def _number_heavy(
     # Materialise in the shared checkpoint folder: both consumers below must
     # see the same partition ids, and recovery must not renumber.
     ranged = ranged.checkpoint(eager=True)
-    # Contiguous ranges: (group, task) pairs <= groups + tasks, so this
-    # table is small whatever the data size.
+    # Contiguous ranges: (group, task) pairs <= groups + tasks.
     slices = ranged.groupBy(*group_cols, "_pid").agg(
         F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
@@ -82,13 +92,14 @@ def _number_heavy(
         Window.unboundedPreceding, -1
     )
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    numbered = ranged.join(
-        F.broadcast(slices.select(*group_cols, "_pid", "_first", "_offset")),
-        [*group_cols, "_pid"],
-    )
+    slices = materialize(slices.select(*group_cols, F.col("_pid").alias("_slice"), "_first", "_offset"), "slices")
+    side, names = _renamed(slices, group_cols)
+    if slices.count() <= MAX_BROADCAST_GROUPS:
+        side = F.broadcast(side)
+    numbered = ranged.join(side, _same(group_cols, names) & (F.col("_pid") == F.col("_slice")))
     return numbered.withColumn(
         out_col, (F.col("_offset") + F.col("_mono") - F.col("_first") + 1).cast("int")
-    ).drop("_pid", "_mono", "_first", "_offset")
+    ).drop("_pid", "_mono", "_first", "_offset", "_slice", *names)
 
 
 def row_number_skew_safe(
@@ -98,7 +109,6 @@ def row_number_skew_safe(
     out_col: str,
     heavy_rows: int | None = 5_000_000,
     sample_fraction: float = 0.01,
-    max_groups: int = 10_000,
     detect_on: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)``.
@@ -109,21 +119,16 @@ def row_number_skew_safe(
     (e.g. the input of a 1:1 join rather than its output).
     """
     window = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    heavy = (
-        heavy_groups(detect_on if detect_on is not None else df, group_cols, heavy_rows, sample_fraction, max_groups)
-        if heavy_rows is not None
-        else []
-    )
-    if not heavy:
+    if heavy_rows is None:
         return df.withColumn(out_col, F.row_number().over(window))
-    schema = df.select(*group_cols).schema
-    # bounded by max_groups keys: a small broadcast
-    heavy_df = F.broadcast(df.sparkSession.createDataFrame([k for k, _ in heavy], schema))
-    light = df.join(heavy_df, list(group_cols), "left_anti").withColumn(
-        out_col, F.row_number().over(window)
-    )
-    est_rows = sum(n for _, n in heavy)
-    hot = _number_heavy(
-        df.join(heavy_df, list(group_cols), "left_semi"), group_cols, order_cols, out_col, est_rows
-    )
+    heavy = heavy_groups(detect_on if detect_on is not None else df, group_cols, heavy_rows, sample_fraction)
+    found = heavy.agg(F.count(F.lit(1)).alias("n"), F.sum("est").alias("rows")).first()
+    if not found["n"]:
+        return df.withColumn(out_col, F.row_number().over(window))
+    side, names = _renamed(heavy.select(*group_cols), group_cols)
+    if found["n"] <= MAX_BROADCAST_GROUPS:
+        side = F.broadcast(side)
+    same = _same(group_cols, names)
+    light = df.join(side, same, "left_anti").withColumn(out_col, F.row_number().over(window))
+    hot = _number_heavy(df.join(side, same, "left_semi"), group_cols, order_cols, out_col, found["rows"])
     return light.unionByName(hot.select(*light.columns))

@@ -84,6 +84,18 @@ def tag_any(
     )
 
 
+def conditional_matches(first: DataFrame, codes: DataFrame, max_secondary_pos: int) -> DataFrame:
+    """Rows of ``first`` (with ``diagnoses`` and ``_p``, its first code) that
+    meet an outcome's primary and secondary lists. Both sides are bounded by
+    the lists and broadcast when a count proves them small."""
+    primary = codes.where(F.col("role") == "primary").select(F.col("code").alias("_p"), "outcome").distinct()
+    secondary = codes.where(F.col("role") == "secondary").groupBy("outcome").agg(F.collect_set("code").alias("_secondary"))
+    met = first.join(bounded_broadcast(primary, MAX_BROADCAST_CODES, probe=codes), "_p").join(
+        bounded_broadcast(secondary, MAX_BROADCAST_CODES, probe=codes), "outcome"
+    )
+    return met.where(F.arrays_overlap(dx_slice("diagnoses", 2, max_secondary_pos), F.col("_secondary")))
+
+
 def tag_conditional(
     admissions: DataFrame,
     codes: DataFrame,
@@ -93,23 +105,14 @@ def tag_conditional(
     """Position 1 in the primary list AND any of positions 2..max in the
     secondary list of the same outcome.
 
-    The primary test is a row-local broadcast join on ``diagnoses[1]``; only
-    admissions that pass it are exploded for the secondary test. Rows are
-    distinct on ``(bene_id, adm_id, diagnoses)`` per outcome and year.
+    Both tests are row-local: a broadcast join on ``diagnoses[1]`` gives the
+    outcome, another one its secondary codes as an array, and positions
+    2..max must overlap that array. No array is exploded. Rows are distinct on
+    ``(bene_id, adm_id, diagnoses)`` per outcome and year.
     """
-    primary = dx_at("diagnoses", 1)
-    first = admissions.select(*KEYS, "year", "diagnoses", *carry, primary.alias("_p")).join(
-        _codes(codes, "primary", "_p")[0], "_p"
-    )
-    second = first.select(
-        *KEYS,
-        "year",
-        "diagnoses",
-        "outcome",
-        *carry,
-        F.explode(dx_slice("diagnoses", 2, max_secondary_pos)).alias("_s"),
-    ).join(_codes(codes, "secondary", "_s")[0], ["outcome", "_s"])
-    distinct = second.select(*KEYS, "year", "diagnoses", "outcome", *carry).dropDuplicates(
+    first = admissions.select(*KEYS, "year", "diagnoses", *carry, dx_at("diagnoses", 1).alias("_p"))
+    both = conditional_matches(first, codes, max_secondary_pos)
+    distinct = both.select(*KEYS, "year", "diagnoses", "outcome", *carry).dropDuplicates(
         ["year", *KEYS, "diagnoses", "outcome"]
     )
     return distinct.select(
@@ -157,12 +160,14 @@ def tag_outcomes(
 
 
 def conditional_outcomes(
-    admissions: DataFrame, codes: DataFrame, max_secondary_pos: int = MAX_SECONDARY_POS
+    admissions: DataFrame, codes: DataFrame, max_secondary_pos: int = MAX_SECONDARY_POS, with_year: bool = False
 ) -> DataFrame:
     """Stand-alone conditional tagging: ``bene_id, adm_id, diagnoses,
-    primary_dx, secondary_dx, outcome`` (no criteria label, no year)."""
+    primary_dx, secondary_dx, outcome`` (no criteria label) and, with
+    ``with_year``, the year each row belongs to."""
+    year = ["year"] if with_year else []
     return tag_conditional(admissions, codes, max_secondary_pos).select(
-        *KEYS, "diagnoses", "primary_dx", "secondary_dx", "outcome"
+        *KEYS, "diagnoses", "primary_dx", "secondary_dx", "outcome", *year
     )
 
 

@@ -46,6 +46,7 @@ from dxcohort.session import scratch_path
 from dxcohort.sources import (
     code_list_table,
     codes_frame,
+    load_code_lists,
     outcomes_present,
     read_csv_strings,
     read_glob,
@@ -73,6 +74,7 @@ FAMILIES = [("fam", "icd10", "E", 1, 12, 2), ("fam", "icd10", "P", 45, 51, 2)]
 OBSERVED_PATTERN = "E%"
 RELOADED_SOURCE = "1-URGENT"
 PROFILE_YEAR = 1998
+HEAVY_ROWS = 100  # the 1 % sample then finds a group heavy by a single row
 # ---------------------------------------------------------------------------
 
 
@@ -150,6 +152,10 @@ def q_tag_conditional_only(i: Inputs) -> DataFrame:
     return conditional_outcomes(i.admissions(), i.codes("cond"))
 
 
+def q_tag_conditional_years(i: Inputs) -> DataFrame:
+    return conditional_outcomes(i.admissions(), i.codes("cond", "cond2"), with_year=True)
+
+
 def q_tag_multi_outcome(i: Inputs) -> DataFrame:
     return i.tagged("all", None)
 
@@ -158,6 +164,12 @@ def q_codes_prefix_expand(i: Inputs) -> DataFrame:
     return expand_prefixes(i.valid(), i.prefixes())
 
 
+def q_codes_prefix_ordered(i: Inputs) -> DataFrame:
+    """With each row's place, so that the order is compared as well."""
+    ordered = expand_prefixes(i.valid(), i.prefixes())
+    return ordered.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
 def q_codes_regex_expand(i: Inputs) -> DataFrame:
     return expand_patterns(i.valid(), i.prefixes())
 
@@ -186,6 +198,15 @@ def q_outcome_index_profile(i: Inputs) -> DataFrame:
     return index_profile(index_outcomes(i.tagged("first_n", FIRST_N, "mixed"), i.admissions()))
 
 
+def q_outcome_index_heavy(i: Inputs) -> DataFrame:
+    """The range path of the numbering, with a heavy NULL person."""
+    adm = i.admissions()
+    tagged = tag_outcomes(adm, i.codes("mixed"), "all", carry=["admission_date", "discharge_date"])
+    lost = tagged.withColumn("bene_id", F.when(F.col("bene_id") % 4 != 0, F.col("bene_id")))
+    # text: a nullable integer converts to different pandas dtypes per engine
+    return index_outcomes(lost, heavy_rows=HEAVY_ROWS).withColumn("bene_id", F.col("bene_id").cast("string"))
+
+
 def q_outcomes_present(i: Inputs) -> DataFrame:
     return outcomes_present(i.tagged("all", None), PROFILE_YEAR)
 
@@ -202,8 +223,13 @@ def q_year_counts_wide(i: Inputs) -> DataFrame:
     return year_counts_wide(i.tagged("all", None), ANY_OUTCOMES)
 
 
+def _counted(i: Inputs) -> DataFrame:
+    """Tagged rows of customers and strangers, for the counts."""
+    return fx.with_strangers(i.tagged("all", None))
+
+
 def _area(i: Inputs) -> DataFrame:
-    return area_counts(i.tagged("all", None), i.denom(), i.spine(), ANY_OUTCOMES, i.years)
+    return area_counts(_counted(i), i.denom(), i.spine(), ANY_OUTCOMES, i.years)
 
 
 def q_area_counts(i: Inputs) -> DataFrame:
@@ -219,11 +245,15 @@ def q_area_counts_by_year(i: Inputs) -> DataFrame:
 
 
 def q_area_counts_dropped(i: Inputs) -> DataFrame:
-    return area_drop_report(i.tagged("all", None), i.denom(), i.spine())
+    return area_drop_report(_counted(i), i.denom(), i.spine())
+
+
+def _strat(i: Inputs) -> DataFrame:
+    return strat_counts(_counted(i), i.denom(), i.spine(), ANY_OUTCOMES, i.years)
 
 
 def q_strat_counts(i: Inputs) -> DataFrame:
-    return strat_counts(i.tagged("all", None), i.denom(), i.spine(), ANY_OUTCOMES, i.years)
+    return _strat(i)
 
 
 def q_strat_domain_spine(i: Inputs) -> DataFrame:
@@ -238,6 +268,14 @@ def q_county_counts(i: Inputs) -> DataFrame:
     return county_counts(_area(i), i.weights(), ANY_OUTCOMES)
 
 
+def q_county_counts_profile(i: Inputs) -> DataFrame:
+    return counts_profile(county_counts(_area(i), i.weights(), ANY_OUTCOMES))
+
+
+def q_strat_counts_profile(i: Inputs) -> DataFrame:
+    return counts_profile(_strat(i))
+
+
 def q_cohort_subset(i: Inputs) -> DataFrame:
     return cohort_subset(i.admissions(), i.tagged("first_n", FIRST_N, "mixed"))
 
@@ -252,6 +290,14 @@ def q_duplicate_audit_reload(i: Inputs) -> DataFrame:
     return audit_duplicates(adm.unionByName(reloaded))
 
 
+def q_duplicate_audit_null_years(i: Inputs) -> DataFrame:
+    adm = i.admissions()
+    both = adm.unionByName(adm.where(F.col("adm_source") == RELOADED_SOURCE))
+    return audit_duplicates(both.withColumn("year", F.when(F.col("adm_id") % 3 != 0, F.col("year")))).select(
+        F.coalesce(F.col("year").cast("string"), F.lit("none")).alias("year"), "duplicate_count"
+    )
+
+
 def q_outcome_denominator_join(i: Inputs) -> DataFrame:
     t = i.tagged("first_n", FIRST_N, "mixed")
     return t.join(i.denom().select("bene_id", "year", "zcta"), ["bene_id", "year"]).select(
@@ -335,6 +381,41 @@ def q_io_multi_year_glob(i: Inputs) -> DataFrame:
     return year_counts_long(read_glob(i.spark, f"{path}/year=*", base_path=path))
 
 
+def q_io_csv_two_runs(i: Inputs) -> DataFrame:
+    """CSV years written in two runs into one dataset."""
+    path = scratch_path(i.spark, "csv_years")
+    tagged = i.tagged("all", None)
+    half = len(i.years) // 2
+    for years in (i.years[:half], i.years[half:]):
+        write_by_year(tagged.where(F.col("year").isin(years)), path, "csv")
+    return read_csv_strings(i.spark, path)
+
+
+def q_io_index_two_runs(i: Inputs) -> DataFrame:
+    """Two outcomes indexed one by one into one dataset, per year and outcome."""
+    out, path = scratch_path(i.spark, "outcomes"), scratch_path(i.spark, "indexed")
+    write_by_year(i.tagged("all", None), out, keys=("year", "outcome"))
+    adm = i.admissions()
+    for name in ("mixed", "econ"):
+        write_by_year(index_outcomes(read_table(i.spark, out), adm, name), path, keys=("year", "outcome"))
+    return read_table(i.spark, path)
+
+
+def q_io_spine_file(i: Inputs) -> DataFrame:
+    """Area counts over a spine that is read from a file."""
+    path = scratch_path(i.spark, "spine")
+    write_parquet(i.spine(), path)
+    return area_counts(_counted(i), i.denom(), read_table(i.spark, path), ANY_OUTCOMES)
+
+
+def q_io_code_list_tag(i: Inputs) -> DataFrame:
+    """Expand prefixes, write the list, load it, tag with it."""
+    path = scratch_path(i.spark, "derived_list")
+    expanded = expand_prefixes(i.valid(), i.prefixes())
+    write_code_list(code_list_table(expanded, {k: f"Expanded {k}" for k in PREFIX_LISTS}), path)
+    return tag_outcomes(i.admissions(), codes_frame(i.spark, load_code_lists(path, i.spark)), "all")
+
+
 def q_io_csv_outcomes(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "cond_csv")
     write_csv(i.tagged("conditional", None, "cond"), path)
@@ -346,8 +427,10 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "tag_first_n": q_tag_first_n,
     "tag_conditional": q_tag_conditional,
     "tag_conditional_only": q_tag_conditional_only,
+    "tag_conditional_years": q_tag_conditional_years,
     "tag_multi_outcome": q_tag_multi_outcome,
     "codes_prefix_expand": q_codes_prefix_expand,
+    "codes_prefix_ordered": q_codes_prefix_ordered,
     "codes_regex_expand": q_codes_regex_expand,
     "codes_range": q_codes_range,
     "codes_observed": q_codes_observed,
@@ -355,6 +438,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "codes_sizes": q_codes_sizes,
     "outcome_index": q_outcome_index,
     "outcome_index_profile": q_outcome_index_profile,
+    "outcome_index_heavy": q_outcome_index_heavy,
     "outcomes_present": q_outcomes_present,
     "years_present": q_years_present,
     "year_counts_long": q_year_counts_long,
@@ -367,9 +451,12 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "strat_domain_spine": q_strat_domain_spine,
     "age_bands": q_age_bands,
     "county_counts": q_county_counts,
+    "county_counts_profile": q_county_counts_profile,
+    "strat_counts_profile": q_strat_counts_profile,
     "cohort_subset": q_cohort_subset,
     "duplicate_audit": q_duplicate_audit,
     "duplicate_audit_reload": q_duplicate_audit_reload,
+    "duplicate_audit_null_years": q_duplicate_audit_null_years,
     "outcome_denominator_join": q_outcome_denominator_join,
     "secondary_slice": q_secondary_slice,
     "workflow_tag_to_county": q_workflow_tag_to_county,
@@ -382,6 +469,10 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "io_cohort_export": q_io_cohort_export,
     "io_multi_year_glob": q_io_multi_year_glob,
     "io_csv_outcomes": q_io_csv_outcomes,
+    "io_csv_two_runs": q_io_csv_two_runs,
+    "io_index_two_runs": q_io_index_two_runs,
+    "io_spine_file": q_io_spine_file,
+    "io_code_list_tag": q_io_code_list_tag,
 }
 
 

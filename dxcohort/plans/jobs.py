@@ -2,7 +2,10 @@
 
 Each job covers all years in one Spark job (the year is a partition column)
 and writes with dynamic partition overwrite, so re-running some years only
-replaces those years. Paths may be local, HDFS or object-store URIs.
+replaces those years. Tagged and indexed rows are partitioned by year and
+outcome, so outcomes written one by one share a dataset. Paths, code lists
+included, may be local, HDFS or object-store URIs. Jobs that pivot outcomes
+without a given list fail beyond 10,000 outcomes (1,000 years).
 """
 
 from __future__ import annotations
@@ -19,38 +22,79 @@ from dxcohort.operators import (
     cohort_subset,
     conditional_outcomes,
     county_counts,
+    expand_patterns,
+    expand_prefixes,
     index_outcomes,
     observed_codes,
+    prefixes_frame,
     strat_counts,
     tag_outcomes,
     year_counts_wide,
 )
+from dxcohort.operators.tagging import MAX_SECONDARY_POS
 from dxcohort.plans.workflow import cohort_workflow
-from dxcohort.schemas import ADMISSIONS, require_columns
+from dxcohort.schemas import ADMISSIONS, AREA_SPINE, AREA_WEIGHTS, DENOM, OUTCOMES, VALID_CODES, require_columns
 from dxcohort.sources import (
+    code_list_table,
     codes_frame,
     load_code_lists,
+    long_names,
     outcome_names,
     read_table,
+    read_valid_codes,
     write_by_year,
+    write_code_list,
     write_csv,
     write_parquet,
 )
 
 
-def _config(config: Mapping | str) -> Mapping:
-    return load_code_lists(config) if isinstance(config, str) else config
+BY_OUTCOME = ("year", "outcome")
 
 
-def _write(df: DataFrame, path: str, fmt: str, by_year: bool) -> None:
-    if fmt == "csv":
+def _config(config: Mapping | str, spark: SparkSession | None = None) -> Mapping:
+    return load_code_lists(config, spark) if isinstance(config, str) else config
+
+
+def _write(df: DataFrame, path: str, fmt: str, keys: tuple[str, ...] | None) -> None:
+    if keys:
+        write_by_year(df, path, fmt, keys=keys)
+    elif fmt == "csv":
         write_csv(df, path)
-    elif by_year:
-        write_by_year(df, path, fmt)
     else:
         write_parquet(df, path)
 
 
+def _admissions(spark: SparkSession, path: str, years: Sequence[int] | None) -> DataFrame:
+    adm = read_table(spark, path)
+    require_columns(adm, ADMISSIONS, "admissions")
+    return adm if years is None else adm.where(F.col("year").isin(list(years)))
+
+
+def _outcomes(spark: SparkSession, path: str) -> DataFrame:
+    df = read_table(spark, path)
+    require_columns(df, OUTCOMES, "outcomes", ["bene_id", "adm_id", "outcome", "year"])
+    return df
+
+
+def _denom(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
+    df = read_table(spark, path)
+    require_columns(df, DENOM, "person-years", cols)
+    return df
+
+
+def _spine(spark: SparkSession, path: str) -> DataFrame:
+    df = read_table(spark, path)
+    require_columns(df, AREA_SPINE, "area spine")
+    return df
+
+
+def _weights(spark: SparkSession, path: str) -> DataFrame:
+    df = read_table(spark, path)
+    require_columns(df, AREA_WEIGHTS, "area weights")
+    return df
+
+
 def tag_job(
     spark: SparkSession,
     admissions_path: str,
@@ -60,22 +104,27 @@ def tag_job(
     first_n: int | None = None,
     years: Sequence[int] | None = None,
     fmt: str = "parquet",
+    max_secondary_pos: int = MAX_SECONDARY_POS,
 ) -> None:
     """Tag all outcomes of a code-list file over the chosen (or all) years."""
-    adm = read_table(spark, admissions_path)
-    require_columns(adm, ADMISSIONS, "admissions")
-    if years is not None:
-        adm = adm.where(F.col("year").isin(list(years)))
-    tagged = tag_outcomes(adm, codes_frame(spark, _config(code_lists)), criteria, first_n)
-    _write(tagged, out_path, fmt, by_year=True)
+    adm = _admissions(spark, admissions_path, years)
+    tagged = tag_outcomes(adm, codes_frame(spark, _config(code_lists, spark)), criteria, first_n, max_secondary_pos)
+    _write(tagged, out_path, fmt, BY_OUTCOME)
 
 
 def conditional_job(
-    spark: SparkSession, admissions_path: str, code_lists: Mapping | str, out_path: str, fmt: str = "parquet"
+    spark: SparkSession,
+    admissions_path: str,
+    code_lists: Mapping | str,
+    out_path: str,
+    fmt: str = "parquet",
+    years: Sequence[int] | None = None,
+    max_secondary_pos: int = MAX_SECONDARY_POS,
 ) -> None:
-    adm = read_table(spark, admissions_path)
-    tagged = conditional_outcomes(adm, codes_frame(spark, _config(code_lists)))
-    _write(tagged, out_path, fmt, by_year=False)
+    """Stand-alone conditional tagging of the chosen (or all) years."""
+    adm = _admissions(spark, admissions_path, years)
+    tagged = conditional_outcomes(adm, codes_frame(spark, _config(code_lists, spark)), max_secondary_pos, with_year=True)
+    _write(tagged, out_path, fmt, BY_OUTCOME)
 
 
 def index_job(
@@ -86,13 +135,13 @@ def index_job(
     outcome: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Event index of one outcome (or all), written per year."""
-    indexed = index_outcomes(read_table(spark, outcomes_path), read_table(spark, admissions_path), outcome)
-    _write(indexed, out_path, fmt, by_year=True)
+    """Event index of one outcome (or all), written per year and outcome."""
+    indexed = index_outcomes(_outcomes(spark, outcomes_path), read_table(spark, admissions_path), outcome)
+    _write(indexed, out_path, fmt, BY_OUTCOME)
 
 
 def year_counts_job(spark: SparkSession, outcomes_path: str, out_path: str, fmt: str = "csv") -> None:
-    _write(year_counts_wide(read_table(spark, outcomes_path)), out_path, fmt, by_year=False)
+    _write(year_counts_wide(_outcomes(spark, outcomes_path)), out_path, fmt, None)
 
 
 def area_counts_job(
@@ -104,9 +153,8 @@ def area_counts_job(
     outcome_list: Sequence[str] | None = None,
     years: Sequence[int] | None = None,
 ) -> None:
-    counts = area_counts(
-        read_table(spark, outcomes_path), read_table(spark, denom_path), read_table(spark, spine_path), outcome_list, years
-    )
+    denom = _denom(spark, denom_path, ["bene_id", "year", "zcta"])
+    counts = area_counts(_outcomes(spark, outcomes_path), denom, _spine(spark, spine_path), outcome_list, years)
     write_by_year(counts, out_path)
 
 
@@ -119,14 +167,13 @@ def strat_counts_job(
     outcome_list: Sequence[str] | None = None,
     years: Sequence[int] | None = None,
 ) -> None:
-    counts = strat_counts(
-        read_table(spark, outcomes_path), read_table(spark, denom_path), read_table(spark, spine_path), outcome_list, years
-    )
+    denom = _denom(spark, denom_path, DENOM.fieldNames())
+    counts = strat_counts(_outcomes(spark, outcomes_path), denom, _spine(spark, spine_path), outcome_list, years)
     write_by_year(counts, out_path)
 
 
 def county_counts_job(spark: SparkSession, area_counts_path: str, weights_path: str, out_path: str) -> None:
-    counts = county_counts(read_table(spark, area_counts_path), read_table(spark, weights_path))
+    counts = county_counts(read_table(spark, area_counts_path), _weights(spark, weights_path), ordered=False)
     write_by_year(counts, out_path, sort_within=["county"])
 
 
@@ -136,16 +183,43 @@ def cohort_job(
     write_parquet(cohort_subset(read_table(spark, admissions_path), read_table(spark, outcomes_path), outcome), out_path)
 
 
-def observed_codes_job(spark: SparkSession, admissions_path: str, pattern: str, out_path: str) -> None:
-    write_parquet(observed_codes(read_table(spark, admissions_path), pattern), out_path)
+def observed_codes_job(
+    spark: SparkSession, admissions_path: str, pattern: str, out_path: str, years: Sequence[int] | None = None
+) -> None:
+    """Codes of the chosen (or all) years' admissions that match a pattern."""
+    write_parquet(observed_codes(read_table(spark, admissions_path), pattern, years), out_path)
+
+
+def expand_codes_job(
+    spark: SparkSession,
+    valid_paths: Mapping[str, str],
+    code_lists: Mapping | str,
+    out_path: str,
+    patterns: bool = False,
+    header: bool = True,
+    column: str | None = None,
+) -> None:
+    """Expand a config whose lists are prefixes (``patterns``: anchored
+    patterns) over CSV tables of valid codes, ``valid_paths`` by coding
+    system, and write a code list that ``tag_job`` reads."""
+    cfg = _config(code_lists, spark)
+    valid = None
+    for system, path in valid_paths.items():
+        part = read_valid_codes(spark, path, system, header, column)
+        valid = part if valid is None else valid.unionByName(part)
+    if valid is None:
+        raise ValueError("no table of valid codes")
+    require_columns(valid, VALID_CODES, "valid codes")
+    expand = expand_patterns if patterns else expand_prefixes
+    write_code_list(code_list_table(expand(valid, prefixes_frame(spark, cfg)), long_names(cfg)), out_path)
 
 
 def audit_job(spark: SparkSession, admissions_path: str) -> DataFrame:
     return audit_duplicates(read_table(spark, admissions_path))
 
 
-def outcome_list_of(code_lists: Mapping | str) -> list[str]:
-    return outcome_names(_config(code_lists))
+def outcome_list_of(code_lists: Mapping | str, spark: SparkSession | None = None) -> list[str]:
+    return outcome_names(_config(code_lists, spark))
 
 
 def workflow_job(
@@ -159,6 +233,7 @@ def workflow_job(
     criteria: str = "all",
     first_n: int | None = None,
     years: Sequence[int] | None = None,
+    max_secondary_pos: int = MAX_SECONDARY_POS,
 ) -> None:
     """The whole workflow with one scan of the admissions.
 
@@ -166,19 +241,18 @@ def workflow_job(
     year-partitioned table; every downstream output reads that table, so
     lineage is cut there and a lost executor never re-runs the tagging.
     """
-    cfg = _config(code_lists)
-    adm = read_table(spark, admissions_path)
-    require_columns(adm, ADMISSIONS, "admissions")
-    if years is not None:
-        adm = adm.where(F.col("year").isin(list(years)))
+    cfg = _config(code_lists, spark)
+    adm = _admissions(spark, admissions_path, years)
+    weights = _weights(spark, weights_path)
     tagged_path = f"{out_root.rstrip('/')}/tagged"
-    write_by_year(tag_outcomes(adm, codes_frame(spark, cfg), criteria, first_n, carry=DATE_COLS), tagged_path)
+    tagged = tag_outcomes(adm, codes_frame(spark, cfg), criteria, first_n, max_secondary_pos, carry=DATE_COLS)
+    write_by_year(tagged, tagged_path, keys=BY_OUTCOME)
     res = cohort_workflow(
         adm,
         codes_frame(spark, cfg),
-        read_table(spark, denom_path),
-        read_table(spark, spine_path),
-        read_table(spark, weights_path),
+        _denom(spark, denom_path, DENOM.fieldNames()),
+        _spine(spark, spine_path),
+        weights,
         outcome_names(cfg),
         criteria,
         first_n,
@@ -186,13 +260,13 @@ def workflow_job(
         tagged=read_table(spark, tagged_path),
     )
     root = out_root.rstrip("/")
-    write_by_year(res.outcomes, f"{root}/outcomes")
-    write_by_year(res.indexed, f"{root}/indexed")
+    write_by_year(res.outcomes, f"{root}/outcomes", keys=BY_OUTCOME)
+    write_by_year(res.indexed, f"{root}/indexed", keys=BY_OUTCOME)
     area_path = f"{root}/area_counts"
     write_by_year(res.area_counts, area_path)
     write_by_year(res.strat_counts, f"{root}/strat_counts")
     write_by_year(
-        county_counts(read_table(spark, area_path), read_table(spark, weights_path), outcome_names(cfg)),
+        county_counts(read_table(spark, area_path), weights, outcome_names(cfg), ordered=False),
         f"{root}/county_counts",
         sort_within=["county"],
     )

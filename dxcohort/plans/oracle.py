@@ -47,11 +47,20 @@ def tagged_cte(first_n: int | None = None, outcomes: list[str] | None = None) ->
     return "tagged AS (\n  " + "\n  UNION ALL\n  ".join(parts) + ")"
 
 
-def _conditional_rows() -> str:
-    spec = fx.FIXTURE_CODE_LISTS["cond"]
+def counted_cte() -> str:
+    """``tagged``: the rows of customers and, negated, of their strangers."""
+    own = tagged_cte().replace("tagged AS (", "own AS (", 1)
+    return own + """,
+tagged AS (
+  SELECT * FROM own
+  UNION ALL SELECT -bene_id, -adm_id, outcome, outcome_criteria, year FROM own)"""
+
+
+def _conditional_rows(name: str = "cond") -> str:
+    spec = fx.FIXTURE_CODE_LISTS[name]
     return f"""SELECT DISTINCT bene_id, adm_id, diagnoses, diagnoses[1] AS primary_dx,
          list_slice(diagnoses, 2, {MAX_SECONDARY_POS}) AS secondary_dx,
-         'cond' AS outcome, 'conditional' AS outcome_criteria, year
+         '{name}' AS outcome, 'conditional' AS outcome_criteria, year
   FROM admissions
   WHERE list_contains({_sql_list(spec['primary_icd10'])}, diagnoses[1])
     AND list_has_any(list_slice(diagnoses, 2, {MAX_SECONDARY_POS}), {_sql_list(spec['secondary_icd10'])})"""
@@ -66,6 +75,14 @@ def _conditional_sql(with_label: bool) -> str:
     )
 
 
+def _conditional_years() -> str:
+    rows = "\n  UNION ALL ".join(_conditional_rows(name) for name in ("cond", "cond2"))
+    return oracle_with(f"cond_rows AS (\n  {rows})") + (
+        "SELECT bene_id, adm_id, array_to_string(diagnoses, ',') AS diagnoses, primary_dx,\n"
+        "       array_to_string(secondary_dx, ',') AS secondary_dx, outcome, year FROM cond_rows"
+    )
+
+
 def _prefix_table() -> str:
     rows = [
         f"('{outcome}', '{system}', '{p}')"
@@ -153,7 +170,7 @@ def _strat_sql() -> str:
   FROM tagged t JOIN banded b ON b.bene_id = t.bene_id AND b.year = t.year
   GROUP BY ALL)"""
     vals = ", ".join(f"COALESCE(c.{o}, 0)::BIGINT AS {o}" for o in ANY_OUTCOMES)
-    return oracle_with(tagged_cte(), _bands_cte(), _banded_cte(), _grid_cte(), cells) + f"""SELECT g.*, {vals}
+    return oracle_with(counted_cte(), _bands_cte(), _banded_cte(), _grid_cte(), cells) + f"""SELECT g.*, {vals}
 FROM grid g LEFT JOIN cells c
   ON c.zcta = g.zcta AND c.year = g.year AND c.age_grp = g.age_grp
  AND c.sex = g.sex AND c.race = g.race AND c.dual = g.dual"""
@@ -211,6 +228,33 @@ FROM (SELECT DISTINCT year FROM adm_data) y LEFT JOIN dup_groups g ON g.year = y
 GROUP BY y.year"""
 
 
+def _audit_null_years() -> str:
+    source = (
+        "SELECT * REPLACE (CASE WHEN adm_id % 3 <> 0 THEN year END AS year) FROM (SELECT * FROM admissions UNION ALL "
+        f"SELECT * FROM admissions WHERE adm_source = '{RELOADED_SOURCE}')"
+    )
+    groups = """dup_groups AS (
+  SELECT year, 1 AS one FROM adm_data
+  GROUP BY adm_id, bene_id, admission_date, diagnoses, discharge_date, year, adm_source
+  HAVING COUNT(*) > 1)"""
+    return oracle_with(f"adm_data AS ({source})", groups) + """SELECT COALESCE(CAST(y.year AS VARCHAR), 'none') AS year, COUNT(g.one)::BIGINT AS duplicate_count
+FROM (SELECT DISTINCT year FROM adm_data) y LEFT JOIN dup_groups g ON g.year IS NOT DISTINCT FROM y.year
+GROUP BY y.year"""
+
+
+def _index_heavy() -> str:
+    lost = tagged_cte(None, ["mixed"]).replace("tagged AS (", "own AS (", 1) + """,
+dated AS (
+  SELECT CASE WHEN t.bene_id % 4 <> 0 THEN t.bene_id END AS bene_id, t.adm_id, t.outcome, t.outcome_criteria,
+         t.year, a.admission_date, a.discharge_date
+  FROM own t JOIN admissions a ON a.adm_id = t.adm_id)"""
+    return oracle_with(lost) + """SELECT CAST(bene_id AS VARCHAR) AS bene_id, adm_id, outcome, outcome_criteria, year,
+       CAST(year(discharge_date) AS INTEGER) AS discharge_year, CAST(admission_date AS VARCHAR) AS admission_date,
+       CAST(discharge_date AS VARCHAR) AS discharge_date,
+       CAST(row_number() OVER (PARTITION BY outcome, bene_id ORDER BY admission_date, adm_id) AS INTEGER) AS outcome_index
+FROM dated"""
+
+
 def _year_counts_wide() -> str:
     cols = ", ".join(
         f"CASE WHEN COUNT(*) FILTER (WHERE outcome = '{o}') > 0 "
@@ -233,6 +277,7 @@ def oracle_queries() -> dict[str, str]:
     mixed_f2 = tagged_cte(FIRST_N, ["mixed"])
     multi_all = tagged_cte()
     multi_f2 = tagged_cte(FIRST_N)
+    counted = counted_cte()
     totals = ", ".join(f"SUM({o})::BIGINT AS {o}" for o in ANY_OUTCOMES)
     ranges = " OR ".join(f"substr(code, 1, {n}) BETWEEN '{lo}' AND '{hi}'" for n, lo, hi in CODE_RANGES)
     long_counts = "SELECT year, outcome, COUNT(adm_id) AS n FROM tagged GROUP BY year, outcome"
@@ -241,8 +286,11 @@ def oracle_queries() -> dict[str, str]:
         "tag_first_n": oracle_with(mixed_f2) + "SELECT * FROM tagged",
         "tag_conditional": _conditional_sql(True),
         "tag_conditional_only": _conditional_sql(False),
+        "tag_conditional_years": _conditional_years(),
         "tag_multi_outcome": oracle_with(multi_all) + "SELECT * FROM tagged",
         "codes_prefix_expand": oracle_with(_prefix_table()) + _PREFIX_MATCH,
+        "codes_prefix_ordered": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
+        + "SELECT *, row_number() OVER (ORDER BY outcome, system, code) - 1 AS place FROM ex",
         "codes_regex_expand": _regex_sql(),
         "codes_range": oracle_with() + f"SELECT code, system FROM valid_codes WHERE {ranges}",
         "codes_observed": oracle_with()
@@ -257,17 +305,19 @@ def oracle_queries() -> dict[str, str]:
        CAST(MIN(admission_date) AS VARCHAR) AS min_date,
        CAST(MAX(admission_date) AS VARCHAR) AS max_date, COUNT(*) AS n_rows
 FROM idx GROUP BY outcome""",
+        "outcome_index_heavy": _index_heavy(),
         "outcomes_present": oracle_with(multi_all)
         + f"SELECT DISTINCT outcome FROM tagged WHERE year = {PROFILE_YEAR}",
         "years_present": oracle_with(multi_all) + "SELECT DISTINCT year FROM tagged",
         "year_counts_long": oracle_with(multi_all) + long_counts,
         "year_counts_wide": _year_counts_wide(),
-        "area_counts": oracle_with(*area_ctes(multi_all)) + "SELECT * FROM area",
-        "area_counts_profile": oracle_with(*area_ctes(multi_all))
+        "area_counts": oracle_with(*area_ctes(counted)) + "SELECT * FROM area",
+        "io_spine_file": oracle_with(*area_ctes(counted)) + "SELECT * FROM area",
+        "area_counts_profile": oracle_with(*area_ctes(counted))
         + f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT zcta) AS n_zcta, {totals} FROM area",
-        "area_counts_by_year": oracle_with(*area_ctes(multi_all))
+        "area_counts_by_year": oracle_with(*area_ctes(counted))
         + f"SELECT year, {totals} FROM area GROUP BY year",
-        "area_counts_dropped": oracle_with(multi_all)
+        "area_counts_dropped": oracle_with(counted)
         + """SELECT t.year, t.outcome, COUNT(*) AS n_tagged,
        COUNT(*) FILTER (WHERE d.bene_id IS NULL) AS n_no_person,
        COUNT(*) FILTER (WHERE d.bene_id IS NOT NULL AND d.zcta IS NULL) AS n_null_area,
@@ -279,13 +329,16 @@ GROUP BY t.year, t.outcome""",
         "strat_counts": _strat_sql(),
         "strat_domain_spine": oracle_with(_bands_cte(), _grid_cte()) + "SELECT * FROM grid",
         "age_bands": oracle_with(_bands_cte(), _banded_cte()) + "SELECT * FROM banded",
-        "county_counts": _county_sql(multi_all),
+        "county_counts": _county_sql(counted),
+        "county_counts_profile": f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT county) AS n_county, {totals} FROM ({_county_sql(counted)})",
+        "strat_counts_profile": f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT zcta) AS n_zcta, {totals} FROM ({_strat_sql()})",
         "cohort_subset": oracle_with(mixed_f2) + _COHORT,
         "duplicate_audit": _audit_sql("SELECT * FROM admissions"),
         "duplicate_audit_reload": _audit_sql(
             "SELECT * FROM admissions UNION ALL "
             f"SELECT * FROM admissions WHERE adm_source = '{RELOADED_SOURCE}'"
         ),
+        "duplicate_audit_null_years": _audit_null_years(),
         "outcome_denominator_join": oracle_with(mixed_f2)
         + """SELECT t.bene_id, t.adm_id, t.year, d.zcta, t.outcome
 FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
@@ -311,4 +364,11 @@ FROM ex GROUP BY outcome""",
         "io_cohort_export": oracle_with(mixed_f2) + _COHORT,
         "io_multi_year_glob": oracle_with(multi_all) + long_counts,
         "io_csv_outcomes": _csv_outcomes(),
+        "io_csv_two_runs": oracle_with(multi_all)
+        + "SELECT CAST(bene_id AS VARCHAR) AS bene_id, CAST(adm_id AS VARCHAR) AS adm_id, outcome, "
+        + "outcome_criteria, CAST(year AS VARCHAR) AS year FROM tagged",
+        "io_index_two_runs": oracle_with(*index_ctes(tagged_cte(None, ["mixed", "econ"]))) + _INDEX_SELECT,
+        "io_code_list_tag": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
+        + """SELECT DISTINCT x.bene_id, x.adm_id, ex.outcome, 'all' AS outcome_criteria, x.year
+FROM (SELECT bene_id, adm_id, year, unnest(diagnoses) AS code FROM admissions) x JOIN ex ON ex.code = x.code""",
     }

@@ -13,28 +13,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from dxcohort.operators.counts import area_counts, strat_counts, year_counts_wide
 from dxcohort.operators.crosswalk import county_counts
 from dxcohort.operators.events import DATE_COLS, index_outcomes
-from dxcohort.operators.tagging import tag_outcomes
+from dxcohort.operators.tagging import MAX_SECONDARY_POS, tag_outcomes
+from dxcohort.session import materialize, remove_path
 
 
 class CohortResults:
     """Lazily planned outputs of one workflow run."""
 
-    def __init__(self, tagged, denom, spine, weights, outcome_list, years, heavy_rows, owned=False):
+    def __init__(self, tagged, denom, spine, weights, outcome_list, years, heavy_rows, owned=None):
         self.tagged = tagged
         self._owned = owned
         self._denom, self._spine, self._weights = denom, spine, weights
         self._names, self._years, self._heavy = list(outcome_list), years, heavy_rows
 
     def release(self) -> None:
-        """Drop the persisted tagged rows (when this object persisted them)."""
-        if self._owned:
-            self.tagged.unpersist()
+        """Delete the written tagged rows (when this object wrote them); call
+        it when all outputs have been written."""
+        for path in self._owned or []:
+            remove_path(self.tagged.sparkSession, path)
+        self._owned = None
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -73,18 +75,20 @@ def cohort_workflow(
     years: Sequence[int] | None = None,
     heavy_rows: int | None = 5_000_000,
     tagged: DataFrame | None = None,
+    max_secondary_pos: int = MAX_SECONDARY_POS,
 ) -> CohortResults:
     """All outputs of the workflow as lazy DataFrames.
 
     ``tagged`` may be a written tagging output (with the date columns) to
     cut lineage between the tagging and the downstream jobs. Otherwise the
-    tagged rows are computed here and persisted (memory, spilling to disk),
-    so every output and every size check shares one pass over the
-    admissions; a lost block is recomputed from lineage.
+    tagged rows are written here, to the shared folder, so every output and
+    every size check shares one pass over the admissions and a lost executor
+    does not repeat it.
     """
-    owned = tagged is None
-    if owned:
-        tagged = tag_outcomes(admissions, codes, criteria, first_n, carry=DATE_COLS).persist(
-            StorageLevel.MEMORY_AND_DISK
+    owned = None
+    if tagged is None:
+        tagged = materialize(
+            tag_outcomes(admissions, codes, criteria, first_n, max_secondary_pos, carry=DATE_COLS), "workflow_tagged"
         )
+        owned = sorted({f.rsplit("/", 1)[0] for f in tagged.inputFiles()})
     return CohortResults(tagged, denom, spine, weights, outcome_list, years, heavy_rows, owned)

@@ -66,11 +66,28 @@ OUTCOMES = T.StructType(
 )
 
 
-def require_columns(df: DataFrame, schema: T.StructType, what: str) -> None:
-    """Fail early, on the driver and without a job, if columns are missing."""
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+def _family(t: T.DataType) -> str:
+    """Types that stand in for each other: any integer, any real number."""
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "integer"
+    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return "number"
+    if isinstance(t, T.ArrayType):
+        return f"array of {_family(t.elementType)}"
+    return t.simpleString()
+
+
+def require_columns(df: DataFrame, schema: T.StructType, what: str, only: list[str] | None = None) -> None:
+    """Fail early, on the driver and without a job, if columns (all of
+    ``schema`` or ``only`` some) are missing or of another type."""
+    wanted = [f for f in schema.fields if only is None or f.name in only]
+    missing = [f.name for f in wanted if f.name not in df.columns]
     if missing:
         raise ValueError(f"{what} lacks columns {missing}; has {df.columns}")
+    for f in wanted:
+        have, want = _family(df.schema[f.name].dataType), _family(f.dataType)
+        if have != want and not (want == "number" and have == "integer"):
+            raise ValueError(f"{what}: column {f.name} is {have}, not {want}")
 
 
 def need(df: DataFrame, cols: list[str] | tuple[str, ...], what: str) -> None:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library relies on. Adaptive execution re-plans
 # joins from measured sizes and splits skewed shuffle partitions.
@@ -78,3 +78,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table in the shared folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    What follows (counts, broadcast sides, the main plan) reads the written
+    table, so the lineage of ``df`` runs once and ends here; a lost executor
+    does not re-run it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path through Spark's file system for it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

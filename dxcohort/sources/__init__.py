@@ -6,7 +6,9 @@ from dxcohort.sources.codelists import (
     codes_frame,
     dirty_codes,
     load_code_lists,
+    long_names,
     outcome_names,
+    parse_code_lists,
     size_mismatches,
 )
 from dxcohort.sources.readers import (
@@ -37,8 +39,10 @@ __all__ = [
     "dirty_codes",
     "flatten_for_csv",
     "load_code_lists",
+    "long_names",
     "outcome_names",
     "outcomes_present",
+    "parse_code_lists",
     "read_csv_strings",
     "read_glob",
     "read_table",

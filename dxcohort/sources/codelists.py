@@ -2,10 +2,10 @@
 
 A code-list file maps an outcome name to its lists::
 
-    lewy:
-      long_name: "Dementia with Lewy Bodies"
-      icd9: ['33182']
-      icd10: ['G3183']
+    asthma:
+      long_name: "Asthma, any severity"
+      icd9: ['49390', '49392']
+      icd10: ['J4520', 'J4540']
 
 Conditional outcomes use ``primary_icd9/10`` and ``secondary_icd9/10``.
 All lists of all outcomes become rows ``(outcome, role, system, code)``, so a
@@ -38,10 +38,30 @@ CODE_KEYS = {
 _CLEAN = re.compile(r"^[A-Za-z0-9]+$")
 
 
-def load_code_lists(path: str) -> dict:
-    """Read a code-list file (YAML, or JSON when PyYAML is absent)."""
-    with open(path, encoding="utf-8") as fh:
-        text = fh.read()
+def load_code_lists(path: str, spark: SparkSession | None = None) -> dict:
+    """Read a code-list file (YAML, or JSON when PyYAML is absent), or the
+    folder that ``write_code_list`` made (JSON lines).
+
+    With ``spark`` the path may be any that Spark reads (HDFS, object store);
+    the file is config-sized and read whole. Without, it is a local file.
+    """
+    if spark is None:
+        with open(path, encoding="utf-8") as fh:
+            return parse_code_lists(fh.read())
+    out: dict = {}
+    for row in spark.read.text(path, wholetext=True).collect():
+        out.update(parse_code_lists(row["value"]))
+    return out
+
+
+def parse_code_lists(text: str) -> dict:
+    """The config in a text: YAML or JSON by outcome name, or JSON lines with
+    an ``outcome`` each."""
+    lines = [line for line in text.splitlines() if line.strip()]
+    if lines and all(line.lstrip().startswith("{") for line in lines):
+        rows = [json.loads(line) for line in lines]
+        if all("outcome" in r for r in rows):
+            return {r.pop("outcome"): r for r in rows}
     try:
         import yaml  # optional dependency
     except ImportError:  # pragma: no cover - depends on the image
@@ -103,13 +123,23 @@ def outcome_names(config: Mapping) -> list[str]:
     return [str(k) for k, v in config.items() if isinstance(v, Mapping)]
 
 
-def code_list_table(codes: DataFrame) -> DataFrame:
-    """Derived code list as one row per outcome: ``outcome, icd9[], icd10[]``.
+def code_list_table(codes: DataFrame, long_names: Mapping[str, str] | None = None) -> DataFrame:
+    """Derived code list as one row per outcome: ``outcome, icd9[], icd10[]``
+    and, with ``long_names`` (outcome -> name), ``long_name``.
 
     A code list is bounded by the coding vocabulary, so collecting one
     outcome's codes into an array is bounded too.
     """
-    return codes.groupBy("outcome").agg(
+    table = codes.groupBy("outcome").agg(
         F.sort_array(F.collect_set(F.when(F.col("system") == "icd9", F.col("code")))).alias("icd9"),
         F.sort_array(F.collect_set(F.when(F.col("system") == "icd10", F.col("code")))).alias("icd10"),
     )
+    if long_names is None:
+        return table
+    names = codes.sparkSession.createDataFrame(sorted(long_names.items()) or [("", "")], "outcome string, long_name string")
+    return table.join(F.broadcast(names), "outcome", "left").select("outcome", "long_name", "icd9", "icd10")
+
+
+def long_names(config: Mapping) -> dict[str, str]:
+    """Outcome -> long name, of the outcomes that have one."""
+    return {str(k): str(v["long_name"]) for k, v in config.items() if isinstance(v, Mapping) and v.get("long_name")}

@@ -10,9 +10,16 @@ from pyspark.sql import types as T
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """A Parquet dataset: a single file, a glob (``prefix_*.parquet``), or a
     ``year=``-partitioned root. With ``schema`` the footer inference is
-    skipped and the declared types are enforced."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*(path if isinstance(path, list) else [path]))
+    skipped and the declared types are enforced. An ``outcome=`` folder is
+    read as text, also where all names look like numbers."""
+    paths = path if isinstance(path, list) else [path]
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*paths)
+    df = spark.read.parquet(*paths)
+    if "outcome" in df.columns and not isinstance(df.schema["outcome"].dataType, T.StringType):
+        fields = [T.StructField(f.name, T.StringType()) if f.name == "outcome" else f for f in df.schema.fields]
+        df = spark.read.schema(T.StructType(fields)).parquet(*paths)
+    return df
 
 
 def read_glob(spark: SparkSession, pattern: str, base_path: str | None = None) -> DataFrame:
@@ -29,12 +36,12 @@ def read_year(spark: SparkSession, path: str, year: int, schema: T.StructType |
 
 
 def read_csv_strings(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """CSV with every column as string (no inference pass over the data).
-    Without a header, columns are named ``column0, column1, ...``."""
+    """CSV with every column as string (no inference pass over the data),
+    those of ``key=value`` folders included. Without a header, columns are named ``column0, column1, ...``."""
     df = spark.read.option("header", str(header).lower()).option("inferSchema", "false").csv(path)
     if not header:
         df = df.toDF(*[f"column{i}" for i in range(len(df.columns))])
-    return df
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
 def value_columns(df: DataFrame, keys: list[str] | set[str]) -> list[str]:
@@ -57,8 +64,9 @@ def years_present(df: DataFrame) -> DataFrame:
 
 def bounded_values(df: DataFrame, column: str, max_values: int = 10_000) -> list:
     """Collect the sorted distinct values of a low-cardinality column (years,
-    outcome names) to fix pivot columns. Fails instead of pulling an
-    unbounded set to the driver."""
+    outcome names) to fix pivot columns. More than ``max_values`` of them fail
+    the job that needs them (name the outcomes or years then) instead of pulling a
+    set without a bound to the driver."""
     rows = df.select(column).distinct().where(F.col(column).isNotNull()).limit(max_values + 1).collect()
     if len(rows) > max_values:
         raise ValueError(f"{column} has more than {max_values} distinct values")

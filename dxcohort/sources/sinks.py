@@ -13,27 +13,29 @@ def write_by_year(
     fmt: str = "parquet",
     rebalance: bool = True,
     sort_within: list[str] | None = None,
+    keys: tuple[str, ...] = ("year",),
 ) -> None:
-    """Write one partition per year in one job.
+    """Write one partition per year (or per ``keys``) in one job.
 
     With ``partitionOverwriteMode=dynamic`` (set here for the write) a re-run
-    of some years replaces only those years' partitions. The ``rebalance``
-    hint lets adaptive execution group each year's rows into few, evenly
-    sized tasks (splitting a large year) so the output is a few files per
-    year rather than one small file per task and year. ``sort_within``
-    orders the rows inside each written file (no global sort).
+    of some years replaces only those years' partitions; with ``keys`` of
+    (year, outcome), one outcome written alone leaves the others. The
+    ``rebalance`` hint lets adaptive execution group each partition's rows
+    into few, evenly sized tasks (splitting a large one) so the output is a
+    few files per partition rather than one small file per task.
+    ``sort_within`` orders the rows inside each written file (no global
+    sort). CSV files get a header, and arrays as JSON text.
     """
+    if fmt == "csv":
+        df = flatten_for_csv(df)
     if rebalance:
-        df = df.hint("rebalance", "year")
+        df = df.hint("rebalance", *keys)
     if sort_within:
-        df = df.sortWithinPartitions("year", *sort_within)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
-        .format(fmt)
-        .save(path)
-    )
+        df = df.sortWithinPartitions(*keys, *sort_within)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    writer.save(path)
 
 
 def flatten_for_csv(df: DataFrame) -> DataFrame:
@@ -54,7 +56,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_code_list(code_list: DataFrame, path: str) -> None:
-    """Save a derived code list (``outcome, icd9[], icd10[]``) as JSON lines."""
+    """Save a derived code list (``outcome, icd9[], icd10[]`` and, if there,
+    ``long_name``) as JSON lines, which ``load_code_lists`` reads."""
     code_list.coalesce(1).write.mode("overwrite").json(path)
 
 

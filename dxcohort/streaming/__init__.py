@@ -2,9 +2,10 @@
 
 from dxcohort.streaming.incremental import (
     admissions_stream,
+    read_year_counts,
     start_tagging,
     start_year_counts,
     tag_stream,
 )
 
-__all__ = ["admissions_stream", "start_tagging", "start_year_counts", "tag_stream"]
+__all__ = ["admissions_stream", "read_year_counts", "start_tagging", "start_year_counts", "tag_stream"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 from conftest import SF_SMALL, adm_rows
 
@@ -44,9 +45,9 @@ def test_csv_roundtrip_strings(spark, tmp_path):
 
 def test_load_code_lists_yaml(tmp_path):
     p = tmp_path / "c.yml"
-    p.write_text("lewy:\n  long_name: 'L'\n  icd9: ['33182']\n  icd10: ['G3183']\n")
+    p.write_text("asthma:\n  long_name: 'A'\n  icd9: ['49390']\n  icd10: ['J4520']\n")
     cfg = load_code_lists(str(p))
-    assert cfg["lewy"]["icd10"] == ["G3183"]
+    assert cfg["asthma"]["icd10"] == ["J4520"]
 
 
 def test_entry_smoke(spark):
@@ -60,7 +61,8 @@ def test_registered_queries_have_oracles():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 30
-    for name in q:
+    own = [n for n in q if n != "pipeline" and not re.match(r"op\d+_", n)]  # the others are tested in tests/llm
+    for name in own:
         assert name in o, name
 
 
