@@ -13,7 +13,7 @@ so long that any stretch with the template's number of words lies whole in one.
    matches has at least the Jaccard similarity ``least_similarity``; the number of
    bands follows from it, so that a match is missed with at most ``MISS``.
 4. *Verification.* The template's shingles contained in the window are counted.
-   A window goes to the template of its class that it contains most of.
+   Overlapping windows of a class go to the template that one contains most of.
 
 Templates are broadcast: a fixed list, or a parameter of at most
 ``MOST_TEMPLATES``. A null or empty text matches nothing; repeated rows give one
@@ -184,8 +184,9 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
     met = left.join(F.broadcast(right), ["length", "seat", "value"])
     common = F.size(F.array_intersect("inside", "shingles"))
     checked = met.where(common >= F.col("need")).select("doc_id", "license", "length", "start", (common / F.size("shingles")).alias("c"))
-    # Of templates that differ in a version or name only, a window is the one it holds most of.
-    rival = Window.partitionBy("doc_id", "length", "start")
+    # Of templates that differ in a version or name only, overlapping windows are the one they hold most of.
+    step = F.floor(F.col("start") * 4 / F.col("length"))
+    rival = Window.partitionBy("doc_id", "length").orderBy(step).rangeBetween(-4, 4)
     checked = checked.withColumn("most", F.max("c").over(rival)).where("c = most")
     best = checked.groupBy("doc_id", "license").agg(F.max(F.struct(F.col("c"), (-F.col("start")).alias("first"))).alias("m"))
     return best.select("doc_id", "license", F.round("m.c", 6).alias("containment"), (-F.col("m.first")).cast("long").alias("first_word"))

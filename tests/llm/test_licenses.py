@@ -20,8 +20,9 @@ def brute(rows, templates):
                 c = len(shingles & l._shingles_of(words[start : start + size])) / len(shingles)
                 if c * len(shingles) >= l.needed(len(shingles)):
                     best.setdefault((size, start), {})[name] = c
-        for found in best.values():
-            most = max(found.values())
+        for (size, start), found in best.items():
+            near = [f for (z, at), f in best.items() if z == size and abs(at - start) <= size]
+            most = max(max(f.values()) for f in near)
             for name, c in found.items():
                 if c == most:
                     out[i, name] = max(c, out.get((i, name), 0))
