@@ -2,10 +2,9 @@
 
 *Encoding.* ``ByteBpe`` gives what the tokenizers library gives for a whole text.
 The byte-level split starts a new piece at a space unless white space stands
-on both sides of it, so a text is cut there, each distinct part is encoded once
-by the library, and a bounded table keeps the ids of known parts. Texts with
-other runs of white space, or with the text of a special token, are encoded
-whole.
+on both sides of it, so a text is cut there; a bounded table keeps the ids of
+known words, and new ones go to the library together. Texts with other runs of
+white space, or with the text of a special token, are encoded whole.
 
 *Format.* Ids are replaced by their rank by frequency over all documents (ties:
 the smaller id first). Ranks are stored in 1 to 4 bytes; the lengths are in
@@ -26,6 +25,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import CHUNK_BYTES, ship, staged
+from dxcohort.llm.common import CHUNK_BYTES, runs, ship, staged
 from dxcohort.session import scratch_path
 
 END_ID = 2
-#: Parts of texts whose ids are known; a full table is replaced.
+#: Words whose ids are known; a full table is replaced.
 TABLE_ENTRIES = 400_000
-#: Longer parts are not kept.
+#: Longer words are not kept.
 KEEP_CHARS = 48
+#: New words that go to the library as one text.
+GROUP_WORDS = 1000
 #: Ids in a block of the file (more if one document has more), and in a part.
 BLOCK_IDS = 1 << 18
 PART_IDS = 8_000_000
@@ -68,34 +70,62 @@ class ByteBpe:
         self.size = self.tokenizer.get_vocab_size()
         self.cuts = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer")
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.starts_word = np.zeros(self.size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.starts_word[i] = token.startswith("\u0120")  # the byte-level sign of a space
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _parts(self, text: str) -> list[str]:
-        if not self.cuts or _UNSURE.search(text) or any(s in text for s in self.special):
-            return [text]
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of " " + word for each word. Words without white space at their
+        ends go to the library as running text, whose ids are cut at the
+        spaces; each other one by itself."""
+        clean = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        rest = list(set(words).difference(clean))
+        got = dict(zip(rest, self._library([" " + w for w in rest]), strict=True))
+        groups = [clean[i : i + GROUP_WORDS] for i in range(0, len(clean), GROUP_WORDS)]
+        for group, ids in zip(groups, self._library([" " + " ".join(g) for g in groups]), strict=True):
+            starts = np.flatnonzero(self.starts_word[np.frombuffer(ids, np.uint32)]) * 4
+            got.update(zip(group, map(ids.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(ids)])), strict=True))
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text (unsigned 32-bit little-endian)."""
-        split = [self._parts(t) if t else [] for t in texts]
         if len(self.known) >= TABLE_ENTRIES:
             self.known, self.older = {}, self.known
-        new = {p for parts in split for p in parts}.difference(self.known)
-        for p in [p for p in new if p in self.older]:
-            self.known[p] = self.older[p]
-            new.discard(p)
-        listed = list(new)
-        long = {}
-        for p, ids in zip(listed, self._library(listed), strict=True):
-            (self.known if len(p) <= KEEP_CHARS else long)[p] = ids
-        get = lambda p: self.known[p] if p in self.known else long[p]
-        known = self.known.__getitem__
-        return [b"".join(map(get if long else known, parts)) for parts in split]
+        out: list = []
+        whole: list[int] = []
+        firsts: list[str] = []
+        new: set[str] = set()
+        for t in texts:
+            if not self.cuts or _UNSURE.search(t) or any(x in t for x in self.special):
+                whole.append(len(out))
+                out.append(None)
+                continue
+            first, *words = t.split(" ")
+            firsts.append(first)
+            ids = list(map(self.known.get, words))
+            out.append((words, ids))
+            if None in ids:
+                new.update(w for w, i in zip(words, ids) if i is None)
+        old = {w: self.older[w] for w in new if w in self.older}
+        learnt = {**old, **self._learn(list(new.difference(old)))}
+        self.known.update((w, ids) for w, ids in learnt.items() if len(w) <= KEEP_CHARS)
+        alone = iter(self._library(firsts))
+        full = iter(self._library([texts[k] for k in whole]))
+        done = []
+        for item in out:
+            if item is None:
+                done.append(next(full))
+                continue
+            words, ids = item
+            if None in ids:
+                ids = [learnt[w] if i is None else i for w, i in zip(words, ids)]
+            done.append(next(alone) + b"".join(ids))
+        return done
 
 
 _ENCODERS: dict[str, ByteBpe] = {}
@@ -195,8 +225,10 @@ def ranked_ids(tokens: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob, n in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                c = np.bincount(_expand(blob.as_py(), n))
+            sizes = batch.column(1).to_pylist()
+            for low, high in runs(np.concatenate([[0], np.cumsum(sizes)]), BLOCK_IDS):
+                blobs = batch.column(0).slice(low, high - low).to_pylist()
+                c = np.bincount(np.concatenate([_expand(b, n) for b, n in zip(blobs, sizes[low:high], strict=True)]))
                 if len(c) > len(total):
                     total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
                 total[: len(c)] += c
