@@ -14,8 +14,10 @@ the ids up to it are final: they are emitted and the window moves there.
   pair, so one path survives at each boundary and the result is the library's.
 
 Where no piece goes on past a white space symbol, every word start is a
-boundary on which all paths converge. The ids of such stretches are then kept
-in a bounded table, so a word that comes again is not searched again.
+boundary on which all paths converge (so are both sides of a symbol that is in
+no piece, such as a line end). The ids of such stretches are then kept
+in a bounded table, so a word that comes again is not searched again; new words are searched in lexical
+order, and the window's state after a common beginning serves all of them.
 
 Decoding joins pieces, bytes and spaces through a table. Null and empty texts
 have no ids. Repeated rows are encoded one by one; extra columns are carried
@@ -32,8 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dxcohort.llm.common import ship
+from dxcohort.llm.common import CHUNK_BYTES, ship
 
 SPACE = "▁"
 #: Entries of each table of known stretches and pairs; a full one is replaced.
@@ -72,8 +75,16 @@ class Pieces:
             else " ⁇ ".encode() if p.type == _UNKNOWN else b""
             for p in model.pieces
         ]
+        if self.bpe:  # pieces that merging never makes of their own text cannot occur
+            for piece in self.ids:
+                if len(self.merged(piece)) > 1:
+                    self.ends[piece] = -1
+        self.codes = {piece: i.to_bytes(4, "little") for piece, i in self.ids.items()}
         #: Whether some piece goes on past a white space symbol after another one.
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        # Symbols that are in no piece stand alone: all paths meet before and after them.
+        alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
+        self.stretch = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]" if alone else ""))
 
     def spell(self, symbol: str) -> list[int]:
         """Ids of a symbol without a piece."""
@@ -102,52 +113,46 @@ class Encoder:
     def __init__(self, pieces: Pieces):
         self.p = pieces
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the table before: words in use move over
 
-    def _is_whole(self, piece: str) -> bool:
-        """Whether BPE makes this piece of its own text."""
-        if piece not in self.whole:
-            self.whole[piece] = len(self.p.merged(piece)) == 1
-        return self.whole[piece]
-
     def _may_follow(self, a: str, b: str) -> bool:
-        key = (a, b)
-        if key not in self.pairs:
-            if len(self.pairs) >= TABLE_ENTRIES:
-                self.pairs.clear()
-            self.pairs[key] = self.p.merged(a + b) == [a, b]
-        return self.pairs[key]
+        if len(self.pairs) >= TABLE_ENTRIES:
+            self.pairs.clear()
+        got = self.pairs[a, b] = self.p.merged(a + b) == [a, b]
+        return got
 
     def _extend(self, text: str, done: int, edge: list[int], best: list[float], before: str | None) -> None:
         """The best path's last edge for each boundary of ``text`` after ``done``."""
-        p, ends, pairs, whole = self.p, self.p.ends, self.pairs, self.whole
+        p, ends, pairs = self.p, self.p.ends.get, self.pairs.get
         for n in range(done + 1, len(text) + 1):
             found = []
             for start in range(n - 1, -1, -1):
-                k = ends.get(text[start:n])
+                k = ends(text[start:n])
                 if k is None:  # no piece ends like this
                     break
                 if k >= 0:
-                    found.append((start, k))
-            choice, top = n - 1, best[n - 1] + p.least  # a symbol without a piece
+                    found.append(start)
+            choice, top = n - 1, 0.0  # a symbol without a piece
             if p.bpe:
-                for start, _ in reversed(found):
-                    piece = text[start:n]
-                    if not (whole[piece] if piece in whole else self._is_whole(piece)):
-                        continue
+                for start in reversed(found):
                     last = text[edge[start] : start] if start else before
-                    if last is None or (pairs[last, piece] if (last, piece) in pairs else self._may_follow(last, piece)):
+                    if last is None:
+                        choice = start
+                        break
+                    ok = pairs((last, text[start:n]))
+                    if ok is None:
+                        ok = self._may_follow(last, text[start:n])
+                    if ok:
                         choice = start
                         break
             else:
-                lone = bool(found) and found[0][0] == n - 1  # found runs from the shortest on
-                if found and not lone:
-                    found.append((n - 1, -1))
                 top = None
-                for start, k in reversed(found) if found else [(n - 1, -1)]:
-                    score = best[start] + (p.scores[k] if k >= 0 else p.least)
+                if not found or found[0] != n - 1:
+                    found.append(n - 1)
+                for start in found:
+                    piece = text[start:n]
+                    score = best[start] + (p.score_of[piece] if piece in p.score_of else p.least)
                     if top is None or score > top:
                         choice, top = start, score
             edge.append(choice)
@@ -193,24 +198,47 @@ class Encoder:
             end = edge[end]
         return [i for part in reversed(out) for i in part]
 
-    def _stretch(self, s: str) -> bytes:
-        """Ids (unsigned 32-bit little-endian) of text between word starts."""
-        got = self.older.get(s)
-        if got is None:
-            got = np.fromiter(self.stream([s]), np.uint32).tobytes()
-        if len(s) <= KEEP_CHARS:
-            if len(self.known) >= TABLE_ENTRIES:
-                self.known, self.older = {}, self.known
-            self.known[s] = got
-        return got
+    def _settle(self, stretches: list[str], known: dict[str, bytes]) -> None:
+        """Search new stretches in lexical order, into ``known``: the window's
+        state after a common beginning serves all that share it."""
+        edge, best, last = [0], [0.0], ""
+        codes = self.p.codes
+        for s in sorted(stretches):
+            same, most = 0, min(len(s), len(last))
+            while same < most and s[same] == last[same]:
+                same += 1
+            del edge[same + 1 :], best[same + 1 :]
+            self._extend(s, same, edge, best, None)
+            last, end, parts = s, len(s), []
+            while end:
+                piece = s[edge[end] : end]
+                parts.append(codes[piece] if piece in codes else np.array(self.p.spell(piece), np.uint32).tobytes())
+                end = edge[end]
+            parts.reverse()
+            known[s] = b"".join(parts)
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text (unsigned 32-bit little-endian)."""
+        escaped = [self.p.prefix + t.replace(" ", SPACE) if t else "" for t in texts]
+        if self.p.crossing:
+            return [np.fromiter(self.stream([s]), np.uint32).tobytes() for s in escaped]
+        split = [self.p.stretch.findall(s) for s in escaped]
+        if len(self.known) >= TABLE_ENTRIES:
+            self.known, self.older = {}, self.known
+        coded = [list(map(self.known.get, parts)) for parts in split]
+        new = {x for parts, ids in zip(split, coded) if None in ids for x, i in zip(parts, ids) if i is None}
+        learnt = {x: self.older[x] for x in new if x in self.older}
+        new.difference_update(learnt)
+        learnt.update((x, np.fromiter(self.stream([x]), np.uint32).tobytes()) for x in new if len(x) > KEEP_CHARS)
+        self._settle([x for x in new if len(x) <= KEEP_CHARS], learnt)
+        self.known.update((x, ids) for x, ids in learnt.items() if len(x) <= KEEP_CHARS)
+        return [
+            b"".join([learnt[x] if i is None else i for x, i in zip(parts, ids)] if None in ids else ids)
+            for parts, ids in zip(split, coded)
+        ]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        s = self.p.prefix + text.replace(" ", SPACE)
-        if self.p.crossing:
-            return np.fromiter(self.stream([s]), np.uint32).tobytes()
-        return b"".join([self.known.get(x) or self._stretch(x) for x in _STRETCH.findall(s)])
+        return self.encode_many([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         table = self.p.table
@@ -218,7 +246,6 @@ class Encoder:
         return text[1:] if self.p.prefix and text[:1] == " " else text
 
 
-_STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -236,6 +263,19 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _coded(batches: Iterator[pa.RecordBatch], e: Encoder) -> Iterator[tuple[pa.RecordBatch, list[str], list[bytes]]]:
+    """Batches with a text column, in slices of about a megabyte, their texts
+    (null: empty) and ids."""
+    for batch in batches:
+        texts, low, size = [], 0, 0
+        for d, t in enumerate(batch.column(batch.schema.get_field_index("text"))):
+            texts.append(t.as_py() or "")
+            size += len(texts[-1])
+            if size >= CHUNK_BYTES or d == batch.num_rows - 1:
+                yield batch.slice(low, d + 1 - low), texts, e.encode_many(texts)
+                texts, low, size = [], d + 1, 0
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` without text, and with ids (array<int>), n_ids and ids_crc32."""
     ship(docs.sparkSession)
@@ -243,9 +283,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("text", "ids", "n_ids", "ids_crc32")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
-        for batch in batches:
-            coded = [e.encode(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
+        for batch, _, coded in _coded(batches, encoder(path)):
             off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])])
             out = {c: batch.column(batch.schema.get_field_index(c)) for c in rest}
             out["ids"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
@@ -254,7 +292,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_pydict(out)
 
     fields = [f for f in docs.schema.fields if f.name in rest]
-    schema = docs.select(*[f.name for f in fields]).schema.add("ids", "array<int>").add("n_ids", "long").add("ids_crc32", "long")
+    schema = docs.select(*[f.name for f in fields]).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_ids", "long").add("ids_crc32", "long")
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
@@ -267,14 +305,12 @@ def op9_sentencepiece(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for batch in batches:
+        for batch, texts, coded in _coded(batches, e):
             n, crc, size, same = [], [], [], []
-            for t in batch.column(1):
-                text = t.as_py() or ""
-                coded = e.encode(text)
-                back = e.decode(np.frombuffer(coded, np.uint32))
-                n.append(len(coded) // 4)
-                crc.append(zlib.crc32(coded))
+            for text, ids in zip(texts, coded, strict=True):
+                back = e.decode(np.frombuffer(ids, np.uint32))
+                n.append(len(ids) // 4)
+                crc.append(zlib.crc32(ids))
                 size.append(len(back))
                 same.append(back == text)
             yield pa.RecordBatch.from_pydict({
