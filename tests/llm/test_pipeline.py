@@ -5,9 +5,9 @@ import random
 import corpus_pipeline
 from dxcohort.llm import decontam, pii, quality
 from dxcohort.llm.common import table
-from test_decontam import prose
-from test_jaccard import brute as jaccard_brute
-from test_quality import brute as quality_brute
+from llm.test_decontam import prose
+from llm.test_jaccard import brute as jaccard_brute
+from llm.test_quality import brute as quality_brute
 
 DIR = "/root/testdata/sf0.001"
 
