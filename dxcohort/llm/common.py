@@ -31,7 +31,7 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_SEAT = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93)]
+_SEAT = _rng.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -133,7 +133,7 @@ class Words:
 
 
 def shingles(words: np.ndarray, k: int = 3) -> np.ndarray:
-    """Hashes of all runs of ``k`` (up to 3) words; rows are cut by the caller."""
+    """Hashes of all runs of ``k`` (up to 16) words; rows are cut by the caller."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)

@@ -1,14 +1,16 @@
 """N-gram Jaccard join: a grouped prefix join, and the components of its links.
 
-A document's set holds the hashes of its distinct 3-word shingles (words
+A document's set holds the hashes of its distinct shingles of ``k`` words (words
 ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; with fewer words the whole sequence is
-the one shingle). Two documents link when 100 * |A & B| >= 90 * |A | B|.
+the one shingle). Two documents link when 100 * |A & B| >= ``percent`` * |A | B|.
+The query takes 3 words and 90; ``keep_one``, the near-duplicate stage of the
+pipeline, 5 words and 80.
 
 1. *Order.* A fixed-size table of counters over all shingles (``SLOTS``) puts
    rare shingles first. Any order gives right results; a good one keeps
    passages that many documents share out of the prefixes.
 2. *Classes and groups.* Documents with equal sets form a class. Classes with
-   the same size and the same prefix (the first |A| - ceil(0.9 |A|) + 1
+   the same size and the same prefix (the first |A| - ceil(percent |A| / 100) + 1
    shingles of the order) form a group; only groups are indexed.
 3. *Group pairs.* Linked documents share a prefix shingle. Each group is first
    paired with one leader: of the groups that lead a shingle's bucket (fewest
@@ -40,36 +42,41 @@ from dxcohort.llm.common import Words, arrow_text, runs, shingle_rows, ship, sta
 
 PERCENT = 90
 K = 3
+STAGE_PERCENT = 80
+STAGE_K = 5
 #: Counters of the shingle order: 4 MB, whatever the input.
 SLOTS = 1 << 20
 #: Counters for each class in the overlap bound.
 BINS = 128
-#: Smaller sets can only link to equal sets.
-LEAST = PERCENT // (100 - PERCENT)
 #: Rows of ids up to which the side is broadcast (16 MB); beyond, it shuffles.
 BROADCAST_IDS = 1_000_000
 _PIECE = 4096
 
 
-def prefix_size(n: int) -> int:
-    return n - (PERCENT * n + 99) // 100 + 1
+def least_size(percent: int) -> int:
+    """Smaller sets can only link to equal sets."""
+    return percent // (100 - percent)
 
 
-def _needed(a: Column, b: Column) -> Column:
+def prefix_size(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
+
+
+def _needed(a: Column, b: Column, percent: int) -> Column:
     """Least common shingles of sets of these sizes, from i >= p (a + b - i)."""
-    return F.ceil((a + b) * PERCENT / F.lit(100.0 + PERCENT) - 1e-9)
+    return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
-def _size_ok(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _size_ok(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each row's number and its sorted set of shingle hashes."""
     data, off = arrow_text(batch.column(batch.schema.get_field_index("text")))
     for a, b in runs(off):
         w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
-        for d, s in enumerate(shingle_rows(w, lower=True, k=K), a):
+        for d, s in enumerate(shingle_rows(w, lower=True, k=k), a):
             yield d, np.unique(s)
 
 
@@ -81,7 +88,7 @@ def _slot(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(44)).astype(np.int64)
 
 
-def shingle_counts(docs: DataFrame) -> np.ndarray:
+def shingle_counts(docs: DataFrame, k: int = K) -> np.ndarray:
     """Counters over the shingles of all documents, by the top bits of the hash."""
     spark = docs.sparkSession
 
@@ -90,7 +97,7 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             data, off = arrow_text(batch.column(0))
             for a, b in runs(off):
-                rows = list(shingle_rows(Words(data[off[a] : off[b]], off[a : b + 1] - off[a]), lower=True, k=K))
+                rows = list(shingle_rows(Words(data[off[a] : off[b]], off[a : b + 1] - off[a]), lower=True, k=k))
                 total += np.bincount(_slot(np.concatenate(rows)), minlength=SLOTS)
         total = np.minimum(total, 2**32 - 1).astype(np.uint32)
         yield pa.RecordBatch.from_pydict({
@@ -111,22 +118,22 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+def signatures(docs: DataFrame, counts: np.ndarray, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n, cid (class), gid (group), prefix (rarest first; empty for
     sets too small to link to any but their equals)."""
     spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(counts)
+    order, least = spark.sparkContext.broadcast(counts), least_size(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = order.value
         for batch in batches:
             n, cid, gid, prefix = [], [], [], []
-            for _, s in _sets(batch):
+            for _, s in _sets(batch, k):
                 n.append(len(s))
                 cid.append(_class_id(s))
                 head = s[:0]
-                if len(s) >= LEAST:
-                    rank = np.lexsort((s, seen[_slot(s)]))[: prefix_size(len(s))]
+                if len(s) >= least:
+                    rank = np.lexsort((s, seen[_slot(s)]))[: prefix_size(len(s), percent)]
                     head = s[rank]
                 gid.append(_class_id(np.append(head, np.uint64(len(s)))) if len(head) else cid[-1])
                 prefix.append(head.view(np.int64))
@@ -139,7 +146,7 @@ def signatures(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, n int, cid long, gid long, prefix array<long>")
 
 
-def _class_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _class_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     """cid, elements (sorted hashes) and bins of the classes whose
     representative documents ``reps`` (cid, low) names; made again from the
     texts, because the sets of all documents are larger than the input."""
@@ -151,8 +158,8 @@ def _class_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cid, n, elements, bins = [], [], [], []
-            for _, s in _sets(batch):
-                if len(s) >= LEAST:
+            for _, s in _sets(batch, k):
+                if len(s):
                     cid.append(_class_id(s))
                     n.append(len(s))
                     elements.append(s.tobytes())
@@ -163,42 +170,48 @@ def _class_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     return made.join(reps.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
 
 
-def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose bucket counts allow enough common shingles."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = batch.to_pydict()
-        a = np.frombuffer(b"".join(t["bins_a"]), np.uint8).reshape(-1, BINS)
-        b = np.frombuffer(b"".join(t["bins_b"]), np.uint8).reshape(-1, BINS)
-        na, nb = np.array(t["na"], np.int64), np.array(t["nb"], np.int64)
-        common = np.minimum(a, b).astype(np.int64).sum(1)
-        full = ((a == 255) | (b == 255)).any(1)  # a counter that may hold more proves nothing
-        ok = full | (100 * common >= PERCENT * (na + nb - common))
-        yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ok = []
-        for x, y in zip(batch.column("elements_a"), batch.column("elements_b"), strict=True):
-            p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            at = np.minimum(np.searchsorted(p, q), len(p) - 1)
-            common = int((p[at] == q).sum())
-            ok.append(100 * common >= PERCENT * (len(p) + len(q) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _may_link(percent: int):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose bucket counts allow enough common shingles."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = batch.to_pydict()
+            a = np.frombuffer(b"".join(t["bins_a"]), np.uint8).reshape(-1, BINS)
+            b = np.frombuffer(b"".join(t["bins_b"]), np.uint8).reshape(-1, BINS)
+            na, nb = np.array(t["na"], np.int64), np.array(t["nb"], np.int64)
+            common = np.minimum(a, b).astype(np.int64).sum(1)
+            full = ((a == 255) | (b == 255)).any(1)  # a counter that may hold more proves nothing
+            ok = full | (100 * common >= percent * (na + nb - common))
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    return check
+
+
+def _verify(percent: int):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("elements_a"), batch.column("elements_b"), strict=True):
+                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                at = np.minimum(np.searchsorted(p, q), len(p) - 1)
+                common = int((p[at] == q).sum())
+                ok.append(100 * common >= percent * (len(p) + len(q) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return check
+
+
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     if not pairs.take(1):
         return pairs
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = staged(_class_sets(docs, staged(classes.join(wanted, "cid", "left_semi").select("cid", "low"), "op3-reps")), "op3-sets")
+    sets = staged(_class_sets(docs, staged(classes.join(wanted, "cid", "left_semi").select("cid", "low"), "op3-reps"), k), "op3-sets")
     side = lambda col, s: sets.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col(col).alias(f"{col}_{s}"))
-    rough = pairs.join(side("bins", "a"), "a").join(side("bins", "b"), "b").mapInArrow(_may_link, "a long, b long")
+    rough = pairs.join(side("bins", "a"), "a").join(side("bins", "b"), "b").mapInArrow(_may_link(percent), "a long, b long")
     rough = staged(rough, "op3-rough")
-    return staged(rough.join(side("elements", "a"), "a").join(side("elements", "b"), "b").mapInArrow(_verify, "a long, b long"), "op3-links")
+    return staged(rough.join(side("elements", "a"), "a").join(side("elements", "b"), "b").mapInArrow(_verify(percent), "a long, b long"), "op3-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -227,29 +240,40 @@ def _labels(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     ship(docs.sparkSession)
-    sig = staged(signatures(docs, shingle_counts(docs)), "op3-sig")
+    least = least_size(percent)
+    sig = staged(signatures(docs, shingle_counts(docs, k), k, percent), "op3-sig")
     classes = staged(
         sig.where("n > 0").groupBy("cid", "n", "gid").agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix")), "op3-classes"
     )
-    members = classes.where(F.col("n") >= LEAST).select("cid", "n", "gid", "low")
-    groups = classes.where(F.col("n") >= LEAST).groupBy("gid", "n").agg(F.min("cid").alias("head"), F.first("prefix").alias("prefix"))
-    index = groups.select("gid", "n", "head", F.posexplode("prefix").alias("pos", "token"))
+    members = classes.where(F.col("n") >= least).select("cid", "n", "gid", "low")
+    groups = classes.where(F.col("n") >= least).groupBy("gid", "n").agg(F.min("cid").alias("head"), F.first("prefix").alias("prefix"))
+    heads = staged(groups.select("gid", "n", "head"), "op3-heads")
+    # Index rows are narrow: seat holds the place in the prefix, then the set's size.
+    index = groups.select(F.posexplode("prefix").alias("pos", "token"), "gid", "n").select(
+        "token", "gid", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("n")).alias("seat")
+    )
 
     # Only shingles in the prefixes of two groups or more matter from here on.
-    leaders = index.groupBy("token").agg(F.min(F.struct("pos", "gid", "n", "head")).alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
-    index = staged(index.join(leaders, "token"), "op3-index")
-
-    fits = lambda a, b: _size_ok(F.col(f"{a}.n"), F.col(f"{b}.n")) & (
-        F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos")) >= _needed(F.col(f"{a}.n"), F.col(f"{b}.n"))
+    leaders = index.groupBy("token").agg(F.min(F.struct("seat", "gid")).alias("lead"), F.max("gid").alias("g1"), F.min("gid").alias("g0"))
+    leaders = leaders.where("g0 < g1").select("token", "lead")
+    place = lambda c, seat: [F.shiftright(seat, 32).cast("int").alias(f"pos{c}"), seat.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(f"n{c}")]
+    index = staged(index.join(leaders, "token"), "op3-index").select(
+        "token", "gid", *place("", F.col("seat")), F.col("lead.gid").alias("lead"), *place("_lead", F.col("lead.seat"))
     )
-    own = index.select(F.struct("gid", "n", "head", "pos").alias("x"), F.col("lead").alias("y"))
-    led = own.where("x.gid <> y.gid").where(fits("x", "y")).groupBy(F.col("x.gid").alias("gid"), F.col("x.head").alias("a"), F.col("y.head").alias("b")).count()
-    first = led.groupBy("gid", "a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    inside = members.join(groups.select("gid", "head"), "gid").where("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
-    links = _links(docs, classes, staged(first.union(inside), "op3-first"))
+
+    def fits(n: Column, pos: Column, m: Column, at: Column) -> Column:
+        """Sizes and places of one shingle allow a link."""
+        return _size_ok(n, m, percent) & (F.least(n - pos, m - at) >= _needed(n, m, percent))
+
+    led = index.where("gid <> lead").where(fits(F.col("n"), F.col("pos"), F.col("n_lead"), F.col("pos_lead")))
+    first = led.groupBy("gid", "lead").count().groupBy("gid").agg(F.max(F.struct("count", "lead")).alias("m")).select("gid", F.col("m.lead").alias("lead"))
+    head = lambda g, c: heads.select(F.col("gid").alias(g), F.col("head").alias(c))
+    first = first.join(head("gid", "a"), "gid").join(head("lead", "b"), "lead").select("a", "b")
+    inside = members.join(head("gid", "b"), "gid").where("cid <> b").select(F.col("cid").alias("a"), "b")
+    links = _links(docs, classes, staged(first.union(inside), "op3-first"), k, percent)
 
     # What is not yet in one component: all pairs of the buckets that pass the filters.
     labels = staged(_labels(members, links), "op3-labels")
@@ -258,13 +282,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     open_tokens = known.groupBy("token").agg(F.min("r0").alias("lo"), F.max("r1").alias("hi")).where("lo < hi").select("token")
     left = staged(known.join(open_tokens, "token", "left_semi"), "op3-open")
     apart = (F.col("x.r0") != F.col("y.r0")) | (F.col("x.r0") != F.col("x.r1")) | (F.col("y.r0") != F.col("y.r1"))
-    met = left.alias("x").join(left.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & apart & fits("x", "y"))
+    may = fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))
+    met = left.alias("x").join(left.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & apart & may)
     group_pairs = met.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
     mixed = of_group.where("r0 < r1").select(F.col("gid").alias("g"), F.col("gid").alias("h"))
     side = lambda g, c: labels.select(F.col("gid").alias(g), F.col("cid").alias(c), F.col("root").alias(f"r{c}"))
     more = group_pairs.union(mixed).join(side("g", "a"), "g").join(side("h", "b"), "h").where("ra <> rb")
     more = staged(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "op3-more")
-    extra = _links(docs, classes, more)
+    extra = _links(docs, classes, more, k, percent)
 
     if extra is not more:
         labels = staged(_labels(members, links.union(extra)), "op3-labels")
@@ -282,11 +307,11 @@ def op3_ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     return jaccard_components(docs)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = STAGE_K, percent: int = STAGE_PERCENT) -> DataFrame:
     """One document of each component, the one with the smallest id; documents
     without words are all kept. Rows that share an id are one document: one of
     them stays."""
-    parts = jaccard_components(docs)
+    parts = jaccard_components(docs, k, percent)
     ids = staged(
         parts.groupBy("doc_id").agg(F.max((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stay"), F.count("*").alias("c")),
         "op3-ids",

@@ -11,10 +11,10 @@ from dxcohort.llm import jaccard as j
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute(rows):
+def brute(rows, k=3, percent=90):
     def shingles(t):
         w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        return frozenset(zip(w, w[1:], w[2:])) if len(w) > 2 else frozenset([tuple(w)] if w else [])
+        return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
     sets = [shingles(t) for _, t in rows]
     up = list(range(len(rows)))
@@ -27,13 +27,13 @@ def brute(rows):
     for a in range(len(rows)):
         for b in range(a):
             n = len(sets[a] & sets[b])
-            if n and 100 * n >= 90 * (len(sets[a]) + len(sets[b]) - n):
+            if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
                 up[root(a)] = root(b)
     low = {}
-    for k, (i, _) in enumerate(rows):
+    for x, (i, _) in enumerate(rows):
         if i is not None:
-            low[root(k)] = min(i, low.get(root(k), i))
-    return Counter((i, len(s), low.get(root(k)) if s else i) for k, ((i, _), s) in enumerate(zip(rows, sets)))
+            low[root(x)] = min(i, low.get(root(x), i))
+    return Counter((i, len(s), low.get(root(x)) if s else i) for x, ((i, _), s) in enumerate(zip(rows, sets)))
 
 
 def copies(seed, n_base, n_copies, n_words, edits):
@@ -60,6 +60,12 @@ def test_against_brute_force(make_docs, seed, n_base, n_copies, n_words, edits):
     assert Counter(tuple(r) for r in j.op3_ngram_jaccard_join(make_docs(rows)).collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("k,percent", [(5, 80), (1, 50), (4, 95)])
+def test_other_settings(make_docs, k, percent):
+    rows = copies(9, 8, 10, 90, 5)
+    assert Counter(tuple(r) for r in j.jaccard_components(make_docs(rows), k, percent).collect()) == brute(rows, k, percent)
+
+
 def test_odd_rows_and_extra_columns(make_docs, odd_rows):
     got = Counter(tuple(r) for r in j.op3_ngram_jaccard_join(make_docs(odd_rows, extra=True)).collect())
     assert got == brute(odd_rows)
@@ -72,14 +78,14 @@ def test_same_prefix_groups(make_docs, monkeypatch):
 
     rows = copies(5, 3, 40, 150, 4)
     # One counter for all shingles: the order is by hash alone, so edits rarely touch the prefix.
-    monkeypatch.setattr(j, "shingle_counts", lambda docs: np.zeros(j.SLOTS, np.uint32))
+    monkeypatch.setattr(j, "shingle_counts", lambda docs, k: np.zeros(j.SLOTS, np.uint32))
     assert Counter(tuple(r) for r in j.op3_ngram_jaccard_join(make_docs(rows)).collect()) == brute(rows)
 
 
 def test_keep_one(make_docs, odd_rows):
     rows = copies(6, 6, 6, 100, 3) + [(1000, ""), (1001, None), (3, None)]
     kept = [r["doc_id"] for r in j.keep_one(make_docs(rows[:36] + rows[36:38])).collect()]
-    parts = brute(rows[:36] + rows[36:38])
+    parts = brute(rows[:36] + rows[36:38], j.STAGE_K, j.STAGE_PERCENT)
     assert sorted(kept) == sorted({c for _, _, c in parts})
     kept = j.keep_one(make_docs(odd_rows, extra=True)).collect()
     assert Counter(r["doc_id"] for r in kept)[7] == 1 and 8 not in [r["doc_id"] for r in kept]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from dxcohort.llm import decontam, pii, quality
+from dxcohort.llm import decontam, jaccard, pii, quality
 from dxcohort.llm.common import table
 from llm.test_decontam import prose
 from llm.test_jaccard import brute as jaccard_brute
@@ -24,7 +24,7 @@ def test_each_stage_against_brute_force(spark):
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == good
 
     out = steps["ngram_jaccard_join"](spark, out, DIR)
-    parts = jaccard_brute([(i, rows[i]["text"]) for i in sorted(good)])
+    parts = jaccard_brute([(i, rows[i]["text"]) for i in sorted(good)], jaccard.STAGE_K, jaccard.STAGE_PERCENT)
     stay = {c for _, _, c in parts}
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == sorted(stay)
 
