@@ -22,6 +22,8 @@ from dxcohort.session import scratch_path
 
 #: Documents are handled in runs of about this many bytes (bounded memory).
 CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch, unless the session asks for fewer.
+BATCH_ROWS = 1000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -36,8 +38,11 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark context."""
+    """Send this package to the Python workers, once per Spark context, and
+    keep Arrow batches small: texts are long, so rows are a poor measure."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if any(os.path.basename(str(p)) == "dxcohort_pkg.zip" for p in sc._python_includes):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -51,6 +56,17 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(target)
 
 
+_TABLES: dict[str, dict] = {}
+
+
+def worker_tables(operator: str) -> dict:
+    """What a Python worker keeps between tasks for one operator. Those of
+    others are dropped, so a worker that goes from stage to stage holds one."""
+    for other in [o for o in _TABLES if o != operator]:
+        del _TABLES[other]
+    return _TABLES.setdefault(operator, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import ship
+from dxcohort.llm.common import ship, worker_tables
 
 Q = 12
 WINDOW = 120
@@ -205,6 +205,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            worker_tables("decontam")
             block = sent.value
             for batch in batches:
                 out = {"doc_id": [], "item_id": [], "n_windows": [], "edits": []}
@@ -239,6 +240,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            worker_tables("decontam")
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text"))
                 clean = [not (t := texts[d].as_py()) or not matches(letters(t), sent.value) for d in range(batch.num_rows)]

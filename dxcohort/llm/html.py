@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import ship, staged
+from dxcohort.llm.common import ship, staged, worker_tables
 
 #: A subtree is template from so many pages, and this share of a host's pages, on.
 MIN_PAGES = 3
@@ -218,6 +218,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     block = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("html")
         for batch in batches:
             urls = batch.column(1).to_pylist()
             rows = [parse(p.as_py() or "") for p in batch.column(2)]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import Words, arrow_text, runs, shingle_rows, ship, staged
+from dxcohort.llm.common import Words, arrow_text, runs, shingle_rows, ship, staged, worker_tables
 
 PERCENT = 90
 K = 3
@@ -93,6 +93,7 @@ def shingle_counts(docs: DataFrame, k: int = K) -> np.ndarray:
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("jaccard")
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             data, off = arrow_text(batch.column(0))
@@ -125,6 +126,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, k: int = K, percent: int = P
     order, least = spark.sparkContext.broadcast(counts), least_size(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("jaccard")
         seen = order.value
         for batch in batches:
             n, cid, gid, prefix = [], [], [], []

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dxcohort.llm.common import CHUNK_BYTES, ship
+from dxcohort.llm.common import CHUNK_BYTES, ship, worker_tables
 
 SPACE = "▁"
 #: Entries of each table of known stretches and pairs; a full one is replaced.
@@ -110,8 +110,8 @@ class Pieces:
 class Encoder:
     """Streaming encoder; ``stream`` yields ids as they become final."""
 
-    def __init__(self, pieces: Pieces):
-        self.p = pieces
+    def __init__(self, pieces: Pieces, entries: int | None = None):
+        self.p, self.entries = pieces, entries or TABLE_ENTRIES
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the table before: words in use move over
@@ -223,7 +223,7 @@ class Encoder:
         if self.p.crossing:
             return [np.fromiter(self.stream([s]), np.uint32).tobytes() for s in escaped]
         split = [self.p.stretch.findall(s) for s in escaped]
-        if len(self.known) >= TABLE_ENTRIES:
+        if len(self.known) >= self.entries:
             self.known, self.older = {}, self.known
         coded = [list(map(self.known.get, parts)) for parts in split]
         new = {x for parts, ids in zip(split, coded) if None in ids for x, i in zip(parts, ids) if i is None}
@@ -246,9 +246,6 @@ class Encoder:
         return text[1:] if self.p.prefix and text[:1] == " " else text
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def model_path() -> str:
     """The public 32k BPE vocabulary; every function takes another path."""
     import public_tokenizers
@@ -256,11 +253,12 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, entries: int | None = None) -> Encoder:
     """One encoder for each Python worker and model, so its table is kept."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(Pieces(path))
-    return _ENCODERS[path]
+    held = worker_tables("pieces")
+    if (path, entries) not in held:
+        held[path, entries] = Encoder(Pieces(path), entries)
+    return held[path, entries]
 
 
 def _coded(batches: Iterator[pa.RecordBatch], e: Encoder) -> Iterator[tuple[pa.RecordBatch, list[str], list[bytes]]]:
@@ -276,14 +274,15 @@ def _coded(batches: Iterator[pa.RecordBatch], e: Encoder) -> Iterator[tuple[pa.R
                 texts, low, size = [], d + 1, 0
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` without text, and with ids (array<int>), n_ids and ids_crc32."""
+def encode_documents(docs: DataFrame, path: str | None = None, entries: int | None = None) -> DataFrame:
+    """``docs`` without text, and with ids (array<int>), n_ids and ids_crc32.
+    ``entries`` bounds the table of known words, where memory is short."""
     ship(docs.sparkSession)
     path = path or model_path()
     rest = [c for c in docs.columns if c not in ("text", "ids", "n_ids", "ids_crc32")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, coded in _coded(batches, encoder(path)):
+        for batch, _, coded in _coded(batches, encoder(path, entries)):
             off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])])
             out = {c: batch.column(batch.schema.get_field_index(c)) for c in rest}
             out["ids"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import arrow_text, ship
+from dxcohort.llm.common import arrow_text, ship, worker_tables
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("x_email", "x_ip", "x_card", "x_phone")
@@ -344,6 +344,7 @@ def spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("pii")
         for batch in batches:
             base: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             more: list[list[dict]] = [[] for _ in range(batch.num_rows)]
@@ -387,6 +388,7 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     schema = docs.schema
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("pii")
         for batch in batches:
             k = batch.schema.get_field_index("text")
             texts = {}

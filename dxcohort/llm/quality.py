@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import Words, arrow_text, runs, ship, shingle_rows
+from dxcohort.llm.common import Words, arrow_text, runs, ship, shingle_rows, worker_tables
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -182,6 +182,7 @@ def verdicts(docs: DataFrame, order: list[str] | None = None, counts: bool = Tru
     fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"] if counts else []
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("quality")
         for batch in batches:
             data, off = arrow_text(batch.column("text"))
             for a, b in runs(off):
@@ -205,6 +206,7 @@ def keep_good(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     order = order or rule_order(docs)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("quality")
         for batch in batches:
             data, off = arrow_text(batch.column(batch.schema.get_field_index("text")))
             good = np.zeros(batch.num_rows, bool)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import CHUNK_BYTES, runs, ship, staged
+from dxcohort.llm.common import CHUNK_BYTES, runs, ship, staged, worker_tables
 from dxcohort.session import scratch_path
 
 END_ID = 2
@@ -128,14 +128,12 @@ class ByteBpe:
         return done
 
 
-_ENCODERS: dict[str, ByteBpe] = {}
-
-
 def encoder(path: str) -> ByteBpe:
     """One encoder for each Python worker and vocabulary, so its table is kept."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteBpe(path)
-    return _ENCODERS[path]
+    held = worker_tables("tokens")
+    if path not in held:
+        held[path] = ByteBpe(path)
+    return held[path]
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
