@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from dxcohort.llm import decontam, jaccard, pieces, pii, quality
 from dxcohort.llm.common import staged, table
 
+#: Words that the last stage keeps: its workers come from other stages with little memory left.
+STAGE_WORDS = 60_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that some quality rule rejects go."""
@@ -36,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become ids; doc_id, lang, source and n_chars stay."""
-    return pieces.encode_documents(docs)
+    return pieces.encode_documents(docs, entries=STAGE_WORDS)
 
 
 STAGES = [
