@@ -4,8 +4,9 @@ Each page is parsed once into text blocks. Every block carries the hashes of
 the elements around it that may be template parts: a hash covers an element's
 name, its text and the hashes of its children. Spark counts, for each host, on
 how many different pages (by title) a hash occurs; subtrees on at least
-``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages are template and their
-blocks are deleted.
+``MIN_PAGES`` pages, and the logarithm of the host's pages, are template and their
+blocks are deleted. The bound hardly grows with the host, so parts of one section
+and rotating parts of a large host are found.
 
 Rules that need no other page apply as well, so that a host with few pages is
 cleaned too: menus, page headers and footers, sidebars, forms, scripts, styles,
@@ -28,16 +29,16 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dxcohort.llm.common import ship, staged, worker_tables
 
-#: A subtree is template from so many pages, and this share of a host's pages, on.
+#: A subtree is template from so many pages on, or the natural logarithm of the host's pages if that is more.
 MIN_PAGES = 3
-MIN_SHARE = 0.2
-#: Template hashes up to which the table is broadcast (about 40 MB); beyond it, a salted join.
+#: Template hashes up to which the table is broadcast (8 MB of keys); beyond it, a salted join.
 BROADCAST_HASHES = 1_000_000
 SALTS = 64
 
@@ -242,26 +243,67 @@ def templates(parsed: DataFrame) -> DataFrame:
     seen = parsed.select("host", "title_hash", F.explode("subtrees").alias("subtree")).distinct()
     counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
     sizes = parsed.select("host", "title_hash").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return counts.join(sizes, "host").where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "subtree")
+    return counts.join(sizes, "host").where(F.col("n") >= F.log(F.col("pages").cast("double"))).select("host", "subtree")
+
+
+def _keys(hosts: list[str], subtrees: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One number for each host and subtree; ``sizes``: subtrees of each host in turn."""
+    return subtrees ^ np.repeat(np.array([_digest(h) for h in hosts], np.int64), sizes)
+
+
+def _without_known(parsed: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows with the blocks that lie in no known subtree; the sorted keys are broadcast."""
+    spark = parsed.sparkSession
+    ship(spark)
+    rows = known.select("host", "subtree").toArrow()
+    found = _keys(rows.column(0).to_pylist(), rows.column(1).to_numpy(), np.ones(rows.num_rows, np.int64))
+    sent = spark.sparkContext.broadcast(np.sort(found))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("html")
+        table = sent.value
+        for batch in batches:
+            blocks = batch.column(3)
+            items = blocks.flatten()
+            around = items.field("around")
+            n_blocks = blocks.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            n_around = around.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            of_block = np.repeat(np.arange(len(n_around)), n_around)
+            of_row = np.repeat(np.arange(len(n_blocks)), n_blocks)
+            per_row = np.bincount(of_row, n_around, len(n_blocks)).astype(np.int64)
+            keys = _keys(batch.column(2).to_pylist(), around.flatten().to_numpy(zero_copy_only=False).astype(np.int64), per_row)
+            at = np.searchsorted(table, keys)
+            hit = table[np.minimum(at, len(table) - 1)] == keys if len(table) else np.zeros(len(keys), bool)
+            keep = np.ones(len(n_around), bool)
+            keep[of_block[hit]] = False
+            sizes = np.bincount(of_row[keep], minlength=len(n_blocks))
+            off = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            texts = pa.ListArray.from_arrays(off, items.field("text").filter(pa.array(keep)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["page_id", "url", "texts"])
+
+    return parsed.select("page_id", "url", "host", "blocks").mapInArrow(run, "page_id long, url string, texts array<string>")
+
+
+def _without_known_joined(parsed: DataFrame, known: DataFrame) -> DataFrame:
+    """The same for any number of subtrees. A template on most pages of a large
+    host is a hot key of the first join, so its rows are salted."""
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = parsed.select("row", "host", F.explode("subtrees").alias("subtree"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    lists = rows.join(salted, ["host", "subtree", "salt"], "left_semi").groupBy("row").agg(F.collect_list("subtree").alias("template"))
+    template = F.coalesce("template", F.array().cast("array<bigint>"))
+    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], template))
+    return parsed.join(lists, "row", "left").select("page_id", "url", F.transform(kept, lambda b: b["text"]).alias("texts"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``."""
-    parsed = staged(parsed_pages(pages), "op2-parsed")
+    parsed = staged(parsed_pages(pages).withColumn("row", F.monotonically_increasing_id()), "op2-parsed")
     known = staged(templates(parsed), "op2-templates")
-    # Few for each host: each holds a fifth of the host's pages, or three of a small host's.
-    if known.count() <= BROADCAST_HASHES:
-        lists = known.groupBy("host").agg(F.collect_list("subtree").alias("template"))
-        joined = parsed.join(F.broadcast(lists), "host", "left")
-    else:
-        lists = known.groupBy("host").agg(F.collect_list("subtree").alias("template"))
-        lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = parsed.withColumn("salt", F.pmod(F.xxhash64("page_id", "title_hash"), F.lit(SALTS)).cast("int"))
-        joined = salted.join(lists, ["host", "salt"], "left")
-    template = F.coalesce("template", F.array().cast("array<bigint>"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], template))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    few = known.count() <= BROADCAST_HASHES
+    kept = _without_known(parsed, known) if few else _without_known_joined(parsed, known)
+    text = F.array_join("texts", "\n\n")
+    return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op2_html_extraction(pages: DataFrame) -> DataFrame:

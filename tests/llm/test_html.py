@@ -58,6 +58,17 @@ def test_templates_by_host(spark):
     assert got[100] == "Text 0\n\nWrite to the editor\n\nSend it"  # too few pages of this host
 
 
+def test_templates_of_a_few_percent_of_a_large_host(spark, monkeypatch):
+    """Many rotating parts, each on 2 % of the pages; what few pages share stays."""
+    box = lambda k: f"<div><p>Write to editor {k % 50}</p></div>"
+    quote = lambda k: "<p>Quoted by four</p>" if k < 4 else ""
+    rows = [(k, f"http://a.example/{k}", f"<title>t{k}</title><div><p>Text {k}</p></div>{quote(k)}{box(k)}") for k in range(1000)]
+    want = {k: f"Text {k}" + "\n\nQuoted by four" * (k < 4) for k in range(1000)}
+    for most in (h.BROADCAST_HASHES, -1):
+        monkeypatch.setattr(h, "BROADCAST_HASHES", most)
+        assert {r["page_id"]: r["text"] for r in h.main_text(pages(spark, rows)).collect()} == want
+
+
 def test_copies_of_a_page_are_no_template(spark):
     rows = [(k, f"http://a.example/{k}", "<title>same</title><div><p>All of it</p></div>") for k in range(9)]
     assert {r["text"] for r in h.main_text(pages(spark, rows)).collect()} == {"All of it"}
