@@ -3,7 +3,7 @@
 Each page is parsed once into text blocks. Every block carries the hashes of
 the elements around it that may be template parts: a hash covers an element's
 name, its text and the hashes of its children. Spark counts, for each host, on
-how many different pages (by title) a hash occurs; subtrees on at least
+how many different pages (by their own blocks) a hash occurs; subtrees on at least
 ``MIN_PAGES`` pages, and the logarithm of the host's pages, are template and their
 blocks are deleted. The bound hardly grows with the host, so parts of one section
 and rotating parts of a large host are found.
@@ -213,7 +213,7 @@ def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int]]:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, title_hash, blocks (text, around) and the hashes of
+    """page_id, url, host, content_hash, blocks (text, around) and the hashes of
     all candidate subtrees of each page."""
     ship(pages.sparkSession)
     block = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
@@ -226,23 +226,23 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "page_id": batch.column(0), "url": batch.column(1),
                 "host": pa.array([host_of(u) for u in urls], pa.string()),
-                "title_hash": pa.array([_digest(t or (u or "")) for (t, _, _), u in zip(rows, urls, strict=True)], pa.int64()),
+                "content_hash": pa.array([_digest("\x00".join(x for x, _ in b)) for _, b, _ in rows], pa.int64()),
                 "blocks": pa.array([[{"text": x, "around": h} for x, h in b] for _, b, _ in rows], block),
                 "subtrees": pa.array([s for _, _, s in rows], pa.list_(pa.int64())),
             })
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    schema = "page_id long, url string, host string, title_hash long, blocks array<struct<text: string, around: array<long>>>, subtrees array<long>"
+    schema = "page_id long, url string, host string, content_hash long, blocks array<struct<text: string, around: array<long>>>, subtrees array<long>"
     return rows.mapInArrow(run, schema)
 
 
 def templates(parsed: DataFrame) -> DataFrame:
     """host, subtree: the subtrees that recur across many pages of their host.
-    A page is counted once for each title; partial counts come before each
+    Pages with the same blocks of main text count once; partial counts come before each
     shuffle, so a host with a third of all pages is no hot key."""
-    seen = parsed.select("host", "title_hash", F.explode("subtrees").alias("subtree")).distinct()
+    seen = parsed.select("host", "content_hash", F.explode("subtrees").alias("subtree")).distinct()
     counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    sizes = parsed.select("host", "title_hash").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = parsed.select("host", "content_hash").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     return counts.join(sizes, "host").where(F.col("n") >= F.log(F.col("pages").cast("double"))).select("host", "subtree")
 
 

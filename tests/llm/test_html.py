@@ -74,6 +74,13 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r["text"] for r in h.main_text(pages(spark, rows)).collect()} == {"All of it"}
 
 
+def test_different_pages_with_one_title(spark):
+    """The site's name as every page's title does not make them copies."""
+    box = "<div><p>Write to the editor</p></div>"
+    rows = [(k, f"http://a.example/{k}", f"<title>The site</title><div><p>Text {k}</p></div>{box}") for k in range(8)]
+    assert {r["page_id"]: r["text"] for r in h.main_text(pages(spark, rows)).collect()} == {k: f"Text {k}" for k in range(8)}
+
+
 def test_article_prose_is_no_template(spark):
     rows = [(k, f"http://a.example/{k}", f"<title>t{k}</title><article><p>Quoted by all.</p><p>{k}</p><div>Share this</div></article>") for k in range(6)]
     got = {r["page_id"]: r["text"] for r in h.main_text(pages(spark, rows)).collect()}
