@@ -2,9 +2,11 @@
 
 Texts are compared as their letters and digits, lower-cased (decorations,
 punctuation and white space drop out). Every benchmark item is covered by
-windows of up to ``WINDOW`` such characters, half a window apart; a document is
+windows of ``WINDOW`` such characters, one from every start; a document is
 contaminated by an item if some region of it aligns to one of the item's
-windows with at most 5 % edits (``EDIT_PERCENT``).
+windows with at most 5 % edits (``EDIT_PERCENT``). So every verbatim passage of
+``WINDOW`` characters is found, wherever it begins. Of a shorter item nine
+tenths are enough, but no fewer than ``LEAST_CHARS``.
 
 * Lemma: a region within e edits of a window of w characters shares at least
   w + 1 - Q * (e + 1) of its q-grams with it, all within e diagonals of
@@ -33,13 +35,15 @@ from pyspark.sql import functions as F
 from dxcohort.llm.common import ship, worker_tables
 
 Q = 12
-WINDOW = 120
+WINDOW = 50
 EDIT_PERCENT = 5
 LEAST_CHARS = 30
 #: Benchmark characters broadcast at once: about 40 MB with the q-gram table.
 BLOCK_CHARS = 2_000_000
 #: Letters of a document that are in memory as q-grams at once.
 SLICE = 1_000_000
+#: Windows that are aligned at once.
+PAIRS = 10_000
 _TABLE_BITS = 22
 
 _KEEP = np.zeros(0x3000, bool)
@@ -70,21 +74,32 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h * _MUL[0]) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
+class Windows:
+    """(start, length, edits, least grams) of the windows of an item, one from every start."""
+
+    def __init__(self, chars: int):
+        self.length = max(min(chars, LEAST_CHARS), min(WINDOW, chars * 9 // 10)) if chars >= LEAST_CHARS else 0
+        self.edits = self.length * EDIT_PERCENT // 100
+        self.need = self.length + 1 - Q * (self.edits + 1)
+        self.n = chars - self.length + 1 if self.length else 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self) -> Iterator[tuple[int, int, int, int]]:
+        return ((start, self.length, self.edits, self.need) for start in range(self.n))
+
+
 class Block:
     """Some benchmark items, their windows and an index of their q-grams."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids, self.chars = ids, [letters(t) for t in texts]
-        self.windows: list[list[tuple[int, int, int, int]]] = []  # start, length, edits, least grams
+        self.windows = [Windows(len(c)) for c in self.chars]
         hashes, items, places = [], [], []
         for k, c in enumerate(self.chars):
-            self.windows.append([])
-            if len(c) < LEAST_CHARS:
+            if not self.windows[k]:
                 continue
-            w = min(len(c), WINDOW)
-            e = w * EDIT_PERCENT // 100
-            starts = sorted({*range(0, len(c) - w + 1, WINDOW // 2), len(c) - w})
-            self.windows[k] = [(s, w, e, w + 1 - Q * (e + 1)) for s in starts]
             h = grams(c)
             hashes.append(h)
             items.append(np.full(len(h), k))
@@ -108,59 +123,76 @@ class Block:
         return np.repeat(at, n), self.item[entry], self.place[entry]
 
 
-def banded(window: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> int | None:
-    """Least edits of an alignment of ``window`` to ``text`` on the diagonals
-    (text place - window place) ``low`` to ``high``, if at most ``edits``. Only the
-    high - low + 1 cells of the band are kept for each row."""
-    width = high - low + 1
+def banded_many(windows: np.ndarray, text: np.ndarray, low: np.ndarray, width: int, edits: int) -> np.ndarray:
+    """For each row of ``windows``: least edits of an alignment to ``text`` on the
+    ``width`` diagonals (text place - window place) from its ``low`` on; edits + 1
+    if there are more. Only the cells of the band are kept for each step."""
     far = edits + 1
     steps = np.arange(width)
-    place = low + steps  # text characters used before, by diagonal, at row 0
+    place = low[:, None] + steps  # text characters used before, by diagonal, at row 0
     row = np.where((place >= 0) & (place <= len(text)), 0, far)
-    for i in range(len(window)):
+    for i in range(windows.shape[1]):
         j = i + place  # the text character that row i + 1 uses on each diagonal
         inside = (j >= 0) & (j < len(text))
-        miss = np.ones(width, np.int64)
-        miss[inside] = text[j[inside]] != window[i]
+        miss = text[np.clip(j, 0, max(len(text) - 1, 0))] != windows[:, i, None] if len(text) else np.ones(j.shape, bool)
         new = np.where(inside, row + miss, far)
         # the window character without a partner: from the next diagonal above
-        new[:-1] = np.minimum(new[:-1], np.where((j[:-1] + 1 >= 0) & (j[:-1] + 1 <= len(text)), row[1:] + 1, far))
-        new = np.minimum.accumulate(new - steps) + steps  # text characters without a partner
+        new[:, :-1] = np.minimum(new[:, :-1], np.where((j[:, :-1] + 1 >= 0) & (j[:, :-1] + 1 <= len(text)), row[:, 1:] + 1, far))
+        new = np.minimum.accumulate(new - steps, axis=1) + steps  # text characters without a partner
         row = np.where((j + 1 >= 0) & (j + 1 <= len(text)), np.minimum(new, far), far)
-        if row.min() > edits:
-            return None
-    return int(row.min())
+    return row.min(axis=1)
+
+
+def banded(window: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> int | None:
+    """The same for one window, on the diagonals ``low`` to ``high``; None beyond ``edits``."""
+    got = int(banded_many(window[None, :], text, np.array([low]), high - low + 1, edits)[0])
+    return got if got <= edits else None
+
+
+def _rich(diag: np.ndarray, spot: np.ndarray, windows: Windows, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window start, band) pairs with enough different shared q-grams, of the
+    ``size`` q-grams of an item. Band b holds the diagonals from b * step to (b + 2) * step - 1."""
+    half = diag // (windows.edits + 1)
+    key = np.unique(np.concatenate([half, half - 1]) * size + np.concatenate([spot, spot]))
+    band, place = key // size, key % size
+    # ``need`` neighbours of one band within a window: a start per run of places
+    reach, n = windows.length - Q, windows.need
+    first = np.arange(max(len(key) - n + 1, 0))
+    last = first + n - 1
+    tight = (band[first] == band[last]) & (place[last] - place[first] <= reach)
+    band, from_, to = band[first[tight]], np.maximum(place[last[tight]] - reach, 0), np.minimum(place[first[tight]], windows.n - 1)
+    keep = from_ <= to
+    band, from_, to = band[keep], from_[keep], to[keep]
+    n = to - from_ + 1
+    start = np.repeat(from_ - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    pairs = np.unique(np.repeat(band, n) * size + start)
+    return pairs % size, pairs // size
 
 
 def window_edits(c: np.ndarray, block: Block) -> dict[tuple[int, int], int]:
     """(item number, window number) -> least edits, of the windows that align."""
     out: dict[tuple[int, int], int] = {}
     at, item, place = block.hits(c)
-    count = np.bincount(item, minlength=len(block.ids))
-    for k in np.flatnonzero(count):
+    order = np.argsort(item, kind="stable")
+    at, item, place = at[order], item[order], place[order]
+    items, low, count = np.unique(item, return_index=True, return_counts=True)
+    for k, a, n in zip(items.tolist(), low.tolist(), count.tolist(), strict=True):
         windows = block.windows[k]
-        if not windows or count[k] < min(w[3] for w in windows):
+        if n < windows.need:
             continue
-        mine = item == k
-        diag, spot = at[mine] - place[mine], place[mine]
-        for number, (start, w, e, need) in enumerate(windows):
-            inside = (spot >= start) & (spot <= start + w - Q)
-            if inside.sum() < need:
-                continue
-            step = e + 1  # band b holds the diagonals from b * step to (b + 2) * step - 1
-            half, p = diag[inside] // step, spot[inside]
-            pairs = np.unique(np.stack([np.concatenate([half, half - 1]), np.concatenate([p, p])]), axis=1)
-            bands, n = np.unique(pairs[0], return_counts=True)
-            best = None
-            for b in bands[n >= need]:
-                low = int(b) * step + start
-                got = banded(block.chars[k][start : start + w], c, low - e, low + 2 * step - 1 + e, e)
-                if got is not None and (best is None or got < best):
-                    best = got
-                if best == 0:
-                    break
-            if best is not None:
-                out[int(k), number] = best
+        chars, (w, e) = block.chars[k], (windows.length, windows.edits)
+        starts, bands = _rich(at[a : a + n] - place[a : a + n], place[a : a + n], windows, len(chars) - Q + 1)
+        if not len(starts):
+            continue
+        whole = np.lib.stride_tricks.sliding_window_view(chars, w)
+        step = e + 1
+        best = np.full(windows.n, e + 1)
+        for i in range(0, len(starts), PAIRS):
+            s, b = starts[i : i + PAIRS], bands[i : i + PAIRS]
+            got = banded_many(whole[s], c, b * step + s - e, 2 * step + 2 * e, e)
+            np.minimum.at(best, s, got)
+        for number in np.flatnonzero(best <= e).tolist():
+            out[k, number] = int(best[number])
     return out
 
 

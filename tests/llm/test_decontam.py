@@ -74,6 +74,26 @@ def test_decorations_case_and_spacing_do_not_hide():
     assert d.matches(d.letters("rere st in in than " * 30), block) == {}
 
 
+def test_passages_of_a_long_item_at_every_offset():
+    """Verbatim passages of the least length and beyond, wherever they begin."""
+    r = random.Random(9)
+    item = squeezed(prose(r, 60))[:300]
+    block = d.Block([1], [item])
+    for size in (d.WINDOW, 75, 114, 166):
+        for at in range(0, 300 - size + 1):
+            got = d.matches(d.letters("zq " * 20 + item[at : at + size] + " qz" * 20), block)
+            assert got[0][0] >= size - d.WINDOW + 1 and got[0][1] == 0
+
+
+def test_an_item_without_a_tenth_at_one_end():
+    r = random.Random(10)
+    for size in (34, 45, 60, 100, 120):
+        item = squeezed(prose(r, 30))[:size]
+        block = d.Block([1], [item])
+        for part in (item[size // 10 :], item[: size - size // 10]):
+            assert 0 in d.matches(d.letters("zq " * 20 + part + " qz" * 20), block)
+
+
 def test_slices_of_long_texts(monkeypatch):
     monkeypatch.setattr(d, "SLICE", 200)
     r = random.Random(5)
