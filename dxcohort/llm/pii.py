@@ -100,10 +100,14 @@ _GENERATORS = {
 }
 
 
+#: What every span of the x_email generator holds: an at, spelled out in some form or not, and a part of the name after it.
+_AT = re.compile(r"(?:\(at\)|\[at\]|\{at\}|\sat\s|@)\s?[A-Za-z0-9-]", re.I)
+
+
 def candidates(text: str) -> list[Span]:
     out: list[Span] = []
     for kind, pattern in _GENERATORS.items():
-        if kind == "x_email" and "@" not in text and not re.search(r"\bdot\b|[({\[]dot", text, re.I):
+        if kind == "x_email" and not _AT.search(text):
             continue
         out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
     return out
@@ -320,8 +324,8 @@ def find(text: str | None, model: Model | None) -> tuple[list[Span], list[Span]]
 
 
 def _worth(batch_column) -> np.ndarray:
-    """Which rows hold a digit or @; besides those, only a spelled-out dot can
-    be part of a span."""
+    """Which rows hold a digit or @; besides those, only rows with a spelled-out
+    at can have a span."""
     data, off = arrow_text(batch_column)
     marks = np.concatenate([[0], np.cumsum(_MAYBE[data])])
     return np.diff(marks[off]) > 0
@@ -329,7 +333,8 @@ def _worth(batch_column) -> np.ndarray:
 
 def _texts(column) -> Iterator[tuple[int, str]]:
     """Rows that can have a span; only these are decoded."""
-    spelled = pc.fill_null(pc.match_substring(column, "dot", ignore_case=True), False).to_numpy(zero_copy_only=False)
+    # Any white space or bracket around it passes; this finds more than the generator takes.
+    spelled = pc.fill_null(pc.match_substring_regex(column, "[^a-z0-9]at[^a-z0-9]", ignore_case=True), False).to_numpy(zero_copy_only=False)
     for d in np.flatnonzero(_worth(column) | spelled):
         text = column[int(d)].as_py()
         if text:

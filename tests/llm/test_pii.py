@@ -73,6 +73,27 @@ def test_adds_other_formats_and_leaves_prose_alone(model):
     assert found("she sat at home. dot the line") == []
 
 
+FORMS = [f"jane.doe42{at}example{dot}com" for at in ("(at)", " [at] ", "{AT}", " at ", "\u00a0at\u2003", "@") for dot in (".", ". ", "(dot)", " [DOT] ", " dot ")]
+
+
+def test_every_form_is_proposed_without_another_mark():
+    """Neither the generator's gate nor the row filter needs a digit, @ or dot elsewhere."""
+    import pyarrow as pa
+
+    for form in FORMS:
+        for value in (form, form.replace("42", "")):
+            text = f"please write {value}"
+            want = [("x_email", m.start(), m.end()) for m in p._GENERATORS["x_email"].finditer(text)]
+            assert want and [c for c in p.candidates(text) if c[0] == "x_email"] == want
+            assert list(p._texts(pa.array([None, text, "no such thing"]))) == [(1, text)]
+
+
+def test_spelled_at_with_a_plain_dot(model, make_docs):
+    text = "please write to jane.doe42 [at] example.com for more"
+    assert [(k, text[a:b]) for k, a, b in p.find(text, model)[1]] == [("x_email", "jane.doe42 [at] example.com")]
+    assert p.redact(make_docs([(1, text)]), model).first()["text"] == "please write to [EMAIL] for more"
+
+
 def test_boosted_trees_learn_an_interaction():
     r = np.random.default_rng(2)
     x = r.random((3000, 4))
