@@ -13,7 +13,8 @@ so long that any stretch with the template's number of words lies whole in one.
    matches has at least the Jaccard similarity ``least_similarity``; the number of
    bands follows from it, so that a match is missed with at most ``MISS``.
 4. *Verification.* The template's shingles contained in the window are counted.
-   Overlapping windows of a class go to the template that one contains most of.
+   Templates of a class compete only for the same stretch: if at least ``SAME`` of
+   the matched shingles stand at the same places, the one contained most stays.
 
 Templates are broadcast: a fixed list, or a parameter of at most
 ``MOST_TEMPLATES``. A null or empty text matches nothing; repeated rows give one
@@ -34,6 +35,7 @@ from pyspark.sql.window import Window
 K = 3
 CONTAINED = 0.8
 MISS = 1e-4
+SAME = 0.75
 MOST_TEMPLATES = 5000
 _LENGTHS = (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096, 8192)
 
@@ -163,7 +165,7 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
         starts = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.transform(
             F.sequence(F.floor(F.greatest(i - inside + step, F.lit(0)) / step).cast("int"), F.floor(i / step).cast("int")), lambda k: k * step))))
         rich = F.filter(starts, lambda a: F.size(F.filter(hits, lambda i: (i >= a) & (i < a + inside))) >= need)
-        return F.transform(rich, lambda a: F.struct(F.lit(length).alias("length"), a.alias("start"), F.array_distinct(F.slice(s, a + 1, inside)).alias("inside")))
+        return F.transform(rich, lambda a: F.struct(F.lit(length).alias("length"), a.alias("start"), F.slice(s, a + 1, inside).alias("inside")))
 
     def rich_windows(s: Column) -> Column:
         """Windows with enough template shingles for a match of their class."""
@@ -183,11 +185,17 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
     right = table.select("license", "length", "need", "shingles", F.posexplode(banded(F.col("shingles"))).alias("seat", "value"))
     met = left.join(F.broadcast(right), ["length", "seat", "value"])
     common = F.size(F.array_intersect("inside", "shingles"))
-    checked = met.where(common >= F.col("need")).select("doc_id", "license", "length", "start", (common / F.size("shingles")).alias("c"))
-    # Of templates that differ in a version or name only, overlapping windows are the one they hold most of.
+    places = F.filter(F.sequence(F.lit(0), F.size("inside") - 1), lambda i: F.array_contains("shingles", F.get("inside", i)))
+    at = F.transform(places, lambda i: i + F.col("start"))
+    # A window that meets a template in several bands is one match.
+    once = met.where(common >= F.col("need")).dropDuplicates(["doc_id", "license", "length", "start"])
+    checked = once.select("doc_id", "license", "length", "start", (common / F.size("shingles")).alias("c"), at.alias("at"))
+    # Of templates that differ in a version or name only, one stretch is the one it holds most of.
+    # Windows with a place in common are at most three steps apart.
     step = F.floor(F.col("start") * 4 / F.col("length"))
-    rival = Window.partitionBy("doc_id", "length").orderBy(step).rangeBetween(-4, 4)
-    checked = checked.withColumn("most", F.max("c").over(rival)).where("c = most")
+    near = F.collect_list(F.struct("c", "at")).over(Window.partitionBy("doc_id", "length").orderBy(step).rangeBetween(-3, 3))
+    better = F.exists("near", lambda o: (o["c"] > F.col("c")) & (F.size(F.array_intersect(o["at"], "at")) >= SAME * F.greatest(F.size("at"), F.size(o["at"]))))
+    checked = checked.withColumn("near", near).where(~better)
     best = checked.groupBy("doc_id", "license").agg(F.max(F.struct(F.col("c"), (-F.col("start")).alias("first"))).alias("m"))
     return best.select("doc_id", "license", F.round("m.c", 6).alias("containment"), (-F.col("m.first")).cast("long").alias("first_word"))
 

@@ -58,6 +58,40 @@ def test_versions_are_told_apart(make_docs):
     assert got == {(0, "gpl-3.0-line"), (1, "gpl-2.0-line"), (2, "cc-by-nc-4.0-line")}
 
 
+def test_neighbours_do_not_compete(make_docs):
+    """Only templates that share most of their shingles compete, for one stretch."""
+    cut = lambda name: " ".join(w for i, w in enumerate(l.TEMPLATES[name].split()) if i != 12)
+    texts = [
+        "Available under CC BY-NC 4.0. All rights reserved.",
+        cut("gpl-3.0") + "\n" + l.TEMPLATES["unlicense"],
+        l.TEMPLATES["gpl-2.0-line"] + " " + l.TEMPLATES["gpl-3.0-line"],
+        l.TEMPLATES["gpl-2.0-line"],
+    ]
+    got = {(r["doc_id"], r["license"]) for r in l.op5_license_scan(make_docs(enumerate(texts))).collect()}
+    want = [{"cc-by-nc-4.0-line", "all-rights-reserved"}, {"gpl-3.0", "unlicense"}, {"gpl-2.0-line", "gpl-3.0-line"}, {"gpl-2.0-line"}]
+    assert got == {(i, name) for i, names in enumerate(want) for name in names}
+
+
+def test_against_brute_force_by_stretch(make_docs):
+    """Every verified match but those whose stretch another template fits better."""
+    data, want = rows(1, 250), {}
+    for i, text in data:
+        words, found = l.words_of(text), []
+        for name, t in l.TEMPLATES.items():
+            tw = l.words_of(t)
+            shingles, size = l._shingles_of(tw), l.window_length(len(tw))
+            for start in range(0, max(len(words) - l.K + 1, 0), size // 4):
+                at = {k for k in range(start, min(start + size, len(words)) - l.K + 1) if tuple(words[k : k + l.K]) in shingles}
+                c = len({tuple(words[k : k + l.K]) for k in at})
+                if c >= l.needed(len(shingles)):
+                    found.append((size, name, c / len(shingles), at))
+        for size, name, c, at in found:
+            if not any(z == size and d > c and len(at & o) >= l.SAME * max(len(at), len(o)) for z, _, d, o in found):
+                want[i, name] = max(round(c, 6), want.get((i, name), 0))
+    got = {(r["doc_id"], r["license"]): r["containment"] for r in l.op5_license_scan(make_docs(data)).collect()}
+    assert got == want
+
+
 def test_anchors_are_lossless():
     words = set(l.anchors(l.TEMPLATES))
     for text in l.TEMPLATES.values():
