@@ -18,7 +18,8 @@ tenths are enough, but no fewer than ``LEAST_CHARS``.
 The benchmark is a stated query set: it is read in blocks of at most
 ``BLOCK_CHARS`` characters, each broadcast in turn, against all documents.
 Items with fewer than ``LEAST_CHARS`` letters and digits cannot be told from
-chance and match nothing. Null or empty texts match nothing; repeated rows are
+chance and match nothing. An item without an id counts as any other, its pairs
+have a null item_id. Null or empty texts match nothing; repeated rows are
 judged one by one; empty tables give empty results; extra columns are ignored
 (``drop_contaminated`` carries them along).
 """
@@ -213,7 +214,7 @@ def matches(c: np.ndarray, block: Block) -> dict[int, tuple[int, int]]:
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Block]:
     """The benchmark in blocks of bounded size, one on the driver at a time."""
     ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null")
+    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     for item_id, text in rows.toLocalIterator():
         if ids and size + len(text) > block_chars:
             yield Block(ids, texts)

@@ -120,6 +120,15 @@ def test_query_and_filter(spark, make_docs, odd_rows):
     assert d.op8_benchmark_decontamination(make_docs([]), benchmark).collect() == []
 
 
+def test_items_without_an_id(spark, make_docs):
+    r = random.Random(11)
+    item = prose(r, 20)
+    benchmark = spark.createDataFrame([(None, item)], "item_id long, text string")
+    docs = make_docs([(1, "intro " + item), (2, prose(r, 20))])
+    assert [(x["doc_id"], x["item_id"]) for x in d.op8_benchmark_decontamination(docs, benchmark).collect()] == [(1, None)]
+    assert [x["doc_id"] for x in d.drop_contaminated(docs, benchmark).collect()] == [2]
+
+
 def test_blocks_cover_the_benchmark(spark, make_docs, monkeypatch):
     r = random.Random(7)
     items = [(k, prose(r, 20)) for k in range(12)]
