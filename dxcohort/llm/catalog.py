@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dxcohort.llm import decontam, html, jaccard, licenses, pieces, pii, quality, secrets, separators, tokens
+from dxcohort.llm import audit, decontam, html, jaccard, licenses, pieces, pii, quality, secrets, separators, tokens
 from dxcohort.llm.common import table
 
 
@@ -19,6 +19,10 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op8_benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.op13_filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": _on("documents", tokens.op1_token_files),
@@ -31,6 +35,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": _decontamination,
         "op9_sentencepiece": _on("documents", pieces.op9_sentencepiece),
         "op10_token_counts": _on("documents", separators.op10_token_counts),
+        "op13_filter_audit": _audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -39,4 +44,5 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op3_ngram_jaccard_join": jaccard.ORACLE_SQL,
         "op6_quality_rules": quality.ORACLE_SQL,
+        "op13_filter_audit": audit.ORACLE_SQL,
     }
