@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dxcohort.llm import audit, decontam, html, jaccard, licenses, pieces, pii, quality, repair, secrets, separators, tokens
+from dxcohort.llm import audit, decontam, html, jaccard, licenses, pieces, pii, quality, repair, secrets, separators, substrings, tokens
 from dxcohort.llm.common import table
 
 
@@ -35,6 +35,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": _decontamination,
         "op9_sentencepiece": _on("documents", pieces.op9_sentencepiece),
         "op10_token_counts": _on("documents", separators.op10_token_counts),
+        "op11_substring_dedup": _on("documents", substrings.op11_substring_dedup),
         "op12_conversation_repair": _on("conversations", repair.op12_conversation_repair),
         "op13_filter_audit": _audit,
         "pipeline": corpus_pipeline.run,
@@ -45,6 +46,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op3_ngram_jaccard_join": jaccard.ORACLE_SQL,
         "op6_quality_rules": quality.ORACLE_SQL,
+        "op11_substring_dedup": substrings.ORACLE_SQL,
         "op12_conversation_repair": repair.ORACLE_SQL,
         "op13_filter_audit": audit.ORACLE_SQL,
     }
