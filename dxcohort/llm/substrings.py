@@ -41,10 +41,9 @@ from dxcohort.session import scratch_path
 
 #: Words of a window whose repeats are removed, and of the first length searched.
 WINDOW, FIRST = 13, 7
-#: Texts of one partition, and of one block (more if one text has more).
-PART_BYTES, BLOCK_BYTES = 64 << 20, 16 << 20
-#: Slots (blocks, if small) of a partition, and ranges of hashes for each partition.
-SLOTS, RANGES = 16, 2
+#: Texts of one partition, of one slot (a block, or more), and of one block (more
+#: if one text has more), and those whose hashes make one range.
+PART_BYTES, SLOT_BYTES, BLOCK_BYTES, RANGE_BYTES = 64 << 20, 1 << 20, 16 << 20, 16 << 20
 LONG_WORD = 128
 
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -56,7 +55,8 @@ _TOLD = "slot int, block int, range int, shared binary, smaller binary"
 # --- blocks ---------------------------------------------------------------------------
 
 def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The documents in blocks of a bucketed table, and the number of buckets."""
+    """The documents in blocks of a bucketed table, and the number of hash ranges.
+    Slots and ranges follow the bytes of the texts, not the number of partitions."""
     spark = docs.sparkSession
     ship(spark)
     picked = docs.select(
@@ -65,6 +65,7 @@ def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     )
     total = picked.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    slots, ranges = -(-total // SLOT_BYTES) + 1, -(-total // RANGE_BYTES) + 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -95,11 +96,13 @@ def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
 
     # The seat keeps repeated rows apart, so that no slot is hot.
     seat = F.monotonically_increasing_id()
-    dealt = picked.withColumn("slot", F.pmod(F.xxhash64("doc_id", seat), F.lit(SLOTS * n)).cast("int")).select("slot", "doc_id", "text")
+    dealt = picked.withColumn("slot", F.pmod(F.xxhash64("doc_id", seat), F.lit(slots)).cast("int")).select("slot", "doc_id", "text")
     name = f"op11_{uuid.uuid4().hex}"
     packed = dealt.repartition(n, "slot").mapInArrow(pack, _BLOCK)
     packed.write.bucketBy(n, "slot").option("path", scratch_path(spark, "op11-blocks")).option("compression", "none").saveAsTable(name)
-    return spark.table(name), n
+    corpus = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay, and the frame has their place and buckets
+    return corpus, ranges
 
 
 class Block:
@@ -251,9 +254,9 @@ def _answer(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["slot", "block", "range", "shared", "smaller"])
 
 
-def _round(corpus: DataFrame, n: int, levels: list[DataFrame]) -> DataFrame:
+def _round(corpus: DataFrame, ranges: int, levels: list[DataFrame]) -> DataFrame:
     """The answers to the next length; empty if no candidate is repeated."""
-    ranges, asked = RANGES * n, len(levels)
+    asked = len(levels)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slot, block, b, answers in _blocks_of(batches, asked):
@@ -277,11 +280,10 @@ def strip_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, ``kept``, the
     words that stay. A word goes if a window of 13 words over it also starts in a
     document with a smaller doc_id."""
-    corpus, n = blocks(docs)
+    corpus, ranges = blocks(docs)
     levels: list[DataFrame] = []
     for _ in range(2):  # 7 words, then 13
-        levels.append(_round(corpus, n, levels))
-    ranges = RANGES * n
+        levels.append(_round(corpus, ranges, levels))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, b, answers in _blocks_of(batches, 2):
@@ -315,11 +317,11 @@ def longest_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and ``longest``, the words of the longest window (13, 26, 52, ...)
     that also starts in a document with a smaller doc_id; 0 without any. Doubles
     until no candidate survives."""
-    corpus, n = blocks(docs)
-    levels = [_round(corpus, n, [])]
-    while not (told := _round(corpus, n, levels)).isEmpty():
+    corpus, ranges = blocks(docs)
+    levels = [_round(corpus, ranges, [])]
+    while not (told := _round(corpus, ranges, levels)).isEmpty():
         levels.append(told)
-    ranges, rounds = RANGES * n, len(levels)
+    rounds = len(levels)
     # Windows that only documents of one block share are not in the answers; the
     # block goes on by itself where the rounds have ended.
 

@@ -72,7 +72,9 @@ def got(df):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(make_docs, monkeypatch, seed):
-    monkeypatch.setattr(s, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(s, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(s, "SLOT_BYTES", 4000)
+    monkeypatch.setattr(s, "RANGE_BYTES", 9000)
     rows = corpus(160, seed, 60 if seed == 1 else 3)
     assert got(s.op11_substring_dedup(make_docs(rows, extra=True))) == brute(rows)
 
