@@ -20,7 +20,6 @@ from dxcohort.operators.counts import (
     area_counts,
     area_drop_report,
     people_of,
-    person_year_counts,
     strat_counts,
     strat_observed,
     strat_spine,
@@ -31,6 +30,7 @@ from dxcohort.operators.counts import (
 from dxcohort.operators.crosswalk import county_counts
 from dxcohort.operators.events import DATE_COLS, attach_dates, index_outcomes, index_profile
 from dxcohort.operators.numbering import heavy_groups, row_number_skew_safe
+from dxcohort.operators.postings import posting_rows, read_postings, tag_postings, write_postings
 from dxcohort.operators.tagging import (
     conditional_outcomes,
     has_code,
@@ -61,8 +61,9 @@ __all__ = [
     "index_profile",
     "observed_codes",
     "people_of",
-    "person_year_counts",
+    "posting_rows",
     "prefixes_frame",
+    "read_postings",
     "row_number_skew_safe",
     "strat_counts",
     "strat_observed",
@@ -71,7 +72,9 @@ __all__ = [
     "tag_any",
     "tag_conditional",
     "tag_outcomes",
+    "tag_postings",
     "totals_by_year",
     "year_counts_long",
+    "write_postings",
     "year_counts_wide",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dxcohort.functions.bloom import towards_keys
 from dxcohort.functions.expressions import BROADCAST_BYTES, LONG_KEY_BYTES
 from dxcohort.session import materialize
 
@@ -22,14 +23,14 @@ def cohort_subset(
 
     A left semi join against the distinct persons: no fan-out. They are
     written once; if they are at most ``max_broadcast_persons`` they are
-    broadcast, so the (wide, huge) admissions are never shuffled. Beyond that
-    the join is left to Spark, with skewed partitions split by AQE; a bound
-    of 0 asks for that without writing or counting.
+    broadcast, so the (wide, huge) admissions are never shuffled. Beyond that a
+    Bloom filter of fixed size drops most other persons' admissions row-locally
+    and only the rest is shuffled, with skewed partitions split by AQE. A bound
+    of 0 asks for that without writing the persons (a bucketed layout is kept).
     """
     persons = outcomes if outcome is None else outcomes.where(F.col("outcome") == F.lit(outcome))
-    people = persons.select("bene_id").distinct()
+    people = persons.select("bene_id").where(F.col("bene_id").isNotNull()).distinct()
     if max_broadcast_persons > 0:
         people = materialize(people, "persons")
-        if people.count() <= max_broadcast_persons:
-            people = F.broadcast(people)
-    return admissions.join(people, "bene_id", "left_semi").select(*admissions.columns)
+    near, exact = towards_keys(admissions, people, ["bene_id"], max_broadcast_persons)
+    return (near if exact else near.join(people, "bene_id", "left_semi")).select(*admissions.columns)

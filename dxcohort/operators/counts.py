@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dxcohort.functions.bloom import towards_keys
 from dxcohort.functions.expressions import (
     AGE_BANDS,
     BROADCAST_BYTES,
@@ -58,13 +59,6 @@ def year_counts_wide(outcomes: DataFrame, outcome_list: Sequence[str] | None = N
     return year_counts_long(outcomes).groupBy("year").pivot("outcome", names).agg(F.first("n"))
 
 
-def person_year_counts(outcomes: DataFrame, outcome_list: Sequence[str]) -> DataFrame:
-    """One row per person-year with the number of tagged rows per outcome."""
-    return outcomes.groupBy("bene_id", "year").agg(
-        *[F.count_if(F.col("outcome") == F.lit(o)).alias(o) for o in outcome_list]
-    )
-
-
 def collapsed(outcomes: DataFrame) -> DataFrame:
     """Tagged rows ``n`` of each (person, year, outcome), written once."""
     return materialize(
@@ -84,14 +78,12 @@ def people_of(outcomes: DataFrame, people: DataFrame, max_keys: int = MAX_BROADC
 
     Up to ``max_keys`` distinct person-years are broadcast and semi-join
     ``people`` row-locally, so a rare outcome never shuffles the whole
-    person-year table; beyond that ``people`` is returned as it is. Exact:
-    the join that follows drops the other rows anyway. ``outcomes`` is read
-    twice: pass a written table (see ``collapsed``).
+    person-year table; more of them become a Bloom filter of fixed size, which
+    lets a few other rows pass. Exact: the join that follows drops those.
+    ``outcomes`` is read twice: pass a written table (see ``collapsed``).
     """
     keys = outcomes.select("bene_id", "year").distinct()
-    if max_keys > 0 and keys.count() <= max_keys:
-        return people.join(F.broadcast(keys), ["bene_id", "year"], "left_semi")
-    return people
+    return towards_keys(people, keys, ["bene_id", "year"], max_keys)[0]
 
 
 def _of_years(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
@@ -105,17 +97,19 @@ def area_counts(
     spine: DataFrame,
     outcome_list: Sequence[str] | None = None,
     years: Sequence[int] | None = None,
+    person_years: DataFrame | None = None,
 ) -> DataFrame:
     """Counts per ``(zcta, year)`` for every area-year of the spine.
 
     Tagged rows whose person-year is missing, or whose area is NULL or off
     the spine, drop out; spine areas without rows get 0. A spine row listed
-    twice counts twice, as a join with the spine would.
+    twice counts twice, as a join with the spine would. ``person_years`` may be
+    the ``collapsed`` outcomes, if they are there already.
     """
     need(outcomes, ["bene_id", "year", "outcome"], "outcomes")
     need(denom, ["bene_id", "year", "zcta"], "denom")
     need(spine, ["zcta", "year"], "spine")
-    rows = collapsed(_of_years(outcomes, years))
+    rows = collapsed(_of_years(outcomes, years)) if person_years is None else _of_years(person_years, years)
     names = _outcome_list(rows, outcome_list)
     people = people_of(rows, _of_years(denom, years).select("bene_id", "year", "zcta"))
     by_area = (
@@ -133,7 +127,11 @@ def area_counts(
 
 
 def area_drop_report(
-    outcomes: DataFrame, denom: DataFrame, spine: DataFrame, years: Sequence[int] | None = None
+    outcomes: DataFrame,
+    denom: DataFrame,
+    spine: DataFrame,
+    years: Sequence[int] | None = None,
+    person_years: DataFrame | None = None,
 ) -> DataFrame:
     """Tagged rows that area counts cannot place, per year and outcome: no
     person-year, no area in any of the person-year's rows, or no area of
@@ -143,7 +141,7 @@ def area_drop_report(
     Tagged rows are collapsed to person-years first, and rows without an
     area never enter a join, so neither a person nor the NULL area is hot.
     """
-    rows = collapsed(_of_years(outcomes, years))
+    rows = collapsed(_of_years(outcomes, years)) if person_years is None else _of_years(person_years, years)
     people = people_of(rows, _of_years(denom, years).select("bene_id", "year", "zcta"))
     keys = _of_years(spine, years).select("zcta", "year").distinct()
     on_spine = (
@@ -213,6 +211,7 @@ def strat_counts(
     spine: DataFrame,
     outcome_list: Sequence[str] | None = None,
     years: Sequence[int] | None = None,
+    person_years: DataFrame | None = None,
 ) -> DataFrame:
     """Counts for every (area, year, age group, sex, race, dual) cell.
 
@@ -229,7 +228,7 @@ def strat_counts(
     need(denom, ["bene_id", "year", "zcta", "age_dob", "sex", "race", "dual"], "denom")
     need(spine, ["zcta"], "spine")
     denom = _of_years(denom, years)
-    rows = collapsed(_of_years(outcomes, years))
+    rows = collapsed(_of_years(outcomes, years)) if person_years is None else _of_years(person_years, years)
     names = _outcome_list(rows, outcome_list)
     yrs = list(years) if years is not None else bounded_values(denom, "year", 1000)
     observed = _observed(rows, denom, names).where(_in_domain())

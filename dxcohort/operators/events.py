@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dxcohort.functions.bloom import towards_keys
 from dxcohort.functions.expressions import BROADCAST_BYTES, LONG_KEY_BYTES
 from dxcohort.operators.numbering import row_number_skew_safe
 from dxcohort.schemas import need
-from dxcohort.session import materialize
+from dxcohort.session import written
 
 DATE_COLS = ["admission_date", "discharge_date"]
 
@@ -17,26 +18,59 @@ DATE_COLS = ["admission_date", "discharge_date"]
 MAX_BROADCAST_IDS = BROADCAST_BYTES // LONG_KEY_BYTES
 
 
-def attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
-    """Admission and discharge dates of each tagged row, in one join on
-    ``adm_id`` (admission ids must be unique; ``audit_duplicates`` checks).
+#: What a repeated admission id does: end the job with a message, or be counted in a column.
+ON_REPEAT = ("raise", "report")
+
+
+def attach_dates(
+    outcomes: DataFrame,
+    admissions: DataFrame,
+    max_broadcast_ids: int = MAX_BROADCAST_IDS,
+    on_repeat: str = "raise",
+) -> DataFrame:
+    """Admission and discharge dates of each tagged row, in one join on ``adm_id``.
 
     The tagged rows are written once, so their lineage runs once. Only three
     narrow columns of the admissions are read. Up to ``max_broadcast_ids``
     distinct tagged ids are broadcast (a broadcast keeps repeated keys, hence
     the distinct) and semi-join the admissions row-locally, so only the
-    matching admissions reach the join; beyond that the join is left to Spark.
+    matching admissions reach the join; more ids become a Bloom filter first.
+
+    Admission ids must be unique, and a join would fan out silently where one is
+    not. The join's own shuffle tells: the admissions that reach it are grouped
+    by id first, which needs the same partitioning, so no second scan or exchange
+    is made. A repeated id of a tagged row ends the job with its name, or with
+    ``on_repeat="report"`` its rows get the earliest dates and the column
+    ``adm_rows`` says how many admissions share it.
     """
-    return _attach_dates(materialize(outcomes, "tagged"), admissions, max_broadcast_ids)
+    return _attach_dates(written(outcomes, "tagged"), admissions, max_broadcast_ids, on_repeat)
+
+
+def unique_dates(admissions: DataFrame, on_repeat: str = "raise") -> DataFrame:
+    """One row for each admission id: its dates, and ``adm_rows`` if reported.
+    Rows without an id are left out; they never join."""
+    if on_repeat not in ON_REPEAT:
+        raise ValueError(f"on_repeat is one of {', '.join(ON_REPEAT)}")
+    grouped = (
+        admissions.where(F.col("adm_id").isNotNull())
+        .groupBy("adm_id")
+        .agg(F.count(F.lit(1)).alias("adm_rows"), *[F.min(c).alias(c) for c in DATE_COLS])
+    )
+    if on_repeat == "report":
+        return grouped
+    told = F.concat(F.lit("admission id "), F.col("adm_id").cast("string"), F.lit(" occurs "), F.col("adm_rows").cast("string"), F.lit(" times"))
+    types = {c: admissions.schema[c].dataType for c in DATE_COLS}
+    return grouped.select("adm_id", *[F.when(F.col("adm_rows") > 1, F.raise_error(told).cast(types[c])).otherwise(F.col(c)).alias(c) for c in DATE_COLS])
 
 
-def _attach_dates(outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
+def _attach_dates(
+    outcomes: DataFrame, admissions: DataFrame, max_broadcast_ids: int = MAX_BROADCAST_IDS, on_repeat: str = "raise"
+) -> DataFrame:
     """``attach_dates`` of a written table."""
-    dates = admissions.select("adm_id", *DATE_COLS)
-    ids = outcomes.select("adm_id").distinct()
-    if max_broadcast_ids > 0 and ids.count() <= max_broadcast_ids:
-        dates = dates.join(F.broadcast(ids), "adm_id", "left_semi")
-    return outcomes.join(dates, "adm_id").select(*outcomes.columns, *DATE_COLS)
+    ids = outcomes.select("adm_id").where(F.col("adm_id").isNotNull()).distinct()
+    dates, _ = towards_keys(admissions.select("adm_id", *DATE_COLS), ids, ["adm_id"], max_broadcast_ids)
+    counted = ["adm_rows"] if on_repeat == "report" else []
+    return outcomes.join(unique_dates(dates, on_repeat), "adm_id").select(*outcomes.columns, *DATE_COLS, *counted)
 
 
 def index_outcomes(
@@ -53,7 +87,7 @@ def index_outcomes(
     with ``carry=DATE_COLS``), which saves the second scan of the admissions.
     Ties on the date are broken by ``adm_id``, ``year`` and ``diagnoses`` (which
     conditional rows may differ in alone); NULL dates sort last. The rows are
-    written once, so finding heavy groups and numbering share one run of
+    written once (unless they are a written table already), so finding heavy groups and numbering share one run of
     their lineage.
 
     Returns the tagged columns followed by ``discharge_year,
@@ -68,11 +102,11 @@ def index_outcomes(
         outcomes = outcomes.where(F.col("outcome") == F.lit(outcome))
     base_cols = [c for c in outcomes.columns if c not in DATE_COLS]
     if admissions is not None:
-        outcomes = materialize(outcomes.select(*base_cols), "tagged")
+        outcomes = written(outcomes.select(*base_cols), "tagged")
         dated = _attach_dates(outcomes, admissions)
     else:
         if heavy_rows is not None:
-            outcomes = materialize(outcomes, "tagged")
+            outcomes = written(outcomes, "tagged")
         dated = outcomes
     order = [F.col("admission_date").asc_nulls_last(), F.col("adm_id").asc()]
     if "year" in dated.columns:

