@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dxcohort.functions.expressions import BROADCAST_BYTES, PAIR_KEY_BYTES
-from dxcohort.session import ensure_checkpoint_dir, materialize
+from dxcohort.session import materialize
 
 # Target rows per task when numbering heavy groups (narrow rows: ~0.5 GB).
 ROWS_PER_TASK = 5_000_000
@@ -71,7 +71,6 @@ def _number_heavy(
     est_rows: int,
 ) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # enough range slices that each task numbers about ROWS_PER_TASK rows
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(est_rows / ROWS_PER_TASK))
     sort_cols = [F.col(c).asc() for c in group_cols] + list(order_cols)
@@ -81,9 +80,9 @@ def _number_heavy(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
     )
-    # Materialise in the shared checkpoint folder: both consumers below must
-    # see the same partition ids, and recovery must not renumber.
-    ranged = ranged.checkpoint(eager=True)
+    # Written to the shared folder: both consumers below must see the same
+    # partition ids, and recovery must not renumber.
+    ranged = materialize(ranged, "ranged")
     # Contiguous ranges: (group, task) pairs <= groups + tasks.
     slices = ranged.groupBy(*group_cols, "_pid").agg(
         F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -132,3 +131,17 @@ def row_number_skew_safe(
     light = df.join(side, same, "left_anti").withColumn(out_col, F.row_number().over(window))
     hot = _number_heavy(df.join(side, same, "left_semi"), group_cols, order_cols, out_col, found["rows"])
     return light.unionByName(hot.select(*light.columns))
+
+
+def with_places(ordered: DataFrame, out_col: str) -> DataFrame:
+    """``ordered`` (a sorted frame) with each row's place, from 0: tasks number
+    their own rows, and a small table of one row per task gives each its first
+    place. Written once, so that the order is taken as it came out."""
+    local = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
+    local = materialize(local, "places")
+    # One row for each task of the sort: their running sum fits one task.
+    tasks = local.groupBy("_pid").agg(F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select(F.col("_pid").alias("_task"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = local.join(F.broadcast(tasks), F.col("_pid") == F.col("_task"))
+    return placed.select(*ordered.columns, (F.col("_before") + F.col("_mono") - F.col("_first")).alias(out_col))

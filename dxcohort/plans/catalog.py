@@ -19,6 +19,7 @@ from dxcohort.functions.arrays import dx_at, dx_slice
 from dxcohort.operators import (
     area_counts,
     area_drop_report,
+    attach_dates,
     audit_duplicates,
     code_sizes,
     codes_in_ranges,
@@ -32,17 +33,23 @@ from dxcohort.operators import (
     index_outcomes,
     index_profile,
     observed_codes,
+    people_of,
     prefixes_frame,
+    read_postings,
     strat_counts,
     strat_spine,
     stratify,
     tag_outcomes,
+    tag_postings,
     totals_by_year,
     year_counts_long,
     year_counts_wide,
+    write_postings,
 )
+from dxcohort.operators.numbering import with_places
+from dxcohort.plans.jobs import workflow_job
 from dxcohort.plans.workflow import cohort_workflow
-from dxcohort.session import scratch_path
+from dxcohort.session import materialize, scoped_frame, scratch_path
 from dxcohort.sources import (
     code_list_table,
     codes_frame,
@@ -160,14 +167,27 @@ def q_tag_multi_outcome(i: Inputs) -> DataFrame:
     return i.tagged("all", None)
 
 
+def _postings(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "postings")
+    write_postings(i.admissions(), path)
+    return read_postings(i.spark, path)
+
+
+def q_tag_by_postings(i: Inputs) -> DataFrame:
+    return tag_postings(_postings(i), i.codes())
+
+
+def q_tag_by_postings_first_n(i: Inputs) -> DataFrame:
+    return tag_postings(_postings(i), i.codes("mixed"), "first_n", FIRST_N)
+
+
 def q_codes_prefix_expand(i: Inputs) -> DataFrame:
     return expand_prefixes(i.valid(), i.prefixes())
 
 
 def q_codes_prefix_ordered(i: Inputs) -> DataFrame:
     """With each row's place, so that the order is compared as well."""
-    ordered = expand_prefixes(i.valid(), i.prefixes())
-    return ordered.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    return with_places(expand_prefixes(i.valid(), i.prefixes()), "place")
 
 
 def q_codes_regex_expand(i: Inputs) -> DataFrame:
@@ -207,6 +227,12 @@ def q_outcome_index_heavy(i: Inputs) -> DataFrame:
     return index_outcomes(lost, heavy_rows=HEAVY_ROWS).withColumn("bene_id", F.col("bene_id").cast("string"))
 
 
+def q_outcome_index_bloom(i: Inputs) -> DataFrame:
+    """Dates looked up behind a Bloom filter of the tagged ids, none broadcast."""
+    dated = attach_dates(i.tagged("first_n", FIRST_N, "mixed"), i.admissions(), max_broadcast_ids=0)
+    return index_outcomes(dated)
+
+
 def q_outcomes_present(i: Inputs) -> DataFrame:
     return outcomes_present(i.tagged("all", None), PROFILE_YEAR)
 
@@ -280,6 +306,17 @@ def q_cohort_subset(i: Inputs) -> DataFrame:
     return cohort_subset(i.admissions(), i.tagged("first_n", FIRST_N, "mixed"))
 
 
+def q_cohort_subset_bloom(i: Inputs) -> DataFrame:
+    return cohort_subset(i.admissions(), i.tagged("first_n", FIRST_N, "mixed"), max_broadcast_persons=0)
+
+
+def q_outcome_denominator_bloom(i: Inputs) -> DataFrame:
+    """Person-years behind a Bloom filter of the tagged ones, none broadcast."""
+    t = materialize(i.tagged("first_n", FIRST_N, "mixed"), "tagged")
+    people = people_of(t, i.denom().select("bene_id", "year", "zcta"), max_keys=0)
+    return t.join(people, ["bene_id", "year"]).select("bene_id", "adm_id", "year", "zcta", "outcome")
+
+
 def q_duplicate_audit(i: Inputs) -> DataFrame:
     return audit_duplicates(i.admissions())
 
@@ -338,6 +375,24 @@ def q_workflow_conditional_counts(i: Inputs) -> DataFrame:
     return res.area_counts
 
 
+def q_workflow_report(i: Inputs) -> DataFrame:
+    """The figures that the workflow's writing tasks observe, as rows of text."""
+    inputs = {name: scratch_path(i.spark, f"in_{name}") for name in ("adm", "denom", "spine", "weights")}
+    write_by_year(i.admissions(), inputs["adm"])
+    write_by_year(i.denom(), inputs["denom"])
+    write_parquet(i.spine(), inputs["spine"])
+    write_by_year(i.weights(), inputs["weights"])
+    lists = {o: fx.FIXTURE_CODE_LISTS[o] for o in ANY_OUTCOMES}
+    report = workflow_job(
+        i.spark, inputs["adm"], lists, inputs["denom"], inputs["spine"], inputs["weights"], scratch_path(i.spark, "out"), "first_n", FIRST_N
+    )
+    rows = [
+        (table, outcome, figure, str(value))
+        for table, outcomes in report.items() for outcome, figures in outcomes.items() for figure, value in figures.items()
+    ]
+    return i.spark.createDataFrame(rows, "part string, outcome string, figure string, value string")
+
+
 def q_stream_tag_first_n(i: Inputs) -> DataFrame:
     from dxcohort.streaming import start_tagging
 
@@ -429,6 +484,8 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "tag_conditional_only": q_tag_conditional_only,
     "tag_conditional_years": q_tag_conditional_years,
     "tag_multi_outcome": q_tag_multi_outcome,
+    "tag_by_postings": q_tag_by_postings,
+    "tag_by_postings_first_n": q_tag_by_postings_first_n,
     "codes_prefix_expand": q_codes_prefix_expand,
     "codes_prefix_ordered": q_codes_prefix_ordered,
     "codes_regex_expand": q_codes_regex_expand,
@@ -439,6 +496,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "outcome_index": q_outcome_index,
     "outcome_index_profile": q_outcome_index_profile,
     "outcome_index_heavy": q_outcome_index_heavy,
+    "outcome_index_bloom": q_outcome_index_bloom,
     "outcomes_present": q_outcomes_present,
     "years_present": q_years_present,
     "year_counts_long": q_year_counts_long,
@@ -454,6 +512,8 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "county_counts_profile": q_county_counts_profile,
     "strat_counts_profile": q_strat_counts_profile,
     "cohort_subset": q_cohort_subset,
+    "cohort_subset_bloom": q_cohort_subset_bloom,
+    "outcome_denominator_bloom": q_outcome_denominator_bloom,
     "duplicate_audit": q_duplicate_audit,
     "duplicate_audit_reload": q_duplicate_audit_reload,
     "duplicate_audit_null_years": q_duplicate_audit_null_years,
@@ -461,6 +521,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "secondary_slice": q_secondary_slice,
     "workflow_tag_to_county": q_workflow_tag_to_county,
     "workflow_index": q_workflow_index,
+    "workflow_report": q_workflow_report,
     "workflow_conditional_counts": q_workflow_conditional_counts,
     "stream_tag_first_n": q_stream_tag_first_n,
     "io_parquet_by_year": q_io_parquet_by_year,
@@ -480,7 +541,7 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = SPARK_QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(fn(Inputs(spark, sf_dir)))
+        return scoped_frame(spark, lambda: present(fn(Inputs(spark, sf_dir))))
 
     run.__name__ = f"query_{name}"
     return run

@@ -5,12 +5,14 @@ and writes with dynamic partition overwrite, so re-running some years only
 replaces those years. Tagged and indexed rows are partitioned by year and
 outcome, so outcomes written one by one share a dataset. Paths, code lists
 included, may be local, HDFS or object-store URIs. Jobs that pivot outcomes
-without a given list fail beyond 10,000 outcomes (1,000 years).
+without a given list fail beyond 10,000 outcomes (1,000 years). A job's scratch
+tables are removed when it ends, after a failure as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,20 @@ from dxcohort.operators import (
     year_counts_wide,
 )
 from dxcohort.operators.tagging import MAX_SECONDARY_POS
+from dxcohort.operators.postings import read_postings, tag_postings, write_postings
+from dxcohort.plans.report import (
+    Report,
+    count_metrics,
+    count_report,
+    dropped_report,
+    index_metrics,
+    index_report,
+    outcome_metrics,
+    outcome_report,
+)
 from dxcohort.plans.workflow import cohort_workflow
 from dxcohort.schemas import ADMISSIONS, AREA_SPINE, AREA_WEIGHTS, DENOM, OUTCOMES, VALID_CODES, require_columns
+from dxcohort.session import scoped_frame, scratch_scope
 from dxcohort.sources import (
     code_list_table,
     codes_frame,
@@ -52,6 +66,17 @@ from dxcohort.sources import (
 BY_OUTCOME = ("year", "outcome")
 
 
+def _scoped(job: Callable) -> Callable:
+    """What a job writes to the scratch folder is removed when it ends."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 def _config(config: Mapping | str, spark: SparkSession | None = None) -> Mapping:
     return load_code_lists(config, spark) if isinstance(config, str) else config
 
@@ -95,6 +120,7 @@ def _weights(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+@_scoped
 def tag_job(
     spark: SparkSession,
     admissions_path: str,
@@ -112,6 +138,7 @@ def tag_job(
     _write(tagged, out_path, fmt, BY_OUTCOME)
 
 
+@_scoped
 def conditional_job(
     spark: SparkSession,
     admissions_path: str,
@@ -127,6 +154,7 @@ def conditional_job(
     _write(tagged, out_path, fmt, BY_OUTCOME)
 
 
+@_scoped
 def index_job(
     spark: SparkSession,
     outcomes_path: str,
@@ -140,10 +168,12 @@ def index_job(
     _write(indexed, out_path, fmt, BY_OUTCOME)
 
 
+@_scoped
 def year_counts_job(spark: SparkSession, outcomes_path: str, out_path: str, fmt: str = "csv") -> None:
     _write(year_counts_wide(_outcomes(spark, outcomes_path)), out_path, fmt, None)
 
 
+@_scoped
 def area_counts_job(
     spark: SparkSession,
     outcomes_path: str,
@@ -158,6 +188,7 @@ def area_counts_job(
     write_by_year(counts, out_path)
 
 
+@_scoped
 def strat_counts_job(
     spark: SparkSession,
     outcomes_path: str,
@@ -172,17 +203,20 @@ def strat_counts_job(
     write_by_year(counts, out_path)
 
 
+@_scoped
 def county_counts_job(spark: SparkSession, area_counts_path: str, weights_path: str, out_path: str) -> None:
     counts = county_counts(read_table(spark, area_counts_path), _weights(spark, weights_path), ordered=False)
     write_by_year(counts, out_path, sort_within=["county"])
 
 
+@_scoped
 def cohort_job(
     spark: SparkSession, admissions_path: str, outcomes_path: str, out_path: str, outcome: str | None = None
 ) -> None:
     write_parquet(cohort_subset(read_table(spark, admissions_path), read_table(spark, outcomes_path), outcome), out_path)
 
 
+@_scoped
 def observed_codes_job(
     spark: SparkSession, admissions_path: str, pattern: str, out_path: str, years: Sequence[int] | None = None
 ) -> None:
@@ -190,6 +224,7 @@ def observed_codes_job(
     write_parquet(observed_codes(read_table(spark, admissions_path), pattern, years), out_path)
 
 
+@_scoped
 def expand_codes_job(
     spark: SparkSession,
     valid_paths: Mapping[str, str],
@@ -215,13 +250,14 @@ def expand_codes_job(
 
 
 def audit_job(spark: SparkSession, admissions_path: str) -> DataFrame:
-    return audit_duplicates(read_table(spark, admissions_path))
+    return scoped_frame(spark, lambda: audit_duplicates(read_table(spark, admissions_path)))
 
 
 def outcome_list_of(code_lists: Mapping | str, spark: SparkSession | None = None) -> list[str]:
     return outcome_names(_config(code_lists, spark))
 
 
+@_scoped
 def workflow_job(
     spark: SparkSession,
     admissions_path: str,
@@ -234,40 +270,79 @@ def workflow_job(
     first_n: int | None = None,
     years: Sequence[int] | None = None,
     max_secondary_pos: int = MAX_SECONDARY_POS,
-) -> None:
-    """The whole workflow with one scan of the admissions.
-
-    The tagged rows (with their admission dates) are written once as a
-    year-partitioned table; every downstream output reads that table, so
-    lineage is cut there and a lost executor never re-runs the tagging.
+) -> Report:
+    """The whole workflow with one scan of the admissions, and a report of it.
+
+    The tagged rows are written once, as ``outcomes`` with their admission dates,
+    per year and outcome; every downstream output reads that table, so lineage is
+    cut there and a lost executor never re-runs the tagging. Person-years are
+    collapsed once for all counts. The report ({table: {outcome or "": {figure:
+    value}}}) is observed by the tasks that write, without a further job.
     """
     cfg = _config(code_lists, spark)
+    names = outcome_names(cfg)
     adm = _admissions(spark, admissions_path, years)
     weights = _weights(spark, weights_path)
-    tagged_path = f"{out_root.rstrip('/')}/tagged"
-    tagged = tag_outcomes(adm, codes_frame(spark, cfg), criteria, first_n, max_secondary_pos, carry=DATE_COLS)
-    write_by_year(tagged, tagged_path, keys=BY_OUTCOME)
+    root = out_root.rstrip("/")
+    codes = codes_frame(spark, cfg)
+    tagged = tag_outcomes(adm, codes, criteria, first_n, max_secondary_pos, carry=DATE_COLS)
+    seen = {"outcomes": write_by_year(tagged, f"{root}/outcomes", keys=BY_OUTCOME, metrics=outcome_metrics(names))}
     res = cohort_workflow(
         adm,
-        codes_frame(spark, cfg),
+        codes,
         _denom(spark, denom_path, DENOM.fieldNames()),
         _spine(spark, spine_path),
         weights,
-        outcome_names(cfg),
+        names,
         criteria,
         first_n,
         years,
-        tagged=read_table(spark, tagged_path),
+        tagged=_of_run(read_table(spark, f"{root}/outcomes"), names, years),
     )
-    root = out_root.rstrip("/")
-    write_by_year(res.outcomes, f"{root}/outcomes", keys=BY_OUTCOME)
-    write_by_year(res.indexed, f"{root}/indexed", keys=BY_OUTCOME)
+    seen["indexed"] = write_by_year(res.indexed, f"{root}/indexed", keys=BY_OUTCOME, metrics=index_metrics(names))
     area_path = f"{root}/area_counts"
-    write_by_year(res.area_counts, area_path)
-    write_by_year(res.strat_counts, f"{root}/strat_counts")
-    write_by_year(
-        county_counts(read_table(spark, area_path), weights, outcome_names(cfg), ordered=False),
-        f"{root}/county_counts",
-        sort_within=["county"],
-    )
+    seen["area_counts"] = write_by_year(res.area_counts, area_path, metrics=count_metrics(names, "zcta"))
+    seen["strat_counts"] = write_by_year(res.strat_counts, f"{root}/strat_counts", metrics=count_metrics(names, "zcta"))
+    areas = read_table(spark, area_path)
+    county = county_counts(areas if years is None else areas.where(F.col("year").isin(list(years))), weights, names, ordered=False)
+    seen["county_counts"] = write_by_year(county, f"{root}/county_counts", sort_within=["county"], metrics=count_metrics(names, "county"))
     write_csv(res.year_counts, f"{root}/year_counts")
+    got = {table: o.get for table, o in seen.items()}
+    return {
+        "outcomes": outcome_report(got["outcomes"], names),
+        "indexed": index_report(got["indexed"], names),
+        "area_counts": count_report(got["area_counts"], names, "zcta"),
+        "strat_counts": count_report(got["strat_counts"], names, "zcta"),
+        "county_counts": count_report(got["county_counts"], names, "county"),
+        "dropped": dropped_report(got["outcomes"], got["area_counts"], names),
+    }
+
+
+def _of_run(outcomes: DataFrame, names: Sequence[str], years: Sequence[int] | None) -> DataFrame:
+    """This run's rows of a dataset that may hold other outcomes and years."""
+    mine = outcomes.where(F.col("outcome").isin(list(names)))
+    return mine if years is None else mine.where(F.col("year").isin(list(years)))
+
+
+@_scoped
+def postings_job(
+    spark: SparkSession, admissions_path: str, out_path: str, years: Sequence[int] | None = None, files: int | None = None
+) -> None:
+    """Write the posting table of the chosen (or all) years, with the dates."""
+    write_postings(_admissions(spark, admissions_path, years), out_path, carry=DATE_COLS, files=files)
+
+
+@_scoped
+def retag_job(
+    spark: SparkSession,
+    postings_path: str,
+    code_lists: Mapping | str,
+    out_path: str,
+    criteria: str = "all",
+    first_n: int | None = None,
+    years: Sequence[int] | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """Tag with a new code-list file from the posting table, without the admissions."""
+    codes = codes_frame(spark, _config(code_lists, spark))
+    _write(tag_postings(read_postings(spark, postings_path), codes, criteria, first_n, years), out_path, fmt, BY_OUTCOME)

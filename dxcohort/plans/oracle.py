@@ -20,11 +20,17 @@ from dxcohort.plans.catalog import (
     PROFILE_YEAR,
     RELOADED_SOURCE,
 )
-from dxcohort.functions.expressions import AGE_BANDS, DUAL_DOMAIN, RACE_DOMAIN, SEX_DOMAIN
-from dxcohort.operators.tagging import MAX_SECONDARY_POS
 from dxcohort.sources import fixtures as fx
 from dxcohort.sources.fixtures import oracle_with
 
+# Fixed values of the studied workflow, stated here once more: the SQL must not
+# follow a wrong value in the code that it checks.
+AGE_BANDS = [("[65,75]", 65, 75), ("[76,85]", 76, 85), ("[86,95]", 86, 95), ("[96,100]", 96, 100), ("[101,115]", 101, 115)]
+SEX_DOMAIN = [0, 1, 2]
+RACE_DOMAIN = [0, 1, 2, 3, 4, 5, 6]
+DUAL_DOMAIN = [0, 1]
+MAX_SECONDARY_POS = 25
+
 
 def _sql_list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
@@ -272,6 +278,35 @@ def _csv_outcomes() -> str:
 FROM cond_rows"""
 
 
+def _report_sql() -> str:
+    """The profiles of the workflow's outputs, computed from the outputs' SQL."""
+    tag = tagged_cte(FIRST_N)
+    idx = oracle_with(*index_ctes(tag)) + "SELECT * FROM idx"
+    area = oracle_with(*area_ctes(tag)) + "SELECT * FROM area"
+    strat = _strat_sql().replace(counted_cte(), tag)
+    tables = f"t AS ({oracle_with(tag)}SELECT * FROM tagged), i AS ({idx}), a AS ({area}), s AS ({strat}), c AS ({_county_sql(tag)})"
+
+    def row(part: str, outcome: str, figure: str, value: str, source: str) -> str:
+        return f"SELECT '{part}' AS part, '{outcome}' AS outcome, '{figure}' AS figure, CAST({value} AS VARCHAR) AS value FROM {source}"
+
+    parts = [row("outcomes", "", "n_rows", "COUNT(*)", "t"), row("indexed", "", "n_rows", "COUNT(*)", "i")]
+    counted = {"area_counts": ("a", "zcta"), "strat_counts": ("s", "zcta"), "county_counts": ("c", "county")}
+    for part, (source, area_col) in counted.items():
+        parts += [row(part, "", "n_rows", "COUNT(*)", source), row(part, "", f"n_{area_col}", f"COUNT(DISTINCT {area_col})", source)]
+        parts += [row(part, o, "total", f"CAST(SUM({o}) AS BIGINT)", source) for o in ANY_OUTCOMES]
+    for o in ANY_OUTCOMES:
+        mine = f"(SELECT * FROM i WHERE outcome = '{o}') HAVING COUNT(*) > 0"
+        parts += [
+            row("outcomes", o, "n_rows", "COUNT(*)", f"t WHERE outcome = '{o}'"),
+            row("indexed", o, "n_bene", "COUNT(DISTINCT bene_id)", mine),
+            row("indexed", o, "min_date", "MIN(admission_date)", mine),
+            row("indexed", o, "max_date", "MAX(admission_date)", mine),
+            row("indexed", o, "n_rows", "COUNT(*)", mine),
+            row("dropped", o, "dropped", f"(SELECT COUNT(*) FROM t WHERE outcome = '{o}') - CAST(SUM({o}) AS BIGINT)", "a"),
+        ]
+    return f"WITH {tables}\n" + "\nUNION ALL ".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     mixed_all = tagged_cte(None, ["mixed"])
     mixed_f2 = tagged_cte(FIRST_N, ["mixed"])
@@ -288,6 +323,8 @@ def oracle_queries() -> dict[str, str]:
         "tag_conditional_only": _conditional_sql(False),
         "tag_conditional_years": _conditional_years(),
         "tag_multi_outcome": oracle_with(multi_all) + "SELECT * FROM tagged",
+        "tag_by_postings": oracle_with(multi_all) + "SELECT * FROM tagged",
+        "tag_by_postings_first_n": oracle_with(mixed_f2) + "SELECT * FROM tagged",
         "codes_prefix_expand": oracle_with(_prefix_table()) + _PREFIX_MATCH,
         "codes_prefix_ordered": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
         + "SELECT *, row_number() OVER (ORDER BY outcome, system, code) - 1 AS place FROM ex",
@@ -300,6 +337,7 @@ def oracle_queries() -> dict[str, str]:
         "codes_sizes": oracle_with(_prefix_table(), f"ex AS ({_PREFIX_MATCH})")
         + "SELECT outcome, system, COUNT(DISTINCT code) AS n_codes FROM ex GROUP BY outcome, system",
         "outcome_index": oracle_with(*index_ctes(mixed_f2)) + _INDEX_SELECT,
+        "outcome_index_bloom": oracle_with(*index_ctes(mixed_f2)) + _INDEX_SELECT,
         "outcome_index_profile": oracle_with(*index_ctes(mixed_f2))
         + """SELECT outcome, COUNT(DISTINCT bene_id) AS n_bene,
        CAST(MIN(admission_date) AS VARCHAR) AS min_date,
@@ -333,6 +371,10 @@ GROUP BY t.year, t.outcome""",
         "county_counts_profile": f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT county) AS n_county, {totals} FROM ({_county_sql(counted)})",
         "strat_counts_profile": f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT zcta) AS n_zcta, {totals} FROM ({_strat_sql()})",
         "cohort_subset": oracle_with(mixed_f2) + _COHORT,
+        "cohort_subset_bloom": oracle_with(mixed_f2) + _COHORT,
+        "outcome_denominator_bloom": oracle_with(mixed_f2)
+        + """SELECT t.bene_id, t.adm_id, t.year, d.zcta, t.outcome
+FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
         "duplicate_audit": _audit_sql("SELECT * FROM admissions"),
         "duplicate_audit_reload": _audit_sql(
             "SELECT * FROM admissions UNION ALL "
@@ -348,6 +390,7 @@ FROM tagged t JOIN denom d ON d.bene_id = t.bene_id AND d.year = t.year""",
        CAST(len(diagnoses) AS VARCHAR) AS n_dx
 FROM admissions""",
         "workflow_tag_to_county": _county_sql(multi_f2),
+        "workflow_report": _report_sql(),
         "workflow_index": oracle_with(*index_ctes(multi_f2)) + _INDEX_SELECT,
         "workflow_conditional_counts": oracle_with(
             *area_ctes(f"tagged AS (\n  {_conditional_rows()})", ["cond"])

@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from dxcohort.operators.counts import area_counts, strat_counts, year_counts_wide
+from dxcohort.operators.counts import area_counts, area_drop_report, collapsed, strat_counts, year_counts_wide
 from dxcohort.operators.crosswalk import county_counts
 from dxcohort.operators.events import DATE_COLS, index_outcomes
 from dxcohort.operators.tagging import MAX_SECONDARY_POS, tag_outcomes
@@ -50,13 +50,22 @@ class CohortResults:
     def year_counts(self) -> DataFrame:
         return year_counts_wide(self.outcomes, self._names)
 
+    @cached_property
+    def person_years(self) -> DataFrame:
+        """Tagged rows of each person-year and outcome: written once for all counts."""
+        return collapsed(self.outcomes)
+
     @cached_property
     def area_counts(self) -> DataFrame:
-        return area_counts(self.outcomes, self._denom, self._spine, self._names, self._years)
+        return area_counts(self.outcomes, self._denom, self._spine, self._names, self._years, self.person_years)
 
     @cached_property
     def strat_counts(self) -> DataFrame:
-        return strat_counts(self.outcomes, self._denom, self._spine, self._names, self._years)
+        return strat_counts(self.outcomes, self._denom, self._spine, self._names, self._years, self.person_years)
+
+    @cached_property
+    def dropped(self) -> DataFrame:
+        return area_drop_report(self.outcomes, self._denom, self._spine, self._years, self.person_years)
 
     @cached_property
     def county_counts(self) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +16,8 @@ def write_by_year(
     rebalance: bool = True,
     sort_within: list[str] | None = None,
     keys: tuple[str, ...] = ("year",),
-) -> None:
+    metrics: Sequence[Column] = (),
+) -> Observation | None:
     """Write one partition per year (or per ``keys``) in one job.
 
     With ``partitionOverwriteMode=dynamic`` (set here for the write) a re-run
@@ -25,6 +28,10 @@ def write_by_year(
     few files per partition rather than one small file per task.
     ``sort_within`` orders the rows inside each written file (no global
     sort). CSV files get a header, and arrays as JSON text.
+
+    ``metrics``, named aggregates over the written rows, are taken by the tasks
+    that write (not before the shuffle, where a repeated stage would count
+    twice) and returned as an ``Observation`` that is filled already.
     """
     if fmt == "csv":
         df = flatten_for_csv(df)
@@ -32,10 +39,14 @@ def write_by_year(
         df = df.hint("rebalance", *keys)
     if sort_within:
         df = df.sortWithinPartitions(*keys, *sort_within)
+    seen = Observation() if metrics else None
+    if seen is not None:
+        df = df.observe(seen, *metrics)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.save(path)
+    return seen
 
 
 def flatten_for_csv(df: DataFrame) -> DataFrame:
