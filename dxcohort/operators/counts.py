@@ -59,11 +59,11 @@ def year_counts_wide(outcomes: DataFrame, outcome_list: Sequence[str] | None = N
     return year_counts_long(outcomes).groupBy("year").pivot("outcome", names).agg(F.first("n"))
 
 
-def collapsed(outcomes: DataFrame) -> DataFrame:
-    """Tagged rows ``n`` of each (person, year, outcome), written once."""
-    return materialize(
-        outcomes.groupBy("bene_id", "year", "outcome").agg(F.count(F.lit(1)).alias("n")), "person_year_outcomes"
-    )
+def collapsed(outcomes: DataFrame, sign: str | None = None) -> DataFrame:
+    """Tagged rows ``n`` of each (person, year, outcome), written once. ``sign``
+    names a column of 1, or -1 for a row that is taken back."""
+    n = F.count(F.lit(1)) if sign is None else F.sum(F.col(sign).cast("long"))
+    return materialize(outcomes.groupBy("bene_id", "year", "outcome").agg(n.alias("n")), "person_year_outcomes")
 
 
 def _wide(rows: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -111,12 +111,7 @@ def area_counts(
     need(spine, ["zcta", "year"], "spine")
     rows = collapsed(_of_years(outcomes, years)) if person_years is None else _of_years(person_years, years)
     names = _outcome_list(rows, outcome_list)
-    people = people_of(rows, _of_years(denom, years).select("bene_id", "year", "zcta"))
-    by_area = (
-        _wide(rows, names).join(people, ["bene_id", "year"])
-        .groupBy("zcta", "year")
-        .agg(*[F.sum(_c(o)).alias(o) for o in names])
-    )
+    by_area = _by_area(rows, _of_years(denom, years), names)
     sp = _of_years(spine, years).groupBy("zcta", "year").agg(F.count(F.lit(1)).alias("_m"))
     joined = sp.join(by_area, ["zcta", "year"], "left")
     return joined.select(
@@ -126,6 +121,29 @@ def area_counts(
     )
 
 
+def _by_area(rows: DataFrame, denom: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Sums of ``collapsed`` rows for the areas and years that have any."""
+    people = people_of(rows, denom.select("bene_id", "year", "zcta"))
+    joined = _wide(rows, names).join(people, ["bene_id", "year"])
+    return joined.groupBy("zcta", "year").agg(*[F.sum(_c(o)).alias(o) for o in names])
+
+
+def area_sums(
+    outcomes: DataFrame, denom: DataFrame, spine: DataFrame, outcome_list: Sequence[str], sign: str | None = None
+) -> DataFrame:
+    """What ``outcomes`` alone add to the area counts: only areas of the spine
+    that have any of them."""
+    by_area = _by_area(collapsed(outcomes, sign), denom, outcome_list)
+    sp = spine.groupBy("zcta", "year").agg(F.count(F.lit(1)).alias("_m"))
+    both = by_area.join(sp, ["zcta", "year"])
+    return both.select("zcta", "year", *[(_c(o) * F.col("_m")).cast("long").alias(o) for o in outcome_list])
+
+
+def strat_sums(outcomes: DataFrame, denom: DataFrame, outcome_list: Sequence[str], sign: str | None = None) -> DataFrame:
+    """What ``outcomes`` alone add to the stratified counts, by cell."""
+    return _observed(collapsed(outcomes, sign), denom, outcome_list).where(_in_domain())
+
+
 def area_drop_report(
     outcomes: DataFrame,
     denom: DataFrame,

@@ -10,6 +10,7 @@ comma-joined strings, in both engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,34 +18,45 @@ from pyspark.sql import types as T
 
 from dxcohort.functions.arrays import dx_at, dx_slice
 from dxcohort.operators import (
+    DATE_COLS,
     area_counts,
     area_drop_report,
     attach_dates,
     audit_duplicates,
     code_sizes,
+    codes_in_range_table,
     codes_in_ranges,
     cohort_subset,
     conditional_outcomes,
     counts_profile,
     county_counts,
+    distinct_persons,
     expand_patterns,
     expand_prefixes,
+    extend_index,
     family_prefixes,
     index_outcomes,
     index_profile,
+    index_state,
+    merge_bitmaps,
     observed_codes,
     people_of,
+    person_bitmaps,
     prefixes_frame,
     read_postings,
+    renumbered,
     strat_counts,
     strat_spine,
     stratify,
     tag_outcomes,
     tag_postings,
     totals_by_year,
+    unseen,
+    update_area_counts,
+    update_strat_counts,
+    write_postings,
     year_counts_long,
     year_counts_wide,
-    write_postings,
 )
 from dxcohort.operators.numbering import with_places
 from dxcohort.plans.jobs import workflow_job
@@ -77,6 +89,10 @@ PREFIX_LISTS = {
     "split": {"icd9": ["E1"], "icd10": ["M4", "S"]},
 }
 CODE_RANGES = [(3, "E05", "E15"), (2, "P2", "P3")]
+RANGE_TABLE = [
+    ("endo", 3, "E05", "E15"), ("endo", 3, "E10", "E30"), ("endo", 2, "E2", "E2"), ("wide", 1, "E", "M"), ("wide", 3, "L10", "P20"),
+    ("point", 3, "M05", "M05"), ("none", 3, "Z1", "A1"), ("between", 3, "E055", "E1"),
+]
 FAMILIES = [("fam", "icd10", "E", 1, 12, 2), ("fam", "icd10", "P", 45, 51, 2)]
 OBSERVED_PATTERN = "E%"
 RELOADED_SOURCE = "1-URGENT"
@@ -198,6 +214,10 @@ def q_codes_range(i: Inputs) -> DataFrame:
     return codes_in_ranges(i.valid(), CODE_RANGES)
 
 
+def q_codes_range_table(i: Inputs) -> DataFrame:
+    return codes_in_range_table(i.valid(), i.spark.createDataFrame(RANGE_TABLE, "outcome string, n int, lo string, hi string"))
+
+
 def q_codes_observed(i: Inputs) -> DataFrame:
     return observed_codes(i.admissions(), OBSERVED_PATTERN)
 
@@ -233,6 +253,61 @@ def q_outcome_index_bloom(i: Inputs) -> DataFrame:
     return index_outcomes(dated)
 
 
+def _first_run(column: str = "adm_id"):
+    """Two thirds of the admissions, dealt by number: the rest come late, and lie
+    before and between them."""
+    return F.col(column) % 3 != 0
+
+
+def q_outcome_index_extended(i: Inputs) -> DataFrame:
+    """Indexed in two runs: the second is numbered on from the first one's state,
+    and offers some of the first one's rows again."""
+    dated = i.admissions()
+    tagged = tag_outcomes(dated, i.codes("mixed"), "first_n", FIRST_N, carry=DATE_COLS)
+    tagged = materialize(tagged, "tagged")
+    indexed = materialize(index_outcomes(tagged.where(_first_run())), "indexed")
+    new = unseen(indexed, tagged.where(~_first_run() | (F.col("adm_id") % 2 == 0)))
+    added, changed = extend_index(index_state(indexed), indexed, new)
+    return renumbered(indexed, added, changed)
+
+
+def _two_runs(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Rows of a first count, some of them twice by mistake, and the delta that
+    adds the late ones and takes the mistakes back."""
+    rows = materialize(_counted(i), "counted")
+    wrong = rows.where(F.abs("adm_id") % 7 == 0)
+    first = rows.where(_first_run()).unionByName(wrong)
+    late = rows.where(~_first_run()).withColumn("sign", F.lit(1)).unionByName(wrong.withColumn("sign", F.lit(-1)))
+    return first, late
+
+
+def q_area_counts_updated(i: Inputs) -> DataFrame:
+    first, late = _two_runs(i)
+    stored = materialize(area_counts(first, i.denom(), i.spine(), ANY_OUTCOMES, i.years), "stored")
+    return update_area_counts(stored, late, i.denom(), i.spine(), ANY_OUTCOMES, "sign")
+
+
+def q_strat_counts_updated(i: Inputs) -> DataFrame:
+    first, late = _two_runs(i)
+    stored = materialize(strat_counts(first, i.denom(), i.spine(), ANY_OUTCOMES, i.years), "stored")
+    return update_strat_counts(stored, late, i.denom(), ANY_OUTCOMES, "sign")
+
+
+def q_distinct_persons(i: Inputs) -> DataFrame:
+    """Different persons by outcome over unions of years, from bitmaps that two
+    runs have stored."""
+    rows = materialize(_counted(i), "counted")
+    stored = materialize(merge_bitmaps(*[person_bitmaps(rows.where(c)) for c in (_first_run(), ~_first_run())]), "bitmaps")
+    half = i.years[: len(i.years) // 2]
+    parts = [
+        distinct_persons(stored).select(F.lit("all").alias("period"), "outcome", "n_persons"),
+        distinct_persons(stored, half).select(F.lit("first half").alias("period"), "outcome", "n_persons"),
+        distinct_persons(stored, by=("year", "outcome")).select(F.col("year").cast("string").alias("period"), "outcome", "n_persons"),
+        distinct_persons(stored, by=()).select(F.lit("all").alias("period"), F.lit("any").alias("outcome"), "n_persons"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def q_outcomes_present(i: Inputs) -> DataFrame:
     return outcomes_present(i.tagged("all", None), PROFILE_YEAR)
 
@@ -490,6 +565,7 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "codes_prefix_ordered": q_codes_prefix_ordered,
     "codes_regex_expand": q_codes_regex_expand,
     "codes_range": q_codes_range,
+    "codes_range_table": q_codes_range_table,
     "codes_observed": q_codes_observed,
     "codes_generate": q_codes_generate,
     "codes_sizes": q_codes_sizes,
@@ -497,6 +573,8 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "outcome_index_profile": q_outcome_index_profile,
     "outcome_index_heavy": q_outcome_index_heavy,
     "outcome_index_bloom": q_outcome_index_bloom,
+    "outcome_index_extended": q_outcome_index_extended,
+    "distinct_persons": q_distinct_persons,
     "outcomes_present": q_outcomes_present,
     "years_present": q_years_present,
     "year_counts_long": q_year_counts_long,
@@ -505,7 +583,9 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "area_counts_profile": q_area_counts_profile,
     "area_counts_by_year": q_area_counts_by_year,
     "area_counts_dropped": q_area_counts_dropped,
+    "area_counts_updated": q_area_counts_updated,
     "strat_counts": q_strat_counts,
+    "strat_counts_updated": q_strat_counts_updated,
     "strat_domain_spine": q_strat_domain_spine,
     "age_bands": q_age_bands,
     "county_counts": q_county_counts,

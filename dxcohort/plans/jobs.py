@@ -20,17 +20,23 @@ from pyspark.sql import functions as F
 from dxcohort.operators import (
     DATE_COLS,
     area_counts,
+    attach_dates,
     audit_duplicates,
     cohort_subset,
     conditional_outcomes,
     county_counts,
     expand_patterns,
     expand_prefixes,
+    extend_index,
     index_outcomes,
+    index_state,
+    next_state,
     observed_codes,
     prefixes_frame,
+    renumbered,
     strat_counts,
     tag_outcomes,
+    unseen,
     year_counts_wide,
 )
 from dxcohort.operators.tagging import MAX_SECONDARY_POS
@@ -47,7 +53,7 @@ from dxcohort.plans.report import (
 )
 from dxcohort.plans.workflow import cohort_workflow
 from dxcohort.schemas import ADMISSIONS, AREA_SPINE, AREA_WEIGHTS, DENOM, OUTCOMES, VALID_CODES, require_columns
-from dxcohort.session import scoped_frame, scratch_scope
+from dxcohort.session import materialize, scoped_frame, scratch_scope
 from dxcohort.sources import (
     code_list_table,
     codes_frame,
@@ -346,3 +352,43 @@ def retag_job(
     """Tag with a new code-list file from the posting table, without the admissions."""
     codes = codes_frame(spark, _config(code_lists, spark))
     _write(tag_postings(read_postings(spark, postings_path), codes, criteria, first_n, years), out_path, fmt, BY_OUTCOME)
+
+
+@_scoped
+def extend_index_job(
+    spark: SparkSession, outcomes_path: str, admissions_path: str, indexed_path: str, state_path: str, fmt: str = "parquet"
+) -> None:
+    """Number the tagged rows of ``outcomes_path`` that are not in the index yet.
+
+    Reads the person state (``state_path``; made from the index the first time),
+    the index of persons with a late event, and of the years and outcomes that
+    change; writes those years and outcomes again, and the next state beside the
+    old one (``state_path`` holds one folder for each run, the last one counts).
+    """
+    if fmt != "parquet":
+        raise ValueError("the index is extended in Parquet")
+    indexed = read_table(spark, indexed_path)
+    runs = _state_runs(spark, state_path)
+    state = spark.read.parquet(f"{state_path.rstrip('/')}/run={runs[-1]}") if runs else materialize(index_state(indexed), "state")
+    fresh = unseen(indexed, _outcomes(spark, outcomes_path).drop(*DATE_COLS))
+    new = materialize(attach_dates(fresh, read_table(spark, admissions_path)), "new")
+    added, changed = (materialize(df, "numbers") for df in extend_index(state, indexed, new))
+    # (year, outcome) folders with a new number: calendar years times listed outcomes.
+    folders = materialize(added.unionByName(changed).select("year", "outcome").distinct(), "folders")
+    affected = indexed.join(F.broadcast(folders), ["year", "outcome"], "left_semi")
+    whole = materialize(renumbered(affected, added, changed), "index")  # not read from where it is written to
+    write_by_year(whole, indexed_path, keys=BY_OUTCOME)
+    following = next_state(state, added, changed)
+    following.write.parquet(f"{state_path.rstrip('/')}/run={(runs[-1] if runs else 0) + 1}")
+
+
+def _state_runs(spark: SparkSession, path: str) -> list[int]:
+    """Runs whose state was written to its end, in order (a name for each run)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p.getName() for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n.removeprefix("run=")) for n in done if n.startswith("run="))

@@ -18,6 +18,7 @@ from dxcohort.plans.catalog import (
     OBSERVED_PATTERN,
     PREFIX_LISTS,
     PROFILE_YEAR,
+    RANGE_TABLE,
     RELOADED_SOURCE,
 )
 from dxcohort.sources import fixtures as fx
@@ -330,6 +331,10 @@ def oracle_queries() -> dict[str, str]:
         + "SELECT *, row_number() OVER (ORDER BY outcome, system, code) - 1 AS place FROM ex",
         "codes_regex_expand": _regex_sql(),
         "codes_range": oracle_with() + f"SELECT code, system FROM valid_codes WHERE {ranges}",
+        "codes_range_table": oracle_with(
+            "r AS (SELECT * FROM (VALUES " + ", ".join(f"('{o}', {n}, '{lo}', '{hi}')" for o, n, lo, hi in RANGE_TABLE) + ") t(outcome, n, lo, hi))"
+        )
+        + "SELECT DISTINCT r.outcome, v.code, v.system FROM valid_codes v JOIN r ON substr(v.code, 1, r.n) BETWEEN r.lo AND r.hi",
         "codes_observed": oracle_with()
         + "SELECT DISTINCT c AS code FROM (SELECT unnest(diagnoses) AS c FROM admissions) "
         + f"WHERE c LIKE '{OBSERVED_PATTERN}'",
@@ -344,6 +349,13 @@ def oracle_queries() -> dict[str, str]:
        CAST(MAX(admission_date) AS VARCHAR) AS max_date, COUNT(*) AS n_rows
 FROM idx GROUP BY outcome""",
         "outcome_index_heavy": _index_heavy(),
+        "outcome_index_extended": oracle_with(*index_ctes(mixed_f2)) + _INDEX_SELECT,
+        "distinct_persons": oracle_with(counted)
+        + """SELECT 'all' AS period, outcome, COUNT(DISTINCT bene_id) AS n_persons FROM tagged GROUP BY outcome
+UNION ALL SELECT 'first half', outcome, COUNT(DISTINCT bene_id) FROM tagged
+WHERE year IN (SELECT year FROM yrs ORDER BY year LIMIT (SELECT COUNT(*) // 2 FROM yrs)) GROUP BY outcome
+UNION ALL SELECT CAST(year AS VARCHAR), outcome, COUNT(DISTINCT bene_id) FROM tagged GROUP BY year, outcome
+UNION ALL SELECT 'all', 'any', COUNT(DISTINCT bene_id) FROM tagged""",
         "outcomes_present": oracle_with(multi_all)
         + f"SELECT DISTINCT outcome FROM tagged WHERE year = {PROFILE_YEAR}",
         "years_present": oracle_with(multi_all) + "SELECT DISTINCT year FROM tagged",
@@ -364,6 +376,8 @@ FROM tagged t
 LEFT JOIN denom d ON t.bene_id = d.bene_id AND t.year = d.year
 LEFT JOIN (SELECT DISTINCT zcta, year FROM unique_zcta) s ON d.zcta = s.zcta AND t.year = s.year
 GROUP BY t.year, t.outcome""",
+        "area_counts_updated": oracle_with(*area_ctes(counted)) + "SELECT * FROM area",
+        "strat_counts_updated": _strat_sql(),
         "strat_counts": _strat_sql(),
         "strat_domain_spine": oracle_with(_bands_cte(), _grid_cte()) + "SELECT * FROM grid",
         "age_bands": oracle_with(_bands_cte(), _banded_cte()) + "SELECT * FROM banded",
