@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +39,10 @@ from dxcohort.llm.common import CHUNK_BYTES, runs, ship, staged, worker_tables
 from dxcohort.session import scratch_path
 
 END_ID = 2
-#: Words whose ids are known; a full table is replaced.
-TABLE_ENTRIES = 400_000
-#: Longer words are not kept.
+#: Words whose ids are known (a full table keeps the frequent ones), and their ids
+#: (with more than these the table is begun anew).
+TABLE_ENTRIES, TABLE_IDS = 800_000, 8_000_000
+#: Longer words are not known beyond one slice of texts.
 KEEP_CHARS = 48
 #: New words that go to the library as one text.
 GROUP_WORDS = 1000
@@ -73,59 +75,101 @@ class ByteBpe:
         self.starts_word = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.starts_word[i] = token.startswith("\u0120")  # the byte-level sign of a space
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words by row, and each row's ids: a stretch of one array."""
+        self.known: dict[str, int] = {}
+        self.start, self.count, self.hits = np.zeros((3, 0), np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _shrink(self) -> None:
+        """Of a full table the words met most often stay, half of it at most, and
+        none that was met once: most words of a text are rare."""
+        least = max(2, int(np.sort(self.hits)[-(TABLE_ENTRIES // 2) :][0]))
+        stay = np.flatnonzero(self.hits > least if (self.hits >= least).sum() > TABLE_ENTRIES // 2 else self.hits >= least)
+        row = np.full(len(self.start), -1)
+        row[stay] = np.arange(len(stay))
+        self.known = {w: r for w, r in zip(self.known, row[list(self.known.values())].tolist(), strict=True) if r >= 0}
+        start, count = self.start[stay], self.count[stay]
+        ends = np.cumsum(count)
+        self.ids = self.ids[np.repeat(start - ends + count, count) + np.arange(count.sum())]
+        self.start, self.count, self.hits = ends - count, count, np.ones(len(stay), np.int64)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of " " + word for each word. Words without white space at their
-        ends go to the library as running text, whose ids are cut at the
-        spaces; each other one by itself."""
-        clean = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        rest = list(set(words).difference(clean))
-        got = dict(zip(rest, self._library([" " + w for w in rest]), strict=True))
-        groups = [clean[i : i + GROUP_WORDS] for i in range(0, len(clean), GROUP_WORDS)]
-        for group, ids in zip(groups, self._library([" " + " ".join(g) for g in groups]), strict=True):
-            starts = np.flatnonzero(self.starts_word[np.frombuffer(ids, np.uint32)]) * 4
-            got.update(zip(group, map(ids.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(ids)])), strict=True))
-        return got
+    def _learn(self, words: list[str]) -> None:
+        """New rows for different words, the ids of " " + word each. Words without
+        white space at their ends go to the library as running text, whose ids are
+        cut at the spaces; each other one by itself."""
+        clean = [w for w in words if w and w == w.strip()]
+        rest = sorted(set(words).difference(clean)) if len(clean) < len(words) else []
+        groups = [" " + " ".join(clean[i : i + GROUP_WORDS]) for i in range(0, len(clean), GROUP_WORDS)]
+        text = np.frombuffer(b"".join(self._library(groups)), np.uint32)
+        begins = np.flatnonzero(self.starts_word[text])
+        alone = self._library([" " + w for w in rest])
+        counts = np.concatenate([np.diff(np.append(begins, len(text))), np.array([len(x) // 4 for x in alone], np.int64)])
+        if len(counts) != len(words):
+            raise ValueError("the vocabulary does not mark the beginnings of words")
+        first = len(self.start)
+        self.known.update(zip(clean + rest, range(first, first + len(counts)), strict=True))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
+        self.count, self.hits = np.concatenate([self.count, counts]), np.append(self.hits, np.zeros(len(counts), np.int64))
+        self.ids = np.concatenate([self.ids, text, np.frombuffer(b"".join(alone), np.uint32)])
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """The rows of different words; new ones are learnt together."""
+        known = self.known.get
+        rows = [known(w, -1) for w in words]
+        new = [w for w, r in zip(words, rows) if r < 0]
+        if new:
+            self._learn(new)
+            rows = [known(w) if r < 0 else r for w, r in zip(words, rows)]
+            for w in new:
+                if len(w) > KEEP_CHARS:
+                    del self.known[w]
+        return np.array(rows, np.int64)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text (unsigned 32-bit little-endian)."""
-        if len(self.known) >= TABLE_ENTRIES:
-            self.known, self.older = {}, self.known
-        out: list = []
-        whole: list[int] = []
-        firsts: list[str] = []
-        new: set[str] = set()
-        for t in texts:
-            if not self.cuts or _UNSURE.search(t) or any(x in t for x in self.special):
-                whole.append(len(out))
-                out.append(None)
-                continue
-            first, *words = t.split(" ")
-            firsts.append(first)
-            ids = list(map(self.known.get, words))
-            out.append((words, ids))
-            if None in ids:
-                new.update(w for w, i in zip(words, ids) if i is None)
-        old = {w: self.older[w] for w in new if w in self.older}
-        learnt = {**old, **self._learn(list(new.difference(old)))}
-        self.known.update((w, ids) for w, ids in learnt.items() if len(w) <= KEEP_CHARS)
-        alone = iter(self._library(firsts))
-        full = iter(self._library([texts[k] for k in whole]))
-        done = []
-        for item in out:
-            if item is None:
-                done.append(next(full))
-                continue
-            words, ids = item
-            if None in ids:
-                ids = [learnt[w] if i is None else i for w, i in zip(words, ids)]
-            done.append(next(alone) + b"".join(ids))
-        return done
+        """Ids of each text (unsigned 32-bit little-endian). Words are told apart
+        by Arrow, so Python sees each different word of ``texts`` once; the ids of
+        all occurrences are gathered by their rows."""
+        if len(self.start) >= TABLE_ENTRIES:
+            self._shrink()
+        if len(self.ids) >= TABLE_IDS:
+            self._forget()
+        out: list = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if self.cuts and not _UNSURE.search(t) and not any(x in t for x in self.special)]
+        whole = sorted(set(range(len(texts))).difference(plain))
+        for k, ids in zip(whole, self._library([texts[k] for k in whole]), strict=True):
+            out[k] = ids
+        if not plain:
+            return out
+        words = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        ends = words.offsets.to_numpy()
+        coded = words.values.dictionary_encode()
+        at, different = coded.indices.to_numpy(), coded.dictionary
+        first = np.zeros(len(at), bool)
+        first[ends[:-1]] = True  # no space before it: another word for the library
+        firsts = self._library(_strings(different, at[first]))
+        used = np.flatnonzero(np.bincount(at[~first], minlength=len(different)))
+        row = np.zeros(len(different), np.int64)
+        row[used] = self._rows(_strings(different, used))
+        rows = row[at[~first]]
+        count = self.count[rows]
+        self.hits += np.bincount(rows, minlength=len(self.hits))
+        total = np.concatenate([[0], np.cumsum(count)])
+        ids = self.ids[np.repeat(self.start[rows] - total[:-1], count) + np.arange(total[-1])]
+        bounds = total[ends - np.arange(len(ends))]
+        for k, alone, a, b in zip(plain, firsts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            out[k] = alone + ids[a:b].tobytes()
+        return out
+
+
+def _strings(column: pa.Array, places: np.ndarray) -> list[str]:
+    """Python strings at ``places`` (by way of numpy: several times faster than ``to_pylist``)."""
+    return column.take(pa.array(places)).to_numpy(zero_copy_only=False).tolist()
 
 
 def encoder(path: str) -> ByteBpe:

@@ -82,3 +82,17 @@ def test_frequent_ids_are_short(spark, make_docs):
     block = spark.read.parquet(f"{folder}/blocks").first()
     assert len(block["data"]) == block["n_tokens"] == 300  # few ranks: one byte each
     assert len(order) == 4 and order[0] == 262  # " the"
+
+
+def test_full_tables_keep_frequent_words(library, monkeypatch):
+    monkeypatch.setattr(t, "TABLE_ENTRIES", 40)
+    e = t.ByteBpe(t.tokenizer_path())
+    r = random.Random(11)
+    for k in range(60):
+        texts = [" ".join(r.choice(["the", "cat", "x" * 60, f"word{r.randrange(10**6)}", "é\u00a0", "", "\u2003wide"]) for _ in range(r.randint(0, 40))) for _ in range(5)]
+        if k == 30:
+            monkeypatch.setattr(t, "TABLE_IDS", 200)
+        got = [np.frombuffer(x, np.uint32).tolist() for x in e.encode(texts)]
+        assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(e.start) < 40 + 5 * 40 and set(e.known.values()) <= set(range(len(e.start)))
+    assert "the" in e.known
