@@ -7,28 +7,6 @@ import pytest
 from dxcohort.llm import licenses as l
 
 
-def brute(rows, templates):
-    """Best containment by window, over all windows of each template's class."""
-    out = {}
-    for i, text in rows:
-        words = l.words_of(text or "")
-        best = {}
-        for name, t in templates.items():
-            tw = l.words_of(t)
-            shingles, size = l._shingles_of(tw), l.window_length(len(tw))
-            for start in range(0, max(len(words) - l.K + 1, 0), size // 4):
-                c = len(shingles & l._shingles_of(words[start : start + size])) / len(shingles)
-                if c * len(shingles) >= l.needed(len(shingles)):
-                    best.setdefault((size, start), {})[name] = c
-        for (size, start), found in best.items():
-            near = [f for (z, at), f in best.items() if z == size and abs(at - start) <= size]
-            most = max(max(f.values()) for f in near)
-            for name, c in found.items():
-                if c == most:
-                    out[i, name] = max(c, out.get((i, name), 0))
-    return {k: round(v, 6) for k, v in out.items()}
-
-
 def rows(seed, n):
     r = random.Random(seed)
     filler = "alpha beta gamma delta license the of under software notice provided following version".split()
@@ -44,14 +22,6 @@ def rows(seed, n):
     return out
 
 
-def test_against_brute_force(make_docs):
-    data = rows(1, 250)
-    got = {(r["doc_id"], r["license"]): r["containment"] for r in l.op5_license_scan(make_docs(data)).collect()}
-    want = brute(data, l.TEMPLATES)
-    assert set(got) <= set(want) and len(got) >= 0.995 * len(want)
-    assert all(got[k] == want[k] for k in got) or sum(got[k] != want[k] for k in got) <= 2
-
-
 def test_versions_are_told_apart(make_docs):
     texts = [l.TEMPLATES["gpl-3.0-line"], l.TEMPLATES["gpl-2.0-line"], "Intro text. " + l.TEMPLATES["cc-by-nc-4.0-line"]]
     got = {(r["doc_id"], r["license"]) for r in l.op5_license_scan(make_docs(enumerate(texts))).collect()}
