@@ -119,9 +119,14 @@ def shingle_counts(docs: DataFrame, k: int = K) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, counts: np.ndarray, k: int = K, percent: int = PERCENT) -> DataFrame:
+def _mark():
+    """A hash of the text: with the doc_id it names a row, or rows that are equal."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def signatures(docs: DataFrame, counts: np.ndarray, k: int = K, percent: int = PERCENT, marked: bool = False) -> DataFrame:
     """doc_id, n, cid (class), gid (group), prefix (rarest first; empty for
-    sets too small to link to any but their equals)."""
+    sets too small to link to any but their equals) and, if asked for, mark."""
     spark = docs.sparkSession
     order, least = spark.sparkContext.broadcast(counts), least_size(percent)
 
@@ -139,13 +144,17 @@ def signatures(docs: DataFrame, counts: np.ndarray, k: int = K, percent: int = P
                     head = s[rank]
                 gid.append(_class_id(np.append(head, np.uint64(len(s)))) if len(head) else cid[-1])
                 prefix.append(head.view(np.int64))
-            yield pa.RecordBatch.from_pydict({
+            out = {
                 "doc_id": batch.column(0), "n": pa.array(n, pa.int32()), "cid": pa.array(cid, pa.int64()),
                 "gid": pa.array(gid, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64())),
-            })
+            }
+            if marked:
+                out["mark"] = batch.column(2)
+            yield pa.RecordBatch.from_pydict(out)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n int, cid long, gid long, prefix array<long>")
+    extra = [_mark().alias("mark")] if marked else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
+    return rows.mapInArrow(sign, "doc_id long, n int, cid long, gid long, prefix array<long>" + (", mark long" if marked else ""))
 
 
 def _class_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
@@ -242,11 +251,12 @@ def _labels(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``."""
+def class_roots(docs: DataFrame, k: int = K, percent: int = PERCENT, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The signatures of the rows, and cid, low (smallest doc_id), root (its
+    component) of every class."""
     ship(docs.sparkSession)
     least = least_size(percent)
-    sig = staged(signatures(docs, shingle_counts(docs, k), k, percent), "op3-sig")
+    sig = staged(signatures(docs, shingle_counts(docs, k), k, percent, marked), "op3-sig")
     classes = staged(
         sig.where("n > 0").groupBy("cid", "n", "gid").agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix")), "op3-classes"
     )
@@ -295,7 +305,12 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
 
     if extra is not more:
         labels = staged(_labels(members, links.union(extra)), "op3-labels")
-    roots = classes.join(labels.select("cid", "root"), "cid", "left").select("cid", "low", F.coalesce("root", "cid").alias("root"))
+    return sig, classes.join(labels.select("cid", "root"), "cid", "left").select("cid", "low", F.coalesce("root", "cid").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``."""
+    sig, roots = class_roots(docs, k, percent)
     lows = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     of_class = roots.join(lows, "root").select("cid", "component_id")
     return sig.select("doc_id", "n", "cid").join(of_class, "cid", "left").select(
@@ -310,25 +325,31 @@ def op3_ngram_jaccard_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = STAGE_K, percent: int = STAGE_PERCENT) -> DataFrame:
-    """One document of each component, the one with the smallest id; documents
-    without words are all kept. Rows that share an id are one document: one of
-    them stays."""
-    parts = jaccard_components(docs, k, percent)
-    ids = staged(
-        parts.groupBy("doc_id").agg(F.max((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stay"), F.count("*").alias("c")),
-        "op3-ids",
-    )
-    key = "id"
-    while key in docs.columns:
-        key = "_" + key
-    leave, again = (ids.where(w).select(F.col("doc_id").alias(key)) for w in ("not stay", "stay and c > 1"))
+    """One row of each component, the one with the smallest id (null last; ties:
+    the smallest hash of the text); rows without words are all kept. Rows are
+    judged by their texts, so rows that share an id, or have none, stay apart
+    unless their texts link them."""
+    sig, roots = class_roots(docs, k, percent, marked=True)
+    rows = sig.where("n > 0").groupBy("doc_id", "mark").agg(F.first("cid").alias("cid"), F.count("*").alias("c"))
+    rows = staged(rows.join(roots.select("cid", "root"), "cid").select("doc_id", "mark", "c", "root"), "op3-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "mark"))
+    keepers = rows.groupBy("root").agg(first.alias("k")).select("root", F.col("k.doc_id").alias("kept_id"), F.col("k.mark").alias("kept_mark"))
+    stays = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
+    judged = staged(rows.join(keepers, "root").select("doc_id", "mark", "c", stays.alias("stay")), "op3-judged")
+    names = {}
+    for name in ("doc_id", "mark"):  # names that the documents do not have
+        names[name] = f"_{name}"
+        while names[name] in docs.columns:
+            names[name] = "_" + names[name]
+    leave, again = (judged.where(w).select(*[F.col(c).alias(n) for c, n in names.items()]) for w in ("not stay", "stay and c > 1"))
     if leave.count() <= BROADCAST_IDS:
         leave = F.broadcast(leave)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key))
-    rows = docs.join(leave, same, "left_anti")
-    if again.take(1):
-        rows = rows.join(again, same, "left_anti").union(rows.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
-    return rows
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(names["doc_id"])) & (_mark() == F.col(names["mark"]))
+    out = docs.join(leave, same, "left_anti")
+    if again.take(1):  # equal rows: one of them stays
+        twice = out.join(again, same, "left_semi").withColumn(names["mark"], _mark())
+        out = out.join(again, same, "left_anti").union(twice.dropDuplicates(["doc_id", names["mark"]]).drop(names["mark"]))
+    return out
 
 
 ORACLE_SQL = """

@@ -107,3 +107,14 @@ def test_oracle_on_small_tables(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}')")
     want = Counter(con.execute(j.ORACLE_SQL).fetchall())
     assert Counter(tuple(r) for r in j.op3_ngram_jaccard_join(spark.read.parquet(d)).collect()) == want
+
+
+def test_keep_one_judges_rows_not_ids(make_docs):
+    """Texts that nothing links all stay, whatever their ids."""
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(30))
+    near = text(1).replace("w1x29", "other")
+    rows = [(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (5, near), (None, near), (5, text(3)), (9, text(5)), (9, text(5)), (None, text(6)), (None, text(6))]
+    got = Counter((r["doc_id"], r["text"]) for r in j.keep_one(make_docs(rows, extra=True)).collect())
+    assert got == Counter([(5, near), (None, text(2)), (5, text(3)), (7, text(4)), (9, text(5)), (None, text(6))])
+    clash = make_docs(rows).selectExpr("*", "1 AS _doc_id", "2 AS _mark", "3 AS mark", "4 AS cid", "5 AS root")
+    assert sorted(str(r["text"]) for r in j.keep_one(clash).collect()) == sorted(t for _, t in got)
