@@ -17,8 +17,10 @@ tenths are enough, but no fewer than ``LEAST_CHARS``.
 
 The benchmark is a stated query set: it is read in blocks of at most
 ``BLOCK_CHARS`` characters, each broadcast in turn, against all documents.
-Items with fewer than ``LEAST_CHARS`` letters and digits cannot be told from
-chance and match nothing. An item without an id counts as any other, its pairs
+An item with fewer than ``LEAST_CHARS`` letters and digits matches where its
+words stand next to each other, exactly and whole (an item of one common word is
+in every document that has the word: leave such items out); one without any
+letter or digit matches nothing. An item without an id counts as any other, its pairs
 have a null item_id. Null or empty texts match nothing; repeated rows are
 judged one by one; empty tables give empty results; extra columns are ignored
 (``drop_contaminated`` carries them along).
@@ -26,6 +28,7 @@ judged one by one; empty tables give empty results; extra columns are ignored
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +52,7 @@ _TABLE_BITS = 22
 
 _KEEP = np.zeros(0x3000, bool)
 _KEEP[[c for c in range(0x3000) if chr(c).isalnum()]] = True
+_WORD = re.compile(r"[^\W_]+")
 _MUL = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
 
@@ -58,6 +62,11 @@ def letters(text: str) -> np.ndarray:
     return c[(c >= 0x3000) | _KEEP[np.minimum(c, 0x2FFF)]]
 
 
+def words(text: str) -> list[str]:
+    """Runs of letters and digits, lower-cased."""
+    return _WORD.findall(text.lower())
+
+
 def grams(c: np.ndarray) -> np.ndarray:
     """Hashes of all runs of Q = 12 code points: of 3, 3 + 3 and 6 + 6."""
     if len(c) < Q:
@@ -110,6 +119,11 @@ class Block:
         self.hash = h[order]
         self.item = np.concatenate(items)[order] if items else np.zeros(0, np.int64)
         self.place = np.concatenate(places)[order] if places else np.zeros(0, np.int64)
+        self.short: dict[str, list[tuple[list[str], int]]] = {}  # by first word
+        for k, t in enumerate(texts):
+            if 0 < len(self.chars[k]) < LEAST_CHARS:
+                w = words(t)
+                self.short.setdefault(w[0], []).append((w, k))
         self.seen = np.zeros(1 << _TABLE_BITS, bool)
         self.seen[_slot(self.hash)] = True
 
@@ -211,6 +225,18 @@ def matches(c: np.ndarray, block: Block) -> dict[int, tuple[int, int]]:
     return out
 
 
+def text_matches(text: str, block: Block) -> dict[int, tuple[int, int]]:
+    """``matches`` of a text, and the short items whose words it holds in a row."""
+    out = matches(letters(text), block)
+    if block.short:
+        w = words(text)
+        for i, first in enumerate(w):
+            for item, k in block.short.get(first, ()):
+                if w[i : i + len(item)] == item:
+                    out[k] = (1, 0)
+    return out
+
+
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Block]:
     """The benchmark in blocks of bounded size, one on the driver at a time."""
     ids, texts, size = [], [], 0
@@ -247,7 +273,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     text = texts[d].as_py()
                     if not text:
                         continue
-                    for k, (n, e) in matches(letters(text), block).items():
+                    for k, (n, e) in text_matches(text, block).items():
                         for name, v in zip(out, (ids[d].as_py(), block.ids[k], n, e), strict=True):
                             out[name].append(v)
                 yield pa.RecordBatch.from_pydict(
@@ -276,7 +302,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             worker_tables("decontam")
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text"))
-                clean = [not (t := texts[d].as_py()) or not matches(letters(t), sent.value) for d in range(batch.num_rows)]
+                clean = [not (t := texts[d].as_py()) or not text_matches(t, sent.value) for d in range(batch.num_rows)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(scan, docs.schema)

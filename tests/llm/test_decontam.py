@@ -112,9 +112,9 @@ def test_query_and_filter(spark, make_docs, odd_rows):
     rows += [(100, rows[len(odd_rows)][1])]  # a repeated row
     docs = make_docs(rows, extra=True)
     got = sorted((x["doc_id"], x["item_id"], x["edits"]) for x in d.op8_benchmark_decontamination(docs, benchmark).collect())
-    assert got == sorted([(100 + k, k, 0) for k in range(8)] + [(100, 0, 0)])
+    assert got == sorted([(100 + k, k, 0) for k in range(8)] + [(100, 0, 0), (200, 92, 0)])
     kept = d.drop_contaminated(docs, benchmark)
-    assert kept.columns == docs.columns and kept.count() == docs.count() - 9
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 10
     empty = spark.createDataFrame([], "item_id long, text string")
     assert d.op8_benchmark_decontamination(docs, empty).collect() == [] and d.drop_contaminated(docs, empty).count() == docs.count()
     assert d.op8_benchmark_decontamination(make_docs([]), benchmark).collect() == []
@@ -157,3 +157,12 @@ def test_banded_equals_full_alignment():
         w, text = r.integers(0, 3, 20).astype(np.uint32), r.integers(0, 3, 60).astype(np.uint32)
         got = d.banded(w, text, -25, 65, 20)
         assert got == infix_distance(w.tolist(), text.tolist())
+
+
+def test_short_items_match_whole_at_word_boundaries(spark, make_docs):
+    benchmark = spark.createDataFrame([(1, "Two plus-two?"), (2, "ten letters"), (3, "?!"), (None, "x1")], "item_id long, text string")
+    texts = ["what is TWO plus two today", "twotwo plus two", "two plus twofold", "two, PLUS  (two)", "atten letters", "Ten\nletters ten letters", "an x1", "x12 ?!", ""]
+    docs = make_docs(enumerate(texts))
+    got = sorted((r["doc_id"], r["item_id"], r["n_windows"], r["edits"]) for r in d.op8_benchmark_decontamination(docs, benchmark).fillna(-1).collect())
+    assert got == [(0, 1, 1, 0), (3, 1, 1, 0), (5, 2, 1, 0), (6, -1, 1, 0)]
+    assert sorted(r["doc_id"] for r in d.drop_contaminated(docs, benchmark).collect()) == [1, 2, 4, 7, 8]
