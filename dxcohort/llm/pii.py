@@ -24,7 +24,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -188,6 +189,31 @@ class Boosted:
         return f
 
 
+class Stretches:
+    """Disjoint stretches of a text, in order: whether another one touches none
+    of them is one binary search, however many there are."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def free(self, a: int, b: int) -> bool:
+        k = bisect_right(self.ends, a)  # the first stretch that ends beyond a
+        return k == len(self.starts) or b <= self.starts[k]
+
+    def add(self, a: int, b: int) -> None:
+        """A stretch that is free."""
+        k = bisect_right(self.starts, a)
+        self.starts.insert(k, a)
+        self.ends.insert(k, b)
+
+
 class Model:
     """Trees, the logistic curve over their scores, and a threshold for each kind."""
 
@@ -219,15 +245,16 @@ class Model:
         """Candidates over their threshold that overlap no base span; of
         overlapping ones the likeliest, then the longest, then the first."""
         found = candidates(text)
-        taken = [(a, b) for _, a, b in base]
-        found = [c for c in found if all(c[2] <= a or b <= c[1] for a, b in taken)] if taken else found
+        taken = Stretches((a, b) for _, a, b in base)
+        found = [c for c in found if taken.free(c[1], c[2])] if base else found
         if not found:
             return []
         p = self.probability(np.array([features(text, c) for c in found]))
         ranked = sorted((-q, c[1] - c[2], c) for q, c in zip(p, found, strict=True) if q >= self.least[c[0]])
-        out: list[Span] = []
+        out, accepted = [], Stretches()
         for _, _, c in ranked:
-            if all(c[2] <= a or b <= c[1] for _, a, b in out):
+            if accepted.free(c[1], c[2]):
+                accepted.add(c[1], c[2])
                 out.append(c)
         return out
 

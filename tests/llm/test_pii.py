@@ -130,3 +130,29 @@ def test_redaction(make_docs, odd_rows):
     assert r["text"] == "é mail [EMAIL], call [PHONE]!" and r["n_chars"] == len(r["text"])
     assert p.redacted("abcdef", [("x_ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
     assert p.redact(make_docs([])).collect() == []
+
+
+def test_stretches_against_all_pairs():
+    r = random.Random(9)
+    for _ in range(200):
+        spans = [(a, a + r.randint(1, 6)) for a in (r.randint(0, 60) for _ in range(r.randint(0, 12)))]
+        s = p.Stretches(spans)
+        for a in range(-1, 66):
+            for b in range(a + 1, a + 8):
+                assert s.free(a, b) == all(b <= x or y <= a for x, y in spans)
+        taken = list(spans)
+        for a, b in [(a, a + r.randint(1, 4)) for a in r.sample(range(60), 20)]:
+            if s.free(a, b):
+                s.add(a, b)
+                taken.append((a, b))
+        assert all(s.free(a, a + 2) == all(a + 2 <= x or y <= a for x, y in taken) for a in range(64))
+
+
+def test_many_spans_of_one_text_take_linear_time():
+    import time
+
+    stretches, begun = p.Stretches((10 * k, 10 * k + 4) for k in range(100_000)), time.process_time()
+    for k in range(100_000):
+        assert not stretches.free(10 * k + 3, 10 * k + 6)
+        assert stretches.free(10 * k + 4, 10 * k + 10)
+    assert time.process_time() - begun < 5
