@@ -37,7 +37,20 @@ END_ID = 50256
 BLOCK_IDS = 1 << 20
 
 
+#: Hadoop's names of a store, and the Arrow file systems' name of it.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A Hadoop path as Arrow's file systems know it."""
+    scheme, mark, rest = uri.partition("://")
+    if uri.startswith("dbfs:/"):
+        return "/dbfs/" + uri[len("dbfs:") :].lstrip("/")
+    return SCHEMES.get(scheme, scheme) + mark + rest if mark else uri
+
+
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    uri = arrow_uri(uri)
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:") :]
     if "://" not in uri:

@@ -59,3 +59,11 @@ def test_files_of_lost_attempts_are_ignored(spark, make_docs):
     with store.open_output_stream(f"{base}/part-000000-999.bin") as f:
         f.write(b"\x01\x00\x50\xc4" * 100)
     assert [(r["doc_no"], r["n_tokens"]) for r in s.document_tokens(files).collect()] == [(0, 3)]
+
+
+def test_stores_of_hadoop_paths():
+    from dxcohort.llm.separators import arrow_uri
+
+    assert [arrow_uri(x) for x in ("s3a://b/k/x", "s3n://b/k", "s3://b/k", "hdfs://n:1/x", "gs://b/x", "file:///t/x", "/t/x", "dbfs:/t/x", "dbfs:///t/x")] == [
+        "s3://b/k/x", "s3://b/k", "s3://b/k", "hdfs://n:1/x", "gs://b/x", "file:///t/x", "/t/x", "/dbfs/t/x", "/dbfs/t/x"
+    ]
