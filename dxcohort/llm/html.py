@@ -5,15 +5,18 @@ the elements around it that may be template parts: a hash covers an element's
 name, its text and the hashes of its children. Spark counts, for each host, on
 how many different pages (by their own blocks) a hash occurs; subtrees on at least
 ``MIN_PAGES`` pages, and the logarithm of the host's pages, are template and their
-blocks are deleted. The bound hardly grows with the host, so parts of one section
-and rotating parts of a large host are found.
-
-Rules that need no other page apply as well, so that a host with few pages is
-cleaned too: menus, page headers and footers, sidebars, forms, scripts, styles,
+blocks are deleted, wherever on the page they stand (``n_template`` of them). The
+bound hardly grows with the host, so parts of one section and rotating parts of a
+large host are found. Containers are counted (div, section, list, nav, ...), never
+a heading, paragraph, list item, quote or table by itself; inside an article only
+those that hold no such element and little text: pages that share a heading, a
+closing phrase or a quoted section are no template of it.
+
+To the blocks that are left, rules apply that need no other page, so that a host
+with few pages, or with parts that change on each page, is cleaned too: menus, page headers and footers, sidebars, forms, scripts, styles,
 hidden parts, and elements whose class, id or role names them an advert, notice,
-comment and the like. If a page marks its article (``article``, else ``main``),
-only that is read, and its headings, paragraphs, quotes, lists and tables are never
-template: pages that quote the same paragraph are no template of it.
+comment and the like. If a page marks its article (``article``, else ``main``), only that is
+read.
 
 Character references are decoded, white space inside a block is one space, blocks
 are joined by an empty line. A null, empty or textless page has the text '' and
@@ -51,6 +54,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Text that a container inside an article may hold to be counted.
+SMALL_CHARS = 200
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -58,6 +63,7 @@ _BLOCK = frozenset(
     "thead tr ul".split()
 )
 _PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th figure figcaption".split())
+_TEXTUAL = _PROSE - {"ul", "ol", "dl", "figure"}
 _DROP = frozenset("nav aside form footer header button select option label input dialog menu search canvas audio video object head".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPE = frozenset("ul ol dl table article main section div body".split())
@@ -83,12 +89,13 @@ def host_of(url: str | None) -> str:
 
 
 class _Node:
-    __slots__ = ("name", "drop", "article", "parts", "index", "mark")
+    __slots__ = ("name", "drop", "article", "parts", "index", "mark", "prose", "chars")
 
     def __init__(self, name: str, drop: bool, article: int, index: int, mark: int | None = None):
         self.name, self.drop, self.article, self.index = name, drop, article, index
         self.mark = mark  # inside a paragraph that goes on: where dropped text begins
         self.parts: list[str] = []
+        self.prose, self.chars = False, 0  # holds a paragraph or the like; its characters
 
 
 def _dropped(name: str, attrs: str, in_article: bool) -> bool:
@@ -110,13 +117,13 @@ def _dropped(name: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int]]:
+def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int], list[list[int]]]:
     """Title; blocks of the main text with the hashes of the candidates around
-    them; and the hashes of all candidates."""
+    them; the hashes of all candidates; and those around each block that the rules drop."""
     title = ""
     hashes: list[int | None] = []  # by element number; known when the element ends
     candidate: list[bool] = []
-    found: list[tuple[str, int, list[int]]] = []  # text, article level (2, 1, 0), elements around it
+    found: list[tuple[str, int, list[int], bool]] = []  # text, article level (2, 1, 0), elements around it, dropped
     stack = [_Node("", False, 0, -1)]
     buffer: list[str] = []
 
@@ -132,14 +139,18 @@ def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int]]:
         if text:
             top = stack[owner]
             top.parts.append(text)
-            if not top.drop:
-                found.append((text, top.article, [n.index for n in stack[: owner + 1] if n.index >= 0]))
+            top.chars += len(text)
+            found.append((text, top.article, [n.index for n in stack[: owner + 1] if n.index >= 0], top.drop))
 
     def close() -> None:
         node = stack.pop()
         if node.mark is not None:
             del buffer[node.mark :]
+        stack[-1].prose |= node.prose or node.name in _TEXTUAL
+        stack[-1].chars += node.chars
         if node.index >= 0:
+            if node.article and (node.prose or node.chars > SMALL_CHARS):
+                candidate[node.index] = False
             h = _digest(f"{node.name}\x00" + "\x00".join(node.parts))
             hashes[node.index] = h
             stack[-1].parts.append(f"\x01{h}")
@@ -198,7 +209,7 @@ def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int]]:
         if block and name not in ("html", "body", "article", "main", "hr"):
             index = len(hashes)
             hashes.append(None)
-            candidate.append(not (up.article and name in _PROSE))
+            candidate.append(name not in _TEXTUAL and not (up.article and name in _PROSE))
         stack.append(_Node(name, drop, article, index, len(buffer) if drop and not up.drop and not block else None))
     if at < len(page):
         tail = page[at:]
@@ -207,9 +218,10 @@ def parse(page: str) -> tuple[str, list[tuple[str, list[int]]], list[int]]:
     flush()
     while len(stack) > 1:
         close()
-    level = max((a for _, a, _ in found), default=0)
-    blocks = [(text, [hashes[i] for i in around if candidate[i]]) for text, a, around in found if a == level]
-    return title, blocks, sorted({h for h, c in zip(hashes, candidate, strict=True) if c})
+    level = max((a for _, a, _, drop in found if not drop), default=0)
+    parts = [(text, [hashes[i] for i in around if candidate[i]], drop or a != level) for text, a, around, drop in found]
+    blocks = [(text, around) for text, around, ruled in parts if not ruled]
+    return title, blocks, sorted({h for h, c in zip(hashes, candidate, strict=True) if c}), [around for _, around, ruled in parts if ruled]
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
@@ -226,9 +238,10 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "page_id": batch.column(0), "url": batch.column(1),
                 "host": pa.array([host_of(u) for u in urls], pa.string()),
-                "content_hash": pa.array([_digest("\x00".join(x for x, _ in b)) for _, b, _ in rows], pa.int64()),
-                "blocks": pa.array([[{"text": x, "around": h} for x, h in b] for _, b, _ in rows], block),
-                "subtrees": pa.array([s for _, _, s in rows], pa.list_(pa.int64())),
+                "content_hash": pa.array([_digest("\x00".join(x for x, _ in b)) for _, b, _, _ in rows], pa.int64()),
+                # Blocks that the rules drop come without their text.
+                "blocks": pa.array([[{"text": x, "around": h} for x, h in b] + [{"text": None, "around": h} for h in d] for _, b, _, d in rows], block),
+                "subtrees": pa.array([s for _, _, s, _ in rows], pa.list_(pa.int64())),
             })
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -276,12 +289,15 @@ def _without_known(parsed: DataFrame, known: DataFrame) -> DataFrame:
             hit = table[np.minimum(at, len(table) - 1)] == keys if len(table) else np.zeros(len(keys), bool)
             keep = np.ones(len(n_around), bool)
             keep[of_block[hit]] = False
+            template = np.bincount(of_row[~keep], minlength=len(n_blocks))
+            keep &= items.field("text").is_valid().to_numpy(zero_copy_only=False)
             sizes = np.bincount(of_row[keep], minlength=len(n_blocks))
             off = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             texts = pa.ListArray.from_arrays(off, items.field("text").filter(pa.array(keep)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["page_id", "url", "texts"])
+            columns = [batch.column(0), batch.column(1), texts, pa.array(template, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "texts", "n_template"])
 
-    return parsed.select("page_id", "url", "host", "blocks").mapInArrow(run, "page_id long, url string, texts array<string>")
+    return parsed.select("page_id", "url", "host", "blocks").mapInArrow(run, "page_id long, url string, texts array<string>, n_template long")
 
 
 def _without_known_joined(parsed: DataFrame, known: DataFrame) -> DataFrame:
@@ -293,17 +309,21 @@ def _without_known_joined(parsed: DataFrame, known: DataFrame) -> DataFrame:
     lists = rows.join(salted, ["host", "subtree", "salt"], "left_semi").groupBy("row").agg(F.collect_list("subtree").alias("template"))
     template = F.coalesce("template", F.array().cast("array<bigint>"))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], template))
-    return parsed.join(lists, "row", "left").select("page_id", "url", F.transform(kept, lambda b: b["text"]).alias("texts"))
+    left = F.filter(kept, lambda b: b["text"].isNotNull())
+    return parsed.join(lists, "row", "left").select(
+        "page_id", "url", F.transform(left, lambda b: b["text"]).alias("texts"), (F.size("blocks") - F.size(kept)).cast("long").alias("n_template")
+    )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars for every row of ``pages``."""
+    """page_id, url, text, n_chars and n_template (blocks that recurrence has
+    deleted) for every row of ``pages``."""
     parsed = staged(parsed_pages(pages).withColumn("row", F.monotonically_increasing_id()), "op2-parsed")
     known = staged(templates(parsed), "op2-templates")
     few = known.count() <= BROADCAST_HASHES
     kept = _without_known(parsed, known) if few else _without_known_joined(parsed, known)
     text = F.array_join("texts", "\n\n")
-    return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select("page_id", "url", text.alias("text"), "n_template").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template")
 
 
 def op2_html_extraction(pages: DataFrame) -> DataFrame:

@@ -110,3 +110,46 @@ def test_odd_rows(spark):
     got = h.op2_html_extraction(pages(spark, rows).selectExpr("*", "'x' AS host", "1 AS blocks", "2 AS text")).collect()
     assert sorted((str(r["page_id"]), r["n_chars"]) for r in got) == [("1", 0), ("2", 0), ("2", 0), ("3", 179_999), ("None", 1)]
     assert h.op2_html_extraction(pages(spark, [])).collect() == []
+
+
+def test_shared_headings_phrases_and_quoted_sections_stay(spark):
+    """Without and within an article; the pages have text of their own."""
+    bare = [(k, f"http://a.example/{k}", f"<div><p>Text {k}</p><h2>Method</h2><p>More {k}</p><h2>Results</h2><p>Thank you.</p></div>") for k in range(5)]
+    quote = "<div class='section'><p>A quoted section that four pages share.</p></div>"
+    within = [(100 + k, f"http://b.example/{k}", f"<article><p>Text {k}</p>{quote}<div>{'plain quote ' * 30}</div><div>Share this</div></article>") for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in h.main_text(pages(spark, bare + within)).collect()}
+    assert got == {
+        **{k: f"Text {k}\n\nMethod\n\nMore {k}\n\nResults\n\nThank you." for k in range(5)},
+        **{100 + k: f"Text {k}\n\nA quoted section that four pages share.\n\n{('plain quote ' * 30).strip()}" for k in range(4)},
+    }
+
+
+def _recurring(rows):
+    """By brute force: (host, subtree) on enough different pages, and each page's blocks inside one."""
+    import math
+
+    seen, contents, parsed = {}, {}, []
+    for page_id, url, page in rows:
+        _, blocks, subtrees, ruled = h.parse(page or "")
+        host, content = h.host_of(url), tuple(t for t, _ in blocks)
+        parsed.append((page_id, host, [a for _, a in blocks] + ruled))
+        contents.setdefault(host, set()).add(content)
+        for s in subtrees:
+            seen.setdefault((host, s), set()).add(content)
+    known = {k for k, c in seen.items() if len(c) >= max(h.MIN_PAGES, math.log(len(contents[k[0]])))}
+    return {i: sum(any((host, s) in known for s in around) for around in blocks) for i, host, blocks in parsed}
+
+
+def test_recurrence_against_brute_force(spark, monkeypatch):
+    """What recurrence deletes: menus and footers that a host's pages share, before any rule."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in df.collect()]
+    menu = "<nav><ul><li>Home</li><li>News</li></ul></nav>"
+    rows += [(10_000 + k, f"http://menu.example/{k}", f"<body>{menu}<article><p>Own {k}</p></article><footer>All of us</footer></body>") for k in range(6)]
+    want = _recurring(rows)
+    assert all(want[10_000 + k] == 3 for k in range(6))
+    for most in (h.BROADCAST_HASHES, -1):
+        monkeypatch.setattr(h, "BROADCAST_HASHES", most)
+        got = h.op2_html_extraction(pages(spark, rows)).collect()
+        assert {r["page_id"]: r["n_template"] for r in got} == want
+        assert {r["text"] for r in got if r["page_id"] >= 10_000} == {f"Own {k}" for k in range(6)}
