@@ -50,6 +50,7 @@ from dxcohort.operators.tagging import (
     tag_any,
     tag_conditional,
     tag_outcomes,
+    united_outcomes,
 )
 
 __all__ = [
@@ -95,6 +96,7 @@ __all__ = [
     "tag_outcomes",
     "tag_postings",
     "totals_by_year",
+    "united_outcomes",
     "unseen",
     "update_area_counts",
     "update_strat_counts",

@@ -78,7 +78,7 @@ def index_outcomes(
     admissions: DataFrame | None = None,
     outcome: str | None = None,
     heavy_rows: int | None = 5_000_000,
-    sample_fraction: float = 0.01,
+    sample_fraction: float | None = None,
 ) -> DataFrame:
     """Event index: ``row_number()`` per (outcome, person) by admission date.
 
@@ -120,7 +120,7 @@ def index_outcomes(
         "outcome_index",
         heavy_rows=heavy_rows,
         sample_fraction=sample_fraction,
-        # group sizes are those of the tagged rows: sample them, not the join
+        # group sizes are those of the tagged rows: look at them, not at the join
         detect_on=outcomes.select("outcome", "bene_id"),
     )
     return numbered.select(

@@ -12,6 +12,7 @@ key repeated many times collapses before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,6 +172,21 @@ def conditional_outcomes(
     )
 
 
+def united_outcomes(*tables: DataFrame) -> DataFrame:
+    """Outcome tables that were made one by one (other criteria, other files) as
+    one: rows are kept as they are, columns are matched by name, and a column
+    that a table lacks is NULL for its rows. A column must have one type."""
+    if not tables:
+        raise ValueError("no outcome table")
+    types: dict[str, str] = {}
+    for t in tables:
+        need(t, ["bene_id", "adm_id", "outcome", "year"], "outcomes")
+        for f in t.schema.fields:
+            if types.setdefault(f.name, f.dataType.simpleString()) != f.dataType.simpleString():
+                raise ValueError(f"column {f.name} is {types[f.name]} in one table and {f.dataType.simpleString()} in another")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def has_code(arr: str | Column, codes: Sequence[str], first_n: int | None = None) -> Column:
     """Row-local test for one short list: any (of the first n) codes listed.
 

@@ -51,6 +51,7 @@ from dxcohort.operators import (
     tag_outcomes,
     tag_postings,
     totals_by_year,
+    united_outcomes,
     unseen,
     update_area_counts,
     update_strat_counts,
@@ -97,7 +98,7 @@ FAMILIES = [("fam", "icd10", "E", 1, 12, 2), ("fam", "icd10", "P", 45, 51, 2)]
 OBSERVED_PATTERN = "E%"
 RELOADED_SOURCE = "1-URGENT"
 PROFILE_YEAR = 1998
-HEAVY_ROWS = 100  # the 1 % sample then finds a group heavy by a single row
+HEAVY_ROWS = 100
 # ---------------------------------------------------------------------------
 
 
@@ -183,6 +184,20 @@ def q_tag_multi_outcome(i: Inputs) -> DataFrame:
     return i.tagged("all", None)
 
 
+def _united(i: Inputs) -> DataFrame:
+    """Outcomes tagged one by one, with the criteria of each."""
+    one = i.tagged("all", None, "mixed")
+    return united_outcomes(one, i.tagged("first_n", FIRST_N, "econ"), i.tagged("conditional", None, "cond"))
+
+
+def q_outcomes_united(i: Inputs) -> DataFrame:
+    return _united(i)
+
+
+def q_year_counts_united(i: Inputs) -> DataFrame:
+    return year_counts_long(_united(i))
+
+
 def _postings(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "postings")
     write_postings(i.admissions(), path)
@@ -559,6 +574,8 @@ SPARK_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "tag_conditional_only": q_tag_conditional_only,
     "tag_conditional_years": q_tag_conditional_years,
     "tag_multi_outcome": q_tag_multi_outcome,
+    "outcomes_united": q_outcomes_united,
+    "year_counts_united": q_year_counts_united,
     "tag_by_postings": q_tag_by_postings,
     "tag_by_postings_first_n": q_tag_by_postings_first_n,
     "codes_prefix_expand": q_codes_prefix_expand,

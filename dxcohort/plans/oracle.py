@@ -279,6 +279,19 @@ def _csv_outcomes() -> str:
 FROM cond_rows"""
 
 
+def _united(select: str) -> str:
+    parts = {"one": tagged_cte(None, ["mixed"]), "two": tagged_cte(FIRST_N, ["econ"])}
+    ctes = [sql.replace("tagged AS (", f"{name} AS (", 1) for name, sql in parts.items()] + [f"cond_rows AS (\n  {_conditional_rows()})"]
+    none = "CAST(NULL AS VARCHAR)"
+    plain = " UNION ALL ".join(
+        f"SELECT bene_id, adm_id, outcome, outcome_criteria, year, {none} AS diagnoses, {none} AS primary_dx, {none} AS secondary_dx FROM {t}" for t in parts
+    )
+    united = f"""united AS ({plain} UNION ALL
+  SELECT bene_id, adm_id, outcome, outcome_criteria, year, array_to_string(diagnoses, ','), primary_dx, array_to_string(secondary_dx, ',')
+  FROM cond_rows)"""
+    return oracle_with(*ctes, united) + select
+
+
 def _report_sql() -> str:
     """The profiles of the workflow's outputs, computed from the outputs' SQL."""
     tag = tagged_cte(FIRST_N)
@@ -324,6 +337,8 @@ def oracle_queries() -> dict[str, str]:
         "tag_conditional_only": _conditional_sql(False),
         "tag_conditional_years": _conditional_years(),
         "tag_multi_outcome": oracle_with(multi_all) + "SELECT * FROM tagged",
+        "outcomes_united": _united("SELECT * FROM united"),
+        "year_counts_united": _united("SELECT year, outcome, COUNT(adm_id) AS n FROM united GROUP BY year, outcome"),
         "tag_by_postings": oracle_with(multi_all) + "SELECT * FROM tagged",
         "tag_by_postings_first_n": oracle_with(mixed_f2) + "SELECT * FROM tagged",
         "codes_prefix_expand": oracle_with(_prefix_table()) + _PREFIX_MATCH,

@@ -129,3 +129,25 @@ def test_heavy_numbering_needs_no_checkpoint(spark):
     adm = adm_rows(spark, [(1, k, "2000-01-01", 2000, ["X"]) for k in range(200)])
     out = row_number_skew_safe(adm, ["bene_id"], [F.col("adm_id")], "n", heavy_rows=10, sample_fraction=1.0)
     assert [(r.adm_id, r.n) for r in out.orderBy("adm_id").collect()] == [(k, k + 1) for k in range(200)]
+
+
+def test_sketch_finds_every_group_at_the_bound(spark):
+    """Just at the bound, beside a thousand groups just below it; null groups too."""
+    from dxcohort.operators import numbering as nb
+
+    sizes = {None: 50, "a": 50, "b": 49, "c": 51, **{f"g{k}": 49 for k in range(300)}}
+    rows = [(g, k) for g, n in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "g string, x int").repartition(5)
+    sketch = nb.count_min(df, ["g"])
+    merged = nb.count_min(df.where("x % 2 = 0"), ["g"]).unionByName(nb.count_min(df.where("x % 2 = 1"), ["g"])).groupBy("seed", "counter").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, sketch.collect()))
+    light, hot, estimate = nb.split_heavy(df, sketch, ["g"], 50)
+    heavy = {r.g for r in hot.select("g").distinct().collect()}
+    assert {None, "a", "c"} <= heavy and len(heavy) < 6 and estimate >= 151
+    assert light.count() + hot.count() == len(rows) and not heavy & {r.g for r in light.select("g").distinct().collect()}
+    narrow = nb.split_heavy(df, nb.count_min(df, ["g"], 3), ["g"], 50, 3)  # a sketch that is far too small: all rows take the balanced path
+    assert narrow[1].count() == len(rows)
+    for bound in (1, 50, 52, 10_000):
+        out = row_number_skew_safe(df, ["g"], [F.col("x")], "n", heavy_rows=bound)
+        assert all(r.n == r.x + 1 for r in out.collect()) and out.count() == len(rows)
+    assert nb.split_heavy(df, sketch, ["g"], 10_000)[1] is None

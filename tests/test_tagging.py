@@ -138,3 +138,19 @@ def test_declared_sizes():
         "none": {"icd10": ["A"]},
     }
     assert size_mismatches(cfg) == [("bad", "icd10", 3, 2)]
+
+
+def test_united_outcomes_match_columns_by_name(spark):
+    from dxcohort.operators import united_outcomes
+
+    adm = adm_rows(spark, [(1, 1, "2000-01-01", 2000, ["A", "B"]), (2, 2, "2000-01-01", 2000, ["B"])])
+    plain = tag_outcomes(adm, codes_frame(spark, {"x": {"icd10": ["B"]}}), "all")
+    cond = tag_outcomes(adm, codes_frame(spark, {"c": {"primary_icd10": ["A"], "secondary_icd10": ["B"]}}), "conditional")
+    got = united_outcomes(plain, cond, plain)
+    assert set(got.columns) == set(cond.columns)
+    assert sorted((r.outcome, r.adm_id, r.primary_dx) for r in got.where("outcome = 'c' OR adm_id = 1").collect()) == [("c", 1, "A"), ("x", 1, None), ("x", 1, None)]
+    assert got.count() == 5 and united_outcomes(plain).columns == plain.columns
+    with pytest.raises(ValueError):
+        united_outcomes()
+    with pytest.raises(ValueError, match="adm_id"):
+        united_outcomes(plain, plain.withColumn("adm_id", plain.adm_id.cast("string")))
