@@ -66,11 +66,17 @@ def collapsed(outcomes: DataFrame, sign: str | None = None) -> DataFrame:
     return materialize(outcomes.groupBy("bene_id", "year", "outcome").agg(n.alias("n")), "person_year_outcomes")
 
 
-def _wide(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``collapsed`` rows with one column for each outcome."""
-    return rows.groupBy("bene_id", "year").agg(
-        *[F.coalesce(F.sum(F.when(F.col("outcome") == F.lit(o), F.col("n"))), F.lit(0)).alias(o) for o in names]
-    )
+def _wide(sums: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Sums ``n`` of each cell and outcome as one row for each cell. Rows stay
+    narrow until here, where cells are few, however many outcomes there are."""
+    return sums.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("outcome") == F.lit(o), F.col("n"))), F.lit(0)).alias(o) for o in names])
+
+
+def _joined_sums(rows: DataFrame, people: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``collapsed`` rows joined to their person-years, and summed by ``keys``."""
+    listed = rows.where(F.col("outcome").isin(list(names)))
+    joined = listed.join(people, ["bene_id", "year"])
+    return _wide(joined.groupBy(*keys, "outcome").agg(F.sum("n").alias("n")), keys, names)
 
 
 def people_of(outcomes: DataFrame, people: DataFrame, max_keys: int = MAX_BROADCAST_PERSON_YEARS) -> DataFrame:
@@ -124,8 +130,7 @@ def area_counts(
 def _by_area(rows: DataFrame, denom: DataFrame, names: Sequence[str]) -> DataFrame:
     """Sums of ``collapsed`` rows for the areas and years that have any."""
     people = people_of(rows, denom.select("bene_id", "year", "zcta"))
-    joined = _wide(rows, names).join(people, ["bene_id", "year"])
-    return joined.groupBy("zcta", "year").agg(*[F.sum(_c(o)).alias(o) for o in names])
+    return _joined_sums(rows, people, ["zcta", "year"], names)
 
 
 def area_sums(
@@ -216,11 +221,7 @@ def strat_observed(outcomes: DataFrame, denom: DataFrame, outcome_list: Sequence
 
 
 def _observed(rows: DataFrame, denom: DataFrame, names: Sequence[str]) -> DataFrame:
-    return (
-        _wide(rows, names).join(people_of(rows, stratify(denom)), ["bene_id", "year"])
-        .groupBy("year", "zcta", *STRATA)
-        .agg(*[F.sum(_c(o)).alias(o) for o in names])
-    )
+    return _joined_sums(rows, people_of(rows, stratify(denom)), ["year", "zcta", *STRATA], names)
 
 
 def strat_counts(
