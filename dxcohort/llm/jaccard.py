@@ -330,12 +330,16 @@ def keep_one(docs: DataFrame, k: int = STAGE_K, percent: int = STAGE_PERCENT) ->
     judged by their texts, so rows that share an id, or have none, stay apart
     unless their texts link them."""
     sig, roots = class_roots(docs, k, percent, marked=True)
-    rows = sig.where("n > 0").groupBy("doc_id", "mark").agg(F.first("cid").alias("cid"), F.count("*").alias("c"))
-    rows = staged(rows.join(roots.select("cid", "root"), "cid").select("doc_id", "mark", "c", "root"), "op3-rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "mark"))
-    keepers = rows.groupBy("root").agg(first.alias("k")).select("root", F.col("k.doc_id").alias("kept_id"), F.col("k.mark").alias("kept_mark"))
+    # A class, or a component, may hold a third of all rows: it is only ever
+    # aggregated, and rows are joined by what names them.
+    least = lambda c: F.min(c).alias("k")
+    of_class = sig.where("n > 0").groupBy("cid").agg(least(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "mark")))
+    keepers = of_class.join(roots.select("cid", "root"), "cid").groupBy("root").agg(least("k"))
+    keepers = keepers.select(F.col("k.doc_id").alias("kept_id"), F.col("k.mark").alias("kept_mark"))
+    rows = sig.where("n > 0").groupBy("doc_id", "mark").agg(F.count("*").alias("c"))
     stays = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
-    judged = staged(rows.join(keepers, "root").select("doc_id", "mark", "c", stays.alias("stay")), "op3-judged")
+    judged = rows.join(keepers, stays, "left").select("doc_id", "mark", "c", F.col("kept_mark").isNotNull().alias("stay"))
+    judged = staged(judged, "op3-judged")
     names = {}
     for name in ("doc_id", "mark"):  # names that the documents do not have
         names[name] = f"_{name}"
