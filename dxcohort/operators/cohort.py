@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dxcohort.functions.bloom import towards_keys
 from dxcohort.functions.expressions import BROADCAST_BYTES, LONG_KEY_BYTES
-from dxcohort.session import materialize
+from dxcohort.session import materialize, shuffles
 
 # Up to this many distinct persons (64 MB as a hash relation) are broadcast.
 MAX_BROADCAST_PERSONS = BROADCAST_BYTES // LONG_KEY_BYTES
@@ -26,11 +26,12 @@ def cohort_subset(
     broadcast, so the (wide, huge) admissions are never shuffled. Beyond that a
     Bloom filter of fixed size drops most other persons' admissions row-locally
     and only the rest is shuffled, with skewed partitions split by AQE. A bound
-    of 0 asks for that without writing the persons (a bucketed layout is kept).
+    of 0 asks for that; persons that are found without a shuffle are not written
+    then (a bucketed layout is kept).
     """
     persons = outcomes if outcome is None else outcomes.where(F.col("outcome") == F.lit(outcome))
     people = persons.select("bene_id").where(F.col("bene_id").isNotNull()).distinct()
-    if max_broadcast_persons > 0:
+    if max_broadcast_persons > 0 or shuffles(people):
         people = materialize(people, "persons")
     near, exact = towards_keys(admissions, people, ["bene_id"], max_broadcast_persons)
     return (near if exact else near.join(people, "bene_id", "left_semi")).select(*admissions.columns)

@@ -397,7 +397,9 @@ def q_cohort_subset(i: Inputs) -> DataFrame:
 
 
 def q_cohort_subset_bloom(i: Inputs) -> DataFrame:
-    return cohort_subset(i.admissions(), i.tagged("first_n", FIRST_N, "mixed"), max_broadcast_persons=0)
+    """Persons behind a Bloom filter, none broadcast; admissions are derived once."""
+    adm = materialize(i.admissions(), "admissions")
+    return cohort_subset(adm, tag_outcomes(adm, i.codes("mixed"), "first_n", FIRST_N), max_broadcast_persons=0)
 
 
 def q_outcome_denominator_bloom(i: Inputs) -> DataFrame:

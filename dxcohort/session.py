@@ -201,6 +201,11 @@ def is_written(df: DataFrame) -> bool:
     return True
 
 
+def shuffles(df: DataFrame) -> bool:
+    """Whether ``df`` is planned with a shuffle, which each further reading repeats."""
+    return "Exchange hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` itself if it is a written table already, else ``materialize`` of it."""
     return df if is_written(df) else materialize(df, name)

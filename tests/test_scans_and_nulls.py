@@ -61,6 +61,14 @@ def test_composed_operators_read_the_admissions_once(spark, counted):
     assert reads(lambda: tag_outcomes(adm, codes_frame(spark, fx.FIXTURE_CODE_LISTS), "conditional")) == 1
 
 
+def test_persons_behind_a_bloom_filter_are_tagged_once(spark, counted):
+    adm, n, read = counted
+    tagged = tag_outcomes(adm, codes_frame(spark, {"mixed": fx.FIXTURE_CODE_LISTS["mixed"]}), "all")
+    before = read.value
+    cohort_subset(adm, tagged, max_broadcast_persons=0).write.format("noop").mode("overwrite").save()
+    assert (read.value - before) / n == 2  # tagged from it, chosen from it
+
+
 def test_repeated_keys_are_not_broadcast(spark, monkeypatch):
     adm = adm_rows(spark, [(1, k, "2000-01-01", 2000, ["X"]) for k in range(200)])
     tagged = tag_outcomes(adm, codes_frame(spark, {"x": {"icd10": ["X"]}}), "all")
