@@ -2,9 +2,12 @@
 
 *Encoding.* ``ByteBpe`` gives what the tokenizers library gives for a whole text.
 The byte-level split starts a new piece at a space unless white space stands
-on both sides of it, so a text is cut there; a bounded table keeps the ids of
-known words, and new ones go to the library together. Texts with other runs of
-white space, or with the text of a special token, are encoded whole.
+on both sides of it, so a text is cut there, and before a line end between two
+characters that are no white space; a bounded table keeps the ids of known words,
+and new ones go to the library together. A mark like "." that ends a word after a
+letter is a piece of its own and is set apart, so "word," and "word" are known as
+one. Texts with other runs of white space, or with the text of a special token, are
+encoded whole.
 
 *Format.* Ids are replaced by their rank by frequency over all documents (ties:
 the smaller id first). Ranks are stored in 1 to 4 bytes; the lengths are in
@@ -13,7 +16,8 @@ masks up in numpy tables. The files are blocks of documents in ascending order
 of doc_id, kept in Parquet so that Spark's committers write them to any store:
 ``part`` and ``block`` number them, ``first`` is the place of the block's first
 id within its part, and control and data bytes are columns of their own. The
-rank table is written beside them.
+rank table is written beside them. Workers drop the table of known words before
+they count, write or read ids.
 
 A null or empty text holds the end id alone. Rows that share a doc_id stay next
 to each other in a fixed order; null ids come first; extra columns are ignored;
@@ -23,6 +27,7 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from array import array
@@ -35,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dxcohort.llm.common import CHUNK_BYTES, runs, ship, staged, worker_tables
+from dxcohort.llm.common import CHUNK_BYTES, arrow_text, runs, ship, staged, worker_tables
 from dxcohort.session import scratch_path
 
 END_ID = 2
@@ -50,8 +55,14 @@ GROUP_WORDS = 1000
 BLOCK_IDS = 1 << 18
 PART_IDS = 8_000_000
 
-# A space with white space before it and after it, or at the end.
-_UNSURE = re.compile(r"\s (?:\s|\Z)")
+# A space with white space before it and after it, or at the end; a space before a
+# line end (a word that begins with a line end has none before it).
+_UNSURE = re.compile(r"\s (?:\s|\Z)| \n")
+#: Marks that are set apart at the end of a word, after an ASCII letter.
+MARKS = ".,;:!?"
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, np.uint8)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(MARKS.encode())] = np.arange(1, len(MARKS) + 1)
 
 
 def tokenizer_path() -> str:
@@ -72,9 +83,12 @@ class ByteBpe:
         self.size = self.tokenizer.get_vocab_size()
         self.cuts = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer")
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
-        self.starts_word = np.zeros(self.size, bool)
+        self.starts_word, self.starts_line = np.zeros((2, self.size), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.starts_word[i] = token.startswith("\u0120")  # the byte-level sign of a space
+            self.starts_line[i] = token.startswith("\u010a")  # and of a line end
+        self.marks = np.frombuffer(b"\0\0\0\0" + b"".join(self._library(list(MARKS))), np.uint32) if self.cuts else np.zeros(0, np.uint32)
+        self.cuts = self.cuts and len(self.marks) == 1 + len(MARKS)
         self._forget()
 
     def _forget(self) -> None:
@@ -100,20 +114,24 @@ class ByteBpe:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """New rows for different words, the ids of " " + word each. Words without
-        white space at their ends go to the library as running text, whose ids are
-        cut at the spaces; each other one by itself."""
-        clean = [w for w in words if w and w == w.strip()]
-        rest = sorted(set(words).difference(clean)) if len(clean) < len(words) else []
-        groups = [" " + " ".join(clean[i : i + GROUP_WORDS]) for i in range(0, len(clean), GROUP_WORDS)]
-        text = np.frombuffer(b"".join(self._library(groups)), np.uint32)
-        begins = np.flatnonzero(self.starts_word[text])
-        alone = self._library([" " + w for w in rest])
+        """New rows for different words, the ids of " " + word each (of the word alone
+        if it begins with a line end). Words without other white space go to the library
+        as running text, whose ids are cut at the spaces and line ends; each other one
+        by itself."""
+        clean, lines, rest = [], [], []
+        for w in words:
+            bare = w[1:] if w[:1] == "\n" else w
+            (rest if not bare or bare != bare.strip() else clean if bare is w else lines).append(w)
+        spaced = b"".join(self._library([" " + " ".join(clean[i : i + GROUP_WORDS]) for i in range(0, len(clean), GROUP_WORDS)]))
+        cut = b"".join(self._library(["".join(lines[i : i + GROUP_WORDS]) for i in range(0, len(lines), GROUP_WORDS)]))
+        text, n = np.frombuffer(spaced + cut, np.uint32), len(spaced) // 4
+        begins = np.concatenate([np.flatnonzero(self.starts_word[text[:n]]), n + np.flatnonzero(self.starts_line[text[n:]])])
+        alone = self._library([w if w[:1] == "\n" else " " + w for w in rest])
         counts = np.concatenate([np.diff(np.append(begins, len(text))), np.array([len(x) // 4 for x in alone], np.int64)])
         if len(counts) != len(words):
             raise ValueError("the vocabulary does not mark the beginnings of words")
         first = len(self.start)
-        self.known.update(zip(clean + rest, range(first, first + len(counts)), strict=True))
+        self.known.update(zip(clean + lines + rest, range(first, first + len(counts)), strict=True))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
         self.count, self.hits = np.concatenate([self.count, counts]), np.append(self.hits, np.zeros(len(counts), np.int64))
         self.ids = np.concatenate([self.ids, text, np.frombuffer(b"".join(alone), np.uint32)])
@@ -146,34 +164,62 @@ class ByteBpe:
             out[k] = ids
         if not plain:
             return out
-        words = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        words = pc.split_pattern(pa.array([_cut_lines(texts[k]) for k in plain], pa.large_string()), " ")
         ends = words.offsets.to_numpy()
         coded = words.values.dictionary_encode()
         at, different = coded.indices.to_numpy(), coded.dictionary
         first = np.zeros(len(at), bool)
         first[ends[:-1]] = True  # no space before it: another word for the library
         firsts = self._library(_strings(different, at[first]))
-        used = np.flatnonzero(np.bincount(at[~first], minlength=len(different)))
-        row = np.zeros(len(different), np.int64)
-        row[used] = self._rows(_strings(different, used))
-        rows = row[at[~first]]
-        count = self.count[rows]
+        mark, stems = _marked(different)
+        stems = stems.dictionary_encode()
+        at, marked = stems.indices.to_numpy()[at[~first]], mark[at[~first]]
+        used = np.flatnonzero(np.bincount(at, minlength=len(stems.dictionary)))
+        row = np.zeros(len(stems.dictionary), np.int64)
+        row[used] = self._rows(_strings(stems.dictionary, used))
+        rows = row[at]
         self.hits += np.bincount(rows, minlength=len(self.hits))
+        count = self.count[rows] + (marked > 0)
         total = np.concatenate([[0], np.cumsum(count)])
-        ids = self.ids[np.repeat(self.start[rows] - total[:-1], count) + np.arange(total[-1])]
+        place = np.repeat(self.start[rows] - total[:-1], count) + np.arange(total[-1])
+        last = total[1:][marked > 0] - 1
+        place[last] = 0
+        ids = self.ids[place]
+        ids[last] = self.marks[marked[marked > 0]]
         bounds = total[ends - np.arange(len(ends))]
         for k, alone, a, b in zip(plain, firsts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             out[k] = alone + ids[a:b].tobytes()
         return out
 
 
+def _cut_lines(text: str) -> str:
+    """With a space before each line end, if all have other characters than white
+    space on both sides."""
+    lines = text.split("\n")
+    if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+        return " \n".join(lines)
+    return text
+
+
+def _marked(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """For each word the place in ``MARKS``, from 1, of a mark that ends it after a
+    letter (0: none), and the words without these marks."""
+    data, off = arrow_text(words)
+    mark, long = np.zeros(len(words), np.uint8), np.flatnonzero(np.diff(off) > 1)
+    end = off[1:][long]
+    mark[long] = _MARK[data[end - 1]] * _LETTER[data[end - 2]]
+    return mark, pc.if_else(pa.array(mark > 0), pc.utf8_slice_codeunits(words, 0, -1), words)
+
+
 def _strings(column: pa.Array, places: np.ndarray) -> list[str]:
     """Python strings at ``places`` (by way of numpy: several times faster than ``to_pylist``)."""
     return column.take(pa.array(places)).to_numpy(zero_copy_only=False).tolist()
 
 
 def encoder(path: str) -> ByteBpe:
-    """One encoder for each Python worker and vocabulary, so its table is kept."""
+    """One encoder for each Python worker and vocabulary, so its table is kept. The
+    library's threads are off: each worker has one core, and they spin on others'."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     held = worker_tables("tokens")
     if path not in held:
         held[path] = ByteBpe(path)
@@ -265,6 +311,7 @@ def ranked_ids(tokens: DataFrame) -> tuple[np.ndarray, int]:
     a row for each id of the vocabulary reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("token-files")
         total = np.zeros(0, np.int64)
         for batch in batches:
             sizes = batch.column(1).to_pylist()
@@ -294,6 +341,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     sent = spark.sparkContext.broadcast(rank)  # 4 bytes for each id of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("token-files")
         part, block, first = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []
 
@@ -341,6 +389,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     blocks = spark.read.parquet(f"{folder}/blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("token-files")
         for batch in batches:
             for r in batch.to_pylist():
                 ids = sent.value[unpack(r["control"], r["data"], r["n_tokens"])].astype("<u4")

@@ -96,3 +96,25 @@ def test_full_tables_keep_frequent_words(library, monkeypatch):
         assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
         assert len(e.start) < 40 + 5 * 40 and set(e.known.values()) <= set(range(len(e.start)))
     assert "the" in e.known
+
+
+def test_marks_and_line_ends_are_set_apart(library):
+    """One known word for all its marks, before or after a line end."""
+    e = t.ByteBpe(t.tokenizer_path())
+    texts = ["one word, word. word! word? a\nword; word:\nword", "two word.\n\nword, \nword\n", "x word.. word.) \u00e9. 7. don't, it's.\n's a\n.b a.b\u2003\nword c\x1c\nd"]
+    for text, ids in zip(texts, e.encode(texts), strict=True):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    e = t.ByteBpe(t.tokenizer_path())
+    e.encode(texts[:1])
+    assert sorted(e.known) == ["\nword", "a", "word"]
+
+
+def test_lines_equal_the_library(library, monkeypatch):
+    monkeypatch.setattr(t, "GROUP_WORDS", 3)
+    r = random.Random(12)
+    parts = ["a", "the", "Zq", " ", " ", "\n", "\n", ".", ",", "!", "'s", "\u00e9", "12", "\u2026", "\t", "\u00a0"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(3000)]
+    e = t.ByteBpe(t.tokenizer_path())
+    for k in range(0, len(texts), 50):
+        for text, ids in zip(texts[k : k + 50], e.encode(texts[k : k + 50]), strict=True):
+            assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
