@@ -12,6 +12,8 @@ the ids up to it are final: they are emitted and the window moves there.
   by the model's priorities gives exactly these two pieces. A sequence of pieces
   is the BPE encoding of its text if and only if that holds for each adjacent
   pair, so one path survives at each boundary and the result is the library's.
+  An automaton of the pieces' beginnings names the pieces that end at a boundary;
+  the shortest, a single symbol, is what remains if no longer one may follow.
 
 Where no piece goes on past a white space symbol, every word start is a
 boundary on which all paths converge (so are both sides of a symbol that is in
@@ -40,7 +42,7 @@ from dxcohort.llm.common import CHUNK_BYTES, ship, worker_tables
 
 SPACE = "▁"
 #: Entries of each table of known stretches and pairs; a full one is replaced.
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 600_000
 #: Longer stretches are not kept.
 KEEP_CHARS = 48
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
@@ -79,13 +81,44 @@ class Pieces:
             for piece in self.ids:
                 if len(self.merged(piece)) > 1:
                     self.ends[piece] = -1
-        self.codes = {piece: i.to_bytes(4, "little") for piece, i in self.ids.items()}
+            self._automaton()
         #: Whether some piece goes on past a white space symbol after another one.
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         # Symbols that are in no piece stand alone: all paths meet before and after them.
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
         self.stretch = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]" if alone else ""))
 
+    def _automaton(self) -> None:
+        """Nodes are beginnings of pieces (0: the empty one). ``step``: the node of a
+        node (21 bits to the left) and a symbol; ``fail``: the longest other node that
+        ends a node; ``out``: lengths and ids of the pieces of two symbols or more that
+        end it, longest first."""
+        self.step: dict[int, int] = {}
+        parent, depth, symbol, whole = [0], [0], [0], {}
+        for piece, i in self.ids.items():
+            if self.ends[piece] < 0:
+                continue
+            node = 0
+            for c in map(ord, piece):
+                to = self.step.get(node << 21 | c)
+                if to is None:
+                    to = self.step[node << 21 | c] = len(parent)
+                    parent.append(node)
+                    depth.append(depth[node] + 1)
+                    symbol.append(c)
+                node = to
+            if len(piece) > 1:
+                whole[node] = ((len(piece), i),)
+        self.fail = [0] * len(parent)
+        self.out: list[tuple[tuple[int, int], ...]] = [()] * len(parent)
+        for node in sorted(range(1, len(parent)), key=depth.__getitem__):
+            if depth[node] > 1:
+                to = self.fail[parent[node]]
+                while to and to << 21 | symbol[node] not in self.step:
+                    to = self.fail[to]
+                self.fail[node] = self.step.get(to << 21 | symbol[node], 0)
+            self.out[node] = whole.get(node, ()) + self.out[self.fail[node]]
+
     def spell(self, symbol: str) -> list[int]:
         """Ids of a symbol without a piece."""
         return [self.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")] if len(self.bytes) == 256 else [self.unknown]
@@ -112,19 +145,68 @@ class Encoder:
 
     def __init__(self, pieces: Pieces, entries: int | None = None):
         self.p, self.entries = pieces, entries or TABLE_ENTRIES
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.names = {i: piece for piece, i in pieces.ids.items()}
+        self.size = max(self.names, default=0) + 1
+        self.codes = [i.to_bytes(4, "little") for i in range(self.size)]
+        self.pairs: dict[int | tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the table before: words in use move over
 
-    def _may_follow(self, a: str, b: str) -> bool:
+    def _may_follow(self, key: int | tuple[str, str], a: str, b: str) -> bool:
         if len(self.pairs) >= TABLE_ENTRIES:
             self.pairs.clear()
-        got = self.pairs[a, b] = self.p.merged(a + b) == [a, b]
+        got = self.pairs[key] = self.p.merged(a + b) == [a, b]
         return got
 
-    def _extend(self, text: str, done: int, edge: list[int], best: list[float], before: str | None) -> None:
+    def _begin(self) -> tuple[list[int], list[int], list]:
+        """At boundary 0: where the best path's last edge begins, the id of its piece
+        (-1: a symbol without one, -2: none), and a node (BPE) or a score."""
+        return [0], [-2], [0 if self.p.bpe else 0.0]
+
+    def _extend(self, text: str, done: int, edge: list[int], kind: list[int], state: list, before: str | None) -> None:
         """The best path's last edge for each boundary of ``text`` after ``done``."""
-        p, ends, pairs = self.p, self.p.ends.get, self.pairs.get
+        (self._extend_bpe if self.p.bpe else self._extend_unigram)(text, done, edge, kind, state, before)
+
+    def _extend_bpe(self, text: str, done: int, edge: list[int], kind: list[int], state: list[int], before: str | None) -> None:
+        p, step, fail, out, pairs, size = self.p, self.p.step.get, self.p.fail, self.p.out, self.pairs.get, self.size
+        node = state[done]
+        for n, c in enumerate(text[done:], done + 1):
+            symbol = ord(c)
+            to = step(node << 21 | symbol)
+            while to is None:
+                if not node:
+                    to = 0
+                    break
+                node = fail[node]
+                to = step(node << 21 | symbol)
+            node = to
+            state.append(node)
+            for length, k in out[node]:
+                start = n - length
+                if start < 0:
+                    continue
+                last = kind[start]
+                if last >= 0:
+                    ok = pairs(last * size + k)
+                    if ok is None:
+                        ok = self._may_follow(last * size + k, self.names[last], self.names[k])
+                elif last == -2:
+                    ok = True
+                else:
+                    a, b = text[edge[start] : start] if start else before, self.names[k]
+                    ok = pairs((a, b))
+                    if ok is None:
+                        ok = self._may_follow((a, b), a, b)
+                if ok:
+                    edge.append(start)
+                    kind.append(k)
+                    break
+            else:
+                edge.append(n - 1)
+                kind.append(p.ids.get(c, -1))
+
+    def _extend_unigram(self, text: str, done: int, edge: list[int], kind: list[int], best: list[float], before: str | None) -> None:
+        p, ends = self.p, self.p.ends.get
         for n in range(done + 1, len(text) + 1):
             found = []
             for start in range(n - 1, -1, -1):
@@ -133,49 +215,36 @@ class Encoder:
                     break
                 if k >= 0:
                     found.append(start)
-            choice, top = n - 1, 0.0  # a symbol without a piece
-            if p.bpe:
-                for start in reversed(found):
-                    last = text[edge[start] : start] if start else before
-                    if last is None:
-                        choice = start
-                        break
-                    ok = pairs((last, text[start:n]))
-                    if ok is None:
-                        ok = self._may_follow(last, text[start:n])
-                    if ok:
-                        choice = start
-                        break
-            else:
-                top = None
-                if not found or found[0] != n - 1:
-                    found.append(n - 1)
-                for start in found:
-                    piece = text[start:n]
-                    score = best[start] + (p.score_of[piece] if piece in p.score_of else p.least)
-                    if top is None or score > top:
-                        choice, top = start, score
+            choice, top = n - 1, None
+            if not found or found[0] != n - 1:
+                found.append(n - 1)  # a symbol without a piece
+            for start in found:
+                piece = text[start:n]
+                score = best[start] + (p.score_of[piece] if piece in p.score_of else p.least)
+                if top is None or score > top:
+                    choice, top = start, score
             edge.append(choice)
+            kind.append(p.ids.get(text[choice:n], -1))
             best.append(top)
 
     def stream(self, chunks: Iterator[str]) -> Iterator[int]:
         """Ids of a text that comes in parts of any size, as they become final."""
         longest = self.p.longest
         text = ""  # symbols from the last final boundary on
-        edge = [0]  # for each boundary: where its best path's last edge begins
-        best = [0.0]
+        edge, kind, state = self._begin()
         before: str | None = None  # the last final piece, which the next must be able to follow
         for chunk in chunks:
             for low in range(0, len(chunk), longest):
                 done = len(text)
                 text += chunk[low : low + longest]
-                self._extend(text, done, edge, best, before)
+                self._extend(text, done, edge, kind, state, before)
                 if len(text) >= 2 * longest and (final := self._converged(edge, len(text), longest)):
                     yield from self._emit(text, edge, final)
                     before = text[edge[final] : final]
-                    text, low_score = text[final:], best[final]
+                    text = text[final:]
                     edge = [0] + [e - final for e in edge[final + 1 :]]
-                    best = [b - low_score for b in best[final:]]
+                    kind = kind[final:]
+                    state = state[final:] if self.p.bpe else [b - state[final] for b in state[final:]]
         yield from self._emit(text, edge, len(text))
 
     @staticmethod
@@ -201,18 +270,16 @@ class Encoder:
     def _settle(self, stretches: list[str], known: dict[str, bytes]) -> None:
         """Search new stretches in lexical order, into ``known``: the window's
         state after a common beginning serves all that share it."""
-        edge, best, last = [0], [0.0], ""
-        codes = self.p.codes
+        (edge, kind, state), last, codes = self._begin(), "", self.codes
         for s in sorted(stretches):
             same, most = 0, min(len(s), len(last))
             while same < most and s[same] == last[same]:
                 same += 1
-            del edge[same + 1 :], best[same + 1 :]
-            self._extend(s, same, edge, best, None)
+            del edge[same + 1 :], kind[same + 1 :], state[same + 1 :]
+            self._extend(s, same, edge, kind, state, None)
             last, end, parts = s, len(s), []
             while end:
-                piece = s[edge[end] : end]
-                parts.append(codes[piece] if piece in codes else np.array(self.p.spell(piece), np.uint32).tobytes())
+                parts.append(codes[kind[end]] if kind[end] >= 0 else np.array(self.p.spell(s[end - 1]), np.uint32).tobytes())
                 end = edge[end]
             parts.reverse()
             known[s] = b"".join(parts)
@@ -225,17 +292,16 @@ class Encoder:
         split = [self.p.stretch.findall(s) for s in escaped]
         if len(self.known) >= self.entries:
             self.known, self.older = {}, self.known
-        coded = [list(map(self.known.get, parts)) for parts in split]
-        new = {x for parts, ids in zip(split, coded) if None in ids for x, i in zip(parts, ids) if i is None}
-        learnt = {x: self.older[x] for x in new if x in self.older}
-        new.difference_update(learnt)
-        learnt.update((x, np.fromiter(self.stream([x]), np.uint32).tobytes()) for x in new if len(x) > KEEP_CHARS)
-        self._settle([x for x in new if len(x) <= KEEP_CHARS], learnt)
-        self.known.update((x, ids) for x, ids in learnt.items() if len(x) <= KEEP_CHARS)
-        return [
-            b"".join([learnt[x] if i is None else i for x, i in zip(parts, ids)] if None in ids else ids)
-            for parts, ids in zip(split, coded)
-        ]
+        new = set().union(*split).difference(self.known)
+        self.known.update((x, self.older[x]) for x in new if x in self.older)
+        new = [x for x in new if x not in self.older]
+        long = [x for x in new if len(x) > KEEP_CHARS]
+        self.known.update((x, np.fromiter(self.stream([x]), np.uint32).tobytes()) for x in long)
+        self._settle([x for x in new if len(x) <= KEEP_CHARS], self.known)
+        coded = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        for x in long:
+            del self.known[x]
+        return coded
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]

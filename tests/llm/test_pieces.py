@@ -121,3 +121,20 @@ def test_documents_with_ids(spark, make_docs, library):
     rows = {r["doc_id"]: r for r in p.encode_documents(docs).collect()}
     assert rows[1]["ids"] == library.encode("some text") and rows[2]["ids"] == [] and rows[1]["token"] == "x"
     assert "text" not in p.encode_documents(docs).columns
+
+
+def test_a_symbol_alone_is_never_asked_for(library, monkeypatch):
+    """It is what remains if no longer piece may follow; no pair is merged for it."""
+    e = p.Encoder(p.Pieces(p.model_path()))
+    asked, merged = [], e.p.merged
+    monkeypatch.setattr(e, "_may_follow", lambda *a: (asked.append(a[-1]), merged(a[-2] + a[-1]) == [a[-2], a[-1]])[1])
+    for text in [*fuzz(7, 300), "qzxv jkwq vbnq"]:
+        assert np.frombuffer(e.encode(text), np.uint32).tolist() == library.encode(text)
+    assert asked and min(map(len, asked)) > 1
+
+
+def test_words_move_over_from_the_older_table(library):
+    e = p.Encoder(p.Pieces(p.model_path()), 3)
+    for texts in (["the old words", "x" * 60 + " the"], ["new words here"], ["old new the " + "x" * 60], ["the", "", None]):
+        assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode_many(texts)] == [library.encode(x or "") for x in texts]
+    assert all(len(x) <= p.KEEP_CHARS for x in [*e.known, *e.older])
